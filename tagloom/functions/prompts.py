@@ -1,15 +1,16 @@
 """Prompts and training records as column expressions.
 
-The example bank is an ``array<struct<intent, examples>>`` column in label order: either a
-scalar subquery over a bank table (:func:`bank_column`) or a literal (:func:`bank_literal`).
-Either way it reaches the tasks as one constant, so no join touches the big side.
+The example bank is passed as a constant ``array<struct<intent, examples>>`` in label order
+(:func:`bank_literal`), so no join touches the big side and the same expressions work on
+streams.
 """
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tagloom.fixed_values import (
@@ -60,29 +61,15 @@ def zero_shot_prompt(text: Column, labels: LabelSpace) -> Column:
     return fill(ZERO_SHOT_TEMPLATE, labels=label_bullets(labels), instruction=text)
 
 
-def bank_column(bank: DataFrame) -> Column:
-    """The bank as a scalar subquery, evaluated once per query.
-
-    ``bank`` holds one row per label and a few examples each, so it is bounded by the label space.
-    """
-    entry = F.struct("intent", "examples")
-    return bank.agg(F.array_sort(F.collect_list(entry)).alias("bank")).scalar()
+def bank_literal(bank: Mapping[str, Sequence[str]]) -> Column:
+    """The bank as a constant: ``array<struct<intent, examples>>`` in label order."""
+    entries = [{"intent": label, "examples": list(bank[label])} for label in sorted(bank)]
+    return constant(entries, "array<struct<intent: string, examples: array<string>>>")
 
 
-def bank_literal(bank: Mapping[str, Sequence[str]]) -> Column:
-    """The bank as a literal, for use in streaming plans."""
-    entries = [
-        F.struct(
-            F.lit(label).alias("intent"),
-            (
-                F.array(*[F.lit(e) for e in bank[label]])
-                if bank[label]
-                else F.array().cast("array<string>")
-            ).alias("examples"),
-        )
-        for label in sorted(bank)
-    ]
-    return F.array(*entries)
+def constant(value: object, schema: str) -> Column:
+    """A nested constant; Catalyst folds the parsing away, so tasks get a plain literal."""
+    return F.from_json(F.lit(json.dumps(value)), schema)
 
 
 def few_shot_prompt(

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed_values import DEFAULT_SEED, EXAMPLES_PER_LABEL
 from tagloom.functions.text import seeded_hash
-from tagloom.labels import DEFAULT_SPACE, LabelSpace
+from tagloom.labels import DEFAULT_SPACE, MAX_LABELS, LabelSpace
+
+# Text a bank may hold to be sent to every task as a constant.
+MAX_BANK_CHARACTERS = 16_000_000
 
 
 def few_shot_bank(
@@ -39,3 +42,17 @@ def few_shot_bank(
         "intent",
         F.coalesce("examples", F.array().cast("array<string>")).alias("examples"),
     )
+
+
+def collect_bank(bank: DataFrame) -> dict[str, list[str]]:
+    """The bank on the driver, to be built into prompts as a constant; its size is checked."""
+    sizes = bank.agg(
+        F.count("*").alias("labels"),
+        F.coalesce(F.sum(F.length(F.array_join("examples", ""))), F.lit(0)).alias("characters"),
+    ).first()
+    if sizes.labels > MAX_LABELS or sizes.characters > MAX_BANK_CHARACTERS:
+        raise ValueError(
+            f"An example bank of {sizes.labels} labels and {sizes.characters} characters is "
+            f"too large to build into prompts."
+        )
+    return {row.intent: list(row.examples) for row in bank.select("intent", "examples").collect()}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 import time
-from collections.abc import Callable, Iterable, Iterator, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from typing import Protocol
 
 import pandas as pd
@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.fixed_values import UNKNOWN_LABEL
+from tagloom.functions.prompts import constant
 from tagloom.functions.text import tokens
 from tagloom.labels import LabelSpace
 
@@ -78,6 +79,10 @@ def predict_batch(
     return df.mapInPandas(run, T.StructType(fields))
 
 
+def _words(text: str) -> set[str]:
+    return set(re.findall(r"[a-z0-9]+", text.lower()))
+
+
 class LexicalPredictor:
     """Python counterpart of :func:`lexical_label`, for use with :func:`predict_batch`.
 
@@ -86,14 +91,14 @@ class LexicalPredictor:
 
     def __init__(self, labels: Iterable[str], marker: str | None = None):
         self._marker = marker
-        self._names = [(label, set(re.findall(r"[a-z0-9]+", label.lower()))) for label in labels]
+        self._names = [(label, _words(label)) for label in labels]
 
     def __call__(self, prompts: list[str]) -> list[str]:
         return [self._one(prompt) for prompt in prompts]
 
     def _one(self, prompt: str) -> str:
         text = prompt.rsplit(self._marker, 1)[-1] if self._marker else prompt
-        words = set(re.findall(r"[a-z0-9]+", text.lower()))
+        words = _words(text)
         label, overlap = max(
             ((label, len(words & name)) for label, name in self._names), key=lambda pair: pair[1]
         )
@@ -106,25 +111,15 @@ def lexical_label(text: Column, labels: LabelSpace) -> Column:
     ``unknown`` when no label shares any.  The text is cut down to label tokens once, so
     the per-label work does not depend on the length of the text.
     """
-    names = {label: re.findall(r"[a-z0-9]+", label.lower()) for label in labels}
-    vocabulary = sorted({word for words in names.values() for word in words})
-    known = F.array_intersect(tokens(text), F.array(*[F.lit(w) for w in vocabulary]))
-    entries = F.array(
-        *[
-            F.struct(
-                F.lit(label).alias("label"),
-                F.lit(position).alias("position"),
-                F.array(*[F.lit(w) for w in names[label]]).alias("words"),
-            )
-            for position, label in enumerate(labels)
-        ]
-    )
+    names = [{"label": label, "words": sorted(_words(label))} for label in labels]
+    vocabulary = sorted({word for name in names for word in name["words"]})
+    known = F.array_intersect(tokens(text), constant(vocabulary, "array<string>"))
     scored = F.transform(
-        entries,
-        lambda entry: F.struct(
-            F.size(F.array_intersect(known, entry["words"])).alias("score"),
-            (-entry["position"]).alias("order"),
-            entry["label"].alias("label"),
+        constant(names, "array<struct<label: string, words: array<string>>>"),
+        lambda name, position: F.struct(
+            F.size(F.array_intersect(known, name["words"])).alias("score"),
+            (-position).alias("order"),
+            name["label"].alias("label"),
         ),
     )
     best = F.array_max(scored)
@@ -139,45 +134,43 @@ def zero_shot_lexical(
 
 
 def few_shot_nearest(
-    df: DataFrame, bank: DataFrame, text_col: str = "instruction"
+    df: DataFrame, bank: Mapping[str, Sequence[str]], text_col: str = "instruction"
 ) -> DataFrame:
     """Add ``raw_output`` and ``similarity``: label of the bank example nearest by token Jaccard.
 
-    Ties go to the first label; without any example the label is ``unknown``.  The bank
-    ``(intent, examples)`` is bounded by the label space.  It is tokenised once and reaches
-    the tasks as a scalar subquery, so this is map-only.  A text is cut down to the bank's
+    Ties go to the first label; without any example the label is ``unknown``.  The bank is
+    small (see :func:`~tagloom.operators.bank.collect_bank`), is tokenised once and reaches
+    the tasks as a constant, so this is map-only.  A text is cut down to the bank's
     vocabulary once and then compared with each example; its full token count still enters
     the Jaccard denominator.
     """
-    stocked = bank.where(F.size("examples") > 0).select(
-        "intent", F.transform("examples", tokens).alias("examples")
-    )
-    entries = stocked.agg(F.array_sort(F.collect_list(F.struct("intent", "examples")))).scalar()
-    vocabulary = stocked.agg(
-        F.array_distinct(F.flatten(F.flatten(F.collect_list("examples"))))
-    ).scalar()
+    examples = [
+        {"intent": label, "tokens": sorted(_words(example))}
+        for label in sorted(bank)
+        for example in bank[label]
+    ]
+    if not examples:
+        return df.withColumns({"raw_output": F.lit(UNKNOWN_LABEL), "similarity": F.lit(0.0)})
+    vocabulary = sorted({token for example in examples for token in example["tokens"]})
     prepared = (
         df.withColumn("_tokens", tokens(F.col(text_col)))
-        .withColumn("_known", F.array_intersect("_tokens", vocabulary))
+        .withColumn("_known", F.array_intersect("_tokens", constant(vocabulary, "array<string>")))
         .withColumn("_size", F.size("_tokens"))
     )
 
-    def similarity(example: Column) -> Column:
-        shared = F.size(F.array_intersect(F.col("_known"), example))
-        union = F.col("_size") + F.size(example) - shared
-        return F.when(union > 0, shared / union).otherwise(0.0)
-
-    scored = F.transform(
-        entries,
-        lambda entry, position: F.struct(
-            F.array_max(F.transform(entry["examples"], similarity)).alias("similarity"),
+    def scored(example: Column, position: Column) -> Column:
+        shared = F.size(F.array_intersect(F.col("_known"), example["tokens"]))
+        union = F.col("_size") + F.size(example["tokens"]) - shared
+        return F.struct(
+            F.when(union > 0, shared / union).otherwise(0.0).alias("similarity"),
             (-position).alias("order"),
-            entry["intent"].alias("intent"),
-        ),
-    )
-    best = prepared.withColumn("_best", F.array_max(scored))
+            example["intent"].alias("intent"),
+        )
+
+    entries = constant(examples, "array<struct<intent: string, tokens: array<string>>>")
+    best = prepared.withColumn("_best", F.array_max(F.transform(entries, scored)))
     return best.select(
         *df.columns,
-        F.coalesce("_best.intent", F.lit(UNKNOWN_LABEL)).alias("raw_output"),
-        F.coalesce("_best.similarity", F.lit(0.0)).alias("similarity"),
+        F.col("_best.intent").alias("raw_output"),
+        F.col("_best.similarity").alias("similarity"),
     )

@@ -190,14 +190,9 @@ def to_parallel_arrays(
     shard = F.floor(F.col(order_by) / shard_rows).alias("shard")
     row = F.struct(order_by, *PARALLEL_LISTS.values())
     packed = df.groupBy("approach", shard).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
-    return packed.select(
-        "approach",
-        "shard",
-        *[
-            F.transform("_rows", lambda r, c=column: r[c]).alias(name)
-            for name, column in PARALLEL_LISTS.items()
-        ],
-    )
+    # A field of an array of structs is the array of that field.
+    lists = [F.col("_rows")[column].alias(name) for name, column in PARALLEL_LISTS.items()]
+    return packed.select("approach", "shard", *lists)
 
 
 def align_parallel_arrays(records: DataFrame) -> DataFrame:

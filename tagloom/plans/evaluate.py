@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import APPROACHES
 from tagloom.functions.matching import match_labels
 from tagloom.labels import LabelSpace
+from tagloom.operators.bank import collect_bank
 from tagloom.operators.classifier import load_classifier, predict_with
 from tagloom.operators.metrics import benchmark_summary
 from tagloom.operators.predict import few_shot_nearest, zero_shot_lexical
@@ -26,7 +27,7 @@ Approach = Callable[[DataFrame], DataFrame]
 
 
 def default_approaches(
-    labels: LabelSpace, bank: DataFrame, model: Callable[[], PipelineModel]
+    labels: LabelSpace, bank: Mapping[str, Sequence[str]], model: Callable[[], PipelineModel]
 ) -> dict[str, Approach]:
     """Label-name overlap, nearest bank example, and the trained classifier (loaded on use)."""
     return {
@@ -97,7 +98,7 @@ def evaluate(
     samples = test.select(F.col("row_id").alias("sample_id"), "instruction", "intent")
     if max_samples is not None:
         samples = stage(samples.orderBy("sample_id").limit(max_samples), "samples")
-    bank = read_example_bank(spark, f"{prepared_path}/prompts/example_bank")
+    bank = collect_bank(read_example_bank(spark, f"{prepared_path}/prompts/example_bank"))
     approaches = default_approaches(labels, bank, lambda: load_classifier(spark, classifier_path)[0])
     write_results(compare_approaches(samples, approaches, labels, enabled), labels, results_path)
     summary = read_summary(spark, results_path)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.operators import predict
-from tagloom.operators.bank import few_shot_bank
+from tagloom.operators.bank import collect_bank, few_shot_bank
 from tagloom.operators.classifier import (
     load_classifier,
     predict_with,
@@ -24,7 +24,8 @@ from tagloom.session import stage, staging_path
 
 
 def sql_tokens(text: str) -> str:
-    return f"list_filter(list_distinct(string_split_regex(lower({text}), '[^a-z0-9]+')), x -> x <> '')"
+    parts = f"list_distinct(string_split_regex(lower({text}), '[^a-z0-9]+'))"
+    return f"[x FOR x IN {parts} IF x <> '']"
 
 
 def sql_lexical(source: str, key: str, text: str, labels) -> str:
@@ -77,7 +78,7 @@ ranked AS (
 SELECT row_id, intent AS raw_output, round(similarity, 6) AS similarity FROM ranked""")
 def few_shot_nearest(t):
     splits = stage(t.splits(), "splits")
-    bank = few_shot_bank(splits.where("split = 'train'"), UTTERANCE_LABELS)
+    bank = collect_bank(few_shot_bank(splits.where("split = 'train'"), UTTERANCE_LABELS))
     nearest = predict.few_shot_nearest(splits.select("row_id", "instruction"), bank)
     return rounded(nearest.select("row_id", "raw_output", "similarity"))
 
@@ -101,7 +102,7 @@ def three_way_benchmark(t):
     samples = test.select(F.col("row_id").alias("sample_id"), "instruction", "intent")
     approaches = evaluate.default_approaches(
         UTTERANCE_LABELS,
-        few_shot_bank(train, UTTERANCE_LABELS),
+        collect_bank(few_shot_bank(train, UTTERANCE_LABELS)),
         lambda: train_text_classifier(train, UTTERANCE_LABELS),
     )
     return evaluate.three_way_benchmark(samples, approaches, UTTERANCE_LABELS)

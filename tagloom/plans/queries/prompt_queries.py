@@ -11,8 +11,11 @@ from tagloom.fixed_values import (
     ZERO_SHOT_TEMPLATE,
 )
 from tagloom.functions import prompts
+from tagloom.functions.text import word_count
 from tagloom.operators import validate
+from tagloom.operators.bank import collect_bank
 from tagloom.operators.bank import few_shot_bank as draw_bank
+from tagloom.operators.clean import drop_missing
 from tagloom.plans.queries.registry import (
     BANK,
     KEPT,
@@ -72,12 +75,14 @@ def _train_bank(splits):
     return draw_bank(splits.where("split = 'train'"), UTTERANCE_LABELS)
 
 
+def _constant_bank(splits):
+    return prompts.bank_literal(collect_bank(_train_bank(splits)))
+
+
 @registered(f"""WITH {KEPT}
 SELECT row_id, md5({_sql_zero_shot('instruction', UTTERANCE_LABELS)}) AS digest,
        length({_sql_zero_shot('instruction', UTTERANCE_LABELS)})::INT AS n_chars FROM kept""")
 def zero_shot_prompt(t):
-    from tagloom.operators.clean import drop_missing
-
     prompt = prompts.zero_shot_prompt(F.col("instruction"), UTTERANCE_LABELS)
     rows = drop_missing(t.utterances()).select("row_id", prompt.alias("prompt"))
     return rows.select("row_id", F.md5("prompt").alias("digest"), F.length("prompt").alias("n_chars"))
@@ -98,7 +103,7 @@ SELECT row_id, {_sql_fill(FEW_SHOT_TEMPLATE.replace(
     examples='shown', instruction='instruction')} AS prompt FROM blocks""")
 def few_shot_prompt(t):
     splits = stage(t.splits(), "splits")
-    bank = prompts.bank_column(_train_bank(splits))
+    bank = _constant_bank(splits)
     prompt = prompts.few_shot_prompt(
         F.col("instruction"), F.col("row_id"), bank, UTTERANCE_LABELS, n_labels=2
     )
@@ -110,7 +115,7 @@ SELECT row_id, {_sql_serving('instruction', 'shown', UTTERANCE_LABELS)} AS promp
 FROM splits, block""")
 def fixed_few_shot_prompt(t):
     splits = stage(t.splits(), "splits")
-    bank = prompts.bank_column(_train_bank(splits))
+    bank = _constant_bank(splits)
     prompt = prompts.fixed_few_shot_prompt(F.col("instruction"), bank, UTTERANCE_LABELS)
     return splits.select("row_id", prompt.alias("prompt"))
 
@@ -120,8 +125,6 @@ SELECT row_id, 'system' AS role_1, {_quoted(SYSTEM_PROMPT)} AS content_1, 'user'
        'Customer message: ' || instruction AS content_2, 'assistant' AS role_3,
        intent AS content_3 FROM kept""")
 def chat_record(t):
-    from tagloom.operators.clean import drop_missing
-
     record = prompts.chat_record(F.col("instruction"), F.col("intent"))
     rows = drop_missing(t.utterances()).select("row_id", record.alias("messages"))
     return rows.select(
@@ -132,8 +135,6 @@ def chat_record(t):
 
 @registered(f"WITH {KEPT} SELECT row_id, {_sql_chat('instruction')} AS prompt FROM kept")
 def chat_prompt(t):
-    from tagloom.operators.clean import drop_missing
-
     prompt = prompts.chat_prompt(F.col("instruction"))
     return drop_missing(t.utterances()).select("row_id", prompt.alias("prompt"))
 
@@ -145,7 +146,7 @@ SELECT request_id, approach,
        ELSE {_sql_chat('text')} END AS prompt
 FROM requests, block""")
 def prompt_dispatch(t):
-    bank = prompts.bank_column(_train_bank(stage(t.splits(), "splits")))
+    bank = _constant_bank(t.splits())
     prompt = prompts.prompt_for(F.col("approach"), F.col("text"), bank, STOPWORD_LABELS)
     return t.requests().select("request_id", "approach", prompt.alias("prompt"))
 
@@ -154,7 +155,7 @@ def prompt_dispatch(t):
 SELECT intent, len(examples)::INT AS n_examples, array_to_string(examples, '|') AS examples
 FROM bank""")
 def few_shot_bank(t):
-    bank = _train_bank(stage(t.splits(), "splits"))
+    bank = _train_bank(t.splits())
     return bank.select(
         "intent",
         F.size("examples").alias("n_examples"),
@@ -167,7 +168,7 @@ SELECT intent, len(examples)::INT AS n_examples, array_to_string(examples, '|')
 FROM bank""")
 def example_bank_roundtrip(t):
     path = staging_path(t.spark, "bank")
-    write_example_bank(_train_bank(stage(t.splits(), "splits")), path)
+    write_example_bank(_train_bank(t.splits()), path)
     return read_example_bank(t.spark, path).select(
         "intent",
         F.size("examples").alias("n_examples"),
@@ -224,7 +225,5 @@ SELECT row_id, CASE WHEN {sql_strip('instruction')} = '' THEN 0
   ELSE len(regexp_extract_all(instruction, '\\S+')) END::INT AS n_words
 FROM v1 WHERE instruction IS NOT NULL""")
 def word_counts(t):
-    from tagloom.functions.text import word_count
-
     rows = t.utterances().where("instruction IS NOT NULL")
     return rows.select("row_id", word_count(F.col("instruction")).alias("n_words"))

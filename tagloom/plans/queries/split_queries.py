@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.operators import audit, split
+from tagloom.operators.clean import clean_dataset, strip_text
 from tagloom.operators.runlog import training_plan as plan_steps
 from tagloom.plans.queries.registry import (
     MAX_LENGTH,
@@ -15,7 +16,6 @@ from tagloom.plans.queries.registry import (
     registered,
     sql_values,
 )
-from tagloom.operators.clean import clean_dataset
 from tagloom.session import stage, staging_path
 from tagloom.sources.jsonl import read_split_jsonl, write_split_jsonl
 
@@ -71,8 +71,6 @@ def split_leakage(t):
     careless = F.when(F.col("row_id") % 3 == 0, "train").when(F.col("row_id") % 3 == 1, "val")
     rows = t.utterances().where("instruction IS NOT NULL")
     rows = rows.withColumn("split", careless.otherwise("test"))
-    from tagloom.operators.clean import strip_text
-
     return audit.split_leakage(strip_text(rows))
 
 

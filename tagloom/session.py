@@ -21,6 +21,7 @@ def build_session(app_name: str = "tagloom", master: str = "local[8]", **conf: s
         "spark.driver.bindAddress": "127.0.0.1",
         "spark.driver.host": "127.0.0.1",
         "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
         "spark.sql.shuffle.partitions": "8",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.session.timeZone": "UTC",

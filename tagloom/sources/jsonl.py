@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.functions.prompts import chat_record
-from tagloom.labels import MAX_LABELS
 from tagloom.schema import CHAT_RECORD, EXAMPLE_BANK, SPLIT_COLUMNS, SPLIT_RECORD
 
 
@@ -77,11 +76,3 @@ def write_example_bank(bank: DataFrame, path: str) -> None:
 
 def read_example_bank(spark: SparkSession, path: str) -> DataFrame:
     return read_jsonl(spark, path, EXAMPLE_BANK, "Example bank", "Run the prepare job first.")
-
-
-def bank_to_dict(bank: DataFrame) -> dict[str, list[str]]:
-    """The bank on the driver; its size is checked."""
-    rows = bank.select("intent", "examples").limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"The example bank has more than {MAX_LABELS} labels.")
-    return {row.intent: list(row.examples) for row in rows}

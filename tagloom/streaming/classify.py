@@ -69,7 +69,7 @@ def start_classify_stream(
     """Classify a stream of requests into Parquet, one folder per outcome.
 
     A single exactly-once file sink holds responses and quarantine, so nothing is computed
-    twice.  On a stream the bank must be a literal (:func:`bank_literal`).
+    twice.
     """
     records = classify(requests, factory, key, labels, bank)
     return (
