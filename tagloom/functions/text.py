@@ -36,10 +36,9 @@ def word_count(text: Column) -> Column:
     return F.regexp_count(text, F.lit(_WORD))
 
 
-def tokens(text: Column) -> Column:
-    """Distinct lower-case ASCII alphanumeric tokens of a text."""
-    parts = F.split(F.lower(text), _TOKEN_BREAK)
-    return F.array_remove(F.array_distinct(parts), "")
+def all_tokens(text: Column) -> Column:
+    """Lower-case ASCII alphanumeric tokens in order; the text's ends may add empty ones."""
+    return F.split(F.lower(text), _TOKEN_BREAK)
 
 
 def seeded_hash(seed: Column | int, *parts: Column) -> Column:

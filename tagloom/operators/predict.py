@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
 from typing import Protocol
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import types as T
 
 from tagloom.fixed_values import UNKNOWN_LABEL
 from tagloom.functions.prompts import constant
-from tagloom.functions.text import tokens
+from tagloom.functions.text import all_tokens
 from tagloom.labels import LabelSpace
 
 
@@ -58,23 +59,32 @@ def predict_batch(
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         predictor = _load(key, factory)
         for frame in batches:
-            prompts = frame[input_col]
-            raw = pd.Series(None, index=frame.index, dtype=object)
-            latency = pd.Series(float("nan"), index=frame.index, dtype="float64")
-            errors = pd.Series(None, index=frame.index, dtype=object)
-            filled = prompts.index[prompts.notna()]
+            prompts = frame[input_col].tolist()
+            raw: list[str | None] = [None] * len(prompts)
+            latency: list[float | None] = [None] * len(prompts)
+            errors: list[str | None] = [None] * len(prompts)
+            filled = [row for row, prompt in enumerate(prompts) if prompt is not None]
             for start in range(0, len(filled), batch_size):
                 rows = filled[start : start + batch_size]
+                outputs: Sequence[str | None] = [None] * len(rows)
+                failure = None
                 began = time.perf_counter()
                 try:
-                    raw.loc[rows] = list(predictor(prompts.loc[rows].tolist()))
-                except Exception as failure:
+                    outputs = predictor([prompts[row] for row in rows])
+                except Exception as raised:
                     if not record_errors:
                         raise
-                    errors.loc[rows] = f"{type(failure).__name__}: {failure}"
-                latency.loc[rows] = (time.perf_counter() - began) * 1000.0 / len(rows)
-            result = frame.assign(raw_output=raw, latency_ms=latency)
-            yield result.assign(error=errors) if record_errors else result
+                    failure = f"{type(raised).__name__}: {raised}"
+                share = (time.perf_counter() - began) * 1000.0 / len(rows)
+                for row, output in zip(rows, outputs, strict=True):
+                    raw[row], latency[row], errors[row] = output, share, failure
+            result = frame.assign(
+                raw_output=pd.Series(raw, index=frame.index, dtype=object),
+                latency_ms=pd.Series(latency, index=frame.index, dtype="float64"),
+            )
+            if record_errors:
+                result["error"] = pd.Series(errors, index=frame.index, dtype=object)
+            yield result
 
     return df.mapInPandas(run, T.StructType(fields))
 
@@ -84,7 +94,7 @@ def _words(text: str) -> set[str]:
 
 
 class LexicalPredictor:
-    """Python counterpart of :func:`lexical_label`, for use with :func:`predict_batch`.
+    """Python counterpart of :func:`zero_shot_lexical`, for use with :func:`predict_batch`.
 
     With ``marker`` only the part of the prompt after its last occurrence is read.
     """
@@ -105,32 +115,63 @@ class LexicalPredictor:
         return label if overlap else UNKNOWN_LABEL
 
 
-def lexical_label(text: Column, labels: LabelSpace) -> Column:
-    """Label sharing most name tokens with the text; ties go to the first label.
+def zero_shot_lexical(
+    df: DataFrame, labels: LabelSpace, text_col: str = "instruction"
+) -> DataFrame:
+    """Add ``raw_output``: the label sharing most name tokens with the text.
 
-    ``unknown`` when no label shares any.  The text is cut down to label tokens once, so
-    the per-label work does not depend on the length of the text.
+    Needs no training.  Ties go to the first label; ``unknown`` when no label shares any
+    token.  The text is cut down to label tokens once, so the per-label work does not
+    depend on the length of the text.
     """
     names = [{"label": label, "words": sorted(_words(label))} for label in labels]
     vocabulary = sorted({word for name in names for word in name["words"]})
-    known = F.array_intersect(tokens(text), constant(vocabulary, "array<string>"))
-    scored = F.transform(
-        constant(names, "array<struct<label: string, words: array<string>>>"),
-        lambda name, position: F.struct(
-            F.size(F.array_intersect(known, name["words"])).alias("score"),
+    cut = df.withColumn(
+        "_known",
+        F.array_intersect(all_tokens(F.col(text_col)), constant(vocabulary, "array<string>")),
+    )
+
+    def scored(name: Column, position: Column) -> Column:
+        return F.struct(
+            F.size(F.array_intersect(F.col("_known"), name["words"])).alias("score"),
             (-position).alias("order"),
             name["label"].alias("label"),
-        ),
-    )
-    best = F.array_max(scored)
-    return F.when(best["score"] > 0, best["label"]).otherwise(UNKNOWN_LABEL)
+        )
 
-
-def zero_shot_lexical(
-    df: DataFrame, labels: LabelSpace, text_col: str = "instruction"
-) -> DataFrame:
-    """Add ``raw_output``: the training-free prediction from label names alone."""
-    return df.withColumn("raw_output", lexical_label(F.col(text_col), labels))
+    entries = constant(names, "array<struct<label: string, words: array<string>>>")
+    best = F.array_max(F.transform(entries, scored))["label"]
+    # Using _known twice also keeps the optimizer from moving it into the per-label lambda.
+    label = F.when(F.size("_known") > 0, best).otherwise(UNKNOWN_LABEL)
+    return cut.select(*df.columns, label.alias("raw_output"))
+
+
+def nearest_example(bank: Mapping[str, Sequence[str]]):
+    """Arrow UDF: ``(raw_output, similarity)`` of the bank example nearest by token Jaccard."""
+    labels = [label for label in sorted(bank) for _ in bank[label]]
+    examples = [_words(example) for label in sorted(bank) for example in bank[label]]
+    vocabulary = {word: i for i, word in enumerate(sorted(set().union(*examples)))}
+    sizes = np.array([len(words) for words in examples])
+    # One row per example, one column per word of the bank.
+    holds = np.zeros((len(examples), max(len(vocabulary), 1)), dtype=np.int32)
+    for row, words in enumerate(examples):
+        holds[row, [vocabulary[word] for word in words]] = 1
+
+    def nearest(text: str | None) -> tuple[str | None, float]:
+        words = _words(text or "")
+        shared = holds[:, [vocabulary[word] for word in words if word in vocabulary]].sum(axis=1)
+        union = len(words) + sizes - shared
+        similarity = np.divide(shared, union, out=np.zeros(len(sizes)), where=union > 0)
+        best = int(similarity.argmax())
+        return labels[best], float(similarity[best])
+
+    @F.pandas_udf("raw_output string, similarity double")
+    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            yield pd.DataFrame(
+                [nearest(text) for text in batch], columns=["raw_output", "similarity"]
+            )
+
+    return score
 
 
 def few_shot_nearest(
@@ -139,38 +180,12 @@ def few_shot_nearest(
     """Add ``raw_output`` and ``similarity``: label of the bank example nearest by token Jaccard.
 
     Ties go to the first label; without any example the label is ``unknown``.  The bank is
-    small (see :func:`~tagloom.operators.bank.collect_bank`), is tokenised once and reaches
-    the tasks as a constant, so this is map-only.  A text is cut down to the bank's
-    vocabulary once and then compared with each example; its full token count still enters
-    the Jaccard denominator.
+    small (see :func:`~tagloom.operators.bank.collect_bank`) and travels with the function,
+    so this is map-only; only the text crosses to Python.  Set functions on string arrays
+    would hash the whole bank again for every row, which is why this is not a built-in
+    expression.
     """
-    examples = [
-        {"intent": label, "tokens": sorted(_words(example))}
-        for label in sorted(bank)
-        for example in bank[label]
-    ]
-    if not examples:
+    if not any(bank.values()):
         return df.withColumns({"raw_output": F.lit(UNKNOWN_LABEL), "similarity": F.lit(0.0)})
-    vocabulary = sorted({token for example in examples for token in example["tokens"]})
-    prepared = (
-        df.withColumn("_tokens", tokens(F.col(text_col)))
-        .withColumn("_known", F.array_intersect("_tokens", constant(vocabulary, "array<string>")))
-        .withColumn("_size", F.size("_tokens"))
-    )
-
-    def scored(example: Column, position: Column) -> Column:
-        shared = F.size(F.array_intersect(F.col("_known"), example["tokens"]))
-        union = F.col("_size") + F.size(example["tokens"]) - shared
-        return F.struct(
-            F.when(union > 0, shared / union).otherwise(0.0).alias("similarity"),
-            (-position).alias("order"),
-            example["intent"].alias("intent"),
-        )
-
-    entries = constant(examples, "array<struct<intent: string, tokens: array<string>>>")
-    best = prepared.withColumn("_best", F.array_max(F.transform(entries, scored)))
-    return best.select(
-        *df.columns,
-        F.col("_best.intent").alias("raw_output"),
-        F.col("_best.similarity").alias("similarity"),
-    )
+    scored = df.withColumn("_nearest", nearest_example(bank)(F.col(text_col)))
+    return scored.select(*df.columns, "_nearest.raw_output", "_nearest.similarity")

@@ -187,7 +187,7 @@ def to_parallel_arrays(
     Shards keep the lists bounded whatever the number of samples; ``order_by`` must be a
     unique integer.
     """
-    shard = F.floor(F.col(order_by) / shard_rows).alias("shard")
+    shard = F.call_function("div", F.col(order_by), F.lit(shard_rows)).alias("shard")
     row = F.struct(order_by, *PARALLEL_LISTS.values())
     packed = df.groupBy("approach", shard).agg(F.array_sort(F.collect_list(row)).alias("_rows"))
     # A field of an array of structs is the array of that field.

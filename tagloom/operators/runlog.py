@@ -57,7 +57,7 @@ def epoch_rollup(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> Data
     about unique within a run.
     """
     is_val = F.col("kind") == "val"
-    piece = F.floor(F.col("step") / steps_per_piece)
+    piece = F.call_function("div", F.col("step"), F.lit(steps_per_piece))
     in_piece = Window.partitionBy("run_id", "_piece").orderBy("step", F.col("kind").desc())
     earlier = in_piece.rowsBetween(Window.unboundedPreceding, -1)
     logged = df.where(F.col("kind").isin("train", "val")).withColumn("_piece", piece)
