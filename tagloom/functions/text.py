@@ -8,18 +8,27 @@ from pyspark.sql import types as T
 
 from tagloom.fixed_values import WHITESPACE
 
-# Maximal runs of anything that is not whitespace in the sense of WHITESPACE.
-_WORD = r"(?U)[^\s\x1c-\x1f]+"
+# Anything that is not whitespace in the sense of WHITESPACE, and maximal runs of it.
+_NOT_BLANK = r"(?U)[^\s\x1c-\x1f]"
+_WORD = _NOT_BLANK + "+"
 _TOKEN_BREAK = r"[^a-z0-9]+"
 
 
 def strip(text: Column) -> Column:
-    """Remove surrounding Unicode whitespace (SQL ``trim`` alone removes only spaces)."""
-    return F.btrim(text, F.lit(WHITESPACE))
+    """Remove surrounding Unicode whitespace (SQL ``trim`` alone removes only spaces).
+
+    Trimming a character set walks the whole text, so texts whose first and last
+    characters are no whitespace skip it.
+    """
+    blanks = F.lit(WHITESPACE)
+    first, last = F.substring(text, 1, 1), F.substring(text, -1, 1)
+    padded = F.contains(blanks, first) | F.contains(blanks, last)
+    return F.when(padded, F.btrim(text, blanks)).otherwise(text)
 
 
 def is_blank(text: Column) -> Column:
-    return strip(text) == ""
+    """True for text without any non-whitespace character; stops at the first one."""
+    return ~F.rlike(text, F.lit(_NOT_BLANK))
 
 
 def label_key(label: Column) -> Column:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed_values import DEFAULT_SEED, SPLIT_RATIOS
 from tagloom.functions.text import hash_number, seeded_hash
-from tagloom.labels import LabelSpace
+from tagloom.labels import MAX_LABELS, LabelSpace
 
 Ratios = Sequence[tuple[str, float]]
 
@@ -37,31 +37,67 @@ def stratified_split(
     key_col: str = "instruction",
     labels: LabelSpace | None = None,
 ) -> DataFrame:
-    """Add ``split`` so that every label is cut at the given ratios, rounded per label.
+    """Add ``split`` so that every label is cut at the given ratios.
 
-    Rows of a label are ordered by a seeded hash of the key, and the first
-    ``round(n * ratio)`` go to the first split, and so on.  The order is never built:
+    Rows of a label are ordered by a seeded hash of the key; the first ones go to the first
+    split, and so on.  Every label gets its share to within a row, and the totals over all
+    labels are the rounded shares of all rows.  The order itself is never built:
 
-    1. count rows per (label, hash bucket) - a small table, whatever the input size;
-    2. find the bucket each cut falls into and rank only the keys of those buckets;
-    3. compare every row with its label's cut keys, which are broadcast (one row per
-       label and cut).
+    1. count rows per label, reading the label column only (this runs at once);
+    2. count rows per (label, hash bucket) - a small table, whatever the input size;
+    3. find the bucket each cut falls into and rank only the keys of those buckets;
+    4. compare every row with its label's cut keys, which are broadcast (one row per label).
 
     So the big side is not shuffled, and a label that holds most rows is no hot task.
-    Equal keys of a label always land in the same split.  Reads ``df`` three times: pass
-    a stored table.  Without ``labels`` the label space is read from the column; rows with
-    a label outside it get a null split.
+    Equal keys of a label always land in the same split.  Reads ``df`` several times: pass
+    a stored table.  Rows with a label outside ``labels`` (if given) get a null split.
     """
     cuts = cut_points(ratios)
-    labels = labels or LabelSpace.from_column(df, label_col)
+    rows_per_label = _label_counts(df, label_col, labels)
+    known = F.col(label_col).isin(*rows_per_label)
     keyed = df.withColumn("_draw", seeded_hash(seed, F.col(key_col)))
-    known = labels.holds(F.col(label_col))
     draws = keyed.where(known).select(F.col(label_col).alias("_label"), "_draw")
-    bounds = F.broadcast(_cut_keys(draws, [point for _, point in cuts[:-1]]))
+    targets = df.sparkSession.createDataFrame(
+        _targets(rows_per_label, [point for _, point in cuts[:-1]]),
+        "_label string, _point int, _target bigint",
+    )
+    bounds = F.broadcast(_cut_keys(draws, F.broadcast(targets)))
     joined = keyed.join(bounds, F.col(label_col) == F.col("_label"), "left")
     return joined.select(*df.columns, F.when(known, _split_of_draw(cuts)).alias("split"))
 
 
+def _label_counts(df: DataFrame, label_col: str, labels: LabelSpace | None) -> dict[str, int]:
+    """Rows per label in label order; the number of labels is checked."""
+    wanted = labels.holds(F.col(label_col)) if labels else F.col(label_col).isNotNull()
+    counts = df.where(wanted).groupBy(label_col).agg(F.count("*").alias("n"))
+    rows = counts.limit(MAX_LABELS + 1).collect()
+    if len(rows) > MAX_LABELS:
+        raise ValueError(f"More than {MAX_LABELS} labels in {label_col}.")
+    return {label: n for label, n in sorted((row[0], row.n) for row in rows)}
+
+
+def _targets(rows_per_label: dict[str, int], points: list[int]) -> list[tuple[str, int, int]]:
+    """``(label, cut point, rows before the cut)``.
+
+    Shares are rounded on the running total over the labels, so that roundings of the
+    labels cancel out instead of adding up.
+    """
+    targets = []
+    total = 0
+    for label, n in rows_per_label.items():
+        before = 0
+        for point in points:
+            share = _rounded(total + n, point) - _rounded(total, point)
+            before = max(before, share)
+            targets.append((label, point, before))
+        total += n
+    return targets
+
+
+def _rounded(n: int, point: int) -> int:
+    return (n * point + _RESOLUTION // 2) // _RESOLUTION
+
+
 def _split_of_draw(cuts: list[tuple[str, int]]) -> Column:
     case = F.lit(cuts[-1][0])
     for name, point in reversed(cuts[:-1]):
@@ -70,26 +106,17 @@ def _split_of_draw(cuts: list[tuple[str, int]]) -> Column:
     return case
 
 
-def _cut_keys(draws: DataFrame, points: list[int]) -> DataFrame:
+def _cut_keys(draws: DataFrame, targets: DataFrame) -> DataFrame:
     """Per label a map from cut point to the draw of the last row before the cut.
 
     One row per label.  A cut that falls before the label's first row has no entry.
     """
     bucket = F.substring("_draw", 1, _BUCKET_DIGITS)
     counts = draws.groupBy("_label", bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
-    in_label = Window.partitionBy("_label")
-    running = in_label.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, 0)
-    placed = counts.select(
-        "_label",
-        "_bucket",
-        F.sum("_rows").over(in_label).alias("_total"),
-        F.sum("_rows").over(running).alias("_upto"),
-        "_rows",
-    )
-    target = F.expr(f"(_total * _point + {_RESOLUTION // 2}) div {_RESOLUTION}")
+    in_order = Window.partitionBy("_label").orderBy("_bucket")
+    placed = counts.withColumn("_upto", F.sum("_rows").over(in_order))
     wanted = (
-        placed.withColumn("_point", F.explode(F.array(*[F.lit(p) for p in points])))
-        .withColumn("_target", target)
+        placed.join(targets, "_label")
         .where(
             (F.col("_upto") >= F.col("_target"))
             & (F.col("_upto") - F.col("_rows") < F.col("_target"))
@@ -101,9 +128,8 @@ def _cut_keys(draws: DataFrame, points: list[int]) -> DataFrame:
             (F.col("_target") - (F.col("_upto") - F.col("_rows"))).alias("_place"),
         )
     )
-    # At most one row per (label, cut point): bounded by the label space.
-    small = F.broadcast(wanted)
-    at_cut = draws.withColumn("_bucket", bucket).join(small, ["_label", "_bucket"])
+    # At most one row per (label, cut point): bounded like the targets.
+    at_cut = draws.withColumn("_bucket", bucket).join(F.broadcast(wanted), ["_label", "_bucket"])
     per_key = at_cut.groupBy("_label", "_point", "_place", "_draw").agg(
         F.count("*").alias("_copies")
     )

@@ -173,14 +173,22 @@ cleaned AS (
   FROM firsts
   WHERE length(instruction) BETWEEN {MIN_LENGTH} AND {MAX_LENGTH}
     AND intent IN ({sql_list(UTTERANCE_LABELS)}))"""
-SPLITS = f"""{CLEANED}, placed AS (
-  SELECT *, row_number() OVER (PARTITION BY intent ORDER BY md5('42:' || instruction)) AS place,
-         count(*) OVER (PARTITION BY intent) AS n_label FROM cleaned),
+SPLITS = f"""{CLEANED}, running AS (
+  SELECT intent, n, sum(n) OVER (ORDER BY intent) AS upto
+  FROM (SELECT intent, count(*) AS n FROM cleaned GROUP BY intent)),
+cuts AS (
+  SELECT intent,
+         (upto * 7000 + 5000) // 10000 - ((upto - n) * 7000 + 5000) // 10000 AS train_rows,
+         (upto * 8500 + 5000) // 10000 - ((upto - n) * 8500 + 5000) // 10000 AS train_val_rows
+  FROM running),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY intent ORDER BY md5('42:' || instruction)) AS place
+  FROM cleaned),
 splits AS (
   SELECT row_id, instruction, intent, category, text_length, intent_id,
-         CASE WHEN place <= (n_label * 7000 + 5000) // 10000 THEN 'train'
-              WHEN place <= (n_label * 8500 + 5000) // 10000 THEN 'val'
-              ELSE 'test' END AS split FROM placed)"""
+         CASE WHEN place <= train_rows THEN 'train'
+              WHEN place <= train_val_rows THEN 'val'
+              ELSE 'test' END AS split FROM placed JOIN cuts USING (intent))"""
 BANK = f"""{SPLITS}, known(intent) AS (VALUES {sql_values(UTTERANCE_LABELS)}),
 picked AS (
   SELECT intent, instruction, md5('42:' || instruction) AS draw FROM splits WHERE split = 'train'
