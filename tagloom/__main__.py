@@ -13,6 +13,7 @@ from tagloom.operators.classifier import save_classifier, train_text_classifier
 from tagloom.operators.report import benchmark_text
 from tagloom.plans.evaluate import evaluate
 from tagloom.plans.prepare import ingest, prepare
+from tagloom.session import ship_package
 
 
 def _labels(value: str) -> LabelSpace:
@@ -49,6 +50,7 @@ def main(argv: list[str] | None = None) -> None:
 
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tagloom-{args.job}").getOrCreate()
+    ship_package(spark)
     if args.job == "ingest":
         ingest(spark, args.source, args.target, args.force)
     elif args.job == "prepare":

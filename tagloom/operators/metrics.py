@@ -16,8 +16,13 @@ from tagloom.functions.text import word_count
 from tagloom.labels import LabelSpace
 from tagloom.session import small_table
 
-# Rank error of the quantile sketch used to bracket a percentile, as 1 / accuracy.
-_SKETCH_ACCURACY = 20_000
+# Resolution of the percentile search: logarithmic buckets, then linear steps in a bucket.
+_STEPS_PER_OCTAVE = 1 << 12
+_CODE_OF_ONE = 1100 * _STEPS_PER_OCTAVE
+_LINEAR_STEPS = (1 << 16) - 1
+_MAX_RANKED = 1_000_000
+# Accuracy of the approximate percentile; its rank error is 1 / accuracy.
+_SKETCH_ACCURACY = 10_000
 
 
 def cells(
@@ -195,71 +200,89 @@ def confusion_matrix_norm(matrix: DataFrame) -> DataFrame:
     )
 
 
+def _value_code(value: Column) -> Column:
+    """Integer that never falls when the value grows: 4096 steps per power of two."""
+    size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_OCTAVE) + F.lit(_CODE_OF_ONE)
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+
+
+def _holding_rank(counted: DataFrame, keys: list[str], order: str, fraction: float) -> DataFrame:
+    """Entries of every group that hold the ranks next to the fraction, with the rows before them.
+
+    ``counted`` has ``_rows`` per entry; ``_before`` and ``_total`` come along when known.
+    """
+    in_group = Window.partitionBy("_group")
+    known = "_total" in counted.columns
+    total = F.col("_total") if known else F.sum("_rows").over(in_group)
+    start = F.min("_before").over(in_group) if known else F.lit(0)
+    placed = counted.withColumns(
+        {
+            "_upto": start + F.sum("_rows").over(in_group.orderBy(*keys, order)),
+            "_total": total,
+        }
+    ).withColumn("_before", F.col("_upto") - F.col("_rows"))
+    position = (F.col("_total") - 1) * F.lit(fraction)
+    return placed.where(
+        (F.col("_upto") > F.floor(position)) & (F.col("_before") <= F.ceil(position))
+    ).drop("_upto")
+
+
 def exact_percentile(
     df: DataFrame,
     value_col: str,
     fraction: float = 0.95,
     group_col: str = "approach",
-    accuracy: int = _SKETCH_ACCURACY,
+    max_ranked: int = _MAX_RANKED,
 ) -> DataFrame:
-    """Exact linearly interpolated percentile per group: ``(group, percentile)``.
+    """Exact linearly interpolated percentile of finite values: ``(group, percentile)``.
+
+    The built-in exact percentile gathers all values of a group in one task.  Here the
+    wanted rank is narrowed down by counting, every count being combined on the map side:
 
-    The built-in exact percentile gathers all values of a group in one task.  Here a
-    quantile sketch first brackets the wanted rank; then values are counted, with all
-    values below the bracket folded into one entry and those above into another.  Only
-    about ``10 / accuracy`` of the values are ranked, yet the result is exact.  The sketch's
-    error bound is verified: a miss raises instead of returning a wrong value.
+    1. rows per logarithmic bucket of the value; the bucket holding the rank is kept;
+    2. if it has more than ``max_ranked`` rows, rows per linear step inside it;
+    3. rows per distinct value of what is left, which is ranked.
 
-    The sketch runs when this is called; its result has one row per group.
+    A double has 2^52 values per power of two, so after 2^12 buckets and 2^16 steps at most
+    2^24 distinct values are ranked, whatever the data.  Steps 1 and 2 run when this is
+    called; their results have one or two rows per group.
     """
     values = df.where(F.col(value_col).isNotNull()).select(
         F.col(group_col).alias("_group"), F.col(value_col).cast("double").alias("_value")
     )
-    margin = 4.0 / accuracy
-    edges = F.array(F.lit(max(fraction - margin, 0.0)), F.lit(min(fraction + margin, 1.0)))
-    sketched = values.groupBy("_group").agg(
-        F.percentile_approx("_value", edges, accuracy).alias("_edges"),
-        F.array(F.min("_value"), F.max("_value")).alias("_ends"),
-        F.count("*").alias("_total"),
-    )
-    # In a small group the margin is less than a rank: rank all of its values.
-    whole = F.col("_total") <= accuracy
-    brackets = small_table(
-        sketched.withColumn("_edges", F.when(whole, F.col("_ends")).otherwise(F.col("_edges"))).drop(
-            "_ends"
-        )
-    )
-    inside = (
-        values.join(brackets, "_group")
-        .withColumn(
-            "_zone",
-            F.when(F.col("_value") < F.col("_edges")[0], -1)
-            .when(F.col("_value") > F.col("_edges")[1], 1)
-            .otherwise(0),
+    values = values.withColumn("_code", _value_code(F.col("_value")))
+    measures = [
+        F.count("*").alias("_rows"),
+        F.min("_value").alias("_least"),
+        F.max("_value").alias("_most"),
+    ]
+    buckets = values.groupBy("_group", "_code").agg(*measures)
+    kept = small_table(_holding_rank(buckets, [], "_code", fraction))
+    found = ["_before", "_total"]
+    keys = ["_code"]
+    if not kept.where(F.col("_rows") > max_ranked).isEmpty():
+        span = F.col("_most") - F.col("_least")
+        step = F.floor(
+            F.when(span > 0, (F.col("_value") - F.col("_least")) / span).otherwise(0.0) * _LINEAR_STEPS
         )
-        .withColumn("_value", F.when(F.col("_zone") == 0, F.col("_value")))
-    )
-    counted = inside.groupBy("_group", "_total", "_zone", "_value").agg(
-        F.count("*").alias("_copies")
-    )
-    in_order = Window.partitionBy("_group").orderBy("_zone", "_value")
-    placed = counted.withColumn("_upto", F.sum("_copies").over(in_order))
+        values = values.join(kept.drop("_rows"), ["_group", "_code"]).withColumn("_step", step)
+        steps = values.groupBy("_group", "_code", "_step", *found).agg(*measures)
+        values = values.drop("_least", "_most", *found)
+        kept = small_table(_holding_rank(steps, ["_code"], "_step", fraction))
+        keys = ["_code", "_step"]
+    left = values.join(kept.select("_group", *keys, *found), ["_group", *keys])
+    counted = left.groupBy("_group", *keys, "_value", *found).agg(F.count("*").alias("_rows"))
+    ends = _holding_rank(counted, keys, "_value", fraction)
     position = (F.col("_total") - 1) * F.lit(fraction)
 
     def value_at(rank: Column) -> Column:
-        holds = (F.col("_upto") > rank) & (F.col("_upto") - F.col("_copies") <= rank)
-        missed = F.raise_error(F.lit("Percentile bracket missed; raise the accuracy."))
-        found = F.when(F.col("_zone") == 0, F.col("_value")).otherwise(missed.cast("double"))
-        return F.max(F.when(holds, found))
-
-    ends = placed.groupBy("_group").agg(
-        value_at(F.floor(position)).alias("_low"),
-        value_at(F.ceil(position)).alias("_high"),
-        F.max(position - F.floor(position)).alias("_weight"),
-    )
-    return ends.select(
-        F.col("_group").alias(group_col),
-        (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_weight")).alias("percentile"),
+        here = (F.col("_before") <= rank) & (F.col("_before") + F.col("_rows") > rank)
+        return F.max(F.when(here, F.col("_value")))
+
+    low, high = value_at(F.floor(position)), value_at(F.ceil(position))
+    weight = F.max(position - F.floor(position))
+    return ends.groupBy(F.col("_group").alias(group_col)).agg(
+        (low + (high - low) * weight).alias("percentile")
     )
 
 
@@ -316,8 +339,7 @@ def benchmark_summary(
 ) -> DataFrame:
     """The twelve metrics of every approach, one row each, plus the number of labels.
 
-    Reads the predictions three times: cells, sketch and percentile counts; the latter two
-    read only approach and latency.
+    Cells read the predictions once; the percentile reads approach and latency a few times.
     """
     averages = _averages(_per_label(cells(df, text_col, latency_col)), labels)
     if latency_col:

@@ -50,6 +50,23 @@ def epoch_rollup(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> Data
     per validation report ``(run_id, epoch, n_steps, train_loss, val_loss)``, where the
     mean of no steps is 0.  Train rows after the last report belong to no epoch.  At the
     same step a validation report comes first.
+    """
+    return closed_epochs(epoch_sums(df, steps_per_piece))
+
+
+def closed_epochs(sums: DataFrame) -> DataFrame:
+    """Epochs with a validation report, from :func:`epoch_sums`."""
+    return sums.where("n_reports > 0").select(
+        "run_id",
+        "epoch",
+        "n_steps",
+        F.coalesce(F.try_divide("total", "n_steps"), F.lit(0.0)).alias("train_loss"),
+        "val_loss",
+    )
+
+
+def epoch_sums(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> DataFrame:
+    """``(run_id, epoch, n_steps, total, val_loss, n_reports)``, the open epoch included.
 
     A run is ordered in pieces of ``steps_per_piece`` steps, each piece is summed up per
     local epoch, and the number of reports before a piece is then added to its local
@@ -65,10 +82,10 @@ def epoch_rollup(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> Data
         "_local", F.coalesce(F.sum(is_val.cast("bigint")).over(earlier), F.lit(0))
     )
     parts = numbered.groupBy("run_id", "_piece", "_local").agg(
-        F.sum(F.when(~is_val, F.col("value"))).alias("_sum"),
-        F.count_if(~is_val).alias("_n"),
-        F.max(F.when(is_val, F.col("value"))).alias("_val"),
-        F.count_if(is_val).alias("_reports"),
+        F.count_if(~is_val).alias("n_steps"),
+        F.sum(F.when(~is_val, F.col("value"))).alias("total"),
+        F.max(F.when(is_val, F.col("value"))).alias("val_loss"),
+        F.count_if(is_val).alias("n_reports"),
     )
     # Reports per piece need no order, so this is a second, cheaply pre-aggregated pass.
     before = Window.partitionBy("run_id").orderBy("_piece").rowsBetween(
@@ -83,17 +100,20 @@ def epoch_rollup(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> Data
             F.coalesce(F.sum("_in_piece").over(before), F.lit(0)).alias("_before"),
         )
     )
-    epochs = (
-        parts.join(offsets, ["run_id", "_piece"])
-        .groupBy("run_id", (F.col("_before") + F.col("_local") + 1).alias("epoch"))
-        .agg(
-            F.sum("_n").alias("n_steps"),
-            F.coalesce(F.try_divide(F.sum("_sum"), F.sum("_n")), F.lit(0.0)).alias("train_loss"),
-            F.max("_val").alias("val_loss"),
-            F.sum("_reports").alias("_reports"),
-        )
+    numbered_parts = parts.join(offsets, ["run_id", "_piece"]).withColumn(
+        "epoch", F.col("_before") + F.col("_local") + 1
+    )
+    return add_epoch_sums(numbered_parts)
+
+
+def add_epoch_sums(parts: DataFrame) -> DataFrame:
+    """Parts of the same epoch added up."""
+    return parts.groupBy("run_id", "epoch").agg(
+        F.sum("n_steps").alias("n_steps"),
+        F.sum("total").alias("total"),
+        F.max("val_loss").alias("val_loss"),
+        F.sum("n_reports").alias("n_reports"),
     )
-    return epochs.where("_reports > 0").drop("_reports")
 
 
 def training_plan(

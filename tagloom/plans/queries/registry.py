@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from tagloom.functions.matching import match_labels
 from tagloom.labels import LabelSpace
 from tagloom.plans.prepare import clean_and_split
+from tagloom.session import ship_package
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -30,6 +31,7 @@ class Tables:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder.rstrip("/")
+        ship_package(spark)
 
     def path(self, name: str) -> str:
         return f"{self.folder}/{name}.parquet"

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from tagloom.fixed_values import USER_TURN_PREFIX
 from tagloom.operators.predict import LexicalPredictor
 from tagloom.plans.queries.predict_queries import sql_lexical
@@ -11,7 +9,7 @@ from tagloom.plans.queries.registry import REQUESTS, RUN_LOG, STOPWORD_LABELS, r
 from tagloom.plans.queries.report_queries import SQL_EPOCHS
 from tagloom.session import staging_path
 from tagloom.streaming.classify import classify, start_classify_stream
-from tagloom.streaming.rollup import start_epoch_rollup
+from tagloom.streaming.rollup import read_epochs, start_epoch_rollup, start_epoch_rollup_folded
 
 _RESPONSES = f"""WITH requests AS ({REQUESTS}),
 {sql_lexical('requests', 'request_id', 'text', STOPWORD_LABELS)}
@@ -67,5 +65,14 @@ def epoch_rollup_stream(t):
         _stream_of(t, "events", RUN_LOG), out, staging_path(t.spark, "epochs-progress")
     )
     query.awaitTermination()
-    return rounded(t.spark.read.parquet(out).select(*[F.col(c) for c in
-        ("run_id", "epoch", "n_steps", "train_loss", "val_loss")]))
+    return rounded(t.spark.read.parquet(out))
+
+
+@registered(SQL_EPOCHS)
+def epoch_rollup_folded(t):
+    out = staging_path(t.spark, "epochs-folded")
+    query = start_epoch_rollup_folded(
+        _stream_of(t, "events", RUN_LOG), out, staging_path(t.spark, "epochs-folded-progress")
+    )
+    query.awaitTermination()
+    return rounded(read_epochs(t.spark, out))

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +15,7 @@ from pyspark.sql import functions as F
 MAX_SMALL_ROWS = 10_000
 
 _local_roots: dict[str, str] = {}
+_shipped: set[str] = set()
 
 
 def build_session(app_name: str = "tagloom", master: str = "local[8]", **conf: str) -> SparkSession:
@@ -32,6 +36,23 @@ def build_session(app_name: str = "tagloom", master: str = "local[8]", **conf: s
     return builder.getOrCreate()
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give the executors this package, once per application.
+
+    Jobs started with ``--py-files`` do not need it.
+    """
+    app_id = spark.sparkContext.applicationId
+    if app_id in _shipped:
+        return
+    package = Path(__file__).parent
+    archive = os.path.join(tempfile.mkdtemp(prefix="run-tagloom-", dir="/tmp"), "tagloom.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for source in sorted(package.rglob("*.py")):
+            out.write(source, source.relative_to(package.parent))
+    spark.sparkContext.addPyFile(archive)
+    _shipped.add(app_id)
+
+
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 

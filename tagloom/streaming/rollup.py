@@ -1,14 +1,23 @@
-"""Epoch roll-up of a loss stream: stateful form of the batch operator."""
+"""Epoch roll-up of a loss stream, in two forms with the same result.
+
+:func:`epoch_rollup_stream` keeps three numbers of state per run and suits many runs of
+modest rate.  :func:`start_epoch_rollup_folded` runs the batch operator on every
+micro-batch and folds in the open epochs of the one before; there a run may make up most of
+a large micro-batch.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from tagloom.operators.runlog import add_epoch_sums, closed_epochs, epoch_sums
+
 OUTPUT = "run_id bigint, epoch bigint, n_steps bigint, train_loss double, val_loss double"
 STATE = "epoch bigint, total double, n bigint"
 
@@ -70,3 +79,49 @@ def start_epoch_rollup(
         .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
+
+
+def start_epoch_rollup_folded(
+    log: DataFrame, path: str, checkpoint_path: str, **trigger
+) -> StreamingQuery:
+    """Roll up micro-batch by micro-batch into ``path``; read it with :func:`read_epochs`.
+
+    Every micro-batch writes one folder of epoch sums, the open epoch of each run included,
+    and the next one starts from that folder.  A repeated micro-batch overwrites its own
+    folder, so results are exactly-once.
+    """
+
+    def fold(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        found = epoch_sums(batch)
+        # The epoch that stays open, also when the batch ends with a report.
+        still_open = found.groupBy("run_id").agg((F.sum("n_reports") + 1).alias("epoch"))
+        parts = found.unionByName(still_open, allowMissingColumns=True)
+        if batch_id > 0:
+            before = spark.read.parquet(f"{path}/batch_id={batch_id - 1}").where("n_reports = 0")
+            starts = before.select("run_id", (F.col("epoch") - 1).alias("_closed"))
+            shifted = parts.join(starts, "run_id", "left").withColumn(
+                "epoch", F.col("epoch") + F.coalesce("_closed", F.lit(0))
+            )
+            parts = shifted.drop("_closed").unionByName(before)
+        sums = add_epoch_sums(parts).select(
+            "run_id",
+            "epoch",
+            F.coalesce("n_steps", F.lit(0)).alias("n_steps"),
+            "total",
+            "val_loss",
+            F.coalesce("n_reports", F.lit(0)).alias("n_reports"),
+        )
+        sums.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    return (
+        log.writeStream.foreachBatch(fold)
+        .option("checkpointLocation", checkpoint_path)
+        .trigger(**(trigger or {"availableNow": True}))
+        .start()
+    )
+
+
+def read_epochs(spark: SparkSession, path: str) -> DataFrame:
+    """Closed epochs written by :func:`start_epoch_rollup_folded`."""
+    return closed_epochs(spark.read.parquet(path))

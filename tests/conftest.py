@@ -2,12 +2,20 @@
 
 from __future__ import annotations
 
+import os
+
 import pytest
 
 from tagloom.fixed_values import DEFAULT_LABELS
 from tagloom.session import build_session
 
 
+# Predictors defined in test modules are imported by the Python workers.
+os.environ["PYTHONPATH"] = os.pathsep.join(
+    [os.path.dirname(__file__), *filter(None, [os.environ.get("PYTHONPATH")])]
+)
+
+
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(

@@ -153,3 +153,7 @@ def test_oversized_bank_is_refused(spark):
     bank = spark.createDataFrame([("a", ["x" * 17_000_000])], "intent string, examples array<string>")
     with pytest.raises(ValueError, match="too large"):
         collect_bank(bank)
+
+
+def test_empty_input_gives_empty_split(spark):
+    assert stratified_split(spark.createDataFrame([], SCHEMA)).collect() == []
