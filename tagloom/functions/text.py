@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from typing import Any
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -50,6 +54,21 @@ def all_tokens(text: Column) -> Column:
     return F.split(F.lower(text), _TOKEN_BREAK)
 
 
+def encoder_token_count(factory: Callable[[], Any]):
+    """Arrow UDF counting tokens with an encoder whose vocabulary the workers can load.
+
+    ``factory`` returns an object with ``encode(text) -> list``; it runs once per task.
+    """
+
+    @F.pandas_udf(T.LongType())
+    def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        encode = factory().encode
+        for batch in batches:
+            yield batch.map(lambda text: len(encode(text)) if text is not None else 0)
+
+    return count
+
+
 def seeded_hash(seed: Column | int, *parts: Column) -> Column:
     """Hex digest of ``seed:part:...``: the same on every engine, machine and partitioning."""
     seed = F.lit(seed) if isinstance(seed, int) else seed

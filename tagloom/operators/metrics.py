@@ -308,10 +308,21 @@ def _cost(words: Column, texts: Column, rate: float) -> Column:
     return _ratio(estimated, texts) * rate
 
 
+def counted_token_cost(
+    df: DataFrame, tokens_col: str, rate: float = COST_PER_1K_TOKENS
+) -> DataFrame:
+    """Token cost per 1,000 samples and approach from a column of token counts."""
+    return df.groupBy("approach").agg(
+        F.sum(tokens_col).alias("tokens"),
+        F.count("*").alias("texts"),
+        (_ratio(F.sum(tokens_col), F.count("*")) * rate).alias("token_cost_per_1k"),
+    )
+
+
 def token_cost(
     df: DataFrame, text_col: str = "input_text", rate: float = COST_PER_1K_TOKENS
 ) -> DataFrame:
-    """Estimated token cost per 1,000 samples and approach."""
+    """Token cost per 1,000 samples and approach, estimated from the words."""
     words = F.coalesce(F.sum(word_count(F.col(text_col))), F.lit(0))
     return df.groupBy("approach").agg(
         words.alias("words"),

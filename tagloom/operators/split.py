@@ -16,8 +16,9 @@ Ratios = Sequence[tuple[str, float]]
 
 # Ratios are applied as integers of this resolution, so no float error moves a row.
 _RESOLUTION = 10_000
-# Hex digits of the draw that make a bucket: 65,536 buckets per label.
-_BUCKET_DIGITS = 4
+# Rows a hash bucket should hold at most, and the most hex digits a bucket may take.
+_BUCKET_ROWS = 100_000
+_MAX_BUCKET_DIGITS = 5
 
 
 def cut_points(ratios: Ratios) -> list[tuple[str, int]]:
@@ -61,7 +62,8 @@ def stratified_split(
         _targets(rows_per_label, [point for _, point in cuts[:-1]]),
         "_label string, _point int, _target bigint",
     )
-    bounds = F.broadcast(_cut_keys(draws, F.broadcast(targets)))
+    digits = _bucket_digits(max(rows_per_label.values(), default=0))
+    bounds = F.broadcast(_cut_keys(draws, F.broadcast(targets), digits))
     joined = keyed.join(bounds, F.col(label_col) == F.col("_label"), "left")
     return joined.select(*df.columns, F.when(known, _split_of_draw(cuts)).alias("split"))
 
@@ -94,6 +96,14 @@ def _targets(rows_per_label: dict[str, int], points: list[int]) -> list[tuple[st
     return targets
 
 
+def _bucket_digits(rows: int) -> int:
+    """Hex digits of the draw that cut a label of that many rows into small buckets."""
+    digits = 1
+    while rows > _BUCKET_ROWS << 4 * digits and digits < _MAX_BUCKET_DIGITS:
+        digits += 1
+    return digits
+
+
 def _rounded(n: int, point: int) -> int:
     return (n * point + _RESOLUTION // 2) // _RESOLUTION
 
@@ -106,12 +116,13 @@ def _split_of_draw(cuts: list[tuple[str, int]]) -> Column:
     return case
 
 
-def _cut_keys(draws: DataFrame, targets: DataFrame) -> DataFrame:
+def _cut_keys(draws: DataFrame, targets: DataFrame, digits: int) -> DataFrame:
     """Per label a map from cut point to the draw of the last row before the cut.
 
     One row per label.  A cut that falls before the label's first row has no entry.
     """
-    bucket = F.substring("_draw", 1, _BUCKET_DIGITS)
+    # Never null, so that no null filter computes the hash once more.
+    bucket = F.coalesce(F.substring("_draw", 1, digits), F.lit(""))
     counts = draws.groupBy("_label", bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
     in_order = Window.partitionBy("_label").orderBy("_bucket")
     placed = counts.withColumn("_upto", F.sum("_rows").over(in_order))

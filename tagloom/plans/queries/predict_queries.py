@@ -12,6 +12,7 @@ from tagloom.operators.classifier import (
     save_classifier,
     train_text_classifier,
 )
+from tagloom.operators.metrics import per_class_prf
 from tagloom.plans import evaluate
 from tagloom.plans.queries.registry import (
     BANK,
@@ -19,6 +20,7 @@ from tagloom.plans.queries.registry import (
     UTTERANCE_LABELS,
     registered,
     rounded,
+    sql_scores,
 )
 from tagloom.session import stage, staging_path
 
@@ -94,12 +96,44 @@ def train_text_classifier_query(t):
     return predict_with(loaded, documents).select("doc_id", "lang", "raw_output")
 
 
-@registered()
-def three_way_benchmark(t):
+@registered(f"""WITH {BANK}, samples AS (SELECT * FROM splits WHERE split = 'test'),
+{sql_lexical('samples', 'row_id', 'instruction', UTTERANCE_LABELS)},
+examples AS (SELECT intent, {sql_tokens('e')} AS shown FROM bank, unnest(examples) AS u(e)),
+compared AS (
+  SELECT row_id, x.intent, len(list_intersect(tokens, shown)) AS shared,
+         len(tokens) + len(shown) - len(list_intersect(tokens, shown)) AS whole
+  FROM tokenised CROSS JOIN examples x),
+nearest AS (
+  SELECT row_id, intent AS raw_output, CASE WHEN whole > 0 THEN shared / whole ELSE 0 END AS similarity
+  FROM compared QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY similarity DESC, intent) = 1),
+predictions AS (
+  SELECT 'zero_shot' AS approach, intent AS truth, raw_output AS prediction
+  FROM samples JOIN lexical USING (row_id)
+  UNION ALL SELECT 'few_shot', intent, raw_output FROM samples JOIN nearest USING (row_id)),
+{sql_scores(UTTERANCE_LABELS)}
+SELECT approach, label, round(precision, 6) AS precision, round(recall, 6) AS recall,
+       round(f1, 6) AS f1, support FROM scores""")
+def compare_untrained(t):
+    """The comparison without the trained approach, which is exactly reproducible in SQL."""
+    train, samples = _train_and_samples(t)
+    approaches = evaluate.default_approaches(
+        UTTERANCE_LABELS, collect_bank(few_shot_bank(train, UTTERANCE_LABELS)), lambda: None
+    )
+    enabled = ("zero_shot", "few_shot")
+    predictions = evaluate.compare_approaches(samples, approaches, UTTERANCE_LABELS, enabled)
+    return rounded(per_class_prf(predictions, UTTERANCE_LABELS))
+
+
+def _train_and_samples(t):
     splits = stage(t.splits(), "splits")
-    train = splits.where(F.col("split") == "train")
     test = splits.where(F.col("split") == "test")
     samples = test.select(F.col("row_id").alias("sample_id"), "instruction", "intent")
+    return splits.where(F.col("split") == "train"), samples
+
+
+@registered()
+def three_way_benchmark(t):
+    train, samples = _train_and_samples(t)
     approaches = evaluate.default_approaches(
         UTTERANCE_LABELS,
         collect_bank(few_shot_bank(train, UTTERANCE_LABELS)),

@@ -106,6 +106,13 @@ def benchmark_table(t):
     return report.benchmark_table(_summary(t))
 
 
+@registered(f"""WITH {SUMMARY}
+SELECT approach, printf('%-15s %10.3f %10.3f %8.3f %10.3f %8.3f %12.1f', approach, accuracy,
+  macro_precision, macro_recall, macro_f1, weighted_f1, mean_latency_ms) AS line FROM summary""")
+def benchmark_text(t):
+    return report.benchmark_text(_summary(t))
+
+
 @registered(f"""WITH {SUMMARY}
 SELECT {_TITLE}, round(mean_latency_ms, 6) AS mean_latency_ms,
   round(accuracy * 100, 6) AS accuracy_pct, round(macro_f1, 6) AS macro_f1,

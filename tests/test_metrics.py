@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 
 from tagloom.fixed_values import DEFAULT_LABELS
 from tagloom.functions.matching import confidence, match_labels
+from tagloom.functions.text import encoder_token_count
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
 from tagloom.operators import metrics
 from pyspark.sql import functions as F
@@ -162,6 +163,21 @@ def test_token_cost(spark):
     assert metrics.token_cost(df.where("false")).count() == 0
 
 
+def test_token_cost_with_an_encoder(spark):
+    def factory():
+        import tiktoken
+
+        ranks = {bytes([b]): b for b in range(256)} | {b"he": 256, b"lp": 257, b"help": 258}
+        return tiktoken.Encoding("tiny", pat_str=r"\S+|\s+", mergeable_ranks=ranks, special_tokens={})
+
+    df = frame(spark, ["a", "a"], ["a", "b"])
+    counted = df.withColumn("tokens", encoder_token_count(factory)(F.col("input_text")))
+    row = metrics.counted_token_cost(counted, "tokens").first()
+    # "help with a": one token for "help", one per remaining byte.
+    assert (row.tokens, row.texts) == (16, 2)
+    assert row.token_cost_per_1k == pytest.approx(8 * 0.002)
+
+
 MATCHES = [
     ("cancel_order", "cancel_order", "exact"),
     ("CANCEL_ORDER", "cancel_order", "exact"),

@@ -87,8 +87,8 @@ def test_matrix_and_scores_shuffle_cells_once(spark, tmp_path):
     schema = "approach string, truth string, prediction string, latency_ms double"
     df = stored(spark, tmp_path, spark.createDataFrame([("a", "x", "y", 1.0)], schema))
     labels = LabelSpace(["x", "y"])
-    for frame in (metrics.per_class_prf(df, labels), metrics.confusion_matrix(df, labels), metrics.macro_weighted(df, labels)):
-        text = plan(frame)
+    for operator in (metrics.per_class_prf, metrics.confusion_matrix, metrics.macro_weighted):
+        text = plan(operator(df, labels))
         assert text.count("FileScan") == 1
         assert "partial_count(1)" in text and "latency_ms" not in text.split("FileScan")[1]
 

@@ -124,7 +124,8 @@ def test_chat_row_validation(spark):
 
 
 def test_chat_turn_validation(spark):
-    turns = [(1, 0, "system"), (1, 1, "user"), (1, 2, "assistant"), (2, 0, "user"), (2, 1, "system"), (2, 2, "assistant")]
+    turns = [(1, 0, "system"), (1, 1, "user"), (1, 2, "assistant")]
+    turns += [(2, 0, "user"), (2, 1, "system"), (2, 2, "assistant")]
     turns += [(3, 0, "system"), (3, 1, "assistant"), (3, 2, "assistant"), (4, 0, "system")]
     df = spark.createDataFrame(turns, "conv_id bigint, turn bigint, role string")
     found = {r.conv_id: (r.n_messages, r.is_valid) for r in validate.validate_chat_turns(df).collect()}

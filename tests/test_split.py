@@ -48,6 +48,14 @@ def test_split_matches_brute_force_with_a_hot_label(spark):
     assert found == brute_force(rows)
 
 
+def test_result_does_not_depend_on_the_bucket_size(spark, monkeypatch):
+    rows = [(i, f"text {i}", "hot") for i in range(3000)] + [(9000 + i, f"o {i}", "rare") for i in range(7)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    for bucket_rows in (1, 10, 200):
+        monkeypatch.setattr("tagloom.operators.split._BUCKET_ROWS", bucket_rows)
+        assert {r.row_id: r.split for r in stratified_split(df).collect()} == brute_force(rows)
+
+
 def test_split_keeps_equal_texts_together(spark):
     # A third of the rows are copies of one text.
     rows = [(i, "copied text" if i % 3 == 0 else f"text {i}", "label") for i in range(900)]
