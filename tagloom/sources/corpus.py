@@ -9,12 +9,20 @@ from tagloom.fixed_values import SAMPLE_HEAD_ROWS
 from tagloom.schema import require_columns
 
 
+# Conditions under which there is no complete table at a path.
+_ABSENT = ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA")
+
+
+def is_absent(failure: AnalysisException) -> bool:
+    return failure.getCondition() in _ABSENT
+
+
 def read_table(spark: SparkSession, path: str, what: str, hint: str) -> DataFrame:
     """Parquet table at ``path``; a missing one raises ``FileNotFoundError`` with the hint."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as failure:
-        if "PATH_NOT_FOUND" in str(failure) or "UNABLE_TO_INFER_SCHEMA" in str(failure):
+        if is_absent(failure):
             raise FileNotFoundError(f"{what} not found at {path}. {hint}") from failure
         raise
 
@@ -26,9 +34,19 @@ def read_corpus(spark: SparkSession, path: str, *required: str) -> DataFrame:
 
 
 def materialize_once(df: DataFrame, path: str, force: bool = False) -> DataFrame:
-    """Write ``df`` unless ``path`` exists already or ``force`` is set; read it back."""
-    df.write.mode("overwrite" if force else "ignore").parquet(path)
-    return df.sparkSession.read.parquet(path)
+    """Write ``df`` unless a table exists at ``path`` or ``force`` is set; read it back.
+
+    A folder left by a failed write holds no table and is written again.
+    """
+    spark = df.sparkSession
+    if not force:
+        try:
+            return spark.read.parquet(path)
+        except AnalysisException as failure:
+            if not is_absent(failure):
+                raise
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
 
 
 def write_sample_head(

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from tagloom.functions.prompts import chat_record
 from tagloom.schema import CHAT_RECORD, EXAMPLE_BANK, SPLIT_COLUMNS, SPLIT_RECORD
+from tagloom.sources.corpus import is_absent
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, what: str, hint: str) -> DataFrame:
@@ -15,7 +16,7 @@ def read_jsonl(spark: SparkSession, path: str, schema: str, what: str, hint: str
     try:
         return spark.read.schema(schema).option("mode", "FAILFAST").json(path)
     except AnalysisException as failure:
-        if "PATH_NOT_FOUND" in str(failure):
+        if is_absent(failure):
             raise FileNotFoundError(f"{what} not found at {path}. {hint}") from failure
         raise
 

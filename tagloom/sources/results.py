@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -11,7 +12,8 @@ from tagloom.fixed_values import LOGGED_METRICS
 from tagloom.labels import LabelSpace
 from tagloom.operators.metrics import benchmark_summary, confusion_matrix, per_class_prf
 from tagloom.operators.runlog import run_metrics
-from tagloom.sources.corpus import read_table
+from tagloom.schema import RESULT_RECORD, SUMMARY_DOCUMENT
+from tagloom.sources.corpus import is_absent, read_table
 
 _HINT = "Run the evaluate job first."
 
@@ -65,6 +67,32 @@ def write_summary_json(summary: DataFrame, base_model_id: str, path: str) -> Non
     document.coalesce(1).write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
+def _read_document(spark: SparkSession, path: str, schema: str, what: str) -> DataFrame:
+    try:
+        reader = spark.read.schema(schema).option("multiLine", "true").option("mode", "FAILFAST")
+        return reader.json(path)
+    except AnalysisException as failure:
+        if is_absent(failure):
+            raise FileNotFoundError(f"{what} not found at {path}. {_HINT}") from failure
+        raise
+
+
+def read_summary_json(spark: SparkSession, path: str) -> DataFrame:
+    """A summary document as tidy rows, one per approach, for all reporting queries."""
+    document = _read_document(spark, path, SUMMARY_DOCUMENT, "Benchmark summary")
+    rows = document.select("intent_count", F.explode("approaches").alias("approach", "_metrics"))
+    return rows.select("approach", "_metrics.*", "intent_count")
+
+
+def read_result_records(spark: SparkSession, path: str) -> DataFrame:
+    """Per-approach records of parallel lists, as :func:`align_parallel_arrays` takes them.
+
+    Also reads a folder of such documents; each is one row.
+    """
+    records = _read_document(spark, path, RESULT_RECORD, "Results")
+    return records.withColumnRenamed("approach_name", "approach")
+
+
 def append_run_metrics(
     summary: DataFrame,
     path: str,

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
 from tagloom.operators.bank import collect_bank, few_shot_bank
+from tagloom.operators.report import align_parallel_arrays
 from tagloom.operators.split import stratified_split
 from tagloom.session import stage, staging_path, staging_root
 from tagloom.sources import corpus as corpus_source
@@ -48,6 +49,8 @@ def test_materialize_once(spark, tmp_path):
     assert corpus_source.materialize_once(spark.range(5), path).count() == 5
     assert corpus_source.materialize_once(spark.range(9), path).count() == 5
     assert corpus_source.materialize_once(spark.range(9), path, force=True).count() == 9
+    (tmp_path / "failed" / "_temporary").mkdir(parents=True)
+    assert corpus_source.materialize_once(spark.range(3), str(tmp_path / "failed")).count() == 3
 
 
 def test_sample_head_keeps_null_fields(spark, tmp_path):
@@ -103,7 +106,11 @@ def test_bank_roundtrip_keeps_empty_lists(spark, tmp_path, corpus):
 
 def predictions(spark):
     return spark.createDataFrame(
-        [("zero_shot", "a", "b", "one two", 5.0), ("zero_shot", "a", "a", "x", 7.0), ("few_shot", "b", "b", "y", 1.0)],
+        [
+            ("zero_shot", "a", "b", "one two", 5.0),
+            ("zero_shot", "a", "a", "x", 7.0),
+            ("few_shot", "b", "b", "y", 1.0),
+        ],
         "approach string, truth string, prediction string, input_text string, latency_ms double",
     )
 
@@ -116,6 +123,10 @@ def test_results_tables_and_summary_document(spark, tmp_path):
     assert results.read_results(spark, path, "confusion").count() == 8
     assert results.read_results(spark, path, "samples").count() == 3
     results.write_summary_json(summary, "base", f"{path}/json")
+    back = results.read_summary_json(spark, f"{path}/json")
+    assert sorted(map(tuple, back.select(*summary.columns).collect())) == sorted(
+        map(tuple, summary.collect())
+    )
     (document,) = lines(tmp_path / "r" / "json")
     assert document["base_model_id"] == "base" and document["intent_count"] == 2
     assert set(document["approaches"]) == {"zero_shot", "few_shot"}
@@ -124,6 +135,27 @@ def test_results_tables_and_summary_document(spark, tmp_path):
     assert document["generated_at"].startswith("20")
 
 
+def test_indented_documents_are_read(spark, tmp_path):
+    record = {
+        "approach_name": "few_shot",
+        "accuracy": 0.5,
+        "confusion_matrix": [[1, 0], [1, 0]],
+        "predictions": ["a", "a"],
+        "ground_truth": ["a", "b"],
+        "input_texts": ["x", "y"],
+        "raw_outputs": ["A", "a."],
+        "latencies_ms": [1.26, 2.0],
+    }
+    (tmp_path / "few_shot.json").write_text(json.dumps(record, indent=2))
+    rows = align_parallel_arrays(results.read_result_records(spark, str(tmp_path / "few_shot.json")))
+    assert [(r.prediction, r.truth, r.latency_ms, r.correct) for r in rows.orderBy("position").collect()] == [
+        ("a", "a", 1.3, True),
+        ("a", "b", 2.0, False),
+    ]
+    with pytest.raises(FileNotFoundError, match="Benchmark summary not found"):
+        results.read_summary_json(spark, str(tmp_path / "gone.json"))
+
+
 def test_run_metrics_are_appended(spark, tmp_path):
     path = str(tmp_path / "m")
     results.write_results(predictions(spark), LABELS, f"{path}/r")
