@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from itertools import combinations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tagloom.fixed_values import SPLIT_RATIOS
@@ -106,9 +106,9 @@ def verify_no_leakage(
 def split_stats(df: DataFrame, label_col: str = "intent") -> DataFrame:
     """Rows per split and label, with the split's total and the label's share of it."""
     counts = df.groupBy("split", F.col(label_col).alias("intent")).agg(F.count("*").alias("n"))
-    totals = counts.groupBy("split").agg(F.sum("n").alias("split_rows"))
-    return counts.join(totals, "split").select(
-        "split", "intent", "n", "split_rows", (F.col("n") / F.col("split_rows")).alias("share")
+    split_rows = F.sum("n").over(Window.partitionBy("split"))
+    return counts.withColumn("split_rows", split_rows).withColumn(
+        "share", F.col("n") / F.col("split_rows")
     )
 
 

@@ -203,7 +203,8 @@ def confusion_matrix_norm(matrix: DataFrame) -> DataFrame:
 def _value_code(value: Column) -> Column:
     """Integer that never falls when the value grows: 4096 steps per power of two."""
     size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_OCTAVE) + F.lit(_CODE_OF_ONE)
-    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("bigint"))
+    code = F.when(value > 0, size).when(value < 0, -size)
+    return F.coalesce(code, F.lit(0).cast("bigint"))
 
 
 def _holding_rank(counted: DataFrame, keys: list[str], order: str, fraction: float) -> DataFrame:
@@ -299,7 +300,14 @@ def latency_stats(
         )
     mean = df.groupBy("approach").agg(F.avg(latency_col).alias("mean_latency_ms"))
     p95 = exact_percentile(df, latency_col, 0.95).withColumnRenamed("percentile", "p95_latency_ms")
-    return mean.join(p95, "approach", "left")
+    return _side_by_side(mean, p95)
+
+
+def _side_by_side(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Columns of two tables with one row per approach, put together without a join."""
+    rows = left.unionByName(right, allowMissingColumns=True)
+    columns = [c for c in rows.columns if c != "approach"]
+    return rows.groupBy("approach").agg(*[F.max(c).alias(c) for c in columns])
 
 
 def _cost(words: Column, texts: Column, rate: float) -> Column:
@@ -355,8 +363,7 @@ def benchmark_summary(
     averages = _averages(_per_label(cells(df, text_col, latency_col)), labels)
     if latency_col:
         p95 = exact_percentile(df, latency_col).withColumnRenamed("percentile", "p95_latency_ms")
-        # One row per approach on both sides.
-        averages = averages.join(p95, "approach", "left")
+        averages = _side_by_side(averages, p95)
     names = ("precision", "recall", "f1")
     return averages.select(
         "approach",
