@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import DEFAULT_SEED, EXAMPLES_PER_LABEL
 from tagloom.functions.text import seeded_hash
 from tagloom.labels import DEFAULT_SPACE, MAX_LABELS, LabelSpace
+from tagloom.session import stage
 
 # Text a bank may hold to be sent to every task as a constant.
 MAX_BANK_CHARACTERS = 16_000_000
@@ -45,8 +46,12 @@ def few_shot_bank(
 
 
 def collect_bank(bank: DataFrame) -> dict[str, list[str]]:
-    """The bank on the driver, to be built into prompts as a constant; its size is checked."""
-    sizes = bank.agg(
+    """The bank on the driver, to be built into prompts as a constant; its size is checked.
+
+    The bank is stored first, so that checking and fetching it computes it once.
+    """
+    stored = stage(bank.select("intent", "examples"), "bank")
+    sizes = stored.agg(
         F.count("*").alias("labels"),
         F.coalesce(F.sum(F.length(F.array_join("examples", ""))), F.lit(0)).alias("characters"),
     ).first()
@@ -55,4 +60,4 @@ def collect_bank(bank: DataFrame) -> dict[str, list[str]]:
             f"An example bank of {sizes.labels} labels and {sizes.characters} characters is "
             f"too large to build into prompts."
         )
-    return {row.intent: list(row.examples) for row in bank.select("intent", "examples").collect()}
+    return {row.intent: list(row.examples) for row in stored.collect()}

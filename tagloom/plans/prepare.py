@@ -12,7 +12,6 @@ from tagloom.operators.audit import verify_no_leakage
 from tagloom.operators.bank import few_shot_bank
 from tagloom.operators.clean import clean_dataset
 from tagloom.operators.split import Ratios, stratified_split
-from tagloom.session import stage
 from tagloom.sources.corpus import materialize_once, read_corpus, write_sample_head
 from tagloom.sources.jsonl import write_chat_jsonl, write_example_bank, write_split_jsonl
 
@@ -27,23 +26,6 @@ def ingest(spark: SparkSession, source: str, target: str, force: bool = False) -
     return stored
 
 
-def clean_and_split(
-    raw: DataFrame,
-    labels: LabelSpace = DEFAULT_SPACE,
-    low: int = MIN_TEXT_LENGTH,
-    high: int = MAX_TEXT_LENGTH,
-    ratios: Ratios = SPLIT_RATIOS,
-    seed: int = DEFAULT_SEED,
-) -> DataFrame:
-    """Cleaned rows with ``split``.
-
-    The cleaned table is stored first: the split reads it three times, and dedup is the
-    expensive part.
-    """
-    cleaned = stage(clean_dataset(raw, labels, low, high), "cleaned")
-    return stratified_split(cleaned, ratios, seed, labels=labels)
-
-
 def prepare(
     spark: SparkSession,
     raw_path: str,

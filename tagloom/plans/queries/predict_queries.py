@@ -79,9 +79,10 @@ ranked AS (
   QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY similarity DESC, intent) = 1)
 SELECT row_id, intent AS raw_output, round(similarity, 6) AS similarity FROM ranked""")
 def few_shot_nearest(t):
-    splits = stage(t.splits(), "splits")
-    bank = collect_bank(few_shot_bank(splits.where("split = 'train'"), UTTERANCE_LABELS))
-    nearest = predict.few_shot_nearest(splits.select("row_id", "instruction"), bank)
+    rows = t.cleaned()
+    train = t.splits(rows).where("split = 'train'")
+    bank = collect_bank(few_shot_bank(train, UTTERANCE_LABELS))
+    nearest = predict.few_shot_nearest(rows.select("row_id", "instruction"), bank)
     return rounded(nearest.select("row_id", "raw_output", "similarity"))
 
 

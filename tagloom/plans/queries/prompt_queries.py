@@ -27,7 +27,7 @@ from tagloom.plans.queries.registry import (
     registered,
     sql_strip,
 )
-from tagloom.session import stage, staging_path
+from tagloom.session import staging_path
 from tagloom.sources.jsonl import (
     read_chat_jsonl,
     read_example_bank,
@@ -102,22 +102,22 @@ SELECT row_id, {_sql_fill(FEW_SHOT_TEMPLATE.replace(
     '{labels}', prompts.label_bullets(UTTERANCE_LABELS)),
     examples='shown', instruction='instruction')} AS prompt FROM blocks""")
 def few_shot_prompt(t):
-    splits = stage(t.splits(), "splits")
-    bank = _constant_bank(splits)
+    rows = t.cleaned()
+    bank = _constant_bank(t.splits(rows))
     prompt = prompts.few_shot_prompt(
         F.col("instruction"), F.col("row_id"), bank, UTTERANCE_LABELS, n_labels=2
     )
-    return splits.select("row_id", prompt.alias("prompt"))
+    return rows.select("row_id", prompt.alias("prompt"))
 
 
 @registered(f"""WITH {BANK}, {_BLOCK}
 SELECT row_id, {_sql_serving('instruction', 'shown', UTTERANCE_LABELS)} AS prompt
 FROM splits, block""")
 def fixed_few_shot_prompt(t):
-    splits = stage(t.splits(), "splits")
-    bank = _constant_bank(splits)
+    rows = t.cleaned()
+    bank = _constant_bank(t.splits(rows))
     prompt = prompts.fixed_few_shot_prompt(F.col("instruction"), bank, UTTERANCE_LABELS)
-    return splits.select("row_id", prompt.alias("prompt"))
+    return rows.select("row_id", prompt.alias("prompt"))
 
 
 @registered(f"""WITH {KEPT}

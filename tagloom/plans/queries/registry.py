@@ -10,8 +10,9 @@ from pyspark.sql import types as T
 
 from tagloom.functions.matching import match_labels
 from tagloom.labels import LabelSpace
-from tagloom.plans.prepare import clean_and_split
-from tagloom.session import ship_package
+from tagloom.operators.clean import clean_dataset
+from tagloom.operators.split import stratified_split
+from tagloom.session import ship_package, stage
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -46,8 +47,14 @@ class Tables:
     def utterances(self) -> DataFrame:
         return self._view(RAW_UTTERANCES, "documents")
 
-    def splits(self) -> DataFrame:
-        return clean_and_split(self.utterances(), UTTERANCE_LABELS, MIN_LENGTH, MAX_LENGTH)
+    def cleaned(self) -> DataFrame:
+        """Cleaned utterances, stored: what follows reads them several times."""
+        rows = clean_dataset(self.utterances(), UTTERANCE_LABELS, MIN_LENGTH, MAX_LENGTH)
+        return stage(rows, "cleaned")
+
+    def splits(self, cleaned: DataFrame | None = None) -> DataFrame:
+        rows = self.cleaned() if cleaned is None else cleaned
+        return stratified_split(rows, labels=UTTERANCE_LABELS)
 
     def raw_predictions(self) -> DataFrame:
         return self._view(RAW_PREDICTIONS, "events")

@@ -16,7 +16,7 @@ from tagloom.plans.queries.registry import (
     registered,
     sql_values,
 )
-from tagloom.session import stage, staging_path
+from tagloom.session import staging_path
 from tagloom.sources.jsonl import read_split_jsonl, write_split_jsonl
 
 _HASHED = """hashed AS (
@@ -100,6 +100,7 @@ def write_split_jsonl_query(t):
 @registered(f"""WITH {SPLITS}, {_HASHED.format(source='cleaned')}
 SELECT split, intent, count(*) AS n FROM hash_splits GROUP BY split, intent""")
 def hash_split_stats(t):
-    cleaned = stage(clean_dataset(t.utterances(), UTTERANCE_LABELS, MIN_LENGTH, MAX_LENGTH))
+    # Map-only and read once, so the cleaned rows need not be stored.
+    cleaned = clean_dataset(t.utterances(), UTTERANCE_LABELS, MIN_LENGTH, MAX_LENGTH)
     counts = audit.split_stats(split.hash_split(cleaned))
     return counts.select("split", "intent", "n")
