@@ -30,9 +30,11 @@ def _predictor():
     return lambda: LexicalPredictor(labels, marker=USER_TURN_PREFIX)
 
 
-def _stream_of(t, table: str, sql: str):
+def _stream_of(t, table: str, sql: str, files_per_batch: int | None = None):
     """The view as a stream over the table's files."""
-    files = t.spark.readStream.schema(t.read(table).schema).option("maxFilesPerTrigger", 64)
+    files = t.spark.readStream.schema(t.read(table).schema)
+    if files_per_batch:
+        files = files.option("maxFilesPerTrigger", files_per_batch)
     # A stream reads folders or patterns; the pattern fits a single file and a folder.
     source = files.parquet(f"{t.folder}/{table}*.parquet")
     return t.spark.sql(sql.replace(f"FROM {table}", "FROM {source}"), source=source)
@@ -47,7 +49,7 @@ def classify_batch(t):
 def classify_stream(t):
     out = staging_path(t.spark, "responses")
     query = start_classify_stream(
-        _stream_of(t, "conversations", REQUESTS),
+        _stream_of(t, "conversations", REQUESTS, files_per_batch=1000),
         _predictor(),
         "stopwords",
         STOPWORD_LABELS,
@@ -61,9 +63,10 @@ def classify_stream(t):
 @registered(SQL_EPOCHS)
 def epoch_rollup_stream(t):
     out = staging_path(t.spark, "epochs")
-    query = start_epoch_rollup(
-        _stream_of(t, "events", RUN_LOG), out, staging_path(t.spark, "epochs-progress")
-    )
+    # The stateful form holds a run's rows of one micro-batch, so those are kept moderate; it
+    # relies on files in step order, as a log is written.
+    log = _stream_of(t, "events", RUN_LOG, files_per_batch=64)
+    query = start_epoch_rollup(log, out, staging_path(t.spark, "epochs-progress"))
     query.awaitTermination()
     return rounded(t.spark.read.parquet(out))
 

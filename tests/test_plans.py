@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import io
 import re
 
 from pyspark.sql import functions as F
@@ -15,10 +17,9 @@ from tagloom.plans.prepare import prepare
 
 
 def plan(df) -> str:
-    text = df._jdf.queryExecution().explainString(
-        df.sparkSession._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple")
-    )
-    return text.split("== Initial Plan ==")[-1]
+    with contextlib.redirect_stdout(io.StringIO()) as printed:
+        df.explain()
+    return printed.getvalue()
 
 
 def stored(spark, tmp_path, df, name="t"):
