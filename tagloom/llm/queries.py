@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import digest_index, mixing, sharding
+from tagloom.llm import digest_index, minhash, mixing, sharding
 from tagloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -121,3 +121,34 @@ def op7_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     """Take all documents into a fresh digest index in two batches and report every row."""
     rows = digest_index.deduplicate(read_table(spark, folder, "documents"), batches=2)
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+OP5_SQL = r"""
+WITH RECURSIVE split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+           ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s
+  FROM split),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+  SELECT a.doc_id AS x, b.doc_id AS y
+  FROM items a JOIN items b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n
+  HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM sets
+  UNION SELECT r.x, l.y FROM reach r JOIN links l ON l.x = r.y)
+SELECT doc_id, len(s)::BIGINT AS n_shingles, min(y) AS component_id, min(y) = doc_id AS kept
+FROM sets JOIN reach ON x = doc_id GROUP BY doc_id, s
+"""
+
+
+@query(OP5_SQL)
+def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
+    """Components of all documents over three-word shingles at similarity 0.85."""
+    docs = read_table(spark, folder, "documents")
+    return minhash.near_duplicates(docs, size=3, threshold=(85, 100))
