@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import digest_index, minhash, mixing, sharding
+from tagloom.llm import decontaminate, digest_index, minhash, mixing, sharding
 from tagloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,3 +152,47 @@ def op5_near_duplicates(spark: SparkSession, folder: str) -> DataFrame:
     """Components of all documents over three-word shingles at similarity 0.85."""
     docs = read_table(spark, folder, "documents")
     return minhash.near_duplicates(docs, size=3, threshold=(85, 100))
+
+
+OP6_SQL = r"""
+WITH split AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+items AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, least(len(w), 10) AS n,
+         unnest(list_transform(range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i + 9], ' '))) AS p
+  FROM items WHERE len(w) > 0),
+sizes AS (SELECT DISTINCT n FROM windows),
+runs AS (
+  SELECT doc_id, n, unnest(range(1, len(w) - n + 2)) AS pos, w FROM split, sizes WHERE len(w) >= n),
+hits AS (
+  SELECT r.doc_id, r.pos, r.n, x.item_id
+  FROM runs r JOIN windows x ON x.n = r.n AND x.p = array_to_string(r.w[r.pos:r.pos + r.n - 1], ' ')),
+hit_words AS (
+  SELECT doc_id, count(DISTINCT word) AS n_hit
+  FROM (SELECT doc_id, unnest(range(pos, pos + n)) AS word FROM hits) GROUP BY doc_id),
+hit_items AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(id, ',' ORDER BY id) AS ids
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS id FROM hits) GROUP BY doc_id)
+SELECT s.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM split s LEFT JOIN hit_words h ON h.doc_id = s.doc_id LEFT JOIN hit_items i ON i.doc_id = s.doc_id
+"""
+
+
+@query(OP6_SQL)
+def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    """Ten-word windows of the benchmark in all documents."""
+    docs, items = (read_table(spark, folder, n) for n in ("documents", "benchmark"))
+    rows = decontaminate.contamination(docs, items, size=10)
+    return rows.select(
+        "doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
