@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import decontaminate, digest_index, minhash, mixing, sharding
+from tagloom.llm import decontaminate, digest_index, langid, minhash, mixing, quality, sharding
 from tagloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -196,3 +196,20 @@ def op6_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
         F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
     )
+
+
+@query()
+def op2_quality(spark: SparkSession, folder: str) -> DataFrame:
+    """Perplexity and verdict of all documents; trusted are those labelled good and not toxic."""
+    docs, labels = (read_table(spark, folder, n) for n in ("documents", "labels"))
+    return quality.classify(docs, quality.trusted_ids(labels))
+
+
+@query()
+def op4_language(spark: SparkSession, folder: str) -> DataFrame:
+    """Language of all documents, learned from those that are not held out."""
+    docs = read_table(spark, folder, "documents")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    learned = docs.where(~held_out & F.col("lang").isNotNull()).select("lang", "text")
+    rows = langid.identify(docs, langid.prototypes(learned))
+    return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
