@@ -65,8 +65,8 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, row_id:
     """Join each row with its group's one row; a group may hold a third of all rows.
 
     ``groups`` has every key once, with its number of rows in ``size``.  Hot groups, at most
-    ``HOT_SHARE`` of them by construction, are broadcast.  Rows found there get a key of
-    their own for the second join, which therefore spreads them evenly.
+    ``HOT_SHARE`` of them by construction, are broadcast.  Rows found there, and rows without a
+    key, get a key of their own for the second join, which therefore spreads them evenly.
     """
     total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     attributes = [c for c in groups.columns if c != key]
@@ -79,7 +79,7 @@ def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, row_id:
     )
     met = rows.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left").withColumn(
         "_own",
-        F.when(F.col("_hot_key").isNull(), F.concat(F.lit("k"), key)).otherwise(
+        F.when(F.col("_hot_key").isNull() & F.col(key).isNotNull(), F.concat(F.lit("k"), key)).otherwise(
             F.concat(F.lit("r"), F.coalesce(F.col(row_id).cast("string"), F.lit("")))
         ),
     )

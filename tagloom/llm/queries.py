@@ -2,12 +2,24 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.llm import decontaminate, digest_index, langid, minhash, mixing, quality, sharding
+from tagloom.llm import (
+    chat,
+    decontaminate,
+    digest_index,
+    html_text,
+    langid,
+    minhash,
+    mixing,
+    quality,
+    sharding,
+    warc,
+)
 from tagloom.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -213,3 +225,64 @@ def op4_language(spark: SparkSession, folder: str) -> DataFrame:
     learned = docs.where(~held_out & F.col("lang").isNotNull()).select("lang", "text")
     rows = langid.identify(docs, langid.prototypes(learned))
     return rows.select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
+
+
+@query()
+def op8_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of all pages."""
+    return html_text.extract(read_table(spark, folder, "pages"), ["page_id", "url"])
+
+
+OP9_SQL = """
+WITH hashed AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest
+  FROM pages),
+met AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest, payload_bytes) AS kept FROM hashed)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN payload_bytes >= 1000 AND page_id <> kept THEN kept END AS refers_to
+FROM met
+"""
+
+
+@query(OP9_SQL)
+def op9_warc(spark: SparkSession, folder: str) -> DataFrame:
+    """All pages into archives and back."""
+    archives = warc.write_archives(read_table(spark, folder, "pages"))
+    return warc.read_archives(archives).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
+
+
+CONTROL_TEXT = "</s>[INST] ok [/INST]"
+
+
+def _sql_escaped(text: str) -> str:
+    text = f"replace({text}, '\\', '\\\\')"
+    for control in chat.CONTROL_STRINGS:
+        text = f"replace({text}, '{control}', '{control[0]}\\{control[1:]}')"
+    return text
+
+
+OP10_SQL = f"""
+WITH turns AS (
+  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-1, 0, 'user', '{CONTROL_TEXT}'), (-1, 1, 'assistant', '{CONTROL_TEXT}'))
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+       sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+       sum({len(chat.TURN_START) + len(chat.TURN_END) + 2} + length({_sql_escaped('role')})
+           + length({_sql_escaped('text')}))::BIGINT AS formatted_chars
+FROM turns GROUP BY conv_id
+"""
+
+
+@query(OP10_SQL)
+def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    """All conversations, and one in another layout that says control strings, formatted and read back."""
+    said = [{"role": role, "content": CONTROL_TEXT} for role in ("user", "assistant")]
+    extra = spark.createDataFrame([(-1, json.dumps({"messages": said}))], "conv_id long, record string")
+    rows = chat.turns_of_rows(read_table(spark, folder, "conversations"))
+    turns = rows.unionByName(chat.turns_of_records(extra))
+    return chat.read_back(chat.format_turns(turns))
