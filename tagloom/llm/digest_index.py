@@ -60,8 +60,10 @@ class DigestIndex:
         if self.exists():
             known = self.read().select("text_sha256").hint("merge")
             new = new.join(known, "text_sha256", "left_anti")
+        # Whole buckets to a task, however many partitions there are: one file a bucket.
+        bucket = F.pmod(F.hash("text_sha256"), F.lit(self.buckets))
         (
-            new.repartition(self.buckets, "text_sha256")
+            new.repartition(self.buckets, bucket)
             .write.format("parquet")
             .bucketBy(self.buckets, "text_sha256")
             .sortBy("text_sha256")

@@ -410,3 +410,12 @@ def near_duplicates(
         "n_shingles",
         F.when(own, F.col("doc_id")).otherwise(F.col("root")).alias("component_id"),
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+
+
+def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """One document of each group: rows whose id is not the smallest of their group go.
+
+    Expects unique ids; a row whose id is null stays.
+    """
+    others = found.where(~F.col("kept")).select(F.col("doc_id").alias("_other")).distinct()
+    return docs.join(others, F.col(id_col).cast("long") == F.col("_other"), "left_anti")
