@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from tagloom.llm import mixing, sharding
+from tagloom.llm import decontaminate, minhash, mixing, quality, sharding
 from tagloom.llm.common import read_table
 from tagloom.llm.queries import CURRICULUM, SHARDS
 from tagloom.session import stage
@@ -14,20 +15,40 @@ from tagloom.session import stage
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the quality classifier accepts."""
+    trusted = quality.trusted_ids(read_table(spark, sf_dir, "labels"))
+    return quality.keep_accepted(docs, quality.classify(docs, trusted))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group of near-duplicates the document with the smallest id: five-word shingles, 0.8."""
+    return minhash.keep_first(docs, minhash.near_duplicates(docs, size=5, threshold=(4, 5)))
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that share no ten words in a row with a benchmark item."""
+    return decontaminate.drop_contaminated(docs, read_table(spark, sf_dir, "benchmark"))
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the curriculum takes it."""
+    """Every document as often as the curriculum takes it; one a source may be cut."""
     plan = mixing.curriculum(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
-    return mixing.mixed_documents(docs, plan)
+    mixed = mixing.mixed_documents(docs, plan)
+    return mixed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row."""
+    """Shard and slot of every row, near equal in bytes."""
     return sharding.shard(docs, SHARDS)
 
 
 STAGES: list[tuple[str, Stage]] = [
-    ("mix sources", mix),
-    ("shard", shard),
+    ("quality classifier", keep_quality),
+    ("near-duplicates", drop_near_duplicates),
+    ("benchmark decontamination", drop_contaminated),
+    ("mixing", mix),
+    ("sharding", shard),
 ]
 # The stages train models and pack greedily, which SQL cannot say.
 ORACLE_SQL = None
