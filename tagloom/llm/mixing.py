@@ -204,10 +204,12 @@ def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", te
 
     Expects unique ids.  Documents that the plan leaves out go.
     """
-    each = plan.select(F.col("doc_id").alias("_id"), "size", F.explode("occurrences").alias("_o"))
+    each = plan.select(
+        F.col("doc_id").alias("_id"), F.col("size").alias("_words"), F.explode("occurrences").alias("_o")
+    )
     met = docs.join(each, F.col(id_col).eqNullSafe(F.col("_id")))
     words = F.regexp_extract_all(F.col(text_col), F.lit(SPACE_PATTERN[:-1] + "*" + WORD_PATTERN), F.lit(0))
     head = F.array_join(F.slice(words, F.lit(1), F.col("_o.words").cast("int")), "")
-    cut = F.when(F.col("_o.words") < F.col("size"), head).otherwise(F.col(text_col))
+    cut = F.when(F.col("_o.words") < F.col("_words"), head).otherwise(F.col(text_col))
     columns = [cut.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return met.select(*columns)

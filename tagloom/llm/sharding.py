@@ -29,7 +29,7 @@ ROW_BYTES = 8
 # A group above this part of a shard's load is cut.
 WHOLE_GROUP = 0.9
 # Bytes are what the law promises; the others share the rest of the say.
-IMPORTANCE = (4.0, 1.0, 1.0)
+IMPORTANCE = (16.0, 1.0, 1.0)
 SLOT_BUCKETS = 1024
 
 

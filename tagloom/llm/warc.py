@@ -235,7 +235,8 @@ def save_archives(archives: DataFrame, folder: str) -> None:
         system, path = fs.FileSystem.from_uri(folder)
         system.create_dir(path)
         for row in rows:
-            with system.open_output_stream(f"{path}/{row.path}") as out:
+            # The content is compressed already; by its name it would be once more.
+            with system.open_output_stream(f"{path}/{row.path}", compression=None) as out:
                 out.write(bytes(row.content))
 
     archives.select("path", "content").foreachPartition(save)
