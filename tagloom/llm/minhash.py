@@ -38,6 +38,8 @@ SLACK = 0.2
 CHUNK = 4096
 # Shingles that the sets of one task of a family may hold.
 CHUNK_SHINGLES = 2_000_000
+# Bits of the bitmap that tells which texts may have a candidate.
+MARKS = 1 << 25
 # Bytes of text hashed at once; bounds the memory of a task.
 PIECE_BYTES = 1 << 21
 SEED = 20_240_501
@@ -346,6 +348,24 @@ def _dealt(rows: DataFrame, group: str, member: str, chunks: str) -> DataFrame:
     ).select(group, "_low", "_high", *[c for c in rows.columns if c not in (group, chunks)])
 
 
+def _likely(rows: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Rows whose ``node`` may be among ``nodes``, by a bitmap of hashed ids.
+
+    Keeps most texts without a candidate out of the next shuffle.  The bitmap has ``MARKS`` bits at most,
+    so it can be broadcast; when it fills up, more rows pass, and the join that follows is exact.
+    """
+    mark = F.pmod(F.xxhash64("node"), F.lit(MARKS))
+
+    def placed(df: DataFrame) -> DataFrame:
+        return df.withColumn("_mark", mark).selectExpr(
+            "*", "_mark div 64 AS _word", "shiftleft(1L, cast(_mark % 64 AS int)) AS _bit"
+        )
+
+    words = placed(nodes.select("node")).groupBy("_word").agg(F.bit_or("_bit").alias("_bits"))
+    met = placed(rows).join(F.broadcast(words), "_word")
+    return met.where(F.col("_bit").bitwiseAND(F.col("_bits")) != 0).select(*rows.columns)
+
+
 def near_duplicates(
     docs: DataFrame,
     size: int = 5,
@@ -390,7 +410,7 @@ def near_duplicates(
         ).alias("chunks")
     )
     texts = docs.select(F.col(id_col).cast("long").alias("node"), F.col(text_col).cast("binary").alias("_text"))
-    full = texts.join(families, "node").join(loads, "root").select("root", "node", "_text", "chunks")
+    full = _likely(texts, families).join(families, "node").join(loads, "root").select("root", "node", "_text", "chunks")
     pieces = _dealt(full, "root", "node", "chunks")
     task = ["root", "_low", "_high"]
     links = (
