@@ -7,13 +7,13 @@ import argparse
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from tagloom.fixed_values import APPROACHES, MAX_TEST_SAMPLES
+from tagloom.fixed_values import APPROACHES
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
 from tagloom.operators.classifier import save_classifier, train_text_classifier
 from tagloom.operators.report import benchmark_text
 from tagloom.plans.evaluate import evaluate
 from tagloom.plans.prepare import ingest, prepare
-from tagloom.session import ship_package
+from tagloom.session import remove_staged, ship_package
 
 
 def _labels(value: str) -> LabelSpace:
@@ -46,7 +46,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("results")
     job.add_argument("--labels", type=_labels, default=DEFAULT_SPACE)
     job.add_argument("--approaches", default=",".join(APPROACHES))
-    job.add_argument("--max-samples", type=int, default=MAX_TEST_SAMPLES)
+    job.add_argument("--max-samples", type=int, help="the first so many samples only; all by default")
 
     args = parser.parse_args(argv)
     spark = SparkSession.builder.appName(f"tagloom-{args.job}").getOrCreate()
@@ -74,6 +74,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         for row in benchmark_text(summary).collect():
             print(row.line)
+    remove_staged(spark)
 
 
 if __name__ == "__main__":

@@ -68,6 +68,9 @@ SERVING_FEW_SHOT_TEMPLATE = (
     'Customer message: "{instruction}"\n'
     "Intent:"
 )
+FEW_SHOT_EXAMPLE = "Customer message: {example}\nIntent: {intent}"
+FEW_SHOT_SEPARATOR = "\n\n"
+SERVING_EXAMPLE = 'Customer message: "{example}"\nIntent: {intent}\n\n'
 CHAT_TEMPLATE = (
     "<|system|>\n{system}\n"
     "<|user|>\nCustomer message: {instruction}\n"
@@ -97,7 +100,6 @@ EXAMPLES_PER_LABEL = 5
 LABELS_PER_PROMPT = 5
 SERVING_BANK_ENTRIES = 3
 SAMPLE_HEAD_ROWS = 100
-MAX_TEST_SAMPLES = 1000
 COST_PER_1K_TOKENS = 0.002
 DEFAULT_APPROACH = "fine_tuned"
 APPROACHES = ("zero_shot", "few_shot", "fine_tuned")
@@ -116,9 +118,10 @@ LOGGED_METRICS = (
     "token_cost_per_1k",
 )
 
-# The characters str.strip() removes and str.split() splits on.
+# The characters str.strip() removes and str.split() splits on: U+0009 to U+000D,
+# U+001C to U+0020, U+0085, U+00A0, U+1680, U+2000 to U+200A, U+2028, U+2029, U+202F, U+205F, U+3000.
 WHITESPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x20\x85\xa0 "
-    "           "
-    "    　"
+    "\u0009\u000a\u000b\u000c\u000d\u001c\u001d\u001e\u001f\u0020\u0085\u00a0\u1680"
+    "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
 )

@@ -1,8 +1,8 @@
 """Prompts and training records as column expressions.
 
-The example bank is passed as a constant ``array<struct<intent, examples>>`` in label order
-(:func:`bank_literal`), so no join touches the big side and the same expressions work on
-streams.
+The example bank is passed as one value, ``array<struct<intent, examples>>`` in label order: computed by
+Spark from a bank table (:func:`~tagloom.operators.bank.with_bank`) or given by the caller
+(:func:`bank_literal`).  So no join touches the big side and the same expressions work on streams.
 """
 
 from __future__ import annotations
@@ -17,9 +17,12 @@ from tagloom.fixed_values import (
     CHAT_ROLES,
     CHAT_TEMPLATE,
     DEFAULT_SEED,
+    FEW_SHOT_EXAMPLE,
+    FEW_SHOT_SEPARATOR,
     FEW_SHOT_TEMPLATE,
     LABELS_PER_PROMPT,
     SERVING_BANK_ENTRIES,
+    SERVING_EXAMPLE,
     SERVING_FEW_SHOT_TEMPLATE,
     SYSTEM_PROMPT,
     USER_TURN_PREFIX,
@@ -103,20 +106,19 @@ def few_shot_prompt(
     )
     shown = F.transform(
         drawn,
-        lambda entry: F.concat(
-            F.lit("Customer message: "),
-            F.get(
+        lambda entry: fill(
+            FEW_SHOT_EXAMPLE,
+            example=F.get(
                 entry["examples"],
                 (hash_number(entry["draw"]) % F.size(entry["examples"])).cast("int"),
             ),
-            F.lit("\nIntent: "),
-            entry["intent"],
+            intent=entry["intent"],
         ),
     )
     return fill(
         FEW_SHOT_TEMPLATE,
         labels=label_bullets(labels),
-        examples=F.array_join(shown, "\n\n"),
+        examples=F.array_join(shown, FEW_SHOT_SEPARATOR),
         instruction=text,
     )
 
@@ -135,12 +137,8 @@ def fixed_few_shot_prompt(
         return zero_shot_prompt(text, labels)
     shown = F.transform(
         F.filter(F.slice(bank, 1, n_entries), lambda entry: F.size(entry["examples"]) > 0),
-        lambda entry: F.concat(
-            F.lit('Customer message: "'),
-            F.get(entry["examples"], F.lit(0)),
-            F.lit('"\nIntent: '),
-            entry["intent"],
-            F.lit("\n\n"),
+        lambda entry: fill(
+            SERVING_EXAMPLE, example=F.get(entry["examples"], F.lit(0)), intent=entry["intent"]
         ),
     )
     return fill(

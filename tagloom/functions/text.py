@@ -54,6 +54,11 @@ def all_tokens(text: Column) -> Column:
     return F.split(F.lower(text), _TOKEN_BREAK)
 
 
+def distinct_tokens(text: Column) -> Column:
+    """The distinct tokens of :func:`all_tokens` without empty ones."""
+    return F.array_distinct(F.filter(all_tokens(text), lambda token: token != ""))
+
+
 def encoder_token_count(factory: Callable[[], Any]):
     """Arrow UDF counting tokens with an encoder whose vocabulary the workers can load.
 

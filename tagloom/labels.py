@@ -1,4 +1,4 @@
-"""The label space: a small, bounded, sorted list of label names."""
+"""The label space: a sorted list of label names that the caller gives, and label tables from data."""
 
 from __future__ import annotations
 
@@ -8,9 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.fixed_values import DEFAULT_LABELS
-
-# A label space is held by the driver and broadcast, so its size is checked here.
-MAX_LABELS = 10_000
+from tagloom.operators.ordering import numbered
 
 
 class LabelSpace:
@@ -20,14 +18,14 @@ class LabelSpace:
         self.labels: tuple[str, ...] = tuple(sorted(set(labels)))
         if not self.labels:
             raise ValueError("A label space needs at least one label.")
-        if len(self.labels) > MAX_LABELS:
-            raise ValueError(f"{len(self.labels)} labels exceed the bound of {MAX_LABELS}.")
 
     @classmethod
     def from_column(cls, df: DataFrame, column: str) -> LabelSpace:
-        """Label space made of the distinct non-null values of a column."""
-        rows = df.select(column).where(F.col(column).isNotNull()).distinct().take(MAX_LABELS + 1)
-        return cls(row[0] for row in rows)
+        """Label space made of the distinct non-null values of a column.
+
+        For label columns known to be small; :func:`label_table` has no such need.
+        """
+        return cls(row[0] for row in df.select(column).where(F.col(column).isNotNull()).distinct().collect())
 
     def __len__(self) -> int:
         return len(self.labels)
@@ -47,10 +45,6 @@ class LabelSpace:
             list(self.to_ids().items()), f"{column} string, label_id int"
         )
 
-    def dim(self, spark: SparkSession, column: str = "label") -> DataFrame:
-        """The label dimension hinted for broadcast (its size is checked above)."""
-        return F.broadcast(self.table(spark, column))
-
     def as_array(self) -> Column:
         return F.array(*[F.lit(label) for label in self.labels])
 
@@ -60,3 +54,9 @@ class LabelSpace:
 
 
 DEFAULT_SPACE = LabelSpace()
+
+
+def label_table(df: DataFrame, column: str) -> DataFrame:
+    """The label dimension ``(column, label_id)`` of the data, as a table of any size."""
+    found = df.select(column).where(F.col(column).isNotNull()).distinct()
+    return numbered(found, [F.col(column)], "label_id")

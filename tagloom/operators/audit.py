@@ -11,8 +11,11 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import SPLIT_RATIOS
 from tagloom.functions.text import strip
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
+from tagloom.session import stage
 
 SPLITS = tuple(name for name, _ in SPLIT_RATIOS)
+# Gaps an error message names; the stored table has all.
+_SHOWN_GAPS = 20
 
 
 def label_distribution(
@@ -158,12 +161,18 @@ def labels_per_split(df: DataFrame, label_col: str = "intent") -> DataFrame:
 def verify_label_coverage(
     df: DataFrame, labels: LabelSpace = DEFAULT_SPACE, label_col: str = "intent"
 ) -> None:
-    """Raise ``AssertionError`` unless data labels and known labels are the same set."""
-    gaps = label_coverage(df, labels, label_col).where("status <> 'matched'")
-    shown = gaps.orderBy("status", "intent").take(len(labels) + 20)
-    if shown:
-        parts = ", ".join(f"{r.intent} ({r.status})" for r in shown)
-        raise AssertionError(f"Labels and data disagree: {parts}.")
+    """Raise ``AssertionError`` unless data labels and known labels are the same set.
+
+    The message has the full count, a few examples and the stored table of all gaps.
+    """
+    gaps = stage(label_coverage(df, labels, label_col).where("status <> 'matched'"), "label-gaps")
+    count = gaps.count()
+    if count:
+        examples = gaps.orderBy("status", "intent").limit(_SHOWN_GAPS).collect()
+        parts = ", ".join(f"{r.intent} ({r.status})" for r in examples)
+        raise AssertionError(
+            f"Labels and data disagree in {count} labels, such as {parts}; all in {gaps.inputFiles()[0].rpartition('/')[0]}."
+        )
 
 
 def label_anomalies(df: DataFrame, label_col: str = "intent") -> DataFrame:

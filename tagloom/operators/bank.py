@@ -7,11 +7,7 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed_values import DEFAULT_SEED, EXAMPLES_PER_LABEL
 from tagloom.functions.text import seeded_hash
-from tagloom.labels import DEFAULT_SPACE, MAX_LABELS, LabelSpace
-from tagloom.session import stage
-
-# Text a bank may hold to be sent to every task as a constant.
-MAX_BANK_CHARACTERS = 16_000_000
+from tagloom.labels import DEFAULT_SPACE, LabelSpace
 
 
 def few_shot_bank(
@@ -24,40 +20,49 @@ def few_shot_bank(
 ) -> DataFrame:
     """``(intent, examples)`` with up to ``n`` texts per label, drawn by seeded hash.
 
-    A label without rows gets an empty list.  The rank filter is applied inside every map
-    task before the shuffle, so a label with most of the rows sends ``n`` rows per task.
+    A label without rows gets an empty list.  Draws are ranked without the texts, inside
+    every map task before the shuffle; only the texts that win are fetched then.
     """
-    draw = seeded_hash(seed, F.col(text_col))
+    known = labels.holds(F.col(label_col))
+    drawn = train.where(known).select(
+        F.col(label_col).alias("intent"), F.col(text_col).alias("_text"), seeded_hash(seed, F.col(text_col)).alias("_draw")
+    )
     # Hash ties exist only between equal texts, so the order is total up to equal rows.
-    ranked = (
-        train.where(labels.holds(F.col(label_col)))
-        .select(F.col(label_col).alias("intent"), F.col(text_col).alias("_text"), draw.alias("_draw"))
+    best = (
+        drawn.select("intent", "_draw")
         .withColumn("_rank", F.row_number().over(Window.partitionBy("intent").orderBy("_draw")))
         .where(F.col("_rank") <= n)
     )
-    picked = ranked.groupBy("intent").agg(
+    winners = best.groupBy("intent", "_draw").agg(F.collect_list("_rank").alias("_ranks"))
+    texts = drawn.join(winners, ["intent", "_draw"]).groupBy("intent", "_draw").agg(
+        F.first("_text").alias("_text"), F.first("_ranks").alias("_ranks")
+    )
+    picked = texts.select("intent", "_text", F.explode("_ranks").alias("_rank")).groupBy("intent").agg(
         F.array_sort(F.collect_list(F.struct("_rank", "_text")))["_text"].alias("examples")
     )
-    known = labels.table(train.sparkSession, "intent").select("intent")
-    return known.join(picked, "intent", "left").select(
+    listed = labels.table(train.sparkSession, "intent").select("intent")
+    return listed.join(picked, "intent", "left").select(
         "intent",
         F.coalesce("examples", F.array().cast("array<string>")).alias("examples"),
     )
 
 
-def collect_bank(bank: DataFrame) -> dict[str, list[str]]:
-    """The bank on the driver, to be built into prompts as a constant; its size is checked.
+def with_bank(df: DataFrame, bank: DataFrame, column: str = "_bank") -> DataFrame:
+    """Add the bank to every row as a value to build prompts from, by label.
 
-    The bank is stored first, so that checking and fetching it computes it once.
+    Spark computes it once per query, before the prompts, and hands it to the tasks.  It grows
+    with the number of labels times the examples of each, never with the rows.
     """
-    stored = stage(bank.select("intent", "examples"), "bank")
-    sizes = stored.agg(
-        F.count("*").alias("labels"),
-        F.coalesce(F.sum(F.length(F.array_join("examples", ""))), F.lit(0)).alias("characters"),
-    ).first()
-    if sizes.labels > MAX_LABELS or sizes.characters > MAX_BANK_CHARACTERS:
-        raise ValueError(
-            f"An example bank of {sizes.labels} labels and {sizes.characters} characters is "
-            f"too large to build into prompts."
-        )
-    return {row.intent: list(row.examples) for row in stored.collect()}
+    entries = F.array_sort(F.collect_list(F.struct("intent", "examples")))
+    return df.withColumn(column, bank.agg(entries.alias("bank")).scalar())
+
+
+def first_examples(bank: DataFrame, n_entries: int) -> DataFrame:
+    """The first ``n_entries`` labels with their first example alone."""
+    first = bank.orderBy("intent").limit(n_entries)
+    return first.select("intent", F.slice("examples", 1, 1).alias("examples"))
+
+
+def example_rows(bank: DataFrame) -> DataFrame:
+    """Every example as a row ``(intent, place, example)``."""
+    return bank.select("intent", F.posexplode("examples").alias("place", "example"))

@@ -80,8 +80,11 @@ def label_ids(
     id_column: str = "intent_id",
     how: str = "left",
 ) -> DataFrame:
-    """Add the label's position in the label space (broadcast join; ``inner`` also filters)."""
-    dim = labels.dim(df.sparkSession, column).withColumnRenamed("label_id", id_column)
+    """Add the label's position in the label space (``inner`` also filters).
+
+    The label table is a local one, which the planner broadcasts while it is small.
+    """
+    dim = labels.table(df.sparkSession, column).withColumnRenamed("label_id", id_column)
     return df.join(dim, column, how).select(*df.columns, id_column)
 
 

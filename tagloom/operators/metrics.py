@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import COST_PER_1K_TOKENS, STRATEGY_CONFIDENCE
 from tagloom.functions.text import word_count
 from tagloom.labels import LabelSpace
-from tagloom.session import small_table
 
 # Resolution of the percentile search: logarithmic buckets, then linear steps in a bucket.
 _STEPS_PER_OCTAVE = 1 << 12
 _CODE_OF_ONE = 1100 * _STEPS_PER_OCTAVE
 _LINEAR_STEPS = (1 << 16) - 1
-_MAX_RANKED = 1_000_000
+# Codes of infinite values and, above all, of NaN; all finite ones lie between.
+_CODE_OF_INFINITY = 1 << 24
 # Accuracy of the approximate percentile; its rank error is 1 / accuracy.
 _SKETCH_ACCURACY = 10_000
 
@@ -88,16 +88,13 @@ def _f1() -> Column:
 def per_class_prf(df: DataFrame, labels: LabelSpace) -> DataFrame:
     """Precision, recall, F1 and support of every listed label, zeros where undefined."""
     zero = F.lit(0).cast("bigint")
+    columns = ("label", "tp", "support", "predicted")
     zeros = F.transform(
         labels.as_array(),
-        lambda label: F.struct(
-            label.alias("label"),
-            zero.alias("tp"),
-            zero.alias("support"),
-            zero.alias("predicted"),
-        ),
+        lambda label: F.struct(label.alias("label"), *[zero.alias(c) for c in columns[1:]]),
     )
-    counts = _with_zeros(_per_label(cells(df)), labels.holds(F.col("label")), zeros)
+    rows = _with_rows(_per_label(cells(df)), ["label"], F.struct(*columns), zeros)
+    counts = rows.select("approach", "_row.*").where(labels.holds(F.col("label")))
     return counts.groupBy("approach", "label").agg(
         *[F.sum(c).alias(c) for c in ("tp", "support", "predicted")]
     ).select(
@@ -110,17 +107,17 @@ def per_class_prf(df: DataFrame, labels: LabelSpace) -> DataFrame:
     )
 
 
-def _with_zeros(counted: DataFrame, listed: Column, zeros: Column) -> DataFrame:
-    """Listed rows of every approach plus its zero rows, for summing up.
+def _with_rows(counted: DataFrame, order: list[str], row: Column, added: Column) -> DataFrame:
+    """``(approach, _row)``: every row, and once per approach the rows of the ``added`` array.
 
-    The list per approach holds listed labels (or pairs of them) only, so the label space
-    bounds it.  One pass: the approaches come from the same aggregation as the counts.
+    One pass: the first row of an approach brings the added ones along.
     """
-    columns = [c for c in counted.columns if c != "approach"]
-    found = F.collect_list(F.when(listed, F.struct(*columns)))
-    per_approach = counted.groupBy("approach").agg(found.alias("_found"))
-    rows = per_approach.select("approach", F.explode(F.concat("_found", zeros)).alias("_row"))
-    return rows.select("approach", "_row.*")
+    first = F.row_number().over(Window.partitionBy("approach").orderBy(*order)) == 1
+    flagged = counted.withColumn("_first", first)
+    own = F.array(row)
+    return flagged.select(
+        "approach", F.explode(F.when(F.col("_first"), F.concat(own, added)).otherwise(own)).alias("_row")
+    )
 
 
 def _averages(per_label: DataFrame, labels: LabelSpace) -> DataFrame:
@@ -173,23 +170,24 @@ def confusion_matrix(df: DataFrame, labels: LabelSpace) -> DataFrame:
 
     Pairs with an unlisted label are left out, so a row can sum to less than its support.
     """
-    names = labels.as_array()
-    zeros = F.flatten(
-        F.transform(
-            names,
-            lambda truth: F.transform(
-                names,
-                lambda prediction: F.struct(
-                    truth.alias("truth"),
-                    prediction.alias("prediction"),
-                    F.lit(0).cast("bigint").alias("n"),
-                ),
-            ),
-        )
+    none = F.lit(None).cast("string")
+    zero = F.lit(0).cast("bigint")
+    # Zero rows come one true label at a time, so no row holds the whole matrix.
+    truths = F.transform(
+        labels.as_array(),
+        lambda truth: F.struct(truth.alias("truth"), none.alias("prediction"), zero.alias("n"), F.lit(True).alias("empty")),
     )
+    cell = F.struct("truth", "prediction", "n", F.lit(False).alias("empty"))
+    rows = _with_rows(cells(df), ["truth", "prediction"], cell, truths).select("approach", "_row.*")
+    predictions = F.when(F.col("empty"), labels.as_array()).otherwise(F.array("prediction"))
+    dense = rows.select("approach", "truth", F.explode(predictions).alias("prediction"), "n")
+    return confusion_cells(dense, labels).groupBy("approach", "truth", "prediction").agg(F.sum("n").alias("n"))
+
+
+def confusion_cells(counted: DataFrame, labels: LabelSpace) -> DataFrame:
+    """The non-zero counts over the listed labels, from :func:`cells`; for large label spaces."""
     listed = labels.holds(F.col("truth")) & labels.holds(F.col("prediction"))
-    rows = _with_zeros(cells(df), listed, zeros)
-    return rows.groupBy("approach", "truth", "prediction").agg(F.sum("n").alias("n"))
+    return counted.where(listed).select("approach", "truth", "prediction", "n")
 
 
 def confusion_matrix_norm(matrix: DataFrame) -> DataFrame:
@@ -202,9 +200,16 @@ def confusion_matrix_norm(matrix: DataFrame) -> DataFrame:
 
 def _value_code(value: Column) -> Column:
     """Integer that never falls when the value grows: 4096 steps per power of two."""
+    infinite = F.lit(float("inf"))
     size = F.floor(F.log2(F.abs(value)) * _STEPS_PER_OCTAVE) + F.lit(_CODE_OF_ONE)
-    code = F.when(value > 0, size).when(value < 0, -size)
-    return F.coalesce(code, F.lit(0).cast("bigint"))
+    code = (
+        F.when(F.isnan(value), F.lit(_CODE_OF_INFINITY + 1))
+        .when(value == infinite, F.lit(_CODE_OF_INFINITY))
+        .when(value == -infinite, F.lit(-_CODE_OF_INFINITY))
+        .when(value > 0, size)
+        .when(value < 0, -size)
+    )
+    return F.coalesce(code.cast("bigint"), F.lit(0).cast("bigint"))
 
 
 def _holding_rank(counted: DataFrame, keys: list[str], order: str, fraction: float) -> DataFrame:
@@ -233,20 +238,21 @@ def exact_percentile(
     value_col: str,
     fraction: float = 0.95,
     group_col: str = "approach",
-    max_ranked: int = _MAX_RANKED,
 ) -> DataFrame:
-    """Exact linearly interpolated percentile of finite values: ``(group, percentile)``.
+    """Exact linearly interpolated percentile: ``(group, percentile)``.
+
+    NaN counts as larger than any other value, as in sorting; infinities are values.
 
     The built-in exact percentile gathers all values of a group in one task.  Here the
     wanted rank is narrowed down by counting, every count being combined on the map side:
 
     1. rows per logarithmic bucket of the value; the bucket holding the rank is kept;
-    2. if it has more than ``max_ranked`` rows, rows per linear step inside it;
+    2. rows per linear step inside it;
     3. rows per distinct value of what is left, which is ranked.
 
     A double has 2^52 values per power of two, so after 2^12 buckets and 2^16 steps at most
-    2^24 distinct values are ranked, whatever the data.  Steps 1 and 2 run when this is
-    called; their results have one or two rows per group.
+    2^24 distinct values are ranked, whatever the data.  The plan is the same for any input;
+    what the steps keep has one or two rows per group, and adaptive execution broadcasts it.
     """
     values = df.where(F.col(value_col).isNotNull()).select(
         F.col(group_col).alias("_group"), F.col(value_col).cast("double").alias("_value")
@@ -258,20 +264,18 @@ def exact_percentile(
         F.max("_value").alias("_most"),
     ]
     buckets = values.groupBy("_group", "_code").agg(*measures)
-    kept = small_table(_holding_rank(buckets, [], "_code", fraction))
+    kept = _holding_rank(buckets, [], "_code", fraction)
+    span = F.col("_most") - F.col("_least")
+    inside = (F.abs(F.col("_code")) < _CODE_OF_INFINITY) & (span > 0)
+    share = F.when(inside, (F.col("_value") - F.col("_least")) / span).otherwise(0.0)
     found = ["_before", "_total"]
-    keys = ["_code"]
-    if not kept.where(F.col("_rows") > max_ranked).isEmpty():
-        span = F.col("_most") - F.col("_least")
-        step = F.floor(
-            F.when(span > 0, (F.col("_value") - F.col("_least")) / span).otherwise(0.0) * _LINEAR_STEPS
-        )
-        values = values.join(kept.drop("_rows"), ["_group", "_code"]).withColumn("_step", step)
-        steps = values.groupBy("_group", "_code", "_step", *found).agg(*measures)
-        values = values.drop("_least", "_most", *found)
-        kept = small_table(_holding_rank(steps, ["_code"], "_step", fraction))
-        keys = ["_code", "_step"]
-    left = values.join(kept.select("_group", *keys, *found), ["_group", *keys])
+    stepped = values.join(kept.drop("_rows"), ["_group", "_code"]).withColumn(
+        "_step", F.floor(share * _LINEAR_STEPS)
+    )
+    steps = stepped.groupBy("_group", "_code", "_step", *found).agg(*measures)
+    keys = ["_code", "_step"]
+    held = _holding_rank(steps, ["_code"], "_step", fraction).select("_group", *keys, *found)
+    left = stepped.drop("_least", "_most", *found).join(held, ["_group", *keys])
     counted = left.groupBy("_group", *keys, "_value", *found).agg(F.count("*").alias("_rows"))
     ends = _holding_rank(counted, keys, "_value", fraction)
     position = (F.col("_total") - 1) * F.lit(fraction)
@@ -282,8 +286,11 @@ def exact_percentile(
 
     low, high = value_at(F.floor(position)), value_at(F.ceil(position))
     weight = F.max(position - F.floor(position))
+    # Between finite values by their distance, else by shares, where infinity stays infinite.
+    finite = (F.abs(low) < float("inf")) & (F.abs(high) < float("inf"))
+    between = F.when(finite, low + (high - low) * weight).otherwise(low * (1 - weight) + high * weight)
     return ends.groupBy(F.col("_group").alias(group_col)).agg(
-        (low + (high - low) * weight).alias("percentile")
+        F.when((low == high) | (weight == 0), low).otherwise(between).alias("percentile")
     )
 
 

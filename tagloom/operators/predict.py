@@ -2,21 +2,27 @@
 
 from __future__ import annotations
 
+import hashlib
 import re
 import time
-from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Protocol
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tagloom.fixed_values import UNKNOWN_LABEL
 from tagloom.functions.prompts import constant
-from tagloom.functions.text import all_tokens
+from tagloom.functions.text import all_tokens, distinct_tokens
 from tagloom.labels import LabelSpace
+from tagloom.operators.bank import example_rows
+from tagloom.session import stage
 
 
 class Predictor(Protocol):
@@ -25,7 +31,14 @@ class Predictor(Protocol):
     def __call__(self, prompts: list[str]) -> Sequence[str]: ...
 
 
-# One loaded predictor per Python worker and key; workers are reused between tasks.
+# Prompts that go to a model at a time.
+BATCH_SIZE = 32
+# Postings of the examples that one task of the nearest-example predictor holds.
+BLOCK_WORDS = 2_000_000
+# Similarities worked out at once; bounds the memory of a task.
+_CELLS = 4_000_000
+
+# One loaded predictor per Python worker, key and factory; workers are reused between tasks.
 _loaded: dict[str, Predictor] = {}
 
 
@@ -35,49 +48,61 @@ def _load(key: str, factory: Callable[[], Predictor]) -> Predictor:
     return _loaded[key]
 
 
+def _call(
+    predictor: Predictor, prompts: list[str], record_errors: bool
+) -> list[tuple[str | None, float | None, str | None]]:
+    """Output, share of the wall time and error of each prompt of a call."""
+    began = time.perf_counter()
+    try:
+        outputs = predictor(prompts)
+        if len(outputs) != len(prompts):
+            raise ValueError(f"{len(outputs)} outputs for {len(prompts)} prompts")
+    except Exception as raised:
+        if not record_errors:
+            raise
+        if len(prompts) > 1:
+            return [answer for prompt in prompts for answer in _call(predictor, [prompt], True)]
+        took = (time.perf_counter() - began) * 1000.0
+        return [(None, took, f"{type(raised).__name__}: {raised}")]
+    share = (time.perf_counter() - began) * 1000.0 / len(prompts)
+    return [(output, share, None) for output in outputs]
+
+
 def predict_batch(
     df: DataFrame,
     factory: Callable[[], Predictor],
     key: str,
     input_col: str = "prompt",
-    batch_size: int = 1,
+    batch_size: int = BATCH_SIZE,
     record_errors: bool = False,
 ) -> DataFrame:
     """Add ``raw_output`` and ``latency_ms`` (and ``error`` when errors are recorded).
 
-    ``factory`` builds the predictor once per Python worker under ``key``.  Prompts go to
-    it ``batch_size`` at a time; a call's wall time is shared evenly by its rows.  Null
-    prompts are not sent.  Without ``record_errors`` a failing call fails the job.  Map-only;
-    works on batch and streaming input.  All columns cross to Python, so select what is
-    needed first.
+    ``factory`` builds the predictor once per Python worker; ``key`` names it, and a digest of
+    the factory keeps two of the same name apart.  Prompts go to it ``batch_size`` at a time; a
+    call's wall time is shared evenly by its rows.  Null prompts are not sent.  Without
+    ``record_errors`` a failing call fails the job; with it, the rows of a failed call are
+    sent once more, one by one.  Map-only; works on batch and streaming input.  All columns
+    cross to Python, so select what is needed first.
     """
+    slot = f"{key}:{hashlib.sha256(cloudpickle.dumps(factory)).hexdigest()}"
     fields = [*df.schema.fields, T.StructField("raw_output", T.StringType())]
     fields.append(T.StructField("latency_ms", T.DoubleType()))
     if record_errors:
         fields.append(T.StructField("error", T.StringType()))
 
     def run(batches: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        predictor = _load(key, factory)
+        predictor = _load(slot, factory)
         for frame in batches:
             prompts = frame[input_col].tolist()
-            raw: list[str | None] = [None] * len(prompts)
-            latency: list[float | None] = [None] * len(prompts)
-            errors: list[str | None] = [None] * len(prompts)
+            answers: list[tuple[str | None, float | None, str | None]] = [(None, None, None)] * len(prompts)
             filled = [row for row, prompt in enumerate(prompts) if prompt is not None]
             for start in range(0, len(filled), batch_size):
                 rows = filled[start : start + batch_size]
-                outputs: Sequence[str | None] = [None] * len(rows)
-                failure = None
-                began = time.perf_counter()
-                try:
-                    outputs = predictor([prompts[row] for row in rows])
-                except Exception as raised:
-                    if not record_errors:
-                        raise
-                    failure = f"{type(raised).__name__}: {raised}"
-                share = (time.perf_counter() - began) * 1000.0 / len(rows)
-                for row, output in zip(rows, outputs, strict=True):
-                    raw[row], latency[row], errors[row] = output, share, failure
+                found = _call(predictor, [prompts[row] for row in rows], record_errors)
+                for row, answer in zip(rows, found, strict=True):
+                    answers[row] = answer
+            raw, latency, errors = zip(*answers) if answers else ((), (), ())
             result = frame.assign(
                 raw_output=pd.Series(raw, index=frame.index, dtype=object),
                 latency_ms=pd.Series(latency, index=frame.index, dtype="float64"),
@@ -145,47 +170,78 @@ def zero_shot_lexical(
     return cut.select(*df.columns, label.alias("raw_output"))
 
 
-def nearest_example(bank: Mapping[str, Sequence[str]]):
-    """Arrow UDF: ``(raw_output, similarity)`` of the bank example nearest by token Jaccard."""
-    labels = [label for label in sorted(bank) for _ in bank[label]]
-    examples = [_words(example) for label in sorted(bank) for example in bank[label]]
-    vocabulary = {word: i for i, word in enumerate(sorted(set().union(*examples)))}
-    sizes = np.array([len(words) for words in examples])
-    # One row per example, one column per word of the bank.
-    holds = np.zeros((len(examples), max(len(vocabulary), 1)), dtype=np.int32)
-    for row, words in enumerate(examples):
-        holds[row, [vocabulary[word] for word in words]] = 1
-
-    def nearest(text: str | None) -> tuple[str | None, float]:
-        words = _words(text or "")
-        shared = holds[:, [vocabulary[word] for word in words if word in vocabulary]].sum(axis=1)
-        union = len(words) + sizes - shared
-        similarity = np.divide(shared, union, out=np.zeros(len(sizes)), where=union > 0)
-        best = int(similarity.argmax())
-        return labels[best], float(similarity[best])
-
-    @F.pandas_udf("raw_output string, similarity double")
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame(
-                [nearest(text) for text in batch], columns=["raw_output", "similarity"]
-            )
+def _nearest(labels: Sequence[str], examples: Sequence[Sequence[str]]):
+    """Arrow UDF over token lists: similarity and label of the nearest of some examples.
+
+    An inverted index leads from a word to the examples that have it; shared words of a whole
+    batch are counted by adding up those lists.
+    """
+    sizes = np.array([len(words) for words in examples], dtype=np.int64)
+    flat = pa.array([word for words in examples for word in words], pa.string())
+    vocabulary = pc.unique(flat)
+    number = pc.index_in(flat, value_set=vocabulary).to_numpy(zero_copy_only=False)
+    holders = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(number, kind="stable")]
+    lengths = np.bincount(number, minlength=len(vocabulary))
+    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
+    width = len(sizes)
+
+    @F.arrow_udf("struct<similarity: double, raw_output: string>")
+    def score(tokens: pa.Array) -> pa.Array:
+        best_at: list[np.ndarray] = []
+        best: list[np.ndarray] = []
+        rows = max(1, _CELLS // width)
+        for low in range(0, len(tokens), rows):
+            part = tokens.slice(low, rows)
+            count = np.diff(part.offsets.to_numpy())
+            owner = np.repeat(np.arange(len(part)), count)
+            at = pc.fill_null(pc.index_in(part.flatten(), value_set=vocabulary), -1).to_numpy()
+            owner, at = owner[at >= 0], at[at >= 0]
+            ends = np.cumsum(lengths[at])
+            places = np.repeat(starts[at] - ends + lengths[at], lengths[at]) + np.arange(ends[-1] if len(ends) else 0)
+            cells = np.repeat(owner * width, lengths[at]) + holders[places]
+            shared = np.bincount(cells, minlength=len(part) * width).reshape(len(part), width)
+            union = count[:, None] + sizes - shared
+            similarity = np.divide(shared, union, out=np.zeros(shared.shape), where=union > 0)
+            best_at.append(similarity.argmax(axis=1))
+            best.append(similarity.max(axis=1))
+        chosen = np.concatenate(best_at) if best_at else np.zeros(0, dtype=np.int64)
+        similarities = np.concatenate(best) if best else np.zeros(0)
+        return pa.StructArray.from_arrays(
+            [pa.array(similarities), pa.array(labels, pa.string()).take(pa.array(chosen))],
+            names=["similarity", "raw_output"],
+        )
 
     return score
 
 
-def few_shot_nearest(
-    df: DataFrame, bank: Mapping[str, Sequence[str]], text_col: str = "instruction"
-) -> DataFrame:
+def few_shot_nearest(df: DataFrame, bank: DataFrame, text_col: str = "instruction") -> DataFrame:
     """Add ``raw_output`` and ``similarity``: label of the bank example nearest by token Jaccard.
 
-    Ties go to the first label; without any example the label is ``unknown``.  The bank is
-    small (see :func:`~tagloom.operators.bank.collect_bank`) and travels with the function,
-    so this is map-only; only the text crosses to Python.  Set functions on string arrays
-    would hash the whole bank again for every row, which is why this is not a built-in
-    expression.
+    Ties go to the first label; without any example the label is ``unknown``.  Map-only: the
+    examples are dealt to blocks of about ``BLOCK_WORDS`` words, one of which travels with the
+    function; with several blocks the best so far is stored between them.
     """
-    if not any(bank.values()):
+    examples = example_rows(bank).select(
+        "intent", "place", distinct_tokens(F.col("example")).alias("tokens")
+    )
+    words = examples.agg(F.sum(F.size("tokens"))).first()[0]
+    if words is None:
         return df.withColumns({"raw_output": F.lit(UNKNOWN_LABEL), "similarity": F.lit(0.0)})
-    scored = df.withColumn("_nearest", nearest_example(bank)(F.col(text_col)))
-    return scored.select(*df.columns, "_nearest.raw_output", "_nearest.similarity")
+    blocks = max(1, -(-words // BLOCK_WORDS))
+    block = F.pmod(F.xxhash64("intent", "place"), F.lit(blocks))
+    best = df.withColumn("_best", F.lit(None).cast("struct<minus: double, raw_output: string>"))
+    for number in range(blocks):
+        # About BLOCK_WORDS words.
+        part = examples.where(block == number).orderBy("intent", "place").collect()
+        if not part:
+            continue
+        nearest = _nearest([r.intent for r in part], [r.tokens for r in part])
+        tokens = distinct_tokens(F.coalesce(F.col(text_col), F.lit("")))
+        found = best.withColumn("_found", nearest(tokens))
+        better = F.struct((-F.col("_found.similarity")).alias("minus"), F.col("_found.raw_output").alias("raw_output"))
+        best = found.withColumn("_best", F.least("_best", better)).drop("_found")
+        if number + 1 < blocks:
+            best = stage(best, "nearest")
+    return best.select(
+        *df.columns, F.col("_best.raw_output").alias("raw_output"), (-F.col("_best.minus")).alias("similarity")
+    )

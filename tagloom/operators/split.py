@@ -10,15 +10,16 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed_values import DEFAULT_SEED, SPLIT_RATIOS
 from tagloom.functions.text import hash_number, seeded_hash
-from tagloom.labels import MAX_LABELS, LabelSpace
+from tagloom.labels import LabelSpace
+from tagloom.operators.ordering import running_total
+from tagloom.session import stage
 
 Ratios = Sequence[tuple[str, float]]
 
 # Ratios are applied as integers of this resolution, so no float error moves a row.
 _RESOLUTION = 10_000
-# Rows a hash bucket should hold at most, and the most hex digits a bucket may take.
-_BUCKET_ROWS = 100_000
-_MAX_BUCKET_DIGITS = 5
+# Hex digits of the draw that make a bucket: a million buckets a label.
+_BUCKET_DIGITS = 5
 
 
 def cut_points(ratios: Ratios) -> list[tuple[str, int]]:
@@ -44,68 +45,46 @@ def stratified_split(
     split, and so on.  Every label gets its share to within a row, and the totals over all
     labels are the rounded shares of all rows.  The order itself is never built:
 
-    1. count rows per label, reading the label column only (this runs at once);
-    2. count rows per (label, hash bucket) - a small table, whatever the input size;
+    1. store label and draw of every row, a narrow table that all counting reads;
+    2. count rows per label and per (label, hash bucket);
     3. find the bucket each cut falls into and rank only the keys of those buckets;
-    4. compare every row with its label's cut keys, which are broadcast (one row per label).
+    4. compare every row with its label's cut keys, a table with one row per label.
 
-    So the big side is not shuffled, and a label that holds most rows is no hot task.
-    Equal keys of a label always land in the same split.  Reads ``df`` several times: pass
-    a stored table.  Rows with a label outside ``labels`` (if given) get a null split.
+    So the texts are not shuffled, a label that holds most rows is no hot task, and there may
+    be any number of labels.  Equal keys of a label always land in the same split.  Reads
+    ``df`` twice.  Rows with a label outside ``labels`` (if given) get a null split.
     """
     cuts = cut_points(ratios)
-    rows_per_label = _label_counts(df, label_col, labels)
-    known = F.col(label_col).isin(*rows_per_label)
+    known = labels.holds(F.col(label_col)) if labels else F.col(label_col).isNotNull()
     keyed = df.withColumn("_draw", seeded_hash(seed, F.col(key_col)))
-    draws = keyed.where(known).select(F.col(label_col).alias("_label"), "_draw")
-    targets = df.sparkSession.createDataFrame(
-        _targets(rows_per_label, [point for _, point in cuts[:-1]]),
-        "_label string, _point int, _target bigint",
-    )
-    digits = _bucket_digits(max(rows_per_label.values(), default=0))
-    bounds = F.broadcast(_cut_keys(draws, F.broadcast(targets), digits))
+    draws = stage(keyed.where(known).select(F.col(label_col).alias("_label"), "_draw"), "draws")
+    # Stored, so that the planner knows its size and need not shuffle the rows to join it.
+    bounds = stage(_cut_keys(draws, _targets(draws, [point for _, point in cuts[:-1]])), "cuts")
     joined = keyed.join(bounds, F.col(label_col) == F.col("_label"), "left")
     return joined.select(*df.columns, F.when(known, _split_of_draw(cuts)).alias("split"))
 
 
-def _label_counts(df: DataFrame, label_col: str, labels: LabelSpace | None) -> dict[str, int]:
-    """Rows per label in label order; the number of labels is checked."""
-    wanted = labels.holds(F.col(label_col)) if labels else F.col(label_col).isNotNull()
-    counts = df.where(wanted).groupBy(label_col).agg(F.count("*").alias("n"))
-    rows = counts.limit(MAX_LABELS + 1).collect()
-    if len(rows) > MAX_LABELS:
-        raise ValueError(f"More than {MAX_LABELS} labels in {label_col}.")
-    return {label: n for label, n in sorted((row[0], row.n) for row in rows)}
-
-
-def _targets(rows_per_label: dict[str, int], points: list[int]) -> list[tuple[str, int, int]]:
+def _targets(draws: DataFrame, points: list[int]) -> DataFrame:
     """``(label, cut point, rows before the cut)``.
 
     Shares are rounded on the running total over the labels, so that roundings of the
     labels cancel out instead of adding up.
     """
-    targets = []
-    total = 0
-    for label, n in rows_per_label.items():
-        before = 0
-        for point in points:
-            share = _rounded(total + n, point) - _rounded(total, point)
-            before = max(before, share)
-            targets.append((label, point, before))
-        total += n
-    return targets
-
-
-def _bucket_digits(rows: int) -> int:
-    """Hex digits of the draw that cut a label of that many rows into small buckets."""
-    digits = 1
-    while rows > _BUCKET_ROWS << 4 * digits and digits < _MAX_BUCKET_DIGITS:
-        digits += 1
-    return digits
+    counts = draws.groupBy("_label").agg(F.count("*").alias("_n"))
+    totals = running_total(counts, [F.col("_label")], "_n", "_total")
+    befores: list[Column] = []
+    for point in points:
+        share = _rounded(F.col("_total"), point) - _rounded(F.col("_total") - F.col("_n"), point)
+        befores.append(F.greatest(share, *befores[-1:], F.lit(0)))
+    entries = [
+        F.struct(F.lit(point).alias("_point"), before.cast("bigint").alias("_target"))
+        for point, before in zip(points, befores, strict=True)
+    ]
+    return totals.select("_label", F.explode(F.array(*entries)).alias("_cut")).select("_label", "_cut.*")
 
 
-def _rounded(n: int, point: int) -> int:
-    return (n * point + _RESOLUTION // 2) // _RESOLUTION
+def _rounded(n: Column, point: int) -> Column:
+    return F.call_function("div", n * point + F.lit(_RESOLUTION // 2), F.lit(_RESOLUTION))
 
 
 def _split_of_draw(cuts: list[tuple[str, int]]) -> Column:
@@ -116,13 +95,13 @@ def _split_of_draw(cuts: list[tuple[str, int]]) -> Column:
     return case
 
 
-def _cut_keys(draws: DataFrame, targets: DataFrame, digits: int) -> DataFrame:
+def _cut_keys(draws: DataFrame, targets: DataFrame) -> DataFrame:
     """Per label a map from cut point to the draw of the last row before the cut.
 
     One row per label.  A cut that falls before the label's first row has no entry.
     """
     # Never null, so that no null filter computes the hash once more.
-    bucket = F.coalesce(F.substring("_draw", 1, digits), F.lit(""))
+    bucket = F.coalesce(F.substring("_draw", 1, _BUCKET_DIGITS), F.lit(""))
     counts = draws.groupBy("_label", bucket.alias("_bucket")).agg(F.count("*").alias("_rows"))
     in_order = Window.partitionBy("_label").orderBy("_bucket")
     placed = counts.withColumn("_upto", F.sum("_rows").over(in_order))
@@ -139,8 +118,8 @@ def _cut_keys(draws: DataFrame, targets: DataFrame, digits: int) -> DataFrame:
             (F.col("_target") - (F.col("_upto") - F.col("_rows"))).alias("_place"),
         )
     )
-    # At most one row per (label, cut point): bounded like the targets.
-    at_cut = draws.withColumn("_bucket", bucket).join(F.broadcast(wanted), ["_label", "_bucket"])
+    # At most one row per (label, cut point); adaptive execution broadcasts them while few.
+    at_cut = draws.withColumn("_bucket", bucket).join(wanted, ["_label", "_bucket"])
     per_key = at_cut.groupBy("_label", "_point", "_place", "_draw").agg(
         F.count("*").alias("_copies")
     )

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -12,14 +12,14 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import APPROACHES
 from tagloom.functions.matching import match_labels
 from tagloom.labels import LabelSpace
-from tagloom.operators.bank import collect_bank
 from tagloom.operators.classifier import load_classifier, predict_with
 from tagloom.operators.metrics import benchmark_summary
-from tagloom.operators.predict import few_shot_nearest, zero_shot_lexical
+from tagloom.operators.naive_bayes import NaiveBayes, predict_naive_bayes
+from tagloom.operators.predict import LexicalPredictor, few_shot_nearest, predict_batch
 from tagloom.operators.report import union_approaches
 from tagloom.session import stage
 from tagloom.sources.jsonl import read_example_bank
-from tagloom.sources.results import append_run_metrics, read_summary, write_results, write_summary_json
+from tagloom.sources.results import read_summary, write_results, write_run_metrics, write_summary_json
 
 # Takes samples with an ``instruction`` column and adds ``raw_output``, and ``latency_ms``
 # if it measures one.
@@ -27,21 +27,35 @@ Approach = Callable[[DataFrame], DataFrame]
 
 
 def default_approaches(
-    labels: LabelSpace, bank: Mapping[str, Sequence[str]], model: Callable[[], PipelineModel]
+    labels: LabelSpace, bank: DataFrame, model: Callable[[], PipelineModel | NaiveBayes]
 ) -> dict[str, Approach]:
-    """Label-name overlap, nearest bank example, and the trained classifier (loaded on use)."""
+    """Label-name overlap, nearest bank example, and the trained classifier (loaded on use).
+
+    The first is called like any model, batch by batch, and has a latency for each call.
+    """
+    names = tuple(labels)
+
+    def zero_shot(samples: DataFrame) -> DataFrame:
+        return predict_batch(samples, lambda: LexicalPredictor(names), "lexical", "instruction")
+
+    def fine_tuned(samples: DataFrame) -> DataFrame:
+        trained = model()
+        if isinstance(trained, NaiveBayes):
+            return samples.join(predict_naive_bayes(samples, trained, "sample_id"), "sample_id")
+        return predict_with(trained, samples)
+
     return {
-        "zero_shot": lambda samples: zero_shot_lexical(samples, labels),
+        "zero_shot": zero_shot,
         "few_shot": lambda samples: few_shot_nearest(samples, bank).drop("similarity"),
-        "fine_tuned": lambda samples: predict_with(model(), samples),
+        "fine_tuned": fine_tuned,
     }
 
 
 def run_approach(samples: DataFrame, approach: Approach, name: str) -> DataFrame:
     """Stored raw outputs of one approach over ``(sample_id, instruction, intent)``.
 
-    One job per approach.  An approach that measures no latency gets the job's wall time
-    divided by its rows.
+    One job per approach.  Latencies are those that the approach measured for its calls; one
+    that measures none has only the job's wall time divided by its rows.
     """
     began = time.perf_counter()
     answered = stage(approach(samples), f"raw-{name}")
@@ -92,16 +106,20 @@ def evaluate(
     enabled: Sequence[str] = APPROACHES,
     max_samples: int | None = None,
     base_model_id: str = "spark-ml",
+    run_id: str = "evaluate",
 ) -> DataFrame:
-    """Evaluate the test split of a prepare job and publish all result tables."""
+    """Evaluate the test split of a prepare job and publish all result tables.
+
+    All test samples, or the first ``max_samples`` of them.
+    """
     test = spark.read.parquet(f"{prepared_path}/splits").where(F.col("split") == "test")
     samples = test.select(F.col("row_id").alias("sample_id"), "instruction", "intent")
     if max_samples is not None:
         samples = stage(samples.orderBy("sample_id").limit(max_samples), "samples")
-    bank = collect_bank(read_example_bank(spark, f"{prepared_path}/prompts/example_bank"))
+    bank = read_example_bank(spark, f"{prepared_path}/prompts/example_bank")
     approaches = default_approaches(labels, bank, lambda: load_classifier(spark, classifier_path)[0])
     write_results(compare_approaches(samples, approaches, labels, enabled), labels, results_path)
     summary = read_summary(spark, results_path)
     write_summary_json(summary, base_model_id, f"{results_path}/summary_json")
-    append_run_metrics(summary, f"{results_path}/run_metrics", {"base_model_id": base_model_id})
+    write_run_metrics(summary, f"{results_path}/run_log", run_id, tags={"base_model_id": base_model_id})
     return summary

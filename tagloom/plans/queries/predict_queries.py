@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tagloom.labels import LabelSpace
 from tagloom.operators import predict
-from tagloom.operators.bank import collect_bank, few_shot_bank
+from tagloom.operators.bank import few_shot_bank
 from tagloom.operators.classifier import (
     load_classifier,
     predict_with,
@@ -13,6 +14,8 @@ from tagloom.operators.classifier import (
     train_text_classifier,
 )
 from tagloom.operators.metrics import per_class_prf
+from tagloom.operators.naive_bayes import predict_naive_bayes, train_naive_bayes
+from tagloom.operators.split import hash_split
 from tagloom.plans import evaluate
 from tagloom.plans.queries.registry import (
     BANK,
@@ -20,7 +23,9 @@ from tagloom.plans.queries.registry import (
     UTTERANCE_LABELS,
     registered,
     rounded,
+    sql_list,
     sql_scores,
+    sql_summary,
 )
 from tagloom.session import stage, staging_path
 
@@ -68,7 +73,7 @@ def predict_batch(t):
 
 @registered(f"""WITH {BANK}, examples AS (
   SELECT intent, {sql_tokens('e')} AS shown FROM bank, unnest(examples) AS u(e)),
-texts AS (SELECT row_id, {sql_tokens('instruction')} AS tokens FROM splits),
+texts AS (SELECT doc_id AS row_id, {sql_tokens('text')} AS tokens FROM documents WHERE text IS NOT NULL),
 scored AS (
   SELECT row_id, intent, len(list_intersect(tokens, shown)) AS shared,
          len(tokens) + len(shown) - len(list_intersect(tokens, shown)) AS whole
@@ -79,22 +84,71 @@ ranked AS (
   QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY similarity DESC, intent) = 1)
 SELECT row_id, intent AS raw_output, round(similarity, 6) AS similarity FROM ranked""")
 def few_shot_nearest(t):
-    rows = t.cleaned()
-    train = t.splits(rows).where("split = 'train'")
-    bank = collect_bank(few_shot_bank(train, UTTERANCE_LABELS))
-    nearest = predict.few_shot_nearest(rows.select("row_id", "instruction"), bank)
+    """Examples from the train split, all documents with a text to label."""
+    bank = stage(few_shot_bank(t.splits().where("split = 'train'"), UTTERANCE_LABELS), "bank")
+    documents = t.read("documents").where("text IS NOT NULL").select(F.col("doc_id").alias("row_id"), "text")
+    nearest = predict.few_shot_nearest(documents, bank, "text")
     return rounded(nearest.select("row_id", "raw_output", "similarity"))
 
 
+def sql_naive_bayes(train: str, test: str, key: str, text: str, label: str, labels) -> str:
+    """WITH parts up to ``bayes(key, raw_output)``; log probabilities in whole millionths."""
+    return f"""learned AS (
+  SELECT {label} AS label, {sql_tokens(text)} AS tokens FROM {train}
+  WHERE {text} IS NOT NULL AND {label} IN ({sql_list(labels)})),
+pairs AS (SELECT label, word, count(*) AS n FROM (SELECT label, unnest(tokens) AS word FROM learned) GROUP BY label, word),
+vocabulary AS (SELECT DISTINCT word FROM pairs),
+sizes AS (
+  SELECT k.label, k.n AS documents, coalesce(p.words, 0) + (SELECT count(*) FROM vocabulary) AS places,
+         sum(k.n) OVER () AS all_documents
+  FROM (SELECT label, count(*) AS n FROM learned GROUP BY label) k
+  LEFT JOIN (SELECT label, sum(n) AS words FROM pairs GROUP BY label) p ON p.label = k.label),
+bases AS (
+  SELECT label, places, round(ln(documents / all_documents) * 1000000)::BIGINT AS prior,
+         round(ln(1 / places) * 1000000)::BIGINT AS unseen FROM sizes),
+met_words AS (
+  SELECT t.{key}, x.word FROM (SELECT {key}, unnest({sql_tokens(text)}) AS word FROM {test}) x
+  JOIN vocabulary v ON v.word = x.word JOIN {test} t ON t.{key} = x.{key}),
+seen AS (SELECT {key}, count(*) AS n FROM met_words GROUP BY {key}),
+gains AS (
+  SELECT k.{key}, p.label, sum(round(ln((p.n + 1) / b.places) * 1000000)::BIGINT - b.unseen) AS gain
+  FROM met_words k JOIN pairs p ON p.word = k.word JOIN bases b ON b.label = p.label GROUP BY k.{key}, p.label),
+bayes AS (
+  SELECT t.{key}, b.label AS raw_output
+  FROM {test} t CROSS JOIN bases b
+  LEFT JOIN seen s ON s.{key} = t.{key} LEFT JOIN gains g ON g.{key} = t.{key} AND g.label = b.label
+  QUALIFY row_number() OVER (PARTITION BY t.{key}
+    ORDER BY b.prior + coalesce(s.n, 0) * b.unseen + coalesce(g.gain, 0) DESC, b.label) = 1)"""
+
+
+_LANGUAGES = LabelSpace(["de", "en", "es", "fr"])
+
+
+@registered(f"""WITH hashed AS (
+  SELECT *, ('0x' || substr(md5('42:' || text), 1, 8))::BIGINT % 10000 AS bucket FROM documents WHERE text IS NOT NULL),
+train AS (SELECT * FROM hashed WHERE bucket < 7000), test AS (SELECT * FROM hashed WHERE bucket >= 8500),
+{sql_naive_bayes('train', 'test', 'doc_id', 'text', 'lang', _LANGUAGES)}
+SELECT doc_id, lang, raw_output FROM bayes JOIN test USING (doc_id)""", name="train_text_classifier")
+def naive_bayes_query(t):
+    """Trained on the train split of all documents, asked about the test split."""
+    documents = t.read("documents").where("text IS NOT NULL").select("doc_id", "text", "lang")
+    split = hash_split(documents, key_col="text")
+    model = train_naive_bayes(split.where("split = 'train'"), _LANGUAGES, "text", "lang")
+    test = split.where("split = 'test'")
+    answered = predict_naive_bayes(test, model, "doc_id", "text")
+    return test.select("doc_id", "lang").join(answered, "doc_id")
+
+
 @registered()
-def train_text_classifier_query(t):
-    labels = type(UTTERANCE_LABELS)(["de", "en", "es", "fr"])
-    documents = t.read("documents").select("doc_id", "text", "lang")
-    model = train_text_classifier(documents, labels, "text", "lang")
+def spark_ml_classifier(t):
+    """The pipeline of Spark ML on the same split, stored and loaded."""
+    documents = t.read("documents").where("text IS NOT NULL").select("doc_id", "text", "lang")
+    split = hash_split(documents, key_col="text")
+    model = train_text_classifier(split.where("split = 'train'"), _LANGUAGES, "text", "lang")
     path = staging_path(t.spark, "classifier")
-    save_classifier(model, t.spark, path, "naive_bayes", labels)
+    save_classifier(model, t.spark, path, "naive_bayes", _LANGUAGES)
     loaded, _ = load_classifier(t.spark, path)
-    return predict_with(loaded, documents).select("doc_id", "lang", "raw_output")
+    return predict_with(loaded, split.where("split = 'test'").drop("split")).select("doc_id", "lang", "raw_output")
 
 
 @registered(f"""WITH {BANK}, samples AS (SELECT * FROM splits WHERE split = 'test'),
@@ -117,14 +171,20 @@ SELECT approach, label, round(precision, 6) AS precision, round(recall, 6) AS re
 def compare_untrained(t):
     """The comparison without the trained approach, which is exactly reproducible in SQL."""
     train, samples = _train_and_samples(t)
-    approaches = evaluate.default_approaches(
-        UTTERANCE_LABELS, collect_bank(few_shot_bank(train, UTTERANCE_LABELS)), lambda: None
-    )
+    bank = stage(few_shot_bank(train, UTTERANCE_LABELS), "bank")
+    approaches = evaluate.default_approaches(UTTERANCE_LABELS, bank, lambda: None)
     enabled = ("zero_shot", "few_shot")
     predictions = evaluate.compare_approaches(samples, approaches, UTTERANCE_LABELS, enabled)
     return rounded(per_class_prf(predictions, UTTERANCE_LABELS))
 
 
+_SCORES = [f"{kind}_{name}" for kind in ("macro", "weighted") for name in ("precision", "recall", "f1")]
+_WITHOUT_LATENCY = "approach, " + ", ".join(
+    [f"round({c}, 6) AS {c}" for c in ("accuracy", *_SCORES, "token_cost_per_1k")]
+    + ["correct_samples", "total_samples", "intent_count"]
+)
+
+
 def _train_and_samples(t):
     splits = stage(t.splits(), "splits")
     test = splits.where(F.col("split") == "test")
@@ -132,12 +192,32 @@ def _train_and_samples(t):
     return splits.where(F.col("split") == "train"), samples
 
 
-@registered()
+@registered(f"""WITH {BANK}, samples AS (SELECT * FROM splits WHERE split = 'test'),
+taught AS (SELECT * FROM splits WHERE split = 'train'),
+{sql_lexical('samples', 'row_id', 'instruction', UTTERANCE_LABELS)},
+examples AS (SELECT intent, {sql_tokens('e')} AS shown FROM bank, unnest(examples) AS u(e)),
+compared AS (
+  SELECT row_id, x.intent, len(list_intersect(tokens, shown)) AS shared,
+         len(tokens) + len(shown) - len(list_intersect(tokens, shown)) AS whole
+  FROM tokenised CROSS JOIN examples x),
+nearest AS (
+  SELECT row_id, intent AS raw_output, CASE WHEN whole > 0 THEN shared / whole ELSE 0 END AS similarity
+  FROM compared QUALIFY row_number() OVER (PARTITION BY row_id ORDER BY similarity DESC, intent) = 1),
+{sql_naive_bayes('taught', 'samples', 'row_id', 'instruction', 'intent', UTTERANCE_LABELS)},
+predictions AS (
+  SELECT 'zero_shot' AS approach, instruction AS input_text, intent AS truth, raw_output AS prediction, 0.0 AS latency_ms
+  FROM samples JOIN lexical USING (row_id)
+  UNION ALL SELECT 'few_shot', instruction, intent, raw_output, 0.0 FROM samples JOIN nearest USING (row_id)
+  UNION ALL SELECT 'fine_tuned', instruction, intent, raw_output, 0.0 FROM samples JOIN bayes USING (row_id)),
+{sql_summary(UTTERANCE_LABELS)}
+SELECT {_WITHOUT_LATENCY}
+FROM summary""")
 def three_way_benchmark(t):
+    """All but the latencies, which differ from run to run."""
     train, samples = _train_and_samples(t)
+    bank = stage(few_shot_bank(train, UTTERANCE_LABELS), "bank")
     approaches = evaluate.default_approaches(
-        UTTERANCE_LABELS,
-        collect_bank(few_shot_bank(train, UTTERANCE_LABELS)),
-        lambda: train_text_classifier(train, UTTERANCE_LABELS),
+        UTTERANCE_LABELS, bank, lambda: train_naive_bayes(train, UTTERANCE_LABELS)
     )
-    return evaluate.three_way_benchmark(samples, approaches, UTTERANCE_LABELS)
+    summary = evaluate.three_way_benchmark(samples, approaches, UTTERANCE_LABELS)
+    return rounded(summary.drop("mean_latency_ms", "p95_latency_ms"))

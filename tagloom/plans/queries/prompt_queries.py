@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.fixed_values import (
+    CHAT_TEMPLATE,
+    FEW_SHOT_EXAMPLE,
+    FEW_SHOT_SEPARATOR,
     FEW_SHOT_TEMPLATE,
+    SERVING_BANK_ENTRIES,
+    SERVING_EXAMPLE,
     SERVING_FEW_SHOT_TEMPLATE,
     SYSTEM_PROMPT,
     ZERO_SHOT_TEMPLATE,
@@ -13,7 +18,7 @@ from tagloom.fixed_values import (
 from tagloom.functions import prompts
 from tagloom.functions.text import word_count
 from tagloom.operators import validate
-from tagloom.operators.bank import collect_bank
+from tagloom.operators.bank import first_examples, with_bank
 from tagloom.operators.bank import few_shot_bank as draw_bank
 from tagloom.operators.clean import drop_missing
 from tagloom.plans.queries.registry import (
@@ -54,10 +59,7 @@ def _sql_zero_shot(text: str, labels) -> str:
 
 
 def _sql_chat(text: str) -> str:
-    return _sql_fill(
-        "<|system|>\n" + SYSTEM_PROMPT + "\n<|user|>\nCustomer message: {instruction}\n<|assistant|>\n",
-        instruction=text,
-    )
+    return _sql_fill(CHAT_TEMPLATE.replace("{system}", SYSTEM_PROMPT), instruction=text)
 
 
 def _sql_serving(text: str, block: str, labels) -> str:
@@ -65,9 +67,9 @@ def _sql_serving(text: str, block: str, labels) -> str:
     return _sql_fill(filled, examples=block, instruction=text)
 
 
-_BLOCK = """block AS (
-  SELECT coalesce(string_agg('Customer message: "' || examples[1] || '"' || chr(10) || 'Intent: '
-         || intent || chr(10) || chr(10), '' ORDER BY intent), '') AS shown
+_BLOCK = f"""block AS (
+  SELECT coalesce(string_agg({_sql_fill(SERVING_EXAMPLE, example='examples[1]', intent='intent')},
+         '' ORDER BY intent), '') AS shown
   FROM (SELECT * FROM bank ORDER BY intent LIMIT 3) WHERE len(examples) > 0)"""
 
 
@@ -75,8 +77,15 @@ def _train_bank(splits):
     return draw_bank(splits.where("split = 'train'"), UTTERANCE_LABELS)
 
 
-def _constant_bank(splits):
-    return prompts.bank_literal(collect_bank(_train_bank(splits)))
+def _serving_bank(splits):
+    """What serving prompts show: the first example of the first labels."""
+    return first_examples(_train_bank(splits), SERVING_BANK_ENTRIES)
+
+
+def _texts(t):
+    """All documents with a text."""
+    documents = t.read("documents").where("text IS NOT NULL")
+    return documents.select(F.col("doc_id").alias("row_id"), F.col("text").alias("instruction"))
 
 
 @registered(f"""WITH {KEPT}
@@ -89,34 +98,32 @@ def zero_shot_prompt(t):
 
 
 @registered(f"""WITH {BANK}, drawn AS (
-  SELECT s.row_id, s.instruction, b.intent, b.examples,
-         md5((42 + s.row_id)::VARCHAR || ':' || b.intent) AS draw
-  FROM splits s CROSS JOIN bank b WHERE len(b.examples) > 0
-  QUALIFY row_number() OVER (PARTITION BY s.row_id ORDER BY draw) <= 2),
+  SELECT s.doc_id AS row_id, s.text AS instruction, b.intent, b.examples,
+         md5((42 + s.doc_id)::VARCHAR || ':' || b.intent) AS draw
+  FROM documents s CROSS JOIN bank b WHERE len(b.examples) > 0 AND s.text IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY s.doc_id ORDER BY draw) <= 2),
 blocks AS (
-  SELECT row_id, instruction, string_agg('Customer message: '
-    || examples[1 + ('0x' || substr(draw, 1, 8))::BIGINT % len(examples)]
-    || chr(10) || 'Intent: ' || intent, chr(10) || chr(10) ORDER BY draw) AS shown
+  SELECT row_id, instruction, string_agg({_sql_fill(FEW_SHOT_EXAMPLE,
+    example="examples[1 + ('0x' || substr(draw, 1, 8))::BIGINT % len(examples)]", intent='intent')},
+    {_quoted(FEW_SHOT_SEPARATOR)} ORDER BY draw) AS shown
   FROM drawn GROUP BY row_id, instruction)
 SELECT row_id, {_sql_fill(FEW_SHOT_TEMPLATE.replace(
     '{labels}', prompts.label_bullets(UTTERANCE_LABELS)),
     examples='shown', instruction='instruction')} AS prompt FROM blocks""")
 def few_shot_prompt(t):
-    rows = t.cleaned()
-    bank = _constant_bank(t.splits(rows))
+    rows = with_bank(_texts(t), _train_bank(t.splits()))
     prompt = prompts.few_shot_prompt(
-        F.col("instruction"), F.col("row_id"), bank, UTTERANCE_LABELS, n_labels=2
+        F.col("instruction"), F.col("row_id"), F.col("_bank"), UTTERANCE_LABELS, n_labels=2
     )
     return rows.select("row_id", prompt.alias("prompt"))
 
 
 @registered(f"""WITH {BANK}, {_BLOCK}
-SELECT row_id, {_sql_serving('instruction', 'shown', UTTERANCE_LABELS)} AS prompt
-FROM splits, block""")
+SELECT doc_id AS row_id, {_sql_serving('text', 'shown', UTTERANCE_LABELS)} AS prompt
+FROM documents, block WHERE text IS NOT NULL""")
 def fixed_few_shot_prompt(t):
-    rows = t.cleaned()
-    bank = _constant_bank(t.splits(rows))
-    prompt = prompts.fixed_few_shot_prompt(F.col("instruction"), bank, UTTERANCE_LABELS)
+    rows = with_bank(_texts(t), _serving_bank(t.splits()))
+    prompt = prompts.fixed_few_shot_prompt(F.col("instruction"), F.col("_bank"), UTTERANCE_LABELS)
     return rows.select("row_id", prompt.alias("prompt"))
 
 
@@ -146,9 +153,9 @@ SELECT request_id, approach,
        ELSE {_sql_chat('text')} END AS prompt
 FROM requests, block""")
 def prompt_dispatch(t):
-    bank = _constant_bank(t.splits())
-    prompt = prompts.prompt_for(F.col("approach"), F.col("text"), bank, STOPWORD_LABELS)
-    return t.requests().select("request_id", "approach", prompt.alias("prompt"))
+    rows = with_bank(t.requests(), _serving_bank(t.splits()))
+    prompt = prompts.prompt_for(F.col("approach"), F.col("text"), F.col("_bank"), STOPWORD_LABELS)
+    return rows.select("request_id", "approach", prompt.alias("prompt"))
 
 
 @registered(f"""WITH {BANK}
@@ -227,3 +234,28 @@ FROM v1 WHERE instruction IS NOT NULL""")
 def word_counts(t):
     rows = t.utterances().where("instruction IS NOT NULL")
     return rows.select("row_id", word_count(F.col("instruction")).alias("n_words"))
+
+
+# Chat records by doc_id: right ones, wrong order, wrong count, an empty list, none at all.
+_BROKEN = """
+SELECT doc_id AS row_id, CASE doc_id % 5 WHEN 0 THEN 'system,user,assistant' WHEN 1 THEN 'user,system,assistant'
+  WHEN 2 THEN 'system,user' WHEN 3 THEN '' END AS roles, text FROM documents"""
+
+
+@registered(f"""WITH made AS ({_BROKEN})
+SELECT row_id, coalesce(roles = 'system,user,assistant', false) AS is_valid,
+       (SELECT min(row_id) FROM made WHERE roles IS NULL) AS first_without FROM made""")
+def validate_chat_broken(t):
+    documents = t.read("documents")
+    made = t.spark.sql(_BROKEN.replace("FROM documents", "FROM {documents}"), documents=documents)
+    roles = F.filter(F.split("roles", ","), lambda role: role != "")
+    messages = F.transform(roles, lambda role: F.struct(role.alias("role"), F.col("text").alias("content")))
+    rows = made.select("row_id", messages.alias("messages"))
+    try:
+        validate.require_chat_rows(rows)
+        first = None
+    except ValueError as missing:
+        first = int(str(missing).split()[1])
+    return validate.validate_chat_rows(rows).select(
+        "row_id", "is_valid", F.lit(first).cast("bigint").alias("first_without")
+    )

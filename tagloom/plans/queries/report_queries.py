@@ -16,7 +16,9 @@ from tagloom.plans.queries.registry import (
     registered,
     rounded,
     sql_scores,
+    sql_values,
 )
+from tagloom.schema import SUMMARY_DOCUMENT
 from tagloom.session import stage, staging_path
 from tagloom.sources import results
 
@@ -138,15 +140,128 @@ def read_summary(t):
 
 
 @registered(f"""WITH {SUMMARY}
-{' UNION ALL '.join(f"SELECT approach, '{m}' AS metric, round({m}, 6)::DOUBLE AS value, 'spark-ml' AS base_model_id FROM summary"
+{' UNION ALL '.join(f"SELECT approach, '{m}' AS metric, round({m}, 6)::DOUBLE AS value, 'spark-ml' AS base_model_id, 'run-' || approach AS run_id, 3::INT AS step FROM summary"
                     for m in runlog.LOGGED_METRICS)}""")
 def append_run_metrics(t):
+    """A run per approach; the second writing of each replaces the first."""
     path = staging_path(t.spark, "run-metrics")
     summary = stage(_summary(t), "summary")
-    for approach in ("zero_shot", "few_shot", "fine_tuned"):
+    for approach in ("zero_shot", "few_shot", "fine_tuned", "zero_shot"):
         one = summary.where(F.col("approach") == approach)
-        results.append_run_metrics(one, path, {"base_model_id": "spark-ml"})
-    return rounded(t.spark.read.parquet(path))
+        results.write_run_metrics(one, path, f"run-{approach}", 3, {"base_model_id": "spark-ml"})
+    return rounded(results.read_run_log(t.spark, path, "metrics"))
+
+
+@registered("""SELECT 'run-1' AS run_id, key, value FROM (
+  SELECT 'model.base' AS key, 'spark-ml' AS value
+  UNION ALL SELECT 'train.rows', count(*)::VARCHAR FROM events
+  UNION ALL SELECT 'train.shuffle', 'True')""")
+def run_params(t):
+    path = staging_path(t.spark, "run-params")
+    rows = t.read("events").agg(F.count("*").alias("rows"))
+    params = rows.select(
+        F.struct(F.lit("spark-ml").alias("base")).alias("model"),
+        F.struct("rows", F.lit(True).alias("shuffle")).alias("train"),
+    )
+    for _ in range(2):
+        results.write_run_params(params, path, "run-1")
+    return results.read_run_log(t.spark, path, "params")
+
+
+@registered(f"""WITH {SUMMARY}
+SELECT 'spark-ml' AS base_model_id, max(total_samples)::BIGINT AS test_set_size,
+       max(intent_count)::INT AS intent_count, count(*) AS approaches,
+       string_agg(approach || '=' || correct_samples || '/' || total_samples, ',' ORDER BY approach) AS samples
+FROM summary""")
+def summary_document(t):
+    path = staging_path(t.spark, "summary-json")
+    results.write_summary_json(_summary(t), "spark-ml", path)
+    document = t.spark.read.schema(SUMMARY_DOCUMENT).json(path)
+    entries = F.array_sort(F.map_entries("approaches"))
+    shown = F.transform(
+        entries,
+        lambda e: F.concat(e["key"], F.lit("="), e["value"]["correct_samples"], F.lit("/"), e["value"]["total_samples"]),
+    )
+    return document.select(
+        "base_model_id", "test_set_size", "intent_count",
+        F.size("approaches").cast("bigint").alias("approaches"),
+        F.array_join(shown, ",").alias("samples"),
+    )
+
+
+@registered(f"WITH {SUMMARY} SELECT {SUMMARY_COLUMNS} FROM summary")
+def read_summary_json(t):
+    path = staging_path(t.spark, "summary-json")
+    results.write_summary_json(_summary(t), "spark-ml", path)
+    return rounded(results.read_summary_json(t.spark, path))
+
+
+@registered(f"""WITH {PREDICTIONS}, listed(label) AS (VALUES {sql_values(EVENT_LABELS)}), matrix AS (
+  SELECT a.approach, x.label AS truth, y.label AS prediction
+  FROM (SELECT DISTINCT approach FROM predictions) a CROSS JOIN listed x CROSS JOIN listed y)
+SELECT m.approach, m.truth, m.prediction, count(p.sample_id) AS n
+FROM matrix m LEFT JOIN predictions p
+  ON p.approach = m.approach AND p.truth = m.truth AND p.prediction = m.prediction
+GROUP BY m.approach, m.truth, m.prediction""")
+def write_results_confusion(t):
+    path = staging_path(t.spark, "results")
+    results.write_results(t.predictions(), EVENT_LABELS, path)
+    return results.read_results(t.spark, path, "confusion")
+
+
+# Lists of a record end early, by the record's number, or are missing.
+_SHORT = """
+SELECT approach, shard, input_texts[:CASE WHEN shard % 3 = 0 THEN 2 ELSE 100000 END] AS input_texts,
+       CASE WHEN shard % 4 <> 1 THEN raw_outputs END AS raw_outputs, predictions,
+       ground_truth[:CASE WHEN shard % 2 = 0 THEN 3 ELSE 100000 END] AS ground_truth,
+       CASE WHEN shard % 5 <> 2 THEN latencies_ms END AS latencies_ms"""
+
+
+@registered(f"""WITH {PREDICTIONS}, packed AS (
+  SELECT approach, sample_id // 1000 AS shard,
+    list(input_text ORDER BY sample_id) AS input_texts, list(raw_output ORDER BY sample_id) AS raw_outputs,
+    list(prediction ORDER BY sample_id) AS predictions, list(truth ORDER BY sample_id) AS ground_truth,
+    list(latency_ms ORDER BY sample_id) AS latencies_ms
+  FROM predictions GROUP BY approach, sample_id // 1000),
+cut AS ({_SHORT} FROM packed),
+rows AS (SELECT *, unnest(range(1, len(predictions) + 1)) AS i FROM cut)
+SELECT approach, coalesce(input_texts[i], '') AS input_text, coalesce(raw_outputs[i], '') AS raw_output,
+       coalesce(predictions[i], '') AS prediction, coalesce(ground_truth[i], '') AS truth,
+       round(latencies_ms[i], 1) AS latency_ms,
+       coalesce(predictions[i], '') = coalesce(ground_truth[i], '') AS correct
+FROM rows""")
+def read_result_records(t):
+    """Documents with short and missing lists, written, read and padded."""
+    packed = report.to_parallel_arrays(t.predictions(), shard_rows=1000)
+
+    def short(column: str, every: int, rest: int, length: int):
+        return F.when(F.col("shard") % every == rest, F.slice(column, 1, length)).otherwise(F.col(column))
+
+    documents = packed.select(
+        F.col("approach").alias("approach_name"),
+        short("input_texts", 3, 0, 2).alias("input_texts"),
+        F.when(F.col("shard") % 4 != 1, F.col("raw_outputs")).alias("raw_outputs"),
+        "predictions",
+        short("ground_truth", 2, 0, 3).alias("ground_truth"),
+        F.when(F.col("shard") % 5 != 2, F.col("latencies_ms")).alias("latencies_ms"),
+    )
+    path = staging_path(t.spark, "records")
+    # A document a folder entry, as separate evaluations leave them.
+    documents.repartition("approach_name", F.size("predictions")).write.option("maxRecordsPerFile", 1).json(path)
+    records = results.read_result_records(t.spark, path)
+    return report.align_parallel_arrays(records).drop("position")
+
+
+@registered(f"""WITH {SUMMARY}, ends AS (
+  SELECT max(accuracy) FILTER (approach = 'zero_shot') AS a0,
+         max(accuracy) FILTER (approach = 'fine_tuned') AS a1,
+         max(mean_latency_ms) FILTER (approach = 'zero_shot') AS l0,
+         max(mean_latency_ms) FILTER (approach = 'fine_tuned') AS l1 FROM summary)
+SELECT 'Fine Tuned ' || CASE WHEN a1 > a0 THEN 'improves' ELSE 'reduces' END
+       || printf(' accuracy by %.1f%% over Zero Shot at %.1f× the latency.',
+                 abs((a1 - a0) * 100), l1 / greatest(l0, 0.000001)) AS headline FROM ends""")
+def headline(t):
+    return report.headline(report.first_last_delta(_summary(t)))
 
 
 @registered("""WITH flat AS (

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tagloom.operators import audit, split
 from tagloom.operators.clean import clean_dataset, strip_text
 from tagloom.operators.runlog import training_plan as plan_steps
+from tagloom.labels import label_table as labels_of
 from tagloom.plans.queries.registry import (
     MAX_LENGTH,
     MIN_LENGTH,
@@ -104,3 +105,12 @@ def hash_split_stats(t):
     cleaned = clean_dataset(t.utterances(), UTTERANCE_LABELS, MIN_LENGTH, MAX_LENGTH)
     counts = audit.split_stats(split.hash_split(cleaned))
     return counts.select("split", "intent", "n")
+
+
+@registered("""SELECT lang, (row_number() OVER (ORDER BY lang) - 1)::BIGINT AS label_id, n
+FROM (SELECT lang, count(*) AS n FROM documents WHERE lang IS NOT NULL GROUP BY lang)""")
+def label_table(t):
+    """The label dimension of the data, joined to its row counts."""
+    documents = t.read("documents")
+    counts = documents.groupBy("lang").agg(F.count("*").alias("n"))
+    return labels_of(documents, "lang").join(counts, "lang").select("lang", "label_id", "n")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
 from tagloom.fixed_values import USER_TURN_PREFIX
 from tagloom.operators.predict import LexicalPredictor
 from tagloom.plans.queries.predict_queries import sql_lexical
@@ -9,7 +11,7 @@ from tagloom.plans.queries.registry import REQUESTS, RUN_LOG, STOPWORD_LABELS, r
 from tagloom.plans.queries.report_queries import SQL_EPOCHS
 from tagloom.session import staging_path
 from tagloom.streaming.classify import classify, start_classify_stream
-from tagloom.streaming.rollup import read_epochs, start_epoch_rollup, start_epoch_rollup_folded
+from tagloom.streaming.rollup import LATENESS, late_rows, read_epochs, start_epoch_rollup
 
 _RESPONSES = f"""WITH requests AS ({REQUESTS}),
 {sql_lexical('requests', 'request_id', 'text', STOPWORD_LABELS)}
@@ -60,22 +62,52 @@ def classify_stream(t):
     return t.spark.read.parquet(out).select(*_OUTPUT)
 
 
-@registered(SQL_EPOCHS)
-def epoch_rollup_stream(t):
+def _rolled(t, log, lateness):
     out = staging_path(t.spark, "epochs")
-    # The stateful form holds a run's rows of one micro-batch, so those are kept moderate; it
-    # relies on files in step order, as a log is written.
-    log = _stream_of(t, "events", RUN_LOG, files_per_batch=64)
-    query = start_epoch_rollup(log, out, staging_path(t.spark, "epochs-progress"))
+    query = start_epoch_rollup(log, out, staging_path(t.spark, "epochs-progress"), lateness)
     query.awaitTermination()
-    return rounded(t.spark.read.parquet(out))
+    return out
+
+
+@registered(SQL_EPOCHS)
+def epoch_rollup_stream(t):
+    """Behind a watermark of a million steps, what waits at the end included."""
+    return rounded(read_epochs(t.spark, _rolled(t, _stream_of(t, "events", RUN_LOG), LATENESS)))
 
 
 @registered(SQL_EPOCHS)
 def epoch_rollup_folded(t):
-    out = staging_path(t.spark, "epochs-folded")
-    query = start_epoch_rollup_folded(
-        _stream_of(t, "events", RUN_LOG), out, staging_path(t.spark, "epochs-folded-progress")
+    """Without a watermark: any order of arrival is right."""
+    return rounded(read_epochs(t.spark, _rolled(t, _stream_of(t, "events", RUN_LOG), None)))
+
+
+def _shuffled_log(t):
+    """The log in files that each hold every fourth step, read one file a micro-batch."""
+    folder = staging_path(t.spark, "unordered-log")
+    log = t.run_log()
+    for rest in (2, 0, 3, 1):
+        log.where(F.col("step") % 4 == rest).coalesce(1).write.mode("append").parquet(folder)
+    files = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
+    return files.parquet(folder)
+
+
+@registered(SQL_EPOCHS)
+def epoch_rollup_unordered(t):
+    return rounded(read_epochs(t.spark, _rolled(t, _shuffled_log(t), None)))
+
+
+@registered(f"""{SQL_EPOCHS.replace("SELECT run_id, epoch::BIGINT", "SELECT 'rolled' AS part, run_id, epoch::BIGINT")}
+UNION ALL SELECT 'late', NULL, NULL, 0, 0, 0""")
+def epoch_rollup_watermark(t):
+    """The same behind a watermark wider than the log, with the number of late rows."""
+    out = _rolled(t, _shuffled_log(t), LATENESS)
+    epochs = rounded(read_epochs(t.spark, out)).select(F.lit("rolled").alias("part"), "*")
+    late = late_rows(t.spark, out).agg(F.count("*").alias("n_steps")).select(
+        F.lit("late").alias("part"),
+        F.lit(None).cast("bigint").alias("run_id"),
+        F.lit(None).cast("bigint").alias("epoch"),
+        "n_steps",
+        F.lit(0.0).alias("train_loss"),
+        F.lit(0.0).alias("val_loss"),
     )
-    query.awaitTermination()
-    return rounded(read_epochs(t.spark, out))
+    return epochs.unionByName(late)

@@ -14,7 +14,6 @@ CHAT_RECORD = "messages array<struct<role: string, content: string>>"
 SPLIT_RECORD = "row_id bigint, instruction string, intent string, category string, intent_id int"
 REQUEST = "request_id bigint, text string, approach string"
 RUN_LOG = "run_id bigint, step bigint, kind string, value double"
-RUN_METRICS = "run_id string, key string, value double, step bigint"
 _METRICS = ", ".join(f"{name}: double" for name in LOGGED_METRICS)
 SUMMARY_DOCUMENT = (
     "generated_at string, base_model_id string, test_set_size bigint, intent_count int, "

@@ -9,17 +9,20 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Rows a table may have to be held by the driver and broadcast.
-MAX_SMALL_ROWS = 10_000
-
-_local_roots: dict[str, str] = {}
 _shipped: set[str] = set()
 
 
-def build_session(app_name: str = "tagloom", master: str = "local[8]", **conf: str) -> SparkSession:
-    """A session for one machine; on a cluster use the session spark-submit gives."""
+def build_session(
+    app_name: str = "tagloom",
+    master: str = "local[8]",
+    staging: str | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session for one machine; on a cluster use the session spark-submit gives.
+
+    ``staging`` becomes ``spark.checkpoint.dir``.
+    """
     builder = SparkSession.builder.master(master).appName(app_name)
     defaults = {
         "spark.driver.bindAddress": "127.0.0.1",
@@ -31,6 +34,8 @@ def build_session(app_name: str = "tagloom", master: str = "local[8]", **conf: s
         "spark.sql.session.timeZone": "UTC",
         "spark.driver.memory": "8g",
     }
+    if staging:
+        defaults["spark.checkpoint.dir"] = staging
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
@@ -56,25 +61,30 @@ def ship_package(spark: SparkSession) -> None:
 def staging_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: ``spark.checkpoint.dir`` of the session.
 
-    Only a local master may run without that setting; it then gets one fresh folder
-    per application.
+    With a local master the setting may be missing; the session then gets a fresh folder, once.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
-    context = spark.sparkContext
-    if not context.master.startswith("local"):
+    if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("Set spark.checkpoint.dir to a folder that all executors share.")
-    app_id = context.applicationId
-    if app_id not in _local_roots:
-        _local_roots[app_id] = tempfile.mkdtemp(prefix="run-tagloom-", dir="/tmp")
-    return _local_roots[app_id]
+    spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="run-tagloom-", dir="/tmp"))
+    return staging_root(spark)
+
+
+def _application_root(spark: SparkSession) -> str:
+    return f"{staging_root(spark)}/tagloom/{spark.sparkContext.applicationId}"
 
 
 def staging_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the staging root."""
-    app_id = spark.sparkContext.applicationId
-    return f"{staging_root(spark)}/tagloom/{app_id}/{name}-{uuid.uuid4().hex[:12]}"
+    return f"{_application_root(spark)}/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def remove_staged(spark: SparkSession) -> None:
+    """Delete what this application has staged, when its results have been written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(_application_root(spark))
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage(df: DataFrame, name: str = "stage") -> DataFrame:
@@ -86,15 +96,3 @@ def stage(df: DataFrame, name: str = "stage") -> DataFrame:
     path = staging_path(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def small_table(df: DataFrame, max_rows: int = MAX_SMALL_ROWS) -> DataFrame:
-    """``df`` as a broadcast table if it has at most ``max_rows`` rows, else ``df`` itself.
-
-    Runs ``df``.  Meant for aggregates that are tiny by nature; should one grow past the
-    bound, the join falls back to a shuffle and stays right.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return df
-    return F.broadcast(df.sparkSession.createDataFrame(rows, df.schema))

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import LOGGED_METRICS
 from tagloom.labels import LabelSpace
 from tagloom.operators.metrics import benchmark_summary, confusion_matrix, per_class_prf
-from tagloom.operators.runlog import run_metrics
+from tagloom.operators.runlog import flatten_params, run_metrics
 from tagloom.schema import RESULT_RECORD, SUMMARY_DOCUMENT
 from tagloom.sources.corpus import is_absent, read_table
 
@@ -93,14 +93,38 @@ def read_result_records(spark: SparkSession, path: str) -> DataFrame:
     return records.withColumnRenamed("approach_name", "approach")
 
 
-def append_run_metrics(
+def write_run_metrics(
     summary: DataFrame,
     path: str,
+    run_id: str,
+    step: int = 0,
     tags: dict[str, str] | None = None,
     metrics: Sequence[str] = LOGGED_METRICS,
 ) -> None:
-    """Append one row per approach and metric, with the tags as constant columns."""
+    """One row per approach and metric of a run's step, with the tags as constant columns.
+
+    A run's step has a folder of its own, so writing it again replaces it.
+    """
     rows = run_metrics(summary, metrics)
     for name, value in (tags or {}).items():
         rows = rows.withColumn(name, F.lit(value))
-    rows.write.mode("append").parquet(path)
+    rows.write.mode("overwrite").parquet(f"{path}/metrics/run_id={run_id}/step={step}")
+
+
+def write_epoch_metrics(epochs: DataFrame, path: str, run_id: str) -> None:
+    """Losses of a run's epochs next to its other metrics, the epoch being the step."""
+    losses = epochs.select("epoch", "train_loss", "val_loss").unpivot(
+        "epoch", ["train_loss", "val_loss"], "metric", "value"
+    )
+    rows = losses.select(F.col("epoch").cast("bigint").alias("epoch"), "metric", "value")
+    rows.write.mode("overwrite").parquet(f"{path}/epochs/run_id={run_id}")
+
+
+def write_run_params(params: DataFrame, path: str, run_id: str) -> None:
+    """Parameters of a run as key and value text; ``params`` is one row, possibly nested."""
+    flatten_params(params).write.mode("overwrite").parquet(f"{path}/params/run_id={run_id}")
+
+
+def read_run_log(spark: SparkSession, path: str, part: str) -> DataFrame:
+    """``metrics``, ``epochs`` or ``params`` of all runs, with their ``run_id``."""
+    return read_table(spark, f"{path}/{part}", f"Run log {part}", _HINT)

@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tagloom.functions.matching import confidence, match_labels
 from tagloom.functions.prompts import prompt_for
 from tagloom.labels import LabelSpace
-from tagloom.operators.predict import Predictor, predict_batch
+from tagloom.operators.predict import BATCH_SIZE, Predictor, predict_batch
 from tagloom.operators.validate import validate_requests
 
 
@@ -21,7 +21,7 @@ def classify(
     key: str,
     labels: LabelSpace,
     bank: Column | None = None,
-    batch_size: int = 1,
+    batch_size: int = BATCH_SIZE,
 ) -> DataFrame:
     """One record per request with ``outcome`` ``response``, ``rejected`` or ``failed``.
 
@@ -64,6 +64,7 @@ def start_classify_stream(
     out_path: str,
     checkpoint_path: str,
     bank: Column | None = None,
+    batch_size: int = BATCH_SIZE,
     **trigger,
 ) -> StreamingQuery:
     """Classify a stream of requests into Parquet, one folder per outcome.
@@ -71,7 +72,7 @@ def start_classify_stream(
     A single exactly-once file sink holds responses and quarantine, so nothing is computed
     twice.
     """
-    records = classify(requests, factory, key, labels, bank)
+    records = classify(requests, factory, key, labels, bank, batch_size)
     return (
         records.writeStream.format("parquet")
         .partitionBy("outcome")

@@ -1,118 +1,103 @@
-"""Epoch roll-up of a loss stream, in two forms with the same result.
+"""Epoch roll-up of a loss stream, independent of how its rows are cut into files and batches.
 
-:func:`epoch_rollup_stream` keeps three numbers of state per run and suits many runs of
-modest rate.  :func:`start_epoch_rollup_folded` runs the batch operator on every
-micro-batch and folds in the open epochs of the one before; there a run may make up most of
-a large micro-batch.
+Every micro-batch is folded into what the last one left: per run a watermark, the number of closed
+epochs and the sums of the open one, and the rows behind the watermark's reach.  Rows are rolled up by the
+batch operator, which cuts a run into pieces, once their step is at least ``lateness`` below the highest
+seen of their run; until then they wait, so their order of arrival does not matter.  Rows that come later
+than that are kept apart and counted.  Without a ``lateness`` all rows wait, and any order is right.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tagloom.operators.runlog import add_epoch_sums, closed_epochs, epoch_sums
 
-OUTPUT = "run_id bigint, epoch bigint, n_steps bigint, train_loss double, val_loss double"
-STATE = "epoch bigint, total double, n bigint"
-
+# Steps a row may come late by default.
+LATENESS = 1_000_000
+ROW = "run_id bigint, step bigint, kind string, value double"
+CARRY = "run_id bigint, highest bigint, watermark bigint, closed bigint, n_steps bigint, total double"
 
-def _roll(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    epoch, total, n = state.get if state.exists else (0, 0.0, 0)
-    # "val" sorts before "train" at the same step, as in the batch operator.
-    rows = pd.concat(list(frames), ignore_index=True).sort_values(
-        ["step", "kind"], ascending=[True, False], kind="stable"
-    )
-    is_val = (rows["kind"] == "val").to_numpy()
-    local = pd.Series(is_val).shift(fill_value=False).cumsum().to_numpy()
-    sums = rows["value"].where(~is_val, 0.0).groupby(local).sum()
-    counts = pd.Series(~is_val).groupby(local).sum()
-    vals = rows["value"].where(is_val).groupby(local).max()
-    closed = int(is_val.sum())
-    if closed:
-        sums.iloc[0] += total
-        counts.iloc[0] += n
-        done = range(closed)
-        steps = counts.iloc[:closed].astype("int64").to_numpy()
-        yield pd.DataFrame(
-            {
-                "run_id": key[0],
-                "epoch": [epoch + 1 + i for i in done],
-                "n_steps": steps,
-                "train_loss": [
-                    float(s / c) if c else 0.0 for s, c in zip(sums.iloc[:closed], steps, strict=True)
-                ],
-                "val_loss": vals.iloc[:closed].to_numpy(),
-            }
-        )
-        epoch, total, n = epoch + closed, 0.0, 0
-    if len(sums) > closed:
-        total, n = total + float(sums.iloc[closed]), n + int(counts.iloc[closed])
-    state.update((epoch, total, n))
 
+def _read(spark: SparkSession, path: str, part: str, batch_id: int, schema: str) -> DataFrame:
+    if batch_id < 0:
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(f"{path}/{part}/batch_id={batch_id}")
 
-def epoch_rollup_stream(log: DataFrame) -> DataFrame:
-    """One row per validation report of a streaming ``(run_id, step, kind, value)`` log.
 
-    State per run is three numbers.  Within a micro-batch rows are ordered by step; steps
-    of a run must not arrive in an earlier micro-batch than their predecessors.  A run's
-    rows of one micro-batch are held in memory, which the source's rate limit bounds.
-    """
-    return log.groupBy("run_id").applyInPandasWithState(
-        _roll, OUTPUT, STATE, "append", GroupStateTimeout.NoTimeout
-    )
+def _write(df: DataFrame, path: str, part: str, batch_id: int) -> None:
+    df.write.mode("overwrite").parquet(f"{path}/{part}/batch_id={batch_id}")
 
 
-def start_epoch_rollup(
-    log: DataFrame, out_path: str, checkpoint_path: str, **trigger
-) -> StreamingQuery:
-    return (
-        epoch_rollup_stream(log)
-        .writeStream.format("parquet")
-        .option("path", out_path)
-        .option("checkpointLocation", checkpoint_path)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
+def _rolled(rows: DataFrame, carry: DataFrame) -> DataFrame:
+    """Epoch sums of rows that continue the runs in ``carry``, open epochs included."""
+    found = epoch_sums(rows)
+    starts = carry.select("run_id", "closed")
+    shifted = found.join(starts, "run_id", "left").withColumn(
+        "epoch", F.col("epoch") + F.coalesce("closed", F.lit(0))
+    )
+    # The epoch that each run had open, and the one it has open now.
+    had = carry.select("run_id", (F.col("closed") + 1).alias("epoch"), "n_steps", "total")
+    reports = found.groupBy("run_id").agg(F.sum("n_reports").alias("_reports"))
+    has = reports.join(starts, "run_id", "left").select(
+        "run_id", (F.col("_reports") + F.coalesce("closed", F.lit(0)) + 1).alias("epoch")
+    )
+    parts = shifted.drop("closed").unionByName(had, allowMissingColumns=True).unionByName(has, allowMissingColumns=True)
+    return add_epoch_sums(parts).select(
+        "run_id",
+        "epoch",
+        F.coalesce("n_steps", F.lit(0)).alias("n_steps"),
+        "total",
+        "val_loss",
+        F.coalesce("n_reports", F.lit(0)).alias("n_reports"),
     )
 
 
-def start_epoch_rollup_folded(
-    log: DataFrame, path: str, checkpoint_path: str, **trigger
+def start_epoch_rollup(
+    log: DataFrame, path: str, checkpoint_path: str, lateness: int | None = LATENESS, **trigger
 ) -> StreamingQuery:
-    """Roll up micro-batch by micro-batch into ``path``; read it with :func:`read_epochs`.
+    """Roll up a streaming ``(run_id, step, kind, value)`` log into ``path``.
 
-    Every micro-batch writes one folder of epoch sums, the open epoch of each run included,
-    and the next one starts from that folder.  A repeated micro-batch overwrites its own
-    folder, so results are exactly-once.
+    Read it with :func:`read_epochs` and :func:`late_rows`.  A repeated micro-batch overwrites its own
+    folders, so results are exactly-once.
     """
 
     def fold(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        found = epoch_sums(batch)
-        # The epoch that stays open, also when the batch ends with a report.
-        still_open = found.groupBy("run_id").agg((F.sum("n_reports") + 1).alias("epoch"))
-        parts = found.unionByName(still_open, allowMissingColumns=True)
-        if batch_id > 0:
-            before = spark.read.parquet(f"{path}/batch_id={batch_id - 1}").where("n_reports = 0")
-            starts = before.select("run_id", (F.col("epoch") - 1).alias("_closed"))
-            shifted = parts.join(starts, "run_id", "left").withColumn(
-                "epoch", F.col("epoch") + F.coalesce("_closed", F.lit(0))
-            )
-            parts = shifted.drop("_closed").unionByName(before)
-        sums = add_epoch_sums(parts).select(
-            "run_id",
-            "epoch",
-            F.coalesce("n_steps", F.lit(0)).alias("n_steps"),
-            "total",
-            "val_loss",
-            F.coalesce("n_reports", F.lit(0)).alias("n_reports"),
+        fresh = batch.where(F.col("kind").isin("train", "val")).selectExpr(
+            "cast(run_id AS bigint) AS run_id", "cast(step AS bigint) AS step", "kind", "cast(value AS double) AS value"
+        )
+        carry = _read(spark, path, "carry", batch_id - 1, CARRY)
+        marks = carry.select("run_id", F.col("watermark").alias("_mark"))
+        is_late = F.col("step") <= F.coalesce("_mark", F.lit(-(1 << 62)))
+        marked = fresh.join(marks, "run_id", "left").withColumn("_late", is_late).drop("_mark")
+        _write(marked.where("_late").drop("_late"), path, "late", batch_id)
+        waiting = _read(spark, path, "waiting", batch_id - 1, ROW)
+        rows = waiting.unionByName(marked.where("NOT _late").drop("_late"))
+        tops = rows.groupBy("run_id").agg(F.max("step").alias("_top"))
+        highest = F.greatest("_top", "highest")
+        reach = F.lit(None).cast("bigint") if lateness is None else highest - F.lit(lateness)
+        now = tops.join(carry.select("run_id", "highest", "watermark"), "run_id", "full").select(
+            "run_id", highest.alias("highest"), F.greatest("watermark", reach).alias("watermark")
+        )
+        ripe = F.col("step") <= F.coalesce("_mark", F.lit(-(1 << 62)))
+        reached = rows.join(now.select("run_id", F.col("watermark").alias("_mark")), "run_id").withColumn("_ripe", ripe).drop("_mark")
+        _write(reached.where("NOT _ripe").drop("_ripe"), path, "waiting", batch_id)
+        _write(_rolled(reached.where("_ripe").drop("_ripe"), carry), path, "sums", batch_id)
+        sums = spark.read.parquet(f"{path}/sums/batch_id={batch_id}")
+        still_open = sums.where("n_reports = 0").select(
+            "run_id", (F.col("epoch") - 1).alias("closed"), "n_steps", "total"
+        )
+        _write(
+            now.join(still_open, "run_id", "left").select(
+                "run_id", "highest", "watermark", F.coalesce("closed", F.lit(0)).alias("closed"), F.coalesce("n_steps", F.lit(0)).alias("n_steps"), "total"
+            ),
+            path,
+            "carry",
+            batch_id,
         )
-        sums.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     return (
         log.writeStream.foreachBatch(fold)
@@ -122,6 +107,22 @@ def start_epoch_rollup_folded(
     )
 
 
-def read_epochs(spark: SparkSession, path: str) -> DataFrame:
-    """Closed epochs written by :func:`start_epoch_rollup_folded`."""
-    return closed_epochs(spark.read.parquet(path))
+def _last_batch(spark: SparkSession, path: str) -> int:
+    # The carried rows, one a run and batch, know the batches.
+    last = spark.read.parquet(f"{path}/carry").agg(F.max("batch_id")).first()[0]
+    return -1 if last is None else int(last)
+
+
+def read_epochs(spark: SparkSession, path: str, provisional: bool = True) -> DataFrame:
+    """Closed epochs; ``provisional`` also rolls up the rows that still wait."""
+    closed = closed_epochs(spark.read.parquet(f"{path}/sums"))
+    if not provisional:
+        return closed
+    last = _last_batch(spark, path)
+    carry = _read(spark, path, "carry", last, CARRY)
+    return closed.unionByName(closed_epochs(_rolled(_read(spark, path, "waiting", last, ROW), carry)))
+
+
+def late_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows that came too late to be counted."""
+    return spark.read.schema(ROW).parquet(f"{path}/late")

@@ -134,25 +134,37 @@ def test_exact_percentile_matches_numpy(spark):
     }
     rows = [(name, float(v)) for name, values in groups.items() for v in values]
     df = spark.createDataFrame(rows, "approach string, x double").repartition(7)
-    for max_ranked in (100, 1_000_000):
-        for fraction in (0.0, 0.5, 0.95, 1.0):
-            found = {
-                r.approach: r.percentile
-                for r in metrics.exact_percentile(df, "x", fraction, max_ranked=max_ranked).collect()
-            }
-            for name, values in groups.items():
-                expected = np.percentile(values, fraction * 100)
-                assert found[name] == pytest.approx(expected, rel=1e-12), (name, fraction)
-
-
-def test_exact_percentile_past_the_broadcast_bound(spark, monkeypatch):
-    import tagloom.session
-
-    monkeypatch.setattr(tagloom.session.small_table, "__defaults__", (2,))
-    rows = [(f"g{g}", float(v)) for g in range(5) for v in range(g + 1)]
-    df = spark.createDataFrame(rows, "approach string, x double")
-    found = {r.approach: r.percentile for r in metrics.exact_percentile(df, "x", 0.95).collect()}
-    assert found == {f"g{g}": pytest.approx(np.percentile(range(g + 1), 95)) for g in range(5)}
+    for fraction in (0.0, 0.5, 0.95, 1.0):
+        found = {r.approach: r.percentile for r in metrics.exact_percentile(df, "x", fraction).collect()}
+        for name, values in groups.items():
+            expected = np.percentile(values, fraction * 100)
+            assert found[name] == pytest.approx(expected, rel=1e-12), (name, fraction)
+
+
+def test_exact_percentile_of_special_values_is_that_of_spark(spark):
+    rng = random.Random(8)
+    special = [float("nan"), float("inf"), float("-inf"), 0.0, -0.0]
+    rows = [
+        (f"g{g}", rng.choice(special) if rng.random() < g / 8 else rng.gauss(0, 1)) for g in range(8) for _ in range(40 + g)
+    ]
+    df = spark.createDataFrame(rows + [("none", None)], "approach string, x double")
+    for fraction in (0.0, 0.05, 0.5, 0.95, 1.0):
+        found = {r.approach: r.percentile for r in metrics.exact_percentile(df, "x", fraction).collect()}
+        expected = {r.approach: r.p for r in df.where("x IS NOT NULL").groupBy("approach").agg(F.percentile("x", fraction).alias("p")).collect()}
+        assert found == {k: pytest.approx(v, nan_ok=True) for k, v in expected.items()}, fraction
+
+
+def test_approximate_latencies_are_near(spark):
+    df = spark.range(20_000).selectExpr("'a' AS approach", "cast(id AS double) AS latency_ms")
+    row = metrics.latency_stats(df, approximate=True).first()
+    assert (row.mean_latency_ms, row.p95_latency_ms) == (pytest.approx(9999.5), pytest.approx(18_999, abs=5))
+
+
+def test_sparse_cells_of_a_large_label_space(spark):
+    df = spark.createDataFrame([("m", "l1", "l2"), ("m", "l1", "l2"), ("m", "l3", "zzz")], "approach string, truth string, prediction string")
+    labels = LabelSpace(f"l{n}" for n in range(12_000))
+    found = metrics.confusion_cells(metrics.cells(df), labels).collect()
+    assert [tuple(r) for r in found] == [("m", "l1", "l2", 2)]
 
 
 def test_token_cost(spark):

@@ -1,17 +1,22 @@
 from __future__ import annotations
 
+import time
+from functools import partial
+
 import pytest
 from pyspark.sql import functions as F
 
+from tagloom.functions.prompts import few_shot_prompt
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
 from tagloom.operators import predict
-from tagloom.operators.bank import collect_bank, few_shot_bank
+from tagloom.operators.bank import few_shot_bank, with_bank
 from tagloom.operators.classifier import (
     load_classifier,
     predict_with,
     save_classifier,
     train_text_classifier,
 )
+from tagloom.operators.naive_bayes import predict_naive_bayes, train_naive_bayes
 from tagloom.operators.split import stratified_split
 from tagloom.plans import evaluate
 from tagloom.session import stage
@@ -46,6 +51,70 @@ def test_failing_rows_are_recorded_or_raised(spark):
         predict.predict_batch(df, Upper, "upper").collect()
 
 
+def test_rows_of_a_failed_call_are_sent_again(spark):
+    df = spark.range(20).select("id", F.when(F.col("id") == 7, "boom").otherwise(F.concat(F.lit("p"), "id")).alias("prompt"))
+    rows = predict.predict_batch(df.coalesce(1), Upper, "upper", batch_size=20, record_errors=True).collect()
+    assert [r.id for r in rows if r.error] == [7]
+    assert {r.raw_output for r in rows if not r.error} == {f"P{n}" for n in range(20) if n != 7}
+
+
+class Sleepy:
+    def __init__(self, answer):
+        self.answer = answer
+
+    def __call__(self, prompts):
+        time.sleep(0.05 if "slow" in prompts[0] else 0.0)
+        return [self.answer] * len(prompts)
+
+
+def test_two_factories_of_one_name_are_kept_apart(spark):
+    df = spark.createDataFrame([("a",)], "prompt string")
+    found = [predict.predict_batch(df, partial(Sleepy, x), "same").first().raw_output for x in ("one", "two")]
+    assert found == ["one", "two"]
+
+
+def test_latencies_are_those_of_the_calls(spark):
+    samples = spark.range(40).select(
+        F.col("id").alias("sample_id"), F.when(F.col("id") < 4, "slow").otherwise("quick").alias("instruction"), F.lit("review").alias("intent")
+    )
+    one = {"zero_shot": lambda df: predict.predict_batch(df, partial(Sleepy, "review"), "s", "instruction", batch_size=1)}
+    row = evaluate.three_way_benchmark(samples, one, DEFAULT_SPACE, ["zero_shot"]).first()
+    assert row.total_samples == 40 and row.accuracy == 1.0
+    assert row.p95_latency_ms > 2 * row.mean_latency_ms
+
+
+def test_nearest_example_in_blocks(spark, monkeypatch):
+    bank = spark.createDataFrame(
+        [("b", ["red cat", "big dog"]), ("a", ["red cat sat", "dog"]), ("c", [])], "intent string, examples array<string>"
+    )
+    rows = spark.createDataFrame([(1, "the red cat"), (2, "dog"), (3, "none here"), (4, None), (5, "red cat")], "id int, instruction string")
+    expected = {1: ("b", 2 / 3), 2: ("a", 1.0), 3: ("a", 0.0), 4: ("a", 0.0), 5: ("b", 1.0)}
+    for words in (2_000_000, 2):
+        monkeypatch.setattr(predict, "BLOCK_WORDS", words)
+        found = {r.id: (r.raw_output, r.similarity) for r in predict.few_shot_nearest(rows, bank).collect()}
+        assert found == {k: (a, pytest.approx(b)) for k, (a, b) in expected.items()}
+    empty = predict.few_shot_nearest(rows, bank.where("intent = 'c'")).first()
+    assert (empty.raw_output, empty.similarity) == ("unknown", 0.0)
+
+
+def test_naive_bayes(spark):
+    train = spark.createDataFrame(
+        [("a", "red red cat"), ("a", "cat"), ("b", "dog big"), ("b", None), ("x", "dog")], "intent string, instruction string"
+    )
+    labels = LabelSpace(["a", "b", "c"])
+    model = train_naive_bayes(train, labels)
+    rows = spark.createDataFrame([(1, "a red cat"), (2, "big dog"), (3, "words unseen"), (4, None)], "row_id int, instruction string")
+    found = {r.row_id: r.raw_output for r in predict_naive_bayes(rows, model, "row_id").collect()}
+    assert found == {1: "a", 2: "b", 3: "a", 4: "a"}
+
+
+def test_large_bank_is_built_into_prompts(spark):
+    bank = spark.createDataFrame([("a", ["x" * 17_000_000])], "intent string, examples array<string>")
+    rows = with_bank(spark.createDataFrame([(1, "hello")], "row_id int, instruction string"), bank)
+    prompt = few_shot_prompt(F.col("instruction"), F.col("row_id"), F.col("_bank"), LabelSpace(["a"]))
+    assert rows.select(F.length(prompt).alias("n")).first().n > 17_000_000
+
+
 def test_lexical_prediction_in_both_forms(spark):
     texts = [
         "I want to track my order",
@@ -64,7 +133,8 @@ def test_lexical_prediction_in_both_forms(spark):
 
 
 def test_nearest_example(spark):
-    bank = {"a": ["red green blue", "x"], "b": ["red green"], "c": []}
+    kind = "intent string, examples array<string>"
+    bank = spark.createDataFrame([("a", ["red green blue", "x"]), ("b", ["red green"]), ("c", [])], kind)
     df = spark.createDataFrame(
         [(1, "green red"), (2, "blue"), (3, "nothing"), (4, None)], "id int, instruction string"
     )
@@ -73,7 +143,8 @@ def test_nearest_example(spark):
     assert (rows[2].raw_output, rows[2].similarity) == ("a", pytest.approx(1 / 3))
     assert (rows[3].raw_output, rows[3].similarity) == ("a", 0.0)
     assert (rows[4].raw_output, rows[4].similarity) == ("a", 0.0)
-    assert predict.few_shot_nearest(df, {"a": []}).first().raw_output == "unknown"
+    none = spark.createDataFrame([("a", [])], kind)
+    assert predict.few_shot_nearest(df, none).first().raw_output == "unknown"
 
 
 @pytest.mark.parametrize("algorithm", ["naive_bayes", "logistic"])
@@ -104,7 +175,7 @@ def test_three_approaches_end_to_end(spark, corpus):
         F.col("row_id").alias("sample_id"), "instruction", "intent"
     )
     approaches = evaluate.default_approaches(
-        DEFAULT_SPACE, collect_bank(few_shot_bank(train)), lambda: train_text_classifier(train)
+        DEFAULT_SPACE, few_shot_bank(train), lambda: train_text_classifier(train)
     )
     rows = {r.approach: r for r in evaluate.three_way_benchmark(samples, approaches, DEFAULT_SPACE).collect()}
     assert set(rows) == {"zero_shot", "few_shot", "fine_tuned"}

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
-from tagloom.operators.bank import collect_bank, few_shot_bank
+from tagloom.operators.bank import few_shot_bank
 from tagloom.operators.report import align_parallel_arrays
 from tagloom.operators.split import stratified_split
 from tagloom.session import stage, staging_path, staging_root
@@ -17,6 +17,10 @@ from tagloom.sources import jsonl, results
 
 LABELS = LabelSpace(["a", "b"])
 
+def bank_of(bank):
+    return {r.intent: list(r.examples) for r in bank.collect()}
+
+
 
 def lines(path):
     return [
@@ -100,8 +104,8 @@ def test_bank_roundtrip_keeps_empty_lists(spark, tmp_path, corpus):
     bank = few_shot_bank(corpus.where("intent <> 'review'"))
     jsonl.write_example_bank(bank, str(tmp_path / "b"))
     assert [r["intent"] for r in lines(tmp_path / "b")] == list(DEFAULT_SPACE)
-    back = collect_bank(jsonl.read_example_bank(spark, str(tmp_path / "b")))
-    assert back == collect_bank(bank) and back["review"] == []
+    back = bank_of(jsonl.read_example_bank(spark, str(tmp_path / "b")))
+    assert back == bank_of(bank) and back["review"] == []
 
 
 def predictions(spark):
@@ -156,15 +160,21 @@ def test_indented_documents_are_read(spark, tmp_path):
         results.read_summary_json(spark, str(tmp_path / "gone.json"))
 
 
-def test_run_metrics_are_appended(spark, tmp_path):
+def test_run_log_keeps_runs_apart_and_replaces_repeats(spark, tmp_path):
     path = str(tmp_path / "m")
     results.write_results(predictions(spark), LABELS, f"{path}/r")
     summary = results.read_summary(spark, f"{path}/r")
-    results.append_run_metrics(summary, f"{path}/log", {"framework": "spark-ml"})
-    results.append_run_metrics(summary, f"{path}/log", {"framework": "spark-ml"})
-    log = spark.read.parquet(f"{path}/log")
-    assert log.count() == 40
-    assert log.where("metric = 'accuracy' AND approach = 'zero_shot'").first().value == 0.5
+    for run, step in (("one", 0), ("one", 1), ("two", 0), ("one", 0)):
+        results.write_run_metrics(summary, f"{path}/log", run, step, {"framework": "spark-ml"})
+    log = results.read_run_log(spark, f"{path}/log", "metrics")
+    assert log.groupBy("run_id", "step").count().count() == 3 and log.count() == 60
+    assert log.where("metric = 'accuracy' AND approach = 'zero_shot' AND run_id = 'two'").first().value == 0.5
+    epochs = spark.createDataFrame([(1, 2.0, 1.5), (2, 1.0, 0.5)], "epoch long, train_loss double, val_loss double")
+    for _ in range(2):
+        results.write_epoch_metrics(epochs, f"{path}/log", "one")
+    assert results.read_run_log(spark, f"{path}/log", "epochs").where("metric = 'val_loss'").count() == 2
+    with pytest.raises(FileNotFoundError):
+        results.read_run_log(spark, f"{path}/nowhere", "metrics")
 
 
 def test_staged_table_keeps_its_schema(spark):
@@ -173,7 +183,12 @@ def test_staged_table_keeps_its_schema(spark):
     assert staging_path(spark, "x") != staging_path(spark, "x")
 
 
+class Settings(dict):
+    set = dict.__setitem__
+
+
 def session_like(conf, master):
+    conf = Settings(conf)
     context = SimpleNamespace(master=master, applicationId="app-1")
     return SimpleNamespace(conf=conf, sparkContext=context)
 

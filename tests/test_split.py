@@ -8,13 +8,17 @@ from math import floor
 import pytest
 from pyspark.sql import functions as F
 
-from tagloom.labels import DEFAULT_SPACE, LabelSpace
+from tagloom.labels import DEFAULT_SPACE, LabelSpace, label_table
 from tagloom.operators import audit
-from tagloom.operators.bank import collect_bank, few_shot_bank
+from tagloom.operators.bank import few_shot_bank
 from tagloom.operators.split import cut_points, hash_split, stratified_split
 
 SCHEMA = "row_id bigint, instruction string, intent string"
 
+def bank_of(bank):
+    return {r.intent: list(r.examples) for r in bank.collect()}
+
+
 
 def brute_force(rows, seed=42):
     """Split of each row by sorting every label's rows."""
@@ -51,8 +55,8 @@ def test_split_matches_brute_force_with_a_hot_label(spark):
 def test_result_does_not_depend_on_the_bucket_size(spark, monkeypatch):
     rows = [(i, f"text {i}", "hot") for i in range(3000)] + [(9000 + i, f"o {i}", "rare") for i in range(7)]
     df = spark.createDataFrame(rows, SCHEMA)
-    for bucket_rows in (1, 10, 200):
-        monkeypatch.setattr("tagloom.operators.split._BUCKET_ROWS", bucket_rows)
+    for digits in (1, 2, 5):
+        monkeypatch.setattr("tagloom.operators.split._BUCKET_DIGITS", digits)
         assert {r.row_id: r.split for r in stratified_split(df).collect()} == brute_force(rows)
 
 
@@ -144,23 +148,40 @@ def test_profile_counts_ignore_nulls(spark):
 
 
 def test_bank_has_five_examples_per_label_and_none_without_rows(spark, corpus):
-    bank = collect_bank(few_shot_bank(corpus.where("intent <> 'review'")))
+    bank = bank_of(few_shot_bank(corpus.where("intent <> 'review'")))
     assert sorted(bank) == list(DEFAULT_SPACE)
     assert bank["review"] == []
     assert all(len(set(v)) == 5 for k, v in bank.items() if k != "review")
-    assert bank == collect_bank(few_shot_bank(corpus.where("intent <> 'review'").repartition(5)))
+    assert bank == bank_of(few_shot_bank(corpus.where("intent <> 'review'").repartition(5)))
 
 
 def test_bank_takes_what_there_is(spark, corpus):
     small = corpus.where("row_id % 10 < 2")
-    bank = collect_bank(few_shot_bank(small))
+    bank = bank_of(few_shot_bank(small))
     assert {len(v) for v in bank.values()} == {2}
 
 
-def test_oversized_bank_is_refused(spark):
-    bank = spark.createDataFrame([("a", ["x" * 17_000_000])], "intent string, examples array<string>")
-    with pytest.raises(ValueError, match="too large"):
-        collect_bank(bank)
+def test_many_labels_need_no_bound(spark):
+    rows = spark.range(60_000).selectExpr(
+        "concat('l', lpad(cast(id % 20000 AS string), 5, '0')) AS intent", "concat('text ', id) AS instruction", "id AS row_id"
+    )
+    found = {r.split: r["count"] for r in stratified_split(rows).groupBy("split").count().collect()}
+    # With three rows a label, some have none to spare for the last split.
+    assert found["train"] == 42_000
+    assert found["val"] + found["test"] == 18_000 and min(found.values()) >= 8_000
+    ids = label_table(rows, "intent")
+    assert ids.count() == 20_000
+    assert ids.where("intent = 'l00777'").first().label_id == 777
+    labels = LabelSpace.from_column(rows, "intent")
+    bank = few_shot_bank(rows, labels, n=2)
+    assert bank.where("size(examples) = 2").count() == 20_000
+
+
+def test_bank_ranks_without_texts_and_keeps_copies(spark):
+    rows = spark.createDataFrame([("a", "same")] * 4 + [("a", "other"), ("b", "x")], "intent string, instruction string")
+    bank = bank_of(few_shot_bank(rows, LabelSpace(["a", "b", "c"]), n=5))
+    assert sorted(bank["a"]) == ["other", "same", "same", "same", "same"]
+    assert (bank["b"], bank["c"]) == (["x"], [])
 
 
 def test_empty_input_gives_empty_split(spark):

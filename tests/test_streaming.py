@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import pytest
 from pyspark.sql import functions as F
 
 from tagloom.functions.prompts import bank_literal
@@ -8,7 +9,7 @@ from tagloom.operators.predict import LexicalPredictor
 from tagloom.operators.runlog import epoch_rollup
 from tagloom.schema import REQUEST, RUN_LOG
 from tagloom.streaming.classify import classify, start_classify_stream
-from tagloom.streaming.rollup import read_epochs, start_epoch_rollup, start_epoch_rollup_folded
+from tagloom.streaming.rollup import late_rows, read_epochs, start_epoch_rollup
 
 LABELS = LabelSpace(["get_refund", "track_order"])
 BANK = {"get_refund": ["money back"], "track_order": ["where is it"]}
@@ -69,7 +70,13 @@ def test_classify_stream_over_several_batches(spark, tmp_path):
     check(spark.read.parquet(out).collect())
 
 
-def test_rollup_stream_equals_batch(spark, tmp_path):
+def rolled(df):
+    return sorted((r.run_id, r.epoch, r.n_steps, round(r.train_loss, 9), r.val_loss) for r in df.collect())
+
+
+@pytest.mark.parametrize("lateness", [None, 0, 200])
+@pytest.mark.parametrize("in_order", [True, False])
+def test_rollup_stream_equals_batch(spark, tmp_path, lateness, in_order):
     rows = [
         (run, step, "val" if (step * 7 + run) % 5 == 0 else "train", float((step * run) % 11))
         for run in range(1, 4)
@@ -77,40 +84,37 @@ def test_rollup_stream_equals_batch(spark, tmp_path):
     ]
     log = spark.createDataFrame(rows, RUN_LOG)
     source = tmp_path / "in"
-    # Four files in step order; each becomes one micro-batch.
-    for part in range(4):
-        piece = log.where(F.col("step").between(part * 30, part * 30 + 29))
+    # Four files, each of which becomes one micro-batch: a range of steps, or every fourth step.
+    for part in (0, 1, 2, 3) if in_order else (2, 0, 3, 1):
+        piece = log.where(F.col("step").between(part * 30, part * 30 + 29) if in_order else F.col("step") % 4 == part)
         piece.coalesce(1).write.mode("append").parquet(str(source))
     stream = spark.readStream.schema(RUN_LOG).option("maxFilesPerTrigger", 1).parquet(str(source))
     out = str(tmp_path / "out")
-    query = start_epoch_rollup(stream, out, str(tmp_path / "progress"))
+    query = start_epoch_rollup(stream, out, str(tmp_path / "progress"), lateness)
     query.awaitTermination()
     assert len([p for p in query.recentProgress if p["numInputRows"]]) == 4
-
-    def shape(df):
-        return sorted((r.run_id, r.epoch, r.n_steps, round(r.train_loss, 9), r.val_loss) for r in df.collect())
-
-    assert shape(spark.read.parquet(out)) == shape(epoch_rollup(log))
-    folded = str(tmp_path / "folded")
-    query = start_epoch_rollup_folded(stream, folded, str(tmp_path / "folded-progress"))
-    query.awaitTermination()
-    assert shape(read_epochs(spark, folded)) == shape(epoch_rollup(log))
+    late = late_rows(spark, out).count()
+    if in_order or lateness != 0:
+        assert late == 0
+        assert rolled(read_epochs(spark, out)) == rolled(epoch_rollup(log))
+        assert set(rolled(read_epochs(spark, out, provisional=False))) <= set(rolled(epoch_rollup(log)))
+    else:
+        # What came late is kept apart, and the rest is what the batch gives without it.
+        assert late > 0
+        in_time = log.exceptAll(late_rows(spark, out))
+        assert rolled(read_epochs(spark, out)) == rolled(epoch_rollup(in_time))
 
 
 def test_rollup_stream_resumes_from_its_checkpoint(spark, tmp_path):
     source, out, progress = (str(tmp_path / name) for name in ("in", "out", "progress"))
 
-    folded = str(tmp_path / "folded")
-
     def feed(rows):
         spark.createDataFrame(rows, RUN_LOG).coalesce(1).write.mode("append").parquet(source)
         stream = spark.readStream.schema(RUN_LOG).parquet(source)
         start_epoch_rollup(stream, out, progress).awaitTermination()
-        start_epoch_rollup_folded(stream, folded, f"{folded}-progress").awaitTermination()
 
     feed([(1, 0, "train", 2.0), (1, 1, "train", 4.0), (2, 0, "val", 3.0)])
     feed([(1, 2, "train", 6.0), (1, 3, "val", 1.0), (1, 4, "train", 8.0)])
     feed([(1, 5, "val", 0.5), (1, 6, "val", 0.25)])
-    rows = sorted(tuple(r) for r in spark.read.parquet(out).collect())
+    rows = sorted(tuple(r) for r in read_epochs(spark, out).collect())
     assert rows == [(1, 1, 3, 4.0, 1.0), (1, 2, 1, 8.0, 0.5), (1, 3, 0, 0.0, 0.25), (2, 1, 0, 0.0, 3.0)]
-    assert sorted(tuple(r) for r in read_epochs(spark, folded).collect()) == rows
