@@ -125,4 +125,4 @@ def read_epochs(spark: SparkSession, path: str, provisional: bool = True) -> Dat
 
 def late_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows that came too late to be counted."""
-    return spark.read.schema(ROW).parquet(f"{path}/late")
+    return spark.read.schema(ROW).parquet(f"{path}/late").drop("batch_id")

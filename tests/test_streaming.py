@@ -19,7 +19,7 @@ def predictor():
     inner = LexicalPredictor(tuple(LABELS), marker="Customer message: ")
 
     def call(prompts):
-        if "boom" in prompts[0]:
+        if any("boom" in prompt for prompt in prompts):
             raise RuntimeError("no answer")
         return inner(prompts)
 
