@@ -21,7 +21,7 @@ copies; rows with the same id count as one document.  Rows with a null id keep t
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +41,7 @@ CHUNK_SHINGLES = 2_000_000
 # Bits of the bitmap that tells which texts may have a candidate.
 MARKS = 1 << 25
 # Bytes of text hashed at once; bounds the memory of a task.
-PIECE_BYTES = 1 << 21
+PIECE_BYTES = 1 << 19
 SEED = 20_240_501
 
 _U = np.uint64
@@ -89,7 +89,7 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
+def shingle_sets(texts: Iterable[bytes], size: int) -> list[np.ndarray]:
     """Sorted distinct 64-bit shingles of each text, words lower-cased (A-Z only)."""
     sets: list[np.ndarray] = []
     piece: list[bytes] = []
@@ -179,7 +179,7 @@ def _sign(size: int):
         band_of = np.arange(BANDS, dtype=_U)
         for batch in batches:
             ids = batch.column(0)
-            sets = shingle_sets([t or b"" for t in batch.column(1).to_pylist()], size)
+            sets = shingle_sets((t.as_py() or b"" for t in batch.column(1)), size)
             keys, bits, bands = [], [], []
             for shingles in sets:
                 lowest = minima(shingles)
