@@ -34,9 +34,16 @@ BUCKET_DIGITS = 3
 Knots = list[tuple[float, float]]
 
 
-def ranked_sources(docs: DataFrame, text_col: str = "text", source_col: str = "source") -> DataFrame:
+def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
+    """Id, source and size in words of every document, stored: the texts are read once."""
+    rows = docs.select(
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
+    )
+    return stage(rows, "sized")
+
+
+def ranked_sources(sized: DataFrame) -> DataFrame:
     """Every source with its size in words and its rank by code point, null last."""
-    sized = docs.select(F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"))
     sums = sized.groupBy("source").agg(F.sum("size").alias("source_size"))
     return numbered(sums, [F.col("source").isNull(), F.col("source")], "rank")
 
@@ -119,25 +126,19 @@ def target_sizes(sources: DataFrame, budget: int | None = None, max_passes: int
 
 
 def plan_mix(
-    docs: DataFrame,
-    sources: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    max_passes: int = MAX_PASSES,
-    seed: str = SEED,
+    sized: DataFrame, sources: DataFrame, max_passes: int = MAX_PASSES, seed: str = SEED
 ) -> DataFrame:
     """One row per document: id, size, source's size and target, occurrences and words taken.
 
-    ``sources`` comes from :func:`target_sizes`.  ``occurrences`` lists pass, position (0 to 1) and
+    ``sized`` comes from :func:`sized`, ``sources`` from :func:`target_sizes`.  ``occurrences`` lists pass, position (0 to 1) and
     words of each time the document is trained on.
     """
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     # A struct key is never null, so a null source needs no special join.
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"),
-        F.struct(F.col(source_col).isNull().alias("none"), F.coalesce(source_col, F.lit("")).alias("name")).alias("key"),
-        word_count(F.col(text_col)).alias("size"),
+    rows = sized.select(
+        "doc_id",
+        F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"),
+        "size",
         digest.alias("draw"),
         F.substring(digest, 1, BUCKET_DIGITS).alias("bucket"),
     )
@@ -187,9 +188,9 @@ def curriculum(
     **columns: str,
 ) -> DataFrame:
     """Plan the mix of ``docs``; ``weigh`` adds ``knots`` to the ranked sources."""
-    named = {k: v for k, v in columns.items() if k != "id_col"}
-    sources = target_sizes(with_integrals(weigh(ranked_sources(docs, **named))), budget, max_passes)
-    return plan_mix(docs, sources, max_passes=max_passes, **columns)
+    rows = sized(docs, **columns)
+    sources = target_sizes(with_integrals(weigh(ranked_sources(rows))), budget, max_passes)
+    return plan_mix(rows, sources, max_passes)
 
 
 def training_order(plan: DataFrame) -> DataFrame:
