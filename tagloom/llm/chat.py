@@ -167,17 +167,15 @@ def turns_of_records(records: DataFrame, id_col: str = "conv_id", record_col: st
 
 
 def turns_of_rows(rows: DataFrame) -> DataFrame:
-    """Canonical turns of a table whose schema selects a one-row layout."""
+    """Canonical turns of a table whose schema selects a one-row layout; roles stay as they are."""
     mark, mapping = select_mapping(type_paths(rows.schema))
     if mapping is None or not mapping.row:
         raise ValueError(f"No mapping for rows with the fingerprint {mark}.")
     conv_id, turn, role, text = (F.col(c) for c in mapping.row)
-    names = F.create_map(*[F.lit(x) for pair in ROLE_NAMES.items() for x in pair])
-    plain = F.coalesce(role, F.lit(""))
     return rows.select(
         conv_id.cast("long").alias("conv_id"),
         turn.cast("long").alias("turn"),
-        F.coalesce(F.try_element_at(names, plain), plain).alias("role"),
+        F.coalesce(role, F.lit("")).alias("role"),
         F.coalesce(text, F.lit("")).alias("text"),
         F.lit(mapping.name).alias("layout"),
         F.lit(mark).alias("fingerprint"),

@@ -23,7 +23,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACE_PATTERN, WORD_PATTERN, numbered, running_sum, word_count
+from tagloom.llm.common import SPACE_PATTERN, WORD_PATTERN, running_sum, word_count
+from tagloom.operators.ordering import numbered
 from tagloom.session import stage
 
 MAX_PASSES = 3
