@@ -198,11 +198,15 @@ def to_parallel_arrays(
 def align_parallel_arrays(records: DataFrame) -> DataFrame:
     """One row per prediction from parallel lists.
 
-    Short lists are padded: texts with the empty string, latency with null.  Adds
+    Short and missing lists are padded: texts with the empty string, latency with null.  Adds
     ``correct`` and rounds the latency to one decimal.
     """
     keys = [c for c in records.columns if c not in PARALLEL_LISTS]
-    rows = records.select(
+    # A null list would make the whole zip null.
+    lists = {
+        c: F.coalesce(c, F.array().cast(records.schema[c].dataType)).alias(c) for c in PARALLEL_LISTS
+    }
+    rows = records.select(*keys, *lists.values()).select(
         *keys,
         F.size("predictions").alias("_length"),
         F.posexplode(F.arrays_zip(*PARALLEL_LISTS)).alias("position", "_row"),

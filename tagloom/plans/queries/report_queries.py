@@ -238,6 +238,7 @@ def read_result_records(t):
         return F.when(F.col("shard") % every == rest, F.slice(column, 1, length)).otherwise(F.col(column))
 
     documents = packed.select(
+        F.concat_ws("-", "approach", "shard").alias("document"),
         F.col("approach").alias("approach_name"),
         short("input_texts", 3, 0, 2).alias("input_texts"),
         F.when(F.col("shard") % 4 != 1, F.col("raw_outputs")).alias("raw_outputs"),
@@ -246,9 +247,9 @@ def read_result_records(t):
         F.when(F.col("shard") % 5 != 2, F.col("latencies_ms")).alias("latencies_ms"),
     )
     path = staging_path(t.spark, "records")
-    # A document a folder entry, as separate evaluations leave them.
-    documents.repartition("approach_name", F.size("predictions")).write.option("maxRecordsPerFile", 1).json(path)
-    records = results.read_result_records(t.spark, path)
+    # One document a file, as separate evaluations leave them.
+    documents.repartition("document").write.partitionBy("document").json(path)
+    records = results.read_result_records(t.spark, path).drop("document")
     return report.align_parallel_arrays(records).drop("position")
 
 
