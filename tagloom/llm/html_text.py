@@ -1,12 +1,15 @@
 """Main text of web pages by text density.
 
 The standard library's parser streams over a page.  Its events make lines, one per block element, each with
-its text, its number of tags and the article or parent element it lies in.  The text-to-tag ratios of the lines are
-smoothed with a Gaussian, and splitting them into two clusters gives a threshold; lines above it mark the
-content regions.  A region is taken whole: all lines of the articles it touches, or without articles of
-the parent elements it touches, so short paragraphs between long ones stay.  Lines of menus, page heads and
-feet, sidebars, notices, adverts, forms, scripts, styles and reader comments count with ratio 0 and are
-never taken.
+its text, its number of tags and links and the element it lies in.  The text-to-tag ratios of the lines are
+smoothed with a Gaussian, and splitting them into two clusters gives a threshold; lines above it by
+themselves mark the content regions, on pages with articles as on others.  A region is taken whole: the
+outermost article around such a line, or outside articles its parent element, so short paragraphs between
+long ones stay; without a region in an article, so is each line that smoothing lifts above the
+threshold.  Text in links counts with ratio 0, and a block in a region with two links or more, most of its
+text in them and no dense line is left out, also a list of references made of links alone.  Lines of
+menus, page heads and feet, sidebars, notices, adverts, forms, scripts, styles and reader comments count
+with ratio 0 and are never taken.
 
 Character references are decoded, runs of ASCII white space become one space and the lines are joined by one
 space.  Null and empty pages give an empty text, as do pages without any text.  Repeated rows and null ids are
@@ -47,32 +50,37 @@ _ARTICLES = frozenset(("article", "main"))
 
 
 class _Line:
-    __slots__ = ("parts", "tags", "skipped", "article", "parent")
+    __slots__ = ("parts", "tags", "links", "linked", "depth", "element")
 
-    def __init__(self, skipped: bool, article: int, parent: int):
+    def __init__(self, depth: int, element: int):
         self.parts: list[str] = []
-        self.tags = 0
-        self.skipped, self.article, self.parent = skipped, article, parent
+        self.tags = self.links = self.linked = 0
+        self.depth, self.element = depth, element
+
+
+class _Element:
+    __slots__ = ("tag", "above", "hidden")
+
+    def __init__(self, tag: str, above: int, hidden: bool):
+        self.tag, self.above, self.hidden = tag, above, hidden
 
 
 class _Lines(HTMLParser):
-    """Collects the lines of a page."""
+    """Collects the lines and the elements of a page; an element comes after the one it lies in."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
-        # Open elements: tag, number, in a skipped element, number of the outermost article.
-        self.open: list[tuple[str, int, bool, int]] = [("", 0, False, 0)]
-        self.count = 0
+        self.elements = [_Element("", 0, False)]
+        # Open elements: tag, number, skipped elements around it, in a link.
+        self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
         self._fresh()
 
     def _fresh(self) -> None:
-        _, number, skipped, article = self.open[-1]
-        block = next((n for tag, n, _, _ in reversed(self.open) if tag not in _INLINE and tag != "p"), number)
-        self.lines.append(_Line(skipped, article, block))
+        _, number, depth, _ = self.open[-1]
+        self.lines.append(_Line(depth, number))
 
     def handle_starttag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
-        self.count += 1
         if tag in _VOID:
             self.lines[-1].tags += 1
             if tag == "br":
@@ -88,14 +96,16 @@ class _Lines(HTMLParser):
                     break
                 if self.open[at][0] not in _INLINE:
                     break
-        _, _, skipped, article = self.open[-1]
-        skipped = skipped or _is_skipped(tag, attrs)
-        if tag in _ARTICLES and not article:
-            article = self.count
-        self.open.append((tag, self.count, skipped, article))
-        if tag not in _INLINE or skipped != self.lines[-1].skipped:
+        _, above, depth, linked = self.open[-1]
+        hidden = _is_skipped(tag, attrs)
+        link = tag == "a" and any(name == "href" for name, _ in attrs)
+        depth += hidden
+        self.open.append((tag, len(self.elements), depth, linked or link))
+        self.elements.append(_Element(tag, above, hidden))
+        if tag not in _INLINE or depth != self.lines[-1].depth:
             self._fresh()
         self.lines[-1].tags += 1
+        self.lines[-1].links += link
 
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
@@ -108,11 +118,13 @@ class _Lines(HTMLParser):
         else:
             return
         self.lines[-1].tags += 1
-        if tag not in _INLINE or self.open[-1][2] != self.lines[-1].skipped:
+        if tag not in _INLINE or self.open[-1][2] != self.lines[-1].depth:
             self._fresh()
 
     def handle_data(self, data: str) -> None:
         self.lines[-1].parts.append(data)
+        if self.open[-1][3]:
+            self.lines[-1].linked += len(data.strip())
 
 
 def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
@@ -168,32 +180,75 @@ def main_text(html: str | None) -> str:
     parser = _Lines()
     parser.feed(html)
     parser.close()
-    lines = []
+    lines, texts = [], []
     for line in parser.lines:
         text = _SPACE.sub(" ", "".join(line.parts)).strip(" ")
         if text:
-            lines.append((line, text))
-    if not any(not line.skipped for line, _ in lines):
+            lines.append(line)
+            texts.append(text)
+    skipped = _skipped(parser.elements)
+    usable = np.array([not skipped[line.element] for line in lines], dtype=bool)
+    if not usable.any():
         return ""
-    ratios = np.array([0.0 if line.skipped else len(text) / (1 + line.tags) for line, text in lines])
+    sizes = np.array([len(text) for text in texts])
+    linked = np.minimum([line.linked for line in lines], sizes)
+    if (linked == sizes)[usable].all():
+        # A page of links alone has them as its text.
+        linked = np.zeros(len(sizes), dtype=int)
+    ratios = np.where(usable, (sizes - linked) / (1 + np.array([line.tags for line in lines])), 0.0)
     dense = smoothed(ratios)
-    usable = np.array([not line.skipped for line, _ in lines])
-    content = usable & (dense >= split_point(dense))
-    if not content.any():
-        content = usable & (ratios == ratios[usable].max())
-    articles = {line.article for line, _ in lines if line.article and not line.skipped}
-    if articles:
-        weight = {a: 0 for a in articles}
-        for (line, text), dense_line in zip(lines, content):
-            if line.article and not line.skipped:
-                weight[line.article] += len(text) if dense_line else 0
-        # Without dense lines in any article, the articles as they are.
-        chosen = {a for a, w in weight.items() if w} or articles
-        kept = [text for line, text in lines if line.article in chosen and not line.skipped]
-    else:
-        parents = {line.parent for (line, _), dense_line in zip(lines, content) if dense_line}
-        kept = [text for line, text in lines if line.parent in parents and not line.skipped]
-    return " ".join(kept)
+    threshold = split_point(dense)
+    content = usable & (dense >= threshold)
+    # Lines that are dense by themselves, not by their neighbours, choose the regions.
+    seeds = content & (ratios >= threshold)
+    if not seeds.any():
+        seeds = usable & (ratios == ratios[usable].max())
+    taken, in_article = _regions(parser.elements, lines, usable, seeds)
+    if not in_article:
+        taken |= content
+    listed = _link_lists(parser.elements, lines, sizes, linked, usable, seeds)
+    return " ".join(text for text, keep in zip(texts, taken & usable & ~listed) if keep)
+
+
+def _skipped(elements: list[_Element]) -> list[bool]:
+    """Whether an element or one around it is skipped."""
+    out: list[bool] = []
+    for element in elements:
+        out.append(element.hidden or bool(out and out[element.above]))
+    return out
+
+
+def _regions(elements: list[_Element], lines: list[_Line], usable: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, bool]:
+    """The lines of the regions the seeds lie in, and whether one of these is an article."""
+    article, block = [0], [0]
+    for number, element in enumerate(elements[1:], 1):
+        around = article[element.above]
+        article.append(around or (number if element.tag in _ARTICLES else 0))
+        block.append(block[element.above] if element.tag in _INLINE or element.tag == "p" else number)
+    chosen = {article[line.element] or block[line.element] for line, seed in zip(lines, seeds) if seed}
+    taken = np.array([article[line.element] in chosen or block[line.element] in chosen for line in lines])
+    return taken, any(elements[number].tag in _ARTICLES for number in chosen)
+
+
+def _link_lists(elements: list[_Element], lines: list[_Line], sizes: np.ndarray, linked: np.ndarray, usable: np.ndarray, seeds: np.ndarray) -> np.ndarray:
+    """The lines in blocks that have several links, most of their text in them and no dense line."""
+    count = [[0, 0, 0, 0] for _ in elements]
+    for line, size, link, use, seed in zip(lines, sizes.tolist(), linked.tolist(), usable.tolist(), seeds.tolist()):
+        if use:
+            own = count[line.element]
+            own[0] += size
+            own[1] += link
+            own[2] += line.links
+            own[3] += seed
+    for number in range(len(elements) - 1, 0, -1):
+        above = count[elements[number].above]
+        for k, n in enumerate(count[number]):
+            above[k] += n
+    listed = [False]
+    for number, element in enumerate(elements[1:], 1):
+        size, link, links, dense = count[number]
+        listed.append(listed[element.above] or (links > 1 and 2 * link > size and not dense))
+    return np.array([listed[line.element] for line in lines])
 
 
 def _extract(kept: int):

@@ -107,6 +107,23 @@ def test_main_text(spark):
     assert html_text.extract(pages.limit(0), ["page_id"]).count() == 0
 
 
+WORDS = " ".join(["many different words"] * 12)
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<article><p>Teaser</p></article><div><p>{WORDS}</p><p>short</p><p>{WORDS}</p></div>", f"{WORDS} short {WORDS}"),
+        (f"<article><h1>T</h1><p>{WORDS}</p><div><a href=1>Share this</a> <a href=2>Print</a></div><p>end</p></article>", f"T {WORDS} end"),
+        (f"<article><p>{WORDS}</p><ul><li><a href=1>Other page</a></li><li><a href=2>One more</a></li></ul></article>", WORDS),
+        (f"<article><p>{WORDS}</p><p>See <a href=1>this</a>.</p><h2><a href=2>Head</a></h2><p>{WORDS}</p></article>", f"{WORDS} See this. Head {WORDS}"),
+        ("<ul><li><a href=1>one</a></li><li><a href=2>one</a></li></ul>", "one one"),
+    ],
+)
+def test_density_chooses_the_regions(html, text):
+    assert html_text.main_text(html) == text
+
+
 def page_rows():
     draw = random.Random(9)
     big = ["<p>" + " ".join(draw.choice(("alpha", "beta", "gamma")) for _ in range(400)) for _ in range(5)]
