@@ -4,8 +4,8 @@ The standard library's parser streams over a page.  Its events make lines, one p
 its text, its number of tags and links and the element it lies in.  The text-to-tag ratios of the lines are
 smoothed with a Gaussian, and splitting them into two clusters gives a threshold; lines above it by
 themselves mark the content regions, on pages with articles as on others.  A region is taken whole: the
-outermost article around such a line, or outside articles its parent element, so short paragraphs between
-long ones stay; without a region in an article, so is each line that smoothing lifts above the
+outermost article around such a line, or outside articles the nearest container (division, section, cell,
+body) around it that has further lines, with all headings, lists, quotes and tables in it; without a region in an article, so is each line that smoothing lifts above the
 threshold.  Text in links counts with ratio 0, and a block in a region with two links or more, most of its
 text in them and no dense line is left out, also a list of references made of links alone.  Lines of
 menus, page heads and feet, sidebars, notices, adverts, forms, scripts, styles and reader comments count
@@ -47,6 +47,8 @@ _INLINE = frozenset(
 )
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _ARTICLES = frozenset(("article", "main"))
+_PAGE = frozenset(("", "html", "body"))
+_CONTAINERS = _PAGE | _ARTICLES | frozenset("div section td th center fieldset details".split())
 
 
 class _Line:
@@ -220,14 +222,40 @@ def _skipped(elements: list[_Element]) -> list[bool]:
 
 def _regions(elements: list[_Element], lines: list[_Line], usable: np.ndarray, seeds: np.ndarray) -> tuple[np.ndarray, bool]:
     """The lines of the regions the seeds lie in, and whether one of these is an article."""
-    article, block = [0], [0]
+    article, container = [0], [0]
+    # Lines of usable text in an element.
+    held = [0] * len(elements)
+    for line, use in zip(lines, usable.tolist()):
+        held[line.element] += use
+    for number in range(len(elements) - 1, 0, -1):
+        held[elements[number].above] += held[number]
     for number, element in enumerate(elements[1:], 1):
         around = article[element.above]
         article.append(around or (number if element.tag in _ARTICLES else 0))
-        block.append(block[element.above] if element.tag in _INLINE or element.tag == "p" else number)
-    chosen = {article[line.element] or block[line.element] for line, seed in zip(lines, seeds) if seed}
-    taken = np.array([article[line.element] in chosen or block[line.element] in chosen for line in lines])
-    return taken, any(elements[number].tag in _ARTICLES for number in chosen)
+        container.append(number if element.tag in _CONTAINERS else container[element.above])
+    chosen: set[int] = set()
+    alone: dict[int, list[int]] = {}
+    for element in {line.element for line, seed in zip(lines, seeds.tolist()) if seed}:
+        if article[element]:
+            chosen.add(article[element])
+            continue
+        region = container[element]
+        # A wrapper of one line is not yet a region.
+        while held[region] == 1 and region:
+            around = container[elements[region].above]
+            if elements[around].tag in _PAGE:
+                alone.setdefault(around, []).append(region)
+                break
+            region = around
+        else:
+            chosen.add(region)
+    for around, wrappers in alone.items():
+        # Wrapped paragraphs of the page itself; a single one stands for itself.
+        chosen.update([around] if len(wrappers) > 1 else wrappers)
+    inside: list[bool] = []
+    for number, element in enumerate(elements):
+        inside.append(number in chosen or bool(inside and inside[element.above]))
+    return np.array([inside[line.element] for line in lines]), any(elements[number].tag in _ARTICLES for number in chosen)
 
 
 def _link_lists(elements: list[_Element], lines: list[_Line], sizes: np.ndarray, linked: np.ndarray, usable: np.ndarray, seeds: np.ndarray) -> np.ndarray:

@@ -124,6 +124,24 @@ def test_density_chooses_the_regions(html, text):
     assert html_text.main_text(html) == text
 
 
+LISTS = "<ul><li>one<li>two<li>three<li>four<li>five</ul><h2>Head</h2><table><tr><td>a</td><td>b</td></tr></table><blockquote>q</blockquote><pre>c</pre><dl><dt>t<dd>d</dl><figure><figcaption>f</figcaption></figure><h3>g</h3>"
+LISTED = "one two three four five Head a b q c t d f g"
+
+
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<div><h1>T</h1><p>{WORDS}</p>{LISTS}<p>{WORDS}</p></div>", f"T {WORDS} {LISTED} {WORDS}"),
+        (f"<body><p>{WORDS}</p>{LISTS}<section>s</section></body>", f"{WORDS} {LISTED} s"),
+        (f"<div><div><p>{WORDS}</p></div><div><h2>a</h2></div><div>b</div><div>c</div><div><p>{WORDS}</p></div></div>", f"{WORDS} a b c {WORDS}"),
+        (f"<div><p>{WORDS}</p></div><div>a</div><div>b</div><div>c</div><div>d</div><div><p>{WORDS}</p></div>", f"{WORDS} a b c d {WORDS}"),
+        (f"<table><tr><td></td><td><p>{WORDS}</p>{LISTS}</td></tr></table>", f"{WORDS} {LISTED}"),
+    ],
+)
+def test_regions_without_articles_are_whole(html, text):
+    assert html_text.main_text(html) == text
+
+
 def page_rows():
     draw = random.Random(9)
     big = ["<p>" + " ".join(draw.choice(("alpha", "beta", "gamma")) for _ in range(400)) for _ in range(5)]
