@@ -9,7 +9,8 @@ body) around it that has further lines, with all headings, lists, quotes and tab
 threshold.  Text in links counts with ratio 0, and a block in a region with two links or more, most of its
 text in them and no dense line is left out, also a list of references made of links alone.  Lines of
 menus, page heads and feet, sidebars, notices, adverts, forms, scripts, styles and reader comments count
-with ratio 0 and are never taken.
+with ratio 0 and are never taken.  Class names and ids count as whole names, and not on an element that is
+or holds an article, or on pages without one most of the text.
 
 Character references are decoded, runs of ASCII white space become one space and the lines are joined by one
 space.  Null and empty pages give an empty text, as do pages without any text.  Repeated rows and null ids are
@@ -30,7 +31,6 @@ from pyspark.sql import functions as F
 SIGMA = 1.0
 
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
-_NAME_PART = re.compile(r"[^a-z0-9]+")
 _SKIPPED = frozenset(
     "head script style noscript template nav header footer aside form button select textarea "
     "iframe object svg canvas dialog menu".split()
@@ -39,8 +39,14 @@ _SKIPPED_ROLES = frozenset("navigation banner contentinfo complementary search d
 _SKIPPED_NAMES = frozenset(
     "ad ads advert adverts advertisement advertising sponsor sponsored promo promotion nav navbar navigation menu "
     "header masthead footer sidebar aside cookie cookies consent gdpr notice notices banner popup modal comment comments "
-    "disqus replies share sharing social related newsletter subscribe breadcrumb breadcrumbs pagination".split()
+    "disqus replies share sharing social related newsletter subscribe breadcrumb breadcrumbs pagination "
+    "ad-banner ad-block ad-box ad-container ad-slot ad-unit adsbygoogle main-nav main-navigation site-nav site-navigation "
+    "nav-bar nav-menu main-menu site-header site-footer page-footer left-sidebar right-sidebar sidebar-left sidebar-right "
+    "cookie-banner cookie-bar cookie-consent cookie-notice comment-list comment-section comments-area comments-section "
+    "related-articles related-posts share-buttons social-icons social-links social-share".split()
 )
+# Readers may write more than the author.
+_READERS = frozenset("comment comments disqus replies comment-list comment-section comments-area comments-section".split())
 _INLINE = frozenset(
     "a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike "
     "strong sub sup time tt u var wbr".split()
@@ -61,10 +67,10 @@ class _Line:
 
 
 class _Element:
-    __slots__ = ("tag", "above", "hidden")
+    __slots__ = ("tag", "above", "hidden", "names")
 
-    def __init__(self, tag: str, above: int, hidden: bool):
-        self.tag, self.above, self.hidden = tag, above, hidden
+    def __init__(self, tag: str, above: int, hidden: bool, names: frozenset[str]):
+        self.tag, self.above, self.hidden, self.names = tag, above, hidden, names
 
 
 class _Lines(HTMLParser):
@@ -73,7 +79,7 @@ class _Lines(HTMLParser):
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.lines: list[_Line] = []
-        self.elements = [_Element("", 0, False)]
+        self.elements = [_Element("", 0, False, frozenset())]
         # Open elements: tag, number, skipped elements around it, in a link.
         self.open: list[tuple[str, int, int, bool]] = [("", 0, 0, False)]
         self._fresh()
@@ -99,11 +105,11 @@ class _Lines(HTMLParser):
                 if self.open[at][0] not in _INLINE:
                     break
         _, above, depth, linked = self.open[-1]
-        hidden = _is_skipped(tag, attrs)
+        hidden, names = _is_skipped(tag, attrs), _skipped_names(tag, attrs)
         link = tag == "a" and any(name == "href" for name, _ in attrs)
-        depth += hidden
+        depth += hidden or bool(names)
         self.open.append((tag, len(self.elements), depth, linked or link))
-        self.elements.append(_Element(tag, above, hidden))
+        self.elements.append(_Element(tag, above, hidden, names))
         if tag not in _INLINE or depth != self.lines[-1].depth:
             self._fresh()
         self.lines[-1].tags += 1
@@ -140,13 +146,19 @@ def _is_skipped(tag: str, attrs: list[tuple[str, str | None]]) -> bool:
             return True
         if name == "role" and value in _SKIPPED_ROLES:
             return True
-        if name in ("class", "id") and not _SKIPPED_NAMES.isdisjoint(_NAME_PART.split(value)):
-            return True
         if name == "style" and "display:none" in value.replace(" ", ""):
             return True
     return False
 
 
+def _skipped_names(tag: str, attrs: list[tuple[str, str | None]]) -> frozenset[str]:
+    """The whole class names and ids of a tag that tell of something to skip."""
+    if tag in ("html", "body"):
+        return frozenset()
+    own = " ".join(value or "" for name, value in attrs if name in ("class", "id"))
+    return _SKIPPED_NAMES.intersection(own.lower().replace("_", "-").split()) if own else frozenset()
+
+
 def smoothed(ratios: np.ndarray, sigma: float = SIGMA) -> np.ndarray:
     """Gaussian smoothing; beyond the ends the weights are shared out anew."""
     reach = np.arange(-int(3 * sigma), int(3 * sigma) + 1)
@@ -188,7 +200,7 @@ def main_text(html: str | None) -> str:
         if text:
             lines.append(line)
             texts.append(text)
-    skipped = _skipped(parser.elements)
+    skipped = _skipped(parser.elements, lines, texts)
     usable = np.array([not skipped[line.element] for line in lines], dtype=bool)
     if not usable.any():
         return ""
@@ -212,11 +224,30 @@ def main_text(html: str | None) -> str:
     return " ".join(text for text, keep in zip(texts, taken & usable & ~listed) if keep)
 
 
-def _skipped(elements: list[_Element]) -> list[bool]:
-    """Whether an element or one around it is skipped."""
-    out: list[bool] = []
+def _skipped(elements: list[_Element], lines: list[_Line], texts: list[str]) -> list[bool]:
+    """Whether an element or one around it is skipped.
+
+    A name alone does not skip what is or holds an article, nor most of the text of a page that has no
+    article; readers' comments are skipped unless they are all the text there is.
+    """
+    hidden: list[bool] = []
     for element in elements:
-        out.append(element.hidden or bool(out and out[element.above]))
+        hidden.append(element.hidden or bool(hidden and hidden[element.above]))
+    size = [0] * len(elements)
+    for line, text in zip(lines, texts):
+        if not hidden[line.element]:
+            size[line.element] += len(text)
+    holds = [element.tag in _ARTICLES and not hide for element, hide in zip(elements, hidden)]
+    for number in range(len(elements) - 1, 0, -1):
+        above = elements[number].above
+        size[above] += size[number]
+        holds[above] = holds[above] or holds[number]
+    whole = size[0]
+    out = [hidden[0]]
+    for number, element in enumerate(elements[1:], 1):
+        most = whole - 1 if element.names & _READERS else whole / 2
+        spared = holds[number] or (size[number] > most and not holds[0])
+        out.append(out[element.above] or hidden[number] or (bool(element.names) and not spared))
     return out
 
 

@@ -142,6 +142,21 @@ def test_regions_without_articles_are_whole(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        ("<div class='post ad-free'><p>Kept text of the page.</p></div><div class='ad'>Buy</div>", "Kept text of the page."),
+        *((f"<div {name}><p>{WORDS}</p><div class=ad>Buy</div></div>", WORDS) for name in ("class='content has-sidebar'", "class=no-sidebar", "class=page-header-large", "class=comments-open", "id=main-navigation-page", "class=header")),
+        (f"<article class='post sidebar'><p>{WORDS}</p></article>", WORDS),
+        (f"<div id=header><main><p>{WORDS}</p></main><div class=comments>{WORDS} {WORDS}</div></div>", WORDS),
+        (f"<div><p>{WORDS}</p></div><div class='comments'>{WORDS} {WORDS}</div>", WORDS),
+        (f"<nav><article>a</article></nav><div><p>{WORDS}</p></div><div class='x Social_Links'>b</div>", WORDS),
+    ],
+)
+def test_names_skip_no_main_text(html, text):
+    assert html_text.main_text(html) == text
+
+
 def page_rows():
     draw = random.Random(9)
     big = ["<p>" + " ".join(draw.choice(("alpha", "beta", "gamma")) for _ in range(400)) for _ in range(5)]
