@@ -91,6 +91,34 @@ def test_classifier_and_odd_rows(spark):
     assert kept.columns == docs.columns and kept.count() == sum(r.accepted for r in found)
 
 
+def test_repetition_is_rejected(spark):
+    draw = random.Random(3)
+    rows = [(n, prose(draw, 120), "en") for n in range(300)]
+    words = [prose(draw, 1) for _ in range(12)]
+    odd = [" ".join(w for w in words for _ in range(12)), (" ".join(words[:4]) + " ") * 20, prose(draw, 40) + (" " + words[0]) * 80]
+    docs = docs_of(spark, rows + [(500 + n, text, "en") for n, text in enumerate(odd)] + [(600, words[0], "en")])
+    trusted = spark.createDataFrame([(n,) for n in range(250)], "doc_id bigint")
+    found = {r.doc_id: r for r in quality.classify(docs, trusted).collect()}
+    assert all(found[n].perplexity <= found[n].threshold and not found[n].accepted for n in (500, 501, 502))
+    assert all(found[n].accepted for n in (*range(300), 600))
+
+
+@pytest.mark.parametrize("reach", [5, 256])
+def test_repeats_as_by_definition(reach):
+    draw = random.Random(1)
+    texts = ["".join(draw.choice("ab") for _ in range(n)) for n in (0, 3, 50, 1, 200)] + ["ab" * 20, "ab" * 20]
+    grams, places = quality.grams_of(texts, 2)
+    expected = []
+    for text in texts:
+        ends, last = 0, {}
+        for at in range(2, len(text)):
+            run = ("\x02" + text)[at - 2 : at + 2]
+            ends += at - last.get(run, -1000) <= reach
+            last[run] = at
+        expected.append(ends)
+    assert quality.repeats_of(places, [len(t) for t in texts], len(grams), 2, reach).tolist() == expected
+
+
 def test_without_trusted_or_documents(spark):
     docs = docs_of(spark, [(1, "abc", "en"), (2, None, None)])
     none = spark.createDataFrame([], "doc_id bigint")
