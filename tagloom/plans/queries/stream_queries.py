@@ -82,13 +82,21 @@ def epoch_rollup_folded(t):
 
 
 def _shuffled_log(t):
-    """The log in files that each hold every fourth step, read one file a micro-batch."""
+    """The log in four folders that each hold every fourth step, read about a folder a micro-batch."""
     folder = staging_path(t.spark, "unordered-log")
     log = t.run_log()
+    most = 1
     for rest in (2, 0, 3, 1):
-        log.where(F.col("step") % 4 == rest).coalesce(1).write.mode("append").parquet(folder)
-    files = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1)
-    return files.parquet(folder)
+        part = f"{folder}/every-fourth-{rest}"
+        log.where(F.pmod("step", F.lit(4)) == rest).repartition("run_id", "step").write.parquet(part)
+        most = max(most, len(t.spark.read.schema(log.schema).parquet(part).inputFiles()))
+    files = t.spark.readStream.schema(log.schema).option("maxFilesPerTrigger", most)
+    return files.parquet(f"{folder}/*")
+
+
+def _width(t) -> int:
+    """Steps from the first of the log to behind its last: no row can come that late."""
+    return t.run_log().agg(F.max("step") - F.min("step") + 1).first()[0] or 1
 
 
 @registered(SQL_EPOCHS)
@@ -99,8 +107,8 @@ def epoch_rollup_unordered(t):
 @registered(f"""{SQL_EPOCHS.replace("SELECT run_id, epoch::BIGINT", "SELECT 'rolled' AS part, run_id, epoch::BIGINT")}
 UNION ALL SELECT 'late', NULL, NULL, 0, 0, 0""")
 def epoch_rollup_watermark(t):
-    """The same behind a watermark wider than the log, with the number of late rows."""
-    out = _rolled(t, _shuffled_log(t), LATENESS)
+    """The same behind a watermark as wide as the log, with the number of late rows."""
+    out = _rolled(t, _shuffled_log(t), _width(t))
     epochs = rounded(read_epochs(t.spark, out)).select(F.lit("rolled").alias("part"), "*")
     late = late_rows(t.spark, out).agg(F.count("*").alias("n_steps")).select(
         F.lit("late").alias("part"),

@@ -7,6 +7,7 @@ from tagloom.functions.prompts import bank_literal
 from tagloom.labels import LabelSpace
 from tagloom.operators.predict import LexicalPredictor
 from tagloom.operators.runlog import epoch_rollup
+from tagloom.plans.queries import QUERIES
 from tagloom.schema import REQUEST, RUN_LOG
 from tagloom.streaming.classify import classify, start_classify_stream
 from tagloom.streaming.rollup import late_rows, read_epochs, start_epoch_rollup
@@ -118,3 +119,13 @@ def test_rollup_stream_resumes_from_its_checkpoint(spark, tmp_path):
     feed([(1, 5, "val", 0.5), (1, 6, "val", 0.25)])
     rows = sorted(tuple(r) for r in read_epochs(spark, out).collect())
     assert rows == [(1, 1, 3, 4.0, 1.0), (1, 2, 1, 8.0, 0.5), (1, 3, 0, 0.0, 0.25), (2, 1, 0, 0.0, 3.0)]
+
+
+def test_watermark_query_covers_logs_of_any_width(spark, tmp_path):
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    wide = events.withColumn("event_id", F.col("event_id") * 10_001 - 500_000)
+    wide.coalesce(1).write.parquet(f"{tmp_path}/events.parquet")
+    found = QUERIES["epoch_rollup_watermark"](spark, str(tmp_path)).collect()
+    expected = QUERIES["epoch_rollup"](spark, str(tmp_path)).collect()
+    assert [r.n_steps for r in found if r.part == "late"] == [0]
+    assert sorted(tuple(r)[1:] for r in found if r.part == "rolled") == sorted(tuple(r) for r in expected)
