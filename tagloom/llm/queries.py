@@ -12,13 +12,16 @@ from tagloom.llm import (
     chat,
     decontaminate,
     digest_index,
+    filter_audit,
     html_text,
     langid,
+    maxscore,
     minhash,
     mixing,
     quality,
     sharding,
     warc,
+    whitening,
 )
 from tagloom.llm.common import read_table
 
@@ -286,3 +289,79 @@ def op10_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     rows = chat.turns_of_rows(read_table(spark, folder, "conversations"))
     turns = rows.unionByName(chat.turns_of_records(extra))
     return chat.read_back(chat.format_turns(turns))
+
+
+OP11_SQL = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(256 * c::DOUBLE)) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, v.vec_id, list_inner_product(q.x, v.x)::BIGINT AS score
+  FROM vectors q JOIN vectors v ON q.vec_id % 50 = 0 AND v.vec_id <> q.vec_id),
+ranked AS (
+  SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score
+  FROM scored)
+SELECT * FROM ranked WHERE rank <= 5
+"""
+
+
+@query(OP11_SQL)
+def op11_top_k_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector among all others."""
+    return maxscore.top_k(read_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query()
+def op12_whiten_embeddings(spark: SparkSession, folder: str) -> DataFrame:
+    """All embeddings on their first eight components, whitened."""
+    return whitening.whiten(read_table(spark, folder, "embeddings"))
+
+
+OP13_SQL = r"""
+WITH texts AS (
+  SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words
+  FROM documents),
+marks AS (
+  SELECT doc_id, max((quality IS NOT DISTINCT FROM 1)::INT) AS good, max((toxic IS NOT DISTINCT FROM 1)::INT) AS toxic
+  FROM labels GROUP BY doc_id),
+failing AS (
+  SELECT doc_id, part,
+         (len(words) < 50)::INT + 2 * (100 * len(list_distinct(words)) < 65 * len(words))::INT
+         + 4 * (100 * len(regexp_extract_all(text, '[A-Z]')) > 5 * length(text))::INT
+         + 8 * regexp_matches(text, '[#$%&*|]')::INT
+         + 16 * coalesce(doc_id > min(doc_id) OVER (PARTITION BY text), false)::INT AS fails
+  FROM texts),
+counts AS (
+  SELECT part, fails, count(*) AS n, sum(coalesce(good, 0)) AS good, sum(coalesce(toxic, 0)) AS toxic
+  FROM failing LEFT JOIN marks USING (doc_id) GROUP BY part, fails),
+letters AS (SELECT * FROM (VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)) AS t(l, b)),
+orders AS (
+  SELECT a.l || b.l || c.l || d.l || e.l AS filter_order, [a.b, b.b, c.b, d.b, e.b] AS bits
+  FROM letters a, letters b, letters c, letters d, letters e WHERE a.b + b.b + c.b + d.b + e.b = 31
+    AND a.b | b.b | c.b | d.b | e.b = 31),
+steps AS (
+  SELECT filter_order, step, bits[step] AS bit, coalesce(list_sum(bits[1:step - 1]), 0)::INT AS before
+  FROM orders, (SELECT unnest(range(1, 6)) AS step)),
+found AS (
+  SELECT part, filter_order, step, bit,
+         coalesce(sum(n) FILTER (fails & (before | bit) = 0), 0) AS kept,
+         coalesce(sum(n) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS removed,
+         coalesce(sum(n) FILTER (fails & before <> 0 AND fails & bit <> 0), 0) AS redundant,
+         coalesce(sum(n) FILTER (fails = bit), 0) AS unique_fails,
+         coalesce(sum(good) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS good_lost,
+         coalesce(sum(toxic) FILTER (fails & before = 0 AND fails & bit <> 0), 0) AS toxic_lost
+  FROM counts, steps GROUP BY part, filter_order, step, bit)
+SELECT part, filter_order, step::INT AS step, kept::BIGINT AS kept, removed::BIGINT AS removed,
+       redundant::BIGINT AS redundant, unique_fails::BIGINT AS unique_fails, good_lost::BIGINT AS good_lost,
+       toxic_lost::BIGINT AS toxic_lost, (sum(removed) OVER (PARTITION BY part, bit))::BIGINT AS shapley
+FROM found
+"""
+
+
+@query(OP13_SQL)
+def op13_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """Five filters over all documents, in every order, by source."""
+    return filter_audit.audit(*(read_table(spark, folder, name) for name in ("documents", "labels")))
