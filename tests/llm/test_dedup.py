@@ -118,11 +118,57 @@ def test_exact_dedup_keeps_the_smallest_id(spark):
     assert empty.count() == 0
 
 
+def plan_of(df):
+    return df._sc._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
 def test_index_persists_over_batches(spark):
     index = digest_index.DigestIndex.fresh(spark)
     digest_index.deduplicate(docs_of(spark, [(1, "a"), (2, "b")]), index)
     again = digest_index.deduplicate(docs_of(spark, [(0, "a"), (3, "c")]), index).collect()
     assert {(r.doc_id, r.keep_id, r.kept) for r in again} == {(0, 1, False), (3, 3, True)}
     assert index.read().count() == 3
-    plan = index.read().select("text_sha256")._jdf.queryExecution().executedPlan().toString()
-    assert "Bucketed: true" in plan or "SelectedBucketsCount" in plan or "Bucketed" in plan
+
+
+def test_index_is_found_by_another_session(spark):
+    """Fifty digests, an emptied catalog, a second session: one more text makes fifty-one."""
+    index = digest_index.DigestIndex.fresh(spark)
+    digest_index.deduplicate(docs_of(spark, [(n, f"text {n}") for n in range(50)]), index)
+    spark.sql(f"DROP TABLE {index.name}")
+    second = spark.newSession()
+    opened = digest_index.DigestIndex(second, index.path, buckets=8)
+    assert opened.buckets == index.buckets and opened.read().count() == 50
+    found = digest_index.deduplicate(docs_of(second, [(70, "text 7"), (71, "new")]), opened).collect()
+    assert {(r.doc_id, r.keep_id, r.kept) for r in found} == {(70, 7, False), (71, 71, True)}
+    assert opened.read().count() == 51
+    assert digest_index.DigestIndex(spark, index.path).read().count() == 51
+
+
+def test_index_side_of_the_join_is_not_shuffled(spark):
+    index = digest_index.DigestIndex.fresh(spark)
+    digest_index.deduplicate(docs_of(spark, [(n, f"text {n}") for n in range(50)]), index)
+    opened = digest_index.DigestIndex(spark.newSession(), index.path)
+    batch = digest_index.digests(docs_of(opened.spark, [(1, "x")])).groupBy("text_sha256").agg({"doc_id": "min"})
+    joined = batch.join(opened.read().select("text_sha256").hint("merge"), "text_sha256", "left_anti")
+    plan = plan_of(joined)
+    assert "SortMergeJoin" in plan and "Bucketed: true" in plan
+    # The batch's own aggregation is the only exchange.
+    assert plan.split("\n\n")[0].count("Exchange") == 1
+
+
+def test_index_refuses_files_that_are_none(spark, tmp_path):
+    spark.range(3).write.parquet(f"file://{tmp_path}/other")
+    with pytest.raises(ValueError, match="no complete digest index"):
+        digest_index.DigestIndex(spark, f"file://{tmp_path}")
+
+
+def test_index_grows_into_more_buckets(spark, monkeypatch):
+    monkeypatch.setattr(digest_index, "BUCKET_ROWS", 4)
+    index = digest_index.DigestIndex.fresh(spark, buckets=2)
+    digest_index.deduplicate(docs_of(spark, [(n, f"text {n}") for n in range(6)]), index)
+    assert index.buckets == 2
+    digest_index.deduplicate(docs_of(spark, [(100 + n, f"text {n}") for n in range(30)]), index)
+    assert index.buckets == 16 and index.read().count() == 30
+    opened = digest_index.DigestIndex(spark.newSession(), index.path)
+    assert opened.buckets == 16
+    assert {r.keep_id for r in opened.read().collect()} == {*range(6), *range(106, 130)}
