@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+import math
 import random
+import time
 
+import numpy as np
 import pytest
 import zstandard
 from pyspark.sql import functions as F
@@ -87,7 +90,7 @@ PAGES = {
     "<script>var t='</p>';</script><article><h1>T</h1><p>x\n\t y</p><p>z</article><aside>s</aside>": "T x y z",
     "<article><p>long text goes here and on<div class='comments'><p>great</p></div><p>ok</article>": "long text goes here and on ok",
     "<main><b>bo</b>ld <i>it</main><div id=cookie-notice>We use</div>": "bold it",
-    "<div class='post ad-free'><p>Kept text of the page.</p></div><div class='ad'>Buy</div>": "",
+    "<div class='post ad-free'><p>Kept text of the page.</p></div><div class='ad'>Buy</div>": "Kept text of the page.",
     "<body><div><p>A first paragraph with many words in it.</p><p>Short.</p><p>Another one with many words in it.</p></div><div><a href=1>x</a><a>y</a></div>": "A first paragraph with many words in it. Short. Another one with many words in it.",
     "<article><p>cut &amp; off <b>here": "cut & off here",
     "text &eacute; &#233; &bogus; <": "text é é &bogus; <",
@@ -95,7 +98,7 @@ PAGES = {
 
 
 def test_main_text(spark):
-    cases = {k: v for k, v in PAGES.items() if "ad-free" not in k}
+    cases = PAGES
     rows = [(n, "u", html) for n, html in enumerate(cases)] + [(90, None, None), (91, "u", "<p>" + "word " * 60_000), (91, "u", "<p>" + "word " * 60_000)]
     pages = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, html string, text string")
     found = html_text.extract(pages, ["page_id", "url"]).collect()
@@ -113,9 +116,13 @@ WORDS = " ".join(["many different words"] * 12)
 @pytest.mark.parametrize(
     "html, text",
     [
-        (f"<article><p>Teaser</p></article><div><p>{WORDS}</p><p>short</p><p>{WORDS}</p></div>", f"{WORDS} short {WORDS}"),
+        (f"<article><p>Teaser</p></article><div><p>{WORDS}</p><p>short</p><p>{WORDS}</p></div>", f"Teaser {WORDS} short {WORDS}"),
         (f"<article><h1>T</h1><p>{WORDS}</p><div><a href=1>Share this</a> <a href=2>Print</a></div><p>end</p></article>", f"T {WORDS} end"),
-        (f"<article><p>{WORDS}</p><ul><li><a href=1>Other page</a></li><li><a href=2>One more</a></li></ul></article>", WORDS),
+        (f"<article><p>{WORDS}</p><ul><li><a href=1>Other page</a></li><li><a href=2>One more</a></li></ul></article>", f"{WORDS} Other page One more"),
+        (f"<article><p><a href=1>Teaser of links</a></article><div><p>{WORDS}</p><p>short</p><p>{WORDS}</p></div>", f"{WORDS} short {WORDS}"),
+        (f"<article><p>{WORDS}</p></article><article><h2>Head</h2><p>Brief.</p></article>", f"{WORDS} Head Brief."),
+        (f"<article><header><h1>Title</h1></header><p>{WORDS}</p><table><tr><td><a href=1>a</a><td><a href=2>b</a></table><footer>f</footer></article><header>Site</header>", f"Title {WORDS} a b"),
+        (f"<article><p>{WORDS}</p><section><h2>References</h2><ol><li><a href=1>One</a><li><a href=2>Two</a></ol></section></article>", f"{WORDS} References One Two"),
         (f"<article><p>{WORDS}</p><p>See <a href=1>this</a>.</p><h2><a href=2>Head</a></h2><p>{WORDS}</p></article>", f"{WORDS} See this. Head {WORDS}"),
         ("<ul><li><a href=1>one</a></li><li><a href=2>one</a></li></ul>", "one one"),
     ],
@@ -124,6 +131,67 @@ def test_density_chooses_the_regions(html, text):
     assert html_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    "html, text",
+    [
+        (f"<form id=aspnet><nav>menu</nav><div><p>{WORDS}</p><p>end</p></div><select><option>x</select></form>", f"{WORDS} end"),
+        (f"<form><article><p>{WORDS}</article><aside>s</aside></form>", WORDS),
+        (f"<div aria-hidden=true><article><p>{WORDS}</article></div><div role=dialog>Accept</div>", WORDS),
+        (f"<div hidden><p>{WORDS}</p><p>end</p></div>", f"{WORDS} end"),
+        (f"<noscript><article><p>{WORDS}</article></noscript><p>Turn on scripts", WORDS),
+        (f"<article><p>{WORDS}<form>Your comment<textarea>x</textarea></form></article>", WORDS),
+        (f"<article><p>{WORDS}</article><div hidden><article><p>{WORDS} {WORDS}</article></div>", WORDS),
+        (f"<div><p>{WORDS}</p><p>b</p></div><form><p>Sign up now</form>", f"{WORDS} b"),
+        (f"<article><p>{WORDS}</article><div class=comments><article><p>{WORDS} {WORDS}</article></div>", WORDS),
+        (f"<article><p>{WORDS}</article><div class=related-posts><article><p>{WORDS}</article></div>", WORDS),
+        ("cut &lt; off <a hr", "cut < off <a hr"),
+        ("<p>one <!-- two <!-- three", "one two <!-- three"),
+    ],
+)
+def test_coverings_hide_no_whole_page(html, text):
+    assert html_text.main_text(html) == text
+
+
+@pytest.mark.parametrize(
+    "html",
+    [
+        "<div>" * 50_000 + "x" + "</span>" * 50_000, "<i>" * 100_000 + "<div>x", "<p>a<i>" * 50_000, "<p>" + "<i>" * 50_000 + "<div>" * 50_000,
+        "<div>" * 100_000 + "x", "<ul><li><a href=1>x" * 30_000, "<!--" * 50_000, "</" * 50_000, "<?" * 50_000, "<a " * 50_000,
+    ],
+)
+def test_time_is_in_proportion_to_the_page(html):
+    def seconds(page):
+        begin = time.process_time()
+        html_text.main_text(page)
+        return time.process_time() - begin
+
+    tenth = min(seconds(html[: len(html) // 10]) for _ in range(2))
+    # Quadratic time would be a hundred times as long.
+    assert seconds(html) < 35 * tenth + 1
+
+
+def test_ratio_smoothing_and_clusters_by_definition():
+    """Against the definitions, one line and one split at a time."""
+    draw = random.Random(6)
+    for _ in range(20):
+        values = [draw.choice([0.0, draw.random() * 3, 20 + draw.random() * 60]) for _ in range(draw.randrange(1, 30))]
+        found = html_text.smoothed(np.array(values))
+        for n in range(len(values)):
+            near = [(m, math.exp(-((m - n) ** 2) / 2)) for m in range(max(0, n - 3), min(len(values), n + 4))]
+            assert math.isclose(found[n], sum(values[m] * w for m, w in near) / sum(w for _, w in near), abs_tol=1e-9)
+        threshold = html_text.split_point(found)
+        low, high = [v for v in found if v <= threshold], [v for v in found if v > threshold]
+        if low and high:
+            # No value lies nearer to the other cluster's mean.
+            means = sum(low) / len(low), sum(high) / len(high)
+            assert all(abs(v - means[0]) <= abs(v - means[1]) + 1e-9 for v in low)
+            assert all(abs(v - means[1]) <= abs(v - means[0]) + 1e-9 for v in high)
+    parser = html_text._Lines()
+    parser.feed("<div><p>one <b>two</b> three</p><p><a href=1>x</a> y<br>z</p></div>")
+    parser.close()
+    assert [("".join(line.parts), line.tags, line.links, line.linked) for line in parser.lines if line.parts] == [("one two three", 4, 0, 0), ("x y z", 5, 1, 1)]
+
+
 LISTS = "<ul><li>one<li>two<li>three<li>four<li>five</ul><h2>Head</h2><table><tr><td>a</td><td>b</td></tr></table><blockquote>q</blockquote><pre>c</pre><dl><dt>t<dd>d</dl><figure><figcaption>f</figcaption></figure><h3>g</h3>"
 LISTED = "one two three four five Head a b q c t d f g"
 
