@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import decontaminate, minhash, mixing, quality, sharding
-from tagloom.llm.common import read_table
+from tagloom.llm.common import read_table, stored_order
 from tagloom.llm.queries import CURRICULUM, SHARDS
 from tagloom.session import stage
 
@@ -17,13 +17,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
-    trusted = quality.trusted_ids(read_table(spark, sf_dir, "labels"))
-    return quality.keep_accepted(docs, quality.classify(docs, trusted))
+    return quality.keep_accepted(docs, read_table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id: five-word shingles, 0.8."""
-    return minhash.keep_first(docs, minhash.near_duplicates(docs, size=5, threshold=(4, 5)))
+    return minhash.keep_first(docs, size=5, threshold=(4, 5))
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,15 +31,14 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every document as often as the curriculum takes it; one a source may be cut."""
-    plan = mixing.curriculum(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
-    mixed = mixing.mixed_documents(docs, plan)
+    """Every document as often as the curriculum takes it, in training order; one a source may be cut."""
+    mixed = mixing.mixed_documents(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
     return mixed.withColumn("n_chars", F.length("text").cast("long"))
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Shard and slot of every row, near equal in bytes."""
-    return sharding.shard(docs, SHARDS)
+    """The documents with their shard, near equal in bytes, and slot, which follows the training order."""
+    return sharding.shard_documents(docs, SHARDS, order=stored_order(docs))
 
 
 STAGES: list[tuple[str, Stage]] = [

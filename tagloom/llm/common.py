@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tagloom.session import ship_package
+from tagloom.session import ship_package, stage
 
 # Runs of anything but ASCII white space are words.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
@@ -30,6 +31,45 @@ def utf8(text: Column) -> Column:
     return F.coalesce(text, F.lit("")).cast("binary")
 
 
+def all_columns(df: DataFrame) -> list[Column]:
+    return [F.col(f"`{c}`") for c in df.columns]
+
+
+def fresh_name(df: DataFrame, name: str) -> str:
+    """A name that no column of ``df`` has, whatever its case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered_rows(df: DataFrame) -> tuple[DataFrame, str]:
+    """The rows stored with a number each, and the name of its column.
+
+    Null and repeated ids name no row; the number does, in every later use of what is returned.
+    """
+    row = fresh_name(df, "_row")
+    return stage(df.withColumn(row, F.monotonically_increasing_id()), "rows"), row
+
+
+def stored_order(df: DataFrame) -> tuple[Column, Column] | None:
+    """File and row inside it of a stored table's rows: a table that was written sorted can be read in that order.
+
+    None where the rows do not come straight from files.
+    """
+    if not df.inputFiles():
+        return None
+    name = F.col("_metadata.file_name")
+    # Writers number their files; the numbers may have any length.
+    number = F.lpad(F.regexp_extract(name, r"^part-(\d+)", 1), 12, "0")
+    order = F.concat(number, name), F.col("_metadata.row_index")
+    try:
+        df.select(*order).schema
+    except AnalysisException:
+        return None
+    return order
+
+
 def running_sum(
     df: DataFrame, group: list[str], bucket: str, order: list[str], value: str, to: str
 ) -> DataFrame:
@@ -51,14 +91,18 @@ def running_sum(
     )
 
 
-def join_groups(rows: DataFrame, groups: DataFrame, key: str, size: str, row_id: str) -> DataFrame:
+def join_groups(
+    rows: DataFrame, groups: DataFrame, key: str, size: str, row_id: str, total: int | None = None
+) -> DataFrame:
     """Join each row with its group's one row; a group may hold a third of all rows.
 
     ``groups`` has every key once, with its number of rows in ``size``.  Hot groups, at most
     ``HOT_SHARE`` of them by construction, are broadcast.  Rows found there, and rows without a
-    key, get a key of their own for the second join, which therefore spreads them evenly.
+    key, get a key of their own for the second join, which therefore spreads them evenly.  ``total`` is the
+    sum of the sizes, where it is known.
     """
-    total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    if total is None:
+        total = groups.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
     attributes = [c for c in groups.columns if c != key]
     is_hot = F.col(size) >= max(2, -(-total // HOT_SHARE))
     hot = groups.where(is_hot).select(

@@ -25,6 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tagloom.llm.common import fresh_name
 from tagloom.session import stage
 
 WINDOW = 10
@@ -237,8 +238,9 @@ def _with_hits(rows: DataFrame) -> DataFrame:
 
 
 def drop_contaminated(docs: DataFrame, items: DataFrame, size: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents without a hit word."""
+    """The documents without a hit word; equal rows share their verdict, null ids do not."""
     hit = contamination(docs, items, size, id_col, text_col).where("n_hit > 0")
-    bad = hit.select(F.col("doc_id").alias("_bad_id"), F.col("text_key").alias("_bad_key")).distinct()
-    same = F.col(id_col).eqNullSafe(F.col("_bad_id")) & (F.xxhash64(text_col) == F.col("_bad_key"))
+    bad_id, bad_key = fresh_name(docs, "_bad_id"), fresh_name(docs, "_bad_key")
+    bad = hit.select(F.col("doc_id").alias(bad_id), F.col("text_key").alias(bad_key)).distinct()
+    same = F.col(id_col).eqNullSafe(F.col(bad_id)) & (F.xxhash64(text_col) == F.col(bad_key))
     return docs.join(bad, same, "left_anti")

@@ -1,13 +1,14 @@
 """Near-dedup by b-bit MinHash.
 
 A document's set are its distinct word shingles, hashed to 64 bits.  ``HASHES`` minima are taken; bands
-of ``ROWS`` whole minima give the candidates, and of each minimum the low ``BITS`` bits are kept, packed
+of up to ``ROWS`` whole minima, as the threshold allows, give the candidates, and of each minimum the low ``BITS`` bits are kept, packed
 into one short signature.  Two signatures are compared by counting equal lanes; as unequal minima
 agree in their low bits by chance, the share of equal lanes is corrected for that.  A pair whose
 estimate reaches ``threshold - SLACK`` is confirmed on the full sets.
 
-Recall: at similarity 0.8 a pair shares no band once in 2e7, and the estimate falls by ``SLACK``
-(six standard deviations) once in 1e9.
+Recall: a pair at the threshold shares no band less than once in a million (bands of 4 minima from 0.7 on,
+2 at 0.6, 1 at 0.4), and at 0.8 the estimate falls by ``SLACK`` (six standard deviations) once in 1e9, at 0.5 (four)
+once in 2e5.
 
 Groups do not explode.  Documents with equal sets are one member throughout.  A bucket's members are
 joined by walking from member to member over those not yet reached, which gives a spanning
@@ -28,12 +29,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import join_groups
+from tagloom.llm.common import all_columns, fresh_name, join_groups, numbered_rows
 from tagloom.llm.components import connected_components
 from tagloom.session import stage
 
-BANDS, ROWS, BITS = 32, 4, 4
-HASHES = BANDS * ROWS
+HASHES, BITS = 128, 4
+# Most minima of a band, and the share of pairs at the threshold that may meet in no band.
+ROWS, MISSED = 4, 1e-6
 SLACK = 0.2
 CHUNK = 4096
 # Shingles that the sets of one task of a family may hold.
@@ -174,18 +176,31 @@ _SIGNATURE = pa.schema(
 )
 
 
-def _sign(size: int):
+def band_rows(similarity: float) -> int:
+    """The most minima of a band at which pairs of that similarity are found.
+
+    >>> [band_rows(s) for s in (0.85, 0.8, 0.6, 0.4)]
+    [4, 4, 2, 1]
+    """
+    for rows in range(ROWS, 1, -1):
+        if (1 - similarity**rows) ** (HASHES // rows) <= MISSED:
+            return rows
+    return 1
+
+
+def _sign(size: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        band_of = np.arange(BANDS, dtype=_U)
+        number = HASHES // rows
+        band_of = np.arange(number, dtype=_U)
         for batch in batches:
             ids = batch.column(0)
             sets = shingle_sets((t.as_py() or b"" for t in batch.column(1)), size)
             keys, bits, bands = [], [], []
             for shingles in sets:
                 lowest = minima(shingles)
-                by_band = lowest.reshape(BANDS, ROWS)
+                by_band = lowest[: number * rows].reshape(number, rows)
                 rolled = band_of
-                for n in range(ROWS):
+                for n in range(rows):
                     rolled = _mix(rolled * _U(0x9E3779B97F4A7C15) + by_band[:, n])
                 bits.append(packed(lowest).tobytes())
                 bands.append(rolled.view(np.int64) if len(shingles) else np.zeros(0, dtype=np.int64))
@@ -207,11 +222,13 @@ def _sign(size: int):
     return run
 
 
-def signatures(docs: DataFrame, size: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def signatures(
+    docs: DataFrame, size: int, similarity: float, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
     """Set size, digest of the set, packed low bits and band keys of every row."""
     rows = docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("binary"))
     return rows.mapInArrow(
-        _sign(size), "doc_id long, n_shingles long, set_key string, bits binary, bands array<long>"
+        _sign(size, band_rows(similarity)), "doc_id long, n_shingles long, set_key string, bits binary, bands array<long>"
     )
 
 
@@ -378,7 +395,7 @@ def near_duplicates(
     Two documents are linked where shared * threshold[1] >= threshold[0] * united.
     """
     over, under = threshold
-    signed = stage(signatures(docs, size, id_col, text_col), "signatures")
+    signed = stage(signatures(docs, size, over / under, id_col, text_col), "signatures")
     filled = signed.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     sets = stage(
         filled.groupBy("set_key").agg(
@@ -432,10 +449,26 @@ def near_duplicates(
     ).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
-def keep_first(docs: DataFrame, found: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """One document of each group: rows whose id is not the smallest of their group go.
+def keep_first(
+    docs: DataFrame,
+    size: int = 5,
+    threshold: tuple[int, int] = (4, 5),
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """One row of each group: that with the smallest id, null last; of several rows with it any one.
 
-    Expects unique ids; a row whose id is null stays.
+    Every row is a document of its own, also those whose ids are null or repeated.
     """
-    others = found.where(~F.col("kept")).select(F.col("doc_id").alias("_other")).distinct()
-    return docs.join(others, F.col(id_col).cast("long") == F.col("_other"), "left_anti")
+    rows, row = numbered_rows(docs)
+    found = near_duplicates(rows, size, threshold, row, text_col)
+    others = found.where(~F.col("kept")).select(F.col("doc_id").alias("member"), F.col("component_id").alias("root"))
+    firsts = others.select("root").distinct().select(F.col("root").alias("member"), "root")
+    names = rows.select(F.col(row).alias("named"), F.col(id_col).alias("name"))
+    members = stage(
+        others.unionByName(firsts).join(names, F.col("member") == F.col("named")).select("root", "member", "name"), "members"
+    )
+    first = members.groupBy("root").agg(F.min(F.struct(F.col("name").isNull().alias("none"), "name", "member")).alias("first"))
+    gone = members.select("member").join(first.select(F.col("first.member").alias("member")), "member", "left_anti")
+    other = fresh_name(rows, "_other")
+    return rows.join(gone.select(F.col("member").alias(other)), F.col(row) == F.col(other), "left_anti").select(*all_columns(docs))

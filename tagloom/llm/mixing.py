@@ -9,7 +9,8 @@ reaches n, which is the inverse of that function.
 
 Sources repeat in whole passes; of the last pass as many words are taken as the target leaves,
 so one document at most per source is cut.  The order inside a source is a seeded digest of the
-document's id.  Sums run over digest buckets, so that one source may hold most of the rows.
+document's id.  Sums run over digest buckets, so that one source may hold most of the rows.  Mixed documents
+are range-sorted by position, so that their files follow the curriculum.
 
 Null texts have no words, are taken with 0 and have no position.  Null ids, sources, repeated rows
 and further columns are kept as they are; a null source is a source of its own.  An empty table
@@ -23,7 +24,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tagloom.llm.common import SPACE_PATTERN, WORD_PATTERN, running_sum, word_count
+from tagloom.llm.common import SPACE_PATTERN, WORD_PATTERN, all_columns, numbered_rows, running_sum, word_count
 from tagloom.operators.ordering import numbered
 from tagloom.session import stage
 
@@ -35,11 +36,18 @@ BUCKET_DIGITS = 3
 Knots = list[tuple[float, float]]
 
 
-def sized(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """Id, source and size in words of every document, stored: the texts are read once."""
+def sized(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", row_col: str | None = None
+) -> DataFrame:
+    """Id, source and size in words of every document, stored: the texts are read once.
+
+    ``row_col`` names the column that tells rows apart, where ids may be null or repeated.
+    """
+    row = F.lit(None) if row_col is None else F.col(row_col)
     rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size")
-    )
+        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), word_count(F.col(text_col)).alias("size"),
+        row.cast("long").alias("row"),
+    )
     return stage(rows, "sized")
 
 
@@ -140,10 +148,11 @@ def plan_mix(
         "doc_id",
         F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"),
         "size",
+        "row",
         digest.alias("draw"),
         F.substring(digest, 1, BUCKET_DIGITS).alias("bucket"),
     )
-    placed = running_sum(rows, ["key"], "bucket", ["draw", "size"], "size", "before")
+    placed = running_sum(rows, ["key"], "bucket", ["draw", "size", "row"], "size", "before")
     keyed = sources.select(
         F.struct(F.col("source").isNull().alias("none"), F.coalesce("source", F.lit("")).alias("name")).alias("key"),
         "source_size", "target", "weight", "segments",
@@ -176,7 +185,7 @@ def plan_mix(
         .withColumn("taken", F.aggregate("occurrences", F.lit(0).cast("long"), lambda t, o: t + o["words"]))
         .withColumn("whole_passes", whole.cast("long"))
         .select(
-            "doc_id", "draw", "size", "source_size", "target", "taken", "whole_passes", "occurrences"
+            "doc_id", "row", "draw", "size", "source_size", "target", "taken", "whole_passes", "occurrences"
         )
     )
 
@@ -201,17 +210,29 @@ def training_order(plan: DataFrame) -> DataFrame:
     return rows.orderBy("position", "doc_id", "pass")
 
 
-def mixed_documents(docs: DataFrame, plan: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents as often as the plan takes them; a cut one keeps its leading words.
+def mixed_documents(
+    docs: DataFrame,
+    weigh: Callable[[DataFrame], DataFrame],
+    budget: int | None = None,
+    max_passes: int = MAX_PASSES,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    position_col: str | None = None,
+) -> DataFrame:
+    """The documents as often as the curriculum takes them, range-sorted by position; a cut one keeps its leading words.
 
-    Expects unique ids.  Documents that the plan leaves out go.
+    Documents that the plan leaves out go.  ``position_col`` adds the position under that name.
     """
-    each = plan.select(
-        F.col("doc_id").alias("_id"), F.col("size").alias("_words"), F.explode("occurrences").alias("_o")
-    )
-    met = docs.join(each, F.col(id_col).eqNullSafe(F.col("_id")))
-    words = F.regexp_extract_all(F.col(text_col), F.lit(SPACE_PATTERN[:-1] + "*" + WORD_PATTERN), F.lit(0))
-    head = F.array_join(F.slice(words, F.lit(1), F.col("_o.words").cast("int")), "")
-    cut = F.when(F.col("_o.words") < F.col("_words"), head).otherwise(F.col(text_col))
-    columns = [cut.alias(c) if c == text_col else F.col(c) for c in docs.columns]
-    return met.select(*columns)
+    rows, row = numbered_rows(docs)
+    plan = curriculum(rows, weigh, budget, max_passes, id_col=id_col, text_col=text_col, source_col=source_col, row_col=row)
+    # Structs, so that no column's name matters.
+    each = plan.select("row", "size", F.explode("occurrences").alias("o")).select("row", F.struct("size", "o").alias("taken"))
+    met = rows.select(F.struct(*all_columns(docs)).alias("doc"), F.col(row).alias("row")).join(each, "row")
+    words = F.regexp_extract_all(F.col("doc")[text_col], F.lit(SPACE_PATTERN[:-1] + "*" + WORD_PATTERN), F.lit(0))
+    head = F.array_join(F.slice(words, F.lit(1), F.col("taken.o.words").cast("int")), "")
+    cut = F.when(F.col("taken.o.words") < F.col("taken.size"), head).otherwise(F.col("doc")[text_col])
+    columns = [(cut if c == text_col else F.col("doc")[c]).alias(c) for c in docs.columns if c != position_col]
+    placed = [F.col("taken.o.position").alias(position_col)] if position_col else []
+    # The order is the feature: position, then what makes it the same in every run.
+    return met.orderBy("taken.o.position", F.col("doc")[id_col], "taken.o.pass", "row").select(*columns, *placed)

@@ -67,6 +67,33 @@ def test_components_as_by_brute_force(spark, size, threshold):
     assert all(r.kept == (r.doc_id == r.component_id) for r in found)
 
 
+@pytest.mark.parametrize("threshold", [(2, 5), (1, 2), (3, 5), (85, 100)])
+def test_recall_at_the_threshold(spark, threshold):
+    """Pairs a little above the threshold are found at any threshold."""
+    over, under = threshold
+    rows = []
+    for n in range(100):
+        shared = words(200, 10_000 + n)
+        # Two sets of single words share 200 of 200 + 2 k.
+        k = int(200 * (under - over) / over / 2 * 0.97)
+        rows += [(2 * n, " ".join(dict.fromkeys(shared + [f"a{n}x{m}" for m in range(k)]))), (2 * n + 1, " ".join(dict.fromkeys(shared + [f"b{n}x{m}" for m in range(k)])))]
+    found = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(spark, rows), 1, threshold).collect()}
+    truth = expected_components(rows, 1, over, under)
+    linked = [n for n in truth if truth[n][1] != n]
+    assert len(linked) >= 90
+    assert sum(found[n] == truth[n][1] for n in linked) >= 0.99 * len(linked)
+    assert all(found[n] in (n, truth[n][1]) for n in truth)
+
+
+def test_one_row_of_each_group_stays(spark):
+    text, other = " ".join(words(30)), " ".join(words(30, 1))
+    rows = [(5, text), (3, text), (3, text), (None, text), (None, other), (None, other), (8, None), (8, ""), (9, "alone"), (9, "other row")]
+    docs = docs_of(spark, rows)
+    kept = minhash.keep_first(docs)
+    assert kept.columns == docs.columns
+    assert sorted(((r.doc_id, r.text) for r in kept.collect()), key=repr) == sorted([(3, text), (None, other), (8, None), (8, ""), (9, "alone"), (9, "other row")], key=repr)
+
+
 def test_chunked_groups_lose_no_link(spark, monkeypatch):
     monkeypatch.setattr(minhash, "CHUNK", 8)
     base = words(150, 77)

@@ -87,7 +87,8 @@ def test_classifier_and_odd_rows(spark):
     verdict = {r.doc_id: r.accepted for r in found}
     assert [verdict[n] for n in (500, 501, 502, 503, 504, 505, None)] == [False, False, True, False, True, True, True]
     assert sum(verdict[n] for n in range(400)) >= 398
-    kept = quality.keep_accepted(docs, spark.createDataFrame(found))
+    labels = trusted.selectExpr("doc_id", "1 AS quality", "0 AS toxic")
+    kept = quality.keep_accepted(docs, labels)
     assert kept.columns == docs.columns and kept.count() == sum(r.accepted for r in found)
 
 

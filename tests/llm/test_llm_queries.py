@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as contract
 import corpus_pipeline
+from tagloom.llm.common import stored_order
 from tagloom.llm.queries import ORACLE, QUERIES
 
 FOLDER = Path("/root/testdata/sf0.001")
@@ -91,3 +92,50 @@ def test_pipeline_stages(spark):
     assert counts[0] > counts[1] > counts[2] > counts[3] > 0.5 * before
     sharded = corpus_pipeline.STAGES[4][1](spark, docs, str(FOLDER))
     assert sharded.count() == counts[4]
+    assert {"text", "shard", "slot"} <= set(sharded.columns)
+    # Slots follow the order of the mix: a shard's rows are met one after the other in it.
+    part, place = stored_order(docs)
+    order = [r.doc_id for r in docs.select("doc_id", part.alias("f"), place.alias("i")).orderBy("f", "i").collect()]
+    shards = {}
+    for r in sharded.orderBy("shard", "slot").collect():
+        shards.setdefault(r.shard, []).append((r.doc_id, r.slot))
+    for rows in shards.values():
+        assert [slot for _, slot in rows] == list(range(len(rows)))
+        following = iter(order)
+        assert all(doc_id in following for doc_id, _ in rows)
+
+
+CLASHING = ("_bad", "_bad_", "_other", "_bad_id", "_bad_key", "_id", "_words", "_o", "_row", "_good", "size", "row", "taken", "doc", "shard", "slot", "part", "place", "fails")
+
+
+def test_pipeline_keeps_null_and_repeated_ids_and_clashing_columns(spark):
+    """Every stage decides by rows: what befalls one row befalls no other with its id."""
+    source = spark.read.parquet(f"{FOLDER}/documents.parquet")
+    clean = source.where("lang = 'en' AND n_chars BETWEEN 500 AND 3000")
+    first, second, third = [r.text for r in clean.orderBy("doc_id").limit(3).collect()]
+    extra = [
+        (None, first + " the end", "en", "src0"), (None, "", "en", "src0"), (None, None, None, None),
+        (7001, second + " so it goes", "en", "src1"), (7001, "#$%&|" * 100, "en", "src1"),
+        (7002, "unique words " + third[::-1], "en", "src1"), (7003, third + " at last", "en", None), (7003, third + " at last", "en", None),
+    ]
+    odd = spark.createDataFrame(extra, "doc_id long, text string, lang string, source string").withColumn("n_chars", F.length("text").cast("long"))
+    docs = source.unionByName(odd)
+    for name in CLASHING:
+        docs = docs.withColumn(name, F.lit(name))
+    docs = corpus_pipeline.stage(docs, "clashing")
+    counts = []
+    for name, function in corpus_pipeline.STAGES[:4]:
+        found = function(spark, docs, str(FOLDER))
+        assert found.columns == docs.columns, name
+        docs = corpus_pipeline.stage(found, "tested")
+        counts.append({(r.doc_id, r.text) for r in docs.where("doc_id IS NULL OR doc_id > 7000").collect()})
+    quality_kept, near_kept = counts[0], counts[1]
+    assert (None, first + " the end") in quality_kept and (7001, second + " so it goes") in quality_kept
+    assert not {(None, ""), (None, None), (7001, "#$%&|" * 100)} & quality_kept
+    # Near copies of documents with smaller ids go, also without an id.
+    assert near_kept <= quality_kept and not {(None, first + " the end"), (7003, third + " at last")} & near_kept
+    sharded = corpus_pipeline.STAGES[4][1](spark, docs, str(FOLDER))
+    assert sharded.count() == docs.count() and sharded.columns[-4:] == ["size", "words", "shard", "slot"]
+    empty = docs.limit(0)
+    for name, function in corpus_pipeline.STAGES:
+        assert function(spark, empty, str(FOLDER)).count() == 0

@@ -19,8 +19,12 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(*r, "x", 7) for r in rows], SCHEMA)
 
 
+def weigh(sources):
+    return mixing.repeating_weights(sources, CURRICULUM)
+
+
 def planned(docs, **more):
-    return mixing.curriculum(docs, lambda s: mixing.repeating_weights(s, CURRICULUM), **more)
+    return mixing.curriculum(docs, weigh, **more)
 
 
 @pytest.fixture(scope="module")
@@ -64,8 +68,10 @@ def test_positions_invert_the_demand(spark):
 def test_mixed_documents_hold_the_words_of_the_plan(uneven):
     clean = uneven.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])
     plan = planned(clean)
-    mixed = mixing.mixed_documents(clean, plan)
-    assert mixed.columns == clean.columns
+    mixed = mixing.mixed_documents(clean, weigh, position_col="at")
+    assert mixed.columns == [*clean.columns, "at"]
+    positions = [r["at"] for r in mixed.collect()]
+    assert positions == sorted(positions) == [r.position for r in mixing.training_order(plan).collect()]
     words = mixed.agg(F.sum(F.regexp_count("text", F.lit(mixing.WORD_PATTERN)))).first()[0]
     assert words == plan.agg(F.sum("taken")).first()[0]
 
