@@ -9,9 +9,10 @@ from tagloom.operators.predict import LexicalPredictor
 from tagloom.plans.queries.predict_queries import sql_lexical
 from tagloom.plans.queries.registry import REQUESTS, RUN_LOG, STOPWORD_LABELS, registered, rounded
 from tagloom.plans.queries.report_queries import SQL_EPOCHS
-from tagloom.session import staging_path
+from tagloom.session import stage, staging_path
 from tagloom.streaming.classify import classify, start_classify_stream
 from tagloom.streaming.rollup import LATENESS, late_rows, read_epochs, start_epoch_rollup
+from tagloom.streaming.state_rollup import read_rolled, start_state_rollup
 
 _RESPONSES = f"""WITH requests AS ({REQUESTS}),
 {sql_lexical('requests', 'request_id', 'text', STOPWORD_LABELS)}
@@ -119,3 +120,51 @@ def epoch_rollup_watermark(t):
         F.lit(0.0).alias("val_loss"),
     )
     return epochs.unionByName(late)
+
+
+# Batches of the log, and parts its steps are cut into: one part is the lateness.
+_BATCHES, _WIDTHS = 4, 40
+
+
+@registered(f"""WITH run_log AS ({RUN_LOG}), bounds AS (
+  SELECT min(step) AS low, max(step) - min(step) + 1 AS width FROM run_log),
+arriving AS (
+  SELECT l.*, width // {_WIDTHS} AS lateness,
+         least((step - low) * {_BATCHES} // width + CASE WHEN step % 10 = 3 THEN 1 ELSE 0 END, {_BATCHES} - 1) AS batch
+  FROM run_log l, bounds),
+tops AS (
+  SELECT run_id, batch, max(max(step)) OVER (PARTITION BY run_id ORDER BY batch ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS before
+  FROM arriving GROUP BY run_id, batch),
+marked AS (
+  SELECT a.*, coalesce(a.step <= t.before - lateness, false) AS late, max(step) OVER (PARTITION BY a.run_id) - lateness AS mark
+  FROM arriving a JOIN tops t ON t.run_id = a.run_id AND t.batch = a.batch),
+numbered AS (
+  SELECT *, 1 + coalesce(sum(CASE WHEN kind = 'val' THEN 1 ELSE 0 END) OVER (
+    PARTITION BY run_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS epoch
+  FROM marked WHERE NOT late AND step <= mark)
+SELECT 'epoch' AS part, run_id, epoch::BIGINT AS epoch, count(*) FILTER (kind = 'train') AS n_steps,
+       round(coalesce(avg(value) FILTER (kind = 'train'), 0), 6) AS train_loss,
+       round(max(value) FILTER (kind = 'val'), 6) AS val_loss
+FROM numbered GROUP BY run_id, epoch HAVING count(*) FILTER (kind = 'val') > 0
+UNION ALL
+SELECT 'late', run_id, NULL, count(*), NULL, NULL FROM marked WHERE late GROUP BY run_id""")
+def epoch_rollup_state(t):
+    """Closed epochs and late rows by run, behind a watermark of a fortieth of the log.
+
+    The log comes in four parts by step, a tenth of the rows one part late; the query ends after each and is started
+    again on its checkpoint.
+    """
+    log = t.run_log()
+    low, width = log.agg(F.min("step"), F.max("step") - F.min("step") + 1).first()
+    folder, out, progress = (staging_path(t.spark, n) for n in ("state-log", "state-epochs", "state-progress"))
+    part = F.call_function("div", (F.col("step") - low) * _BATCHES, F.lit(width))
+    late = F.when(F.col("step") % 10 == 3, 1).otherwise(0)
+    arriving = stage(log.withColumn("batch", F.least(part + late, F.lit(_BATCHES - 1))), "arriving")
+    for batch in range(_BATCHES):
+        arriving.where(F.col("batch") == batch).drop("batch").write.mode("append").parquet(folder)
+        stream = t.spark.readStream.schema(log.schema).parquet(folder)
+        start_state_rollup(stream, out, progress, width // _WIDTHS).awaitTermination()
+    epochs, behind = read_rolled(t.spark, out)
+    counted = behind.groupBy("run_id").agg(F.count("*").alias("n_steps")).withColumn("part", F.lit("late"))
+    rolled = rounded(epochs).withColumn("part", F.lit("epoch")).unionByName(counted, allowMissingColumns=True)
+    return rolled.select("part", "run_id", "epoch", "n_steps", "train_loss", "val_loss")

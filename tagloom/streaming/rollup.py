@@ -5,6 +5,10 @@ epochs and the sums of the open one, and the rows behind the watermark's reach.
 batch operator, which cuts a run into pieces, once their step is at least ``lateness`` below the highest
 seen of their run; until then they wait, so their order of arrival does not matter.  Rows that come later
 than that are kept apart and counted.  Without a ``lateness`` all rows wait, and any order is right.
+
+A batch writes its own rows once; those that wait are read again, not written again, and a batch's folder goes
+when none of its rows waits any more.  So storage is in proportion to the log.
+``state_rollup`` does the same in Spark's state store and emits epochs as they close.
 """
 
 from __future__ import annotations
@@ -31,6 +35,46 @@ def _write(df: DataFrame, path: str, part: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/{part}/batch_id={batch_id}")
 
 
+def _waiting(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Rows that were not late, of all batches up to this one whose folders are left."""
+    rows = spark.read.schema(f"{ROW}, batch_id bigint").parquet(f"{path}/waiting")
+    return rows.where(F.col("batch_id") <= batch_id)
+
+
+def _between(rows: DataFrame, before: DataFrame, now: DataFrame) -> DataFrame:
+    """Rows above their run's watermark before and not above the present one."""
+    low = F.coalesce("_low", F.lit(-(1 << 62)))
+    marks = before.select("run_id", F.col("watermark").alias("_low")).join(
+        now.select("run_id", F.col("watermark").alias("_high")), "run_id", "right"
+    )
+    return rows.join(marks, "run_id").where((F.col("step") > low) & (F.col("step") <= F.col("_high")))
+
+
+def _still_waiting(spark: SparkSession, path: str, batch_id: int) -> DataFrame:
+    """Rows above their run's watermark as of a batch."""
+    marks = _read(spark, path, "carry", batch_id, CARRY).select("run_id", F.col("watermark").alias("_mark"))
+    return _waiting(spark, path, batch_id).join(marks, "run_id").where(F.col("step") > F.coalesce("_mark", F.lit(-(1 << 62))))
+
+
+def _forget(spark: SparkSession, path: str, batch_id: int) -> None:
+    """Remove what not even a repetition of this batch reads: carried rows and folders in which nothing waited before it."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def remove(part: str, number: int) -> None:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{part}/batch_id={number}"), True)
+
+    remove("carry", batch_id - 2)
+    if batch_id > 0:
+        # One row a folder.
+        kept = {r[0] for r in _still_waiting(spark, path, batch_id - 1).select("batch_id").distinct().collect()}
+        stored = files.listStatus(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/waiting"))
+        numbers = [int(name.split("=")[1]) for s in stored if (name := s.getPath().getName()).startswith("batch_id=")]
+        for number in numbers:
+            if number < batch_id and number not in kept:
+                remove("waiting", number)
+
+
 def _rolled(rows: DataFrame, carry: DataFrame) -> DataFrame:
     """Epoch sums of rows that continue the runs in ``carry``, open epochs included."""
     found = epoch_sums(rows)
@@ -74,18 +118,17 @@ def start_epoch_rollup(
         is_late = F.col("step") <= F.coalesce("_mark", F.lit(-(1 << 62)))
         marked = fresh.join(marks, "run_id", "left").withColumn("_late", is_late).drop("_mark")
         _write(marked.where("_late").drop("_late"), path, "late", batch_id)
-        waiting = _read(spark, path, "waiting", batch_id - 1, ROW)
-        rows = waiting.unionByName(marked.where("NOT _late").drop("_late"))
-        tops = rows.groupBy("run_id").agg(F.max("step").alias("_top"))
+        _write(marked.where("NOT _late").drop("_late"), path, "waiting", batch_id)
+        tops = _read(spark, path, "waiting", batch_id, ROW).groupBy("run_id").agg(F.max("step").alias("_top"))
         highest = F.greatest("_top", "highest")
         reach = F.lit(None).cast("bigint") if lateness is None else highest - F.lit(lateness)
         now = tops.join(carry.select("run_id", "highest", "watermark"), "run_id", "full").select(
             "run_id", highest.alias("highest"), F.greatest("watermark", reach).alias("watermark")
         )
-        ripe = F.col("step") <= F.coalesce("_mark", F.lit(-(1 << 62)))
-        reached = rows.join(now.select("run_id", F.col("watermark").alias("_mark")), "run_id").withColumn("_ripe", ripe).drop("_mark")
-        _write(reached.where("NOT _ripe").drop("_ripe"), path, "waiting", batch_id)
-        _write(_rolled(reached.where("_ripe").drop("_ripe"), carry), path, "sums", batch_id)
+        ripe = spark.createDataFrame([], ROW)
+        if lateness is not None:
+            ripe = _between(_waiting(spark, path, batch_id), carry, now).select("run_id", "step", "kind", "value")
+        _write(_rolled(ripe, carry), path, "sums", batch_id)
         sums = spark.read.parquet(f"{path}/sums/batch_id={batch_id}")
         still_open = sums.where("n_reports = 0").select(
             "run_id", (F.col("epoch") - 1).alias("closed"), "n_steps", "total"
@@ -98,6 +141,7 @@ def start_epoch_rollup(
             "carry",
             batch_id,
         )
+        _forget(spark, path, batch_id)
 
     return (
         log.writeStream.foreachBatch(fold)
@@ -120,7 +164,8 @@ def read_epochs(spark: SparkSession, path: str, provisional: bool = True) -> Dat
         return closed
     last = _last_batch(spark, path)
     carry = _read(spark, path, "carry", last, CARRY)
-    return closed.unionByName(closed_epochs(_rolled(_read(spark, path, "waiting", last, ROW), carry)))
+    rows = _still_waiting(spark, path, last).select("run_id", "step", "kind", "value")
+    return closed.unionByName(closed_epochs(_rolled(rows, carry)))
 
 
 def late_rows(spark: SparkSession, path: str) -> DataFrame:

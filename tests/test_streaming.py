@@ -11,6 +11,7 @@ from tagloom.plans.queries import QUERIES
 from tagloom.schema import REQUEST, RUN_LOG
 from tagloom.streaming.classify import classify, start_classify_stream
 from tagloom.streaming.rollup import late_rows, read_epochs, start_epoch_rollup
+from tagloom.streaming.state_rollup import read_rolled, start_state_rollup
 
 LABELS = LabelSpace(["get_refund", "track_order"])
 BANK = {"get_refund": ["money back"], "track_order": ["where is it"]}
@@ -129,3 +130,47 @@ def test_watermark_query_covers_logs_of_any_width(spark, tmp_path):
     expected = QUERIES["epoch_rollup"](spark, str(tmp_path)).collect()
     assert [r.n_steps for r in found if r.part == "late"] == [0]
     assert sorted(tuple(r)[1:] for r in found if r.part == "rolled") == sorted(tuple(r) for r in expected)
+
+
+STATE_LOG = "run_id bigint, step bigint, kind string, value double"
+
+
+def feed(spark, folder, rows):
+    spark.createDataFrame(rows, STATE_LOG).coalesce(1).write.mode("append").parquet(folder)
+
+
+def test_state_rollup_closes_epochs_in_the_stream_and_counts_late_rows(spark, tmp_path):
+    """Four restarts on one checkpoint; the state stays as small as the lateness."""
+    folder, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    log = [(run, step, "val" if step % 7 == 6 else "train", float(step % 5)) for run in (1, 2) for step in range(400)]
+    held = []
+    for part in range(4):
+        rows = [r for r in log if r[1] // 100 == part and r[1] != 42]
+        # Out of order inside a part; one row comes two parts late, one within the lateness.
+        rows = rows[::-1] + ([(1, 42, "train", 9.0), (3, 5, "val", 1.0), (1, 295, "other", 1.0), (None, 1, "val", 1.0)] if part == 2 else [])
+        feed(spark, folder, rows)
+        stream = spark.readStream.schema(STATE_LOG).parquet(folder)
+        query = start_state_rollup(stream, out, progress, 20)
+        query.awaitTermination()
+        held.append(sum(o["numRowsTotal"] for p in query.recentProgress[-1:] for o in p["stateOperators"]))
+    epochs, late = read_rolled(spark, out)
+    assert [tuple(r) for r in late.collect()] == [(1, 42)]
+    kept = spark.createDataFrame([r for r in log if r[1] != 42 and r[1] <= 379], STATE_LOG)
+    expected = {tuple(r) for r in epoch_rollup(kept).collect()}
+    assert {tuple(r) for r in epochs.select("run_id", "epoch", "n_steps", "train_loss", "val_loss").collect()} == expected
+    assert len(expected) == 2 * 54
+    # Two runs of twenty waiting rows, run 3 with its one, and a row for each run.
+    assert max(held) <= 2 * 20 + 1 + 3 and held[-1] <= held[1] + 2
+
+
+def test_folded_rollup_keeps_no_old_folders(spark, tmp_path):
+    folder, out, progress = (str(tmp_path / n) for n in ("log", "out", "progress"))
+    log = [(1, step, "val" if step % 7 == 6 else "train", float(step % 5)) for step in range(600)]
+    for part in range(6):
+        feed(spark, folder, log[100 * part : 100 * part + 100])
+        stream = spark.readStream.schema(STATE_LOG).parquet(folder)
+        start_epoch_rollup(stream, out, progress, 30).awaitTermination()
+    assert {tuple(r) for r in read_epochs(spark, out).collect()} == {tuple(r) for r in epoch_rollup(spark.createDataFrame(log, STATE_LOG)).collect()}
+    waiting = spark.read.parquet(f"{out}/waiting")
+    assert waiting.count() <= 200 and {r[0] for r in waiting.select("batch_id").distinct().collect()} == {4, 5}
+    assert {r[0] for r in spark.read.parquet(f"{out}/carry").select("batch_id").distinct().collect()} == {4, 5}
