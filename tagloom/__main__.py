@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tagloom.fixed_values import APPROACHES
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
-from tagloom.operators.classifier import save_classifier, train_text_classifier
+from tagloom.operators.classifier import save_classifier, save_metadata, train_text_classifier
 from tagloom.operators.report import benchmark_text
+from tagloom.operators.runlog import epoch_rollup
+from tagloom.operators.softmax import save_softmax, train_softmax, training_log
 from tagloom.plans.evaluate import evaluate
 from tagloom.plans.prepare import ingest, prepare
 from tagloom.session import remove_staged, ship_package
+from tagloom.sources.results import write_epoch_metrics
 
 
 def _labels(value: str) -> LabelSpace:
@@ -38,7 +41,7 @@ def main(argv: list[str] | None = None) -> None:
     job.add_argument("prepared")
     job.add_argument("out")
     job.add_argument("--labels", type=_labels, default=DEFAULT_SPACE)
-    job.add_argument("--algorithm", choices=("naive_bayes", "logistic"), default="naive_bayes")
+    job.add_argument("--algorithm", choices=("naive_bayes", "logistic", "softmax"), default="naive_bayes")
 
     job = jobs.add_parser("evaluate", help="compare the approaches on the test split")
     job.add_argument("prepared")
@@ -57,10 +60,14 @@ def main(argv: list[str] | None = None) -> None:
         prepare(spark, args.raw, args.out, args.labels)
     elif args.job == "train":
         splits = spark.read.parquet(f"{args.prepared}/splits")
-        model = train_text_classifier(
-            splits.where(F.col("split") == "train"), args.labels, algorithm=args.algorithm
-        )
-        save_classifier(model, spark, args.out, args.algorithm, args.labels)
+        train = splits.where(F.col("split") == "train")
+        if args.algorithm == "softmax":
+            trained = train_softmax(train, args.labels, splits.where(F.col("split") == "val"))
+            save_softmax(trained, spark, save_metadata(spark, args.out, "softmax", "softmax", args.labels))
+            write_epoch_metrics(epoch_rollup(training_log(spark, trained, 0)), f"{args.out}/run_log", "train")
+        else:
+            model = train_text_classifier(train, args.labels, algorithm=args.algorithm)
+            save_classifier(model, spark, args.out, args.algorithm, args.labels)
     else:
         enabled = [name.strip() for name in args.approaches.split(",")]
         summary = evaluate(

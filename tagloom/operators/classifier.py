@@ -75,19 +75,30 @@ def save_classifier(
     labels: LabelSpace = DEFAULT_SPACE,
 ) -> None:
     """Store the model under ``path/model`` and its metadata under ``path/metadata``."""
-    model_path = f"{path}/model"
+    model_path = save_metadata(spark, path, "spark-ml", base_model_id, labels)
     model.write().overwrite().save(model_path)
-    row = [("spark-ml", base_model_id, model_path, list(labels))]
+
+
+def save_metadata(
+    spark: SparkSession, path: str, framework: str, base_model_id: str, labels: LabelSpace
+) -> str:
+    """Store the metadata record; returns where the model belongs."""
+    model_path = f"{path}/model"
+    row = [(framework, base_model_id, model_path, list(labels))]
     spark.createDataFrame(row, METADATA).write.mode("overwrite").json(f"{path}/metadata")
+    return model_path
 
 
-def load_classifier(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
-    """Model and metadata row stored by :func:`save_classifier`."""
+def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     try:
-        metadata = spark.read.schema(METADATA).json(f"{path}/metadata")
-        record = metadata.first()
+        return spark.read.schema(METADATA).json(f"{path}/metadata")
     except AnalysisException as failure:
         raise FileNotFoundError(
             f"No classifier at {path}; train one and save it with save_classifier first."
         ) from failure
-    return PipelineModel.load(record.model_path), metadata
+
+
+def load_classifier(spark: SparkSession, path: str) -> tuple[PipelineModel, DataFrame]:
+    """Model and metadata row stored by :func:`save_classifier`."""
+    metadata = read_metadata(spark, path)
+    return PipelineModel.load(metadata.first().model_path), metadata

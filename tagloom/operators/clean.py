@@ -33,13 +33,15 @@ def dedup_keep_first(
 ) -> DataFrame:
     """One row per key: the one with the smallest ``order_by``.
 
-    Catalyst keeps one row per key in every map task before the shuffle
-    (``WindowGroupLimit``), so a text copied a billion times sends one row per task.
+    Keys are compared as 128-bit digests, two hashes with seeds of their own, so no sort or shuffle is by a whole
+    text.  Catalyst keeps one row per digest in every map task before the shuffle (``WindowGroupLimit``), so a
+    text copied a billion times sends one row per task.
     """
-    ranked = df.withColumn(
-        "_rank", F.row_number().over(Window.partitionBy(key).orderBy(order_by))
-    )
-    return ranked.where(F.col("_rank") == 1).drop("_rank")
+    # The text comes last, as each value is hashed with the hash so far as its seed.
+    halves = {"_low": F.xxhash64(F.lit("low"), key), "_high": F.xxhash64(F.lit("high"), key)}
+    rank = F.row_number().over(Window.partitionBy(*halves).orderBy(order_by))
+    ranked = df.withColumns(halves).withColumn("_rank", rank)
+    return ranked.where(F.col("_rank") == 1).drop("_rank", *halves)
 
 
 def length_filter(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import re
 import time
+from collections import Counter
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Protocol
 
@@ -33,10 +34,8 @@ class Predictor(Protocol):
 
 # Prompts that go to a model at a time.
 BATCH_SIZE = 32
-# Postings of the examples that one task of the nearest-example predictor holds.
-BLOCK_WORDS = 2_000_000
-# Similarities worked out at once; bounds the memory of a task.
-_CELLS = 4_000_000
+# Words of the examples, and of the texts, that one task of the nearest-example predictor holds.
+BLOCK_WORDS, CHUNK_WORDS = 2_000_000, 8_000_000
 
 # One loaded predictor per Python worker, key and factory; workers are reused between tasks.
 _loaded: dict[str, Predictor] = {}
@@ -114,7 +113,8 @@ def predict_batch(
     return df.mapInPandas(run, T.StructType(fields))
 
 
-def _words(text: str) -> set[str]:
+def words_of(text: str) -> set[str]:
+    """The distinct lower-case ASCII alphanumeric tokens."""
     return set(re.findall(r"[a-z0-9]+", text.lower()))
 
 
@@ -126,20 +126,47 @@ class LexicalPredictor:
 
     def __init__(self, labels: Iterable[str], marker: str | None = None):
         self._marker = marker
-        self._names = [(label, _words(label)) for label in labels]
+        self._names = [(label, words_of(label)) for label in labels]
 
     def __call__(self, prompts: list[str]) -> list[str]:
         return [self._one(prompt) for prompt in prompts]
 
     def _one(self, prompt: str) -> str:
         text = prompt.rsplit(self._marker, 1)[-1] if self._marker else prompt
-        words = _words(text)
+        words = words_of(text)
         label, overlap = max(
             ((label, len(words & name)) for label, name in self._names), key=lambda pair: pair[1]
         )
         return label if overlap else UNKNOWN_LABEL
 
 
+class NearestPredictor:
+    """Python counterpart of :func:`few_shot_nearest` over a bank of a few examples a label.
+
+    ``examples`` are ``(label, text)`` in order; an inverted index leads from words to those that share one.
+    """
+
+    def __init__(self, examples: Sequence[tuple[str, str]]):
+        self._labels = [label for label, _ in examples]
+        sets = [words_of(text or "") for _, text in examples]
+        self._sizes = [len(words) for words in sets]
+        self._holders: dict[str, list[int]] = {}
+        for place, words in enumerate(sets):
+            for word in words:
+                self._holders.setdefault(word, []).append(place)
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        return [self._one(words_of(prompt)) for prompt in prompts]
+
+    def _one(self, words: set[str]) -> str:
+        if not self._labels:
+            return UNKNOWN_LABEL
+        shared = Counter(place for word in words for place in self._holders.get(word, ()))
+        # Examples that share nothing are all alike; the first stands for them.
+        best = min(shared or [0], key=lambda place: (-shared[place] / max(1, len(words) + self._sizes[place] - shared[place]), self._labels[place]))
+        return self._labels[best] if shared else min(self._labels)
+
+
 def zero_shot_lexical(
     df: DataFrame, labels: LabelSpace, text_col: str = "instruction"
 ) -> DataFrame:
@@ -149,7 +176,7 @@ def zero_shot_lexical(
     token.  The text is cut down to label tokens once, so the per-label work does not
     depend on the length of the text.
     """
-    names = [{"label": label, "words": sorted(_words(label))} for label in labels]
+    names = [{"label": label, "words": sorted(words_of(label))} for label in labels]
     vocabulary = sorted({word for name in names for word in name["words"]})
     cut = df.withColumn(
         "_known",
@@ -170,78 +197,125 @@ def zero_shot_lexical(
     return cut.select(*df.columns, label.alias("raw_output"))
 
 
-def _nearest(labels: Sequence[str], examples: Sequence[Sequence[str]]):
-    """Arrow UDF over token lists: similarity and label of the nearest of some examples.
+class NearestIndex:
+    """Nearest of many examples by token Jaccard: words from the rarest on, with bounds.
 
-    An inverted index leads from a word to the examples that have it; shared words of a whole
-    batch are counted by adding up those lists.
+    An example that is first met at the i-th rarest of a text's k known words shares at most k - i of them, so its
+    similarity is at most (k - i) / size of the text.  Once the best so far is above that, no new example is
+    taken; those already met go on only while the words they share and those that are left can still reach the best.
     """
-    sizes = np.array([len(words) for words in examples], dtype=np.int64)
-    flat = pa.array([word for words in examples for word in words], pa.string())
-    vocabulary = pc.unique(flat)
-    number = pc.index_in(flat, value_set=vocabulary).to_numpy(zero_copy_only=False)
-    holders = np.repeat(np.arange(len(sizes)), sizes)[np.argsort(number, kind="stable")]
-    lengths = np.bincount(number, minlength=len(vocabulary))
-    starts = np.concatenate(([0], np.cumsum(lengths)))[:-1]
-    width = len(sizes)
 
+    def __init__(self, labels: Sequence[str], examples: Sequence[Sequence[str]]):
+        self._labels = list(labels)
+        self._sizes = np.array([len(words) for words in examples], dtype=np.int64)
+        flat = pa.array([word for words in examples for word in words], pa.string())
+        self._vocabulary = pc.unique(flat)
+        number = pc.index_in(flat, value_set=self._vocabulary).to_numpy(zero_copy_only=False)
+        # Holders of a word in ascending order.
+        self._holders = np.repeat(np.arange(len(self._sizes)), self._sizes)[np.argsort(number, kind="stable")]
+        self._lengths = np.bincount(number, minlength=len(self._vocabulary))
+        self._ends = np.cumsum(self._lengths)
+
+    def find(self, tokens: pa.ListArray) -> tuple[list[float], list[str]]:
+        """Similarity and label for each list of distinct tokens; ties go to the first example."""
+        found = pc.fill_null(pc.index_in(tokens.flatten(), value_set=self._vocabulary), -1).to_numpy(zero_copy_only=False)
+        limits = tokens.offsets.to_numpy() - tokens.offsets[0].as_py()
+        best = [self._one(found[low:high]) for low, high in zip(limits[:-1], limits[1:])]
+        return [s for s, _ in best], [self._labels[at] for _, at in best]
+
+    def _postings(self, word: int) -> np.ndarray:
+        return self._holders[self._ends[word] - self._lengths[word] : self._ends[word]]
+
+    def _one(self, found: np.ndarray) -> tuple[float, int]:
+        size, known = len(found), found[found >= 0]
+        known = known[np.argsort(self._lengths[known], kind="stable")]
+        shared = np.zeros(len(self._sizes), dtype=np.int64)
+        best, at, step = 0.0, 0, 1
+        while at < len(known) and best <= (len(known) - at) / size:
+            group = known[at : at + step]
+            np.add.at(shared, np.concatenate([self._postings(word) for word in group]), 1)
+            at, step = at + len(group), 2 * step
+            best = float((shared / (size + self._sizes - shared).clip(1)).max())
+        alive = np.flatnonzero(shared)
+        if not len(alive):
+            return 0.0, 0
+        counts = shared[alive]
+        for place in range(at, len(known)):
+            most = counts + len(known) - place
+            reach = most / (size + self._sizes[alive] - most).clip(1) >= best
+            alive, counts = alive[reach], counts[reach]
+            holders = self._postings(known[place])
+            near = np.minimum(np.searchsorted(holders, alive), len(holders) - 1)
+            counts = counts + (holders[near] == alive)
+        similarity = counts / (size + self._sizes[alive] - counts)
+        first = int(similarity.argmax())
+        return float(similarity[first]), int(alive[first])
+
+
+def _index_of(rows) -> NearestIndex:
+    return NearestIndex([label for label, _ in rows], [words for _, words in rows])
+
+
+def _nearest(index: NearestIndex):
     @F.arrow_udf("struct<similarity: double, raw_output: string>")
     def score(tokens: pa.Array) -> pa.Array:
-        best_at: list[np.ndarray] = []
-        best: list[np.ndarray] = []
-        rows = max(1, _CELLS // width)
-        for low in range(0, len(tokens), rows):
-            part = tokens.slice(low, rows)
-            count = np.diff(part.offsets.to_numpy())
-            owner = np.repeat(np.arange(len(part)), count)
-            at = pc.fill_null(pc.index_in(part.flatten(), value_set=vocabulary), -1).to_numpy()
-            owner, at = owner[at >= 0], at[at >= 0]
-            ends = np.cumsum(lengths[at])
-            places = np.repeat(starts[at] - ends + lengths[at], lengths[at]) + np.arange(ends[-1] if len(ends) else 0)
-            cells = np.repeat(owner * width, lengths[at]) + holders[places]
-            shared = np.bincount(cells, minlength=len(part) * width).reshape(len(part), width)
-            union = count[:, None] + sizes - shared
-            similarity = np.divide(shared, union, out=np.zeros(shared.shape), where=union > 0)
-            best_at.append(similarity.argmax(axis=1))
-            best.append(similarity.max(axis=1))
-        chosen = np.concatenate(best_at) if best_at else np.zeros(0, dtype=np.int64)
-        similarities = np.concatenate(best) if best else np.zeros(0)
+        similarities, found = index.find(tokens)
         return pa.StructArray.from_arrays(
-            [pa.array(similarities), pa.array(labels, pa.string()).take(pa.array(chosen))],
-            names=["similarity", "raw_output"],
+            [pa.array(similarities, pa.float64()), pa.array(found, pa.string())], names=["similarity", "raw_output"]
         )
 
     return score
 
 
+def _nearest_of_block(texts: pa.Table, examples: pa.Table) -> pa.Table:
+    """The nearest example of a block for each text of a chunk."""
+    schema = pa.schema([("row", pa.int64()), ("similarity", pa.float64()), ("raw_output", pa.string())])
+    if not texts.num_rows or not examples.num_rows:
+        return schema.empty_table()
+    ordered = examples.sort_by([("intent", "ascending"), ("place", "ascending")])
+    index = NearestIndex(ordered.column("intent").to_pylist(), ordered.column("tokens").to_pylist())
+    similarities, found = index.find(texts.column("tokens").combine_chunks())
+    return pa.table([texts.column("row"), pa.array(similarities, pa.float64()), pa.array(found, pa.string())], schema=schema)
+
+
 def few_shot_nearest(df: DataFrame, bank: DataFrame, text_col: str = "instruction") -> DataFrame:
     """Add ``raw_output`` and ``similarity``: label of the bank example nearest by token Jaccard.
 
-    Ties go to the first label; without any example the label is ``unknown``.  Map-only: the
-    examples are dealt to blocks of about ``BLOCK_WORDS`` words, one of which travels with the
-    function; with several blocks the best so far is stored between them.
+    Ties go to the first label; without any example the label is ``unknown``.  A bank of up to ``BLOCK_WORDS`` words
+    travels with the function, map-only.  A larger one is dealt to blocks of that size and the texts, as token
+    lists, to chunks of ``CHUNK_WORDS``; every pair of them is a task's work, and what comes back is an id with the
+    best of a block.  The rows themselves are stored once, however many blocks there are.
     """
     examples = example_rows(bank).select(
         "intent", "place", distinct_tokens(F.col("example")).alias("tokens")
     )
-    words = examples.agg(F.sum(F.size("tokens"))).first()[0]
-    if words is None:
+    words, count = examples.agg(F.sum(F.size("tokens")), F.count("*")).first()
+    if not count:
         return df.withColumns({"raw_output": F.lit(UNKNOWN_LABEL), "similarity": F.lit(0.0)})
-    blocks = max(1, -(-words // BLOCK_WORDS))
-    block = F.pmod(F.xxhash64("intent", "place"), F.lit(blocks))
-    best = df.withColumn("_best", F.lit(None).cast("struct<minus: double, raw_output: string>"))
-    for number in range(blocks):
-        # About BLOCK_WORDS words.
-        part = examples.where(block == number).orderBy("intent", "place").collect()
-        if not part:
-            continue
-        nearest = _nearest([r.intent for r in part], [r.tokens for r in part])
-        tokens = distinct_tokens(F.coalesce(F.col(text_col), F.lit("")))
-        found = best.withColumn("_found", nearest(tokens))
-        better = F.struct((-F.col("_found.similarity")).alias("minus"), F.col("_found.raw_output").alias("raw_output"))
-        best = found.withColumn("_best", F.least("_best", better)).drop("_found")
-        if number + 1 < blocks:
-            best = stage(best, "nearest")
-    return best.select(
-        *df.columns, F.col("_best.raw_output").alias("raw_output"), (-F.col("_best.minus")).alias("similarity")
+    tokens = distinct_tokens(F.coalesce(F.col(text_col), F.lit("")))
+    blocks = max(1, -(-(words + count) // BLOCK_WORDS))
+    if blocks == 1:
+        # Bounded by BLOCK_WORDS.
+        shown = [(r.intent, r.tokens) for r in examples.orderBy("intent", "place").collect()]
+        found = df.withColumn("_found", _nearest(_index_of(shown))(tokens))
+        return found.select(*df.columns, "_found.raw_output", "_found.similarity")
+    rows = stage(df.withColumn("_row", F.monotonically_increasing_id()), "texts")
+    listed = stage(rows.select(F.col("_row").alias("row"), tokens.alias("tokens")), "tokens")
+    chunks = max(1, -(-(listed.agg(F.sum(F.size("tokens") + 1)).first()[0] or 1) // CHUNK_WORDS))
+
+    def each(number: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(number - 1)))
+
+    cell = ["chunk", "block"]
+    asked = listed.withColumn("chunk", F.pmod(F.xxhash64("row"), F.lit(chunks)).cast("int")).withColumn("block", each(blocks))
+    held = examples.withColumn("block", F.pmod(F.xxhash64("intent", "place"), F.lit(blocks)).cast("int")).withColumn("chunk", each(chunks))
+    best = (
+        asked.groupBy(*cell)
+        .cogroup(held.groupBy(*cell))
+        .applyInArrow(_nearest_of_block, "row long, similarity double, raw_output string")
+        .groupBy("row")
+        .agg(F.min(F.struct((-F.col("similarity")).alias("minus"), "raw_output")).alias("best"))
+    )
+    return rows.join(best, F.col("_row") == F.col("row")).select(
+        *df.columns, F.col("best.raw_output").alias("raw_output"), (-F.col("best.minus")).alias("similarity")
     )

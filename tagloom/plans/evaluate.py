@@ -12,11 +12,13 @@ from pyspark.sql import functions as F
 from tagloom.fixed_values import APPROACHES
 from tagloom.functions.matching import match_labels
 from tagloom.labels import LabelSpace
-from tagloom.operators.classifier import load_classifier, predict_with
+from tagloom.operators.classifier import load_classifier, predict_with, read_metadata
 from tagloom.operators.metrics import benchmark_summary
 from tagloom.operators.naive_bayes import NaiveBayes, predict_naive_bayes
-from tagloom.operators.predict import LexicalPredictor, few_shot_nearest, predict_batch
+from tagloom.operators.bank import example_rows
+from tagloom.operators.predict import LexicalPredictor, NearestPredictor, predict_batch
 from tagloom.operators.report import union_approaches
+from tagloom.operators.softmax import Softmax, load_softmax, predict_softmax
 from tagloom.session import stage
 from tagloom.sources.jsonl import read_example_bank
 from tagloom.sources.results import read_summary, write_results, write_run_metrics, write_summary_json
@@ -27,26 +29,33 @@ Approach = Callable[[DataFrame], DataFrame]
 
 
 def default_approaches(
-    labels: LabelSpace, bank: DataFrame, model: Callable[[], PipelineModel | NaiveBayes]
+    labels: LabelSpace, bank: DataFrame, model: Callable[[], PipelineModel | NaiveBayes | Softmax]
 ) -> dict[str, Approach]:
     """Label-name overlap, nearest bank example, and the trained classifier (loaded on use).
 
-    The first is called like any model, batch by batch, and has a latency for each call.
+    The first two and a softmax model are called like any model, batch by batch, and have a latency for each call;
+    the joins of naive Bayes and the pipelines of Spark ML make no calls.  The bank is one of a few examples a label.
     """
     names = tuple(labels)
 
     def zero_shot(samples: DataFrame) -> DataFrame:
         return predict_batch(samples, lambda: LexicalPredictor(names), "lexical", "instruction")
 
+    def few_shot(samples: DataFrame) -> DataFrame:
+        shown = tuple((r.intent, r.example) for r in example_rows(bank).orderBy("intent", "place").collect())
+        return predict_batch(samples, lambda: NearestPredictor(shown), f"nearest:{hash(shown)}", "instruction")
+
     def fine_tuned(samples: DataFrame) -> DataFrame:
         trained = model()
+        if isinstance(trained, Softmax):
+            return predict_softmax(samples, trained)
         if isinstance(trained, NaiveBayes):
             return samples.join(predict_naive_bayes(samples, trained, "sample_id"), "sample_id")
         return predict_with(trained, samples)
 
     return {
         "zero_shot": zero_shot,
-        "few_shot": lambda samples: few_shot_nearest(samples, bank).drop("similarity"),
+        "few_shot": few_shot,
         "fine_tuned": fine_tuned,
     }
 
@@ -97,6 +106,13 @@ def three_way_benchmark(
     return benchmark_summary(predictions, labels)
 
 
+def load_trained(spark: SparkSession, path: str) -> PipelineModel | Softmax:
+    """The classifier that the train job stored."""
+    if read_metadata(spark, path).first().framework == "softmax":
+        return load_softmax(spark, f"{path}/model")
+    return load_classifier(spark, path)[0]
+
+
 def evaluate(
     spark: SparkSession,
     prepared_path: str,
@@ -117,7 +133,7 @@ def evaluate(
     if max_samples is not None:
         samples = stage(samples.orderBy("sample_id").limit(max_samples), "samples")
     bank = read_example_bank(spark, f"{prepared_path}/prompts/example_bank")
-    approaches = default_approaches(labels, bank, lambda: load_classifier(spark, classifier_path)[0])
+    approaches = default_approaches(labels, bank, lambda: load_trained(spark, classifier_path))
     write_results(compare_approaches(samples, approaches, labels, enabled), labels, results_path)
     summary = read_summary(spark, results_path)
     write_summary_json(summary, base_model_id, f"{results_path}/summary_json")

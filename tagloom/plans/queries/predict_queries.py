@@ -15,6 +15,7 @@ from tagloom.operators.classifier import (
 )
 from tagloom.operators.metrics import per_class_prf
 from tagloom.operators.naive_bayes import predict_naive_bayes, train_naive_bayes
+from tagloom.operators.softmax import Settings, predict_softmax, train_softmax
 from tagloom.operators.split import hash_split
 from tagloom.plans import evaluate
 from tagloom.plans.queries.registry import (
@@ -26,6 +27,7 @@ from tagloom.plans.queries.registry import (
     sql_list,
     sql_scores,
     sql_summary,
+    sql_values,
 )
 from tagloom.session import stage, staging_path
 
@@ -139,6 +141,67 @@ def naive_bayes_query(t):
     return test.select("doc_id", "lang").join(answered, "doc_id")
 
 
+# Three epochs of two batches, so that the SQL stays readable.
+_SOFTMAX = Settings(epochs=3, batches=2, rate=60.0, warm_up=0.25, max_norm=0.5, dims=1 << 13)
+
+
+def sql_softmax(train: str, test: str, key: str, text: str, label: str, labels, settings) -> str:
+    """WITH parts up to ``softmax(key, raw_output)``: every step of the training in turn."""
+
+    def features(source: str, more: str) -> str:
+        bucket = f"('0x' || substr(md5(w), 1, 8))::BIGINT % {settings.dims}"
+        return f"""SELECT {key}, {more} list_append(list_distinct([{bucket} FOR w IN {sql_tokens(text)}]), {settings.dims}) AS fs FROM {source}
+  WHERE {text} IS NOT NULL"""
+
+    batch = f"('0x' || substr(md5('{settings.seed}:batch:' || {key}), 1, 8))::BIGINT % {settings.batches}"
+    parts = [
+        f"listed(l) AS (VALUES {sql_values(labels)})",
+        f"taught_rows AS MATERIALIZED ({features(train, f'{label} AS y, {batch} AS batch,')} AND {label} IN ({sql_list(labels)}))",
+        f"tested_rows AS MATERIALIZED ({features(test, '')})",
+        "weights_0 AS (SELECT 0 AS f, l, 0::BIGINT AS w FROM listed)",
+    ]
+    for step in range(settings.epochs * settings.batches):
+        rate = settings.rate_at(step)
+        parts.append(f"""rows_{step} AS MATERIALIZED (SELECT {key}, y, unnest(fs) AS f FROM taught_rows WHERE batch = {step % settings.batches}),
+scores_{step} AS MATERIALIZED (
+  SELECT r.{key}, r.y, x.l, sum(coalesce(w.w, 0)) AS s
+  FROM rows_{step} r CROSS JOIN listed x LEFT JOIN weights_{step} w ON w.f = r.f AND w.l = x.l GROUP BY ALL),
+powers_{step} AS (SELECT *, exp((s - max(s) OVER (PARTITION BY {key})) / 1000000) AS e FROM scores_{step}),
+apart_{step} AS MATERIALIZED (
+  SELECT {key}, l, floor(e / sum(e) OVER (PARTITION BY {key}) * 1048576 + 0.5)::BIGINT - CASE WHEN l = y THEN 1048576 ELSE 0 END AS d
+  FROM powers_{step}),
+slopes_{step} AS MATERIALIZED (
+  SELECT r.f, a.l, sum(a.d) / (1048576 * (SELECT count(DISTINCT {key}) FROM rows_{step})) AS g
+  FROM rows_{step} r JOIN apart_{step} a ON a.{key} = r.{key} GROUP BY r.f, a.l),
+moves_{step} AS (
+  SELECT f, l, floor({rate!r} * least(1.0, {settings.max_norm!r} / (SELECT sqrt(sum(g * g)) FROM slopes_{step})) * g * 1000000 + 0.5)::BIGINT AS m
+  FROM slopes_{step}),
+weights_{step + 1} AS MATERIALIZED (
+  SELECT coalesce(w.f, m.f) AS f, coalesce(w.l, m.l) AS l, coalesce(w.w, 0) - coalesce(m.m, 0) AS w
+  FROM weights_{step} w FULL JOIN moves_{step} m ON m.f = w.f AND m.l = w.l)""")
+    last = settings.epochs * settings.batches
+    parts.append(f"""asked AS (SELECT {key}, unnest(fs) AS f FROM tested_rows),
+softmax AS (
+  SELECT a.{key}, x.l AS raw_output
+  FROM asked a CROSS JOIN listed x LEFT JOIN weights_{last} w ON w.f = a.f AND w.l = x.l GROUP BY a.{key}, x.l
+  QUALIFY row_number() OVER (PARTITION BY a.{key} ORDER BY sum(coalesce(w.w, 0)) DESC, x.l) = 1)""")
+    return ",\n".join(parts)
+
+
+@registered(f"""WITH hashed AS (
+  SELECT *, ('0x' || substr(md5('42:' || text), 1, 8))::BIGINT % 10000 AS bucket FROM documents WHERE text IS NOT NULL),
+train AS (SELECT * FROM hashed WHERE bucket < 7000), test AS (SELECT * FROM hashed WHERE bucket >= 8500),
+{sql_softmax('train', 'test', 'doc_id', 'text', 'lang', _LANGUAGES, _SOFTMAX)}
+SELECT doc_id, lang, raw_output FROM softmax JOIN test USING (doc_id)""")
+def softmax_regression(t):
+    """Trained by gradient steps on the train split of all documents, asked about the test split."""
+    documents = t.read("documents").where("text IS NOT NULL").select("doc_id", "text", "lang")
+    split = hash_split(documents, key_col="text")
+    model = train_softmax(split.where("split = 'train'"), _LANGUAGES, None, _SOFTMAX, "doc_id", "text", "lang")
+    asked = split.where("split = 'test'").select("doc_id", "lang", "text")
+    return predict_softmax(asked, model, "text").select("doc_id", "lang", "raw_output")
+
+
 @registered()
 def spark_ml_classifier(t):
     """The pipeline of Spark ML on the same split, stored and loaded."""

@@ -87,12 +87,12 @@ def remove_staged(spark: SparkSession) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def stage(df: DataFrame, name: str = "stage") -> DataFrame:
-    """Write ``df`` as Parquet to the shared folder and read it back.
+def stage(df: DataFrame, name: str = "stage", partition_by: tuple[str, ...] = ()) -> DataFrame:
+    """Write ``df`` as Parquet to the shared folder, in folders by ``partition_by``, and read it back.
 
     Cuts the lineage in a way that outlives lost executors, and lets every later
     pass read only the columns it needs.
     """
     path = staging_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.partitionBy(*partition_by).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -34,6 +34,9 @@ def test_dedup_limits_groups_before_its_only_shuffle(spark, tmp_path, corpus):
     # Plans print from the result down, so the partial limit comes after the shuffle.
     assert text.index("Exchange hashpartitioning") < partial
     assert "BroadcastHashJoin" in text
+    # Neither sort nor shuffle is by the text.
+    for keys in re.findall(r"(?:Sort|Exchange hashpartitioning|WindowGroupLimit)\s*[\[(]([^\])]*)[\])]", text):
+        assert "instruction" not in keys and ("_low" in keys or "_high" in keys)
     assert text.index("length(") > 0 and "Filter" in text[partial:]
 
 

@@ -3,6 +3,9 @@ from __future__ import annotations
 import time
 from functools import partial
 
+import random
+
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -196,3 +199,31 @@ def test_only_enabled_approaches_run(spark, corpus):
     }
     rows = evaluate.compare_approaches(samples, approaches, DEFAULT_SPACE, ["zero_shot"])
     assert rows.count() == 270
+
+
+def test_nearest_among_many_examples_by_prefix(spark, monkeypatch):
+    """Blocks and chunks in one pass against all pairs; ties go to the first label."""
+    draw = random.Random(8)
+    common, rare = [f"c{n}" for n in range(8)], [f"r{n}" for n in range(400)]
+    texts = [" ".join(draw.choices(common, k=3) + draw.choices(rare, k=draw.randrange(4))) for _ in range(600)]
+    bank = [(f"l{n:03}", [" ".join(draw.sample(texts[draw.randrange(600)].split(), 3)), draw.choice(texts), ""]) for n in range(150)]
+    rows = spark.createDataFrame([(n, t) for n, t in enumerate([*texts, "", None, "nothing known"])], "id long, instruction string")
+    shown = spark.createDataFrame(bank, "intent string, examples array<string>")
+    expected = {}
+    for r in rows.collect():
+        words = set((r.instruction or "").split())
+        pairs = [(-len(words & set(e.split())) / max(1, len(words | set(e.split()))), label) for label, es in bank for e in es]
+        expected[r.id] = min(pairs)
+    for block, chunk in ((2_000_000, 8_000_000), (400, 700)):
+        monkeypatch.setattr(predict, "BLOCK_WORDS", block)
+        monkeypatch.setattr(predict, "CHUNK_WORDS", chunk)
+        found = predict.few_shot_nearest(rows, shown)
+        assert found.columns == ["id", "instruction", "raw_output", "similarity"]
+        assert {r.id: (-r.similarity, r.raw_output) for r in found.collect()} == expected
+    index = predict.NearestIndex(["a", "b", "c"], [["x", "rare"], ["x", "y"], ["x"] * 1])
+    reads = []
+    original = index._postings
+    index._postings = lambda word: reads.append(int(index._lengths[word])) or original(word)
+    assert index._one(np.array([0, 1])) == (1.0, 0)
+    # The rare word decides; the common one is not traversed for new examples.
+    assert reads[0] == 1
