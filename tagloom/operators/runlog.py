@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -10,6 +11,7 @@ from pyspark.sql import types as T
 
 from tagloom.fixed_values import LOGGED_METRICS
 from tagloom.functions.text import as_text
+from tagloom.session import stage
 
 # Width in steps of the pieces a run is cut into; bounds the rows one task orders.
 _STEPS_PER_PIECE = 1_000_000
@@ -43,6 +45,49 @@ def flatten_params(df: DataFrame, id_cols: Sequence[str] = ()) -> DataFrame:
     return rows.select(*id_cols, "_entry.key", "_entry.value")
 
 
+def flatten_json_params(df: DataFrame, json_col: str = "params", id_cols: Sequence[str] = ()) -> DataFrame:
+    """JSON objects of any shapes as ``(ids..., key, value)`` with dotted keys and text values.
+
+    Each row may have a shape of its own.  Objects are opened level by level, as deep as the deepest goes; lists are
+    joined by commas, their nested members kept as JSON.  Nulls have a null value, and empty objects, nulls
+    and what is no JSON object give no row.
+    """
+    spark = df.sparkSession
+    # In a struct, so that no id's name meets those of the opened members.
+    ids = F.struct(F.lit(0).alias("_"), *id_cols).alias("_ids")
+    parsed = df.select(ids, F.lit(None).cast("string").alias("_path"), F.try_parse_json(json_col).alias("_object"))
+    level, found = stage(parsed.where(_is_object("_object")), "level"), []
+    while not level.isEmpty():
+        opened = level.lateralJoin(spark.tvf.variant_explode(F.col("_object").outer()))
+        members = stage(opened.select("_ids", F.concat_ws(".", "_path", "key").alias("_path"), F.col("value").alias("_object")), "members")
+        found.append(members.where(~_is_object("_object")).select("_ids", F.col("_path").alias("key"), _variant_text("_object").alias("value")))
+        level = members.where(_is_object("_object"))
+    rows = reduce(DataFrame.unionByName, found) if found else level.select("_ids", F.col("_path").alias("key"), F.col("_path").alias("value"))
+    return rows.select(*[F.col("_ids")[c].alias(c) for c in id_cols], "key", "value")
+
+
+def _is_object(column: str) -> Column:
+    return F.coalesce(F.schema_of_variant(column).startswith("OBJECT"), F.lit(False))
+
+
+def _variant_text(column: str) -> Column:
+    """A member as parameter text, by its own type."""
+
+    def scalar(value: Column) -> Column:
+        kind = F.schema_of_variant(value)
+        number = as_text(F.try_variant_get(value, "$", "double"), T.DoubleType())
+        return (
+            F.when(kind == "BOOLEAN", as_text(F.try_variant_get(value, "$", "boolean"), T.BooleanType()))
+            .when(kind.startswith("DECIMAL") | kind.isin("DOUBLE", "FLOAT"), number)
+            .otherwise(F.try_variant_get(value, "$", "string"))
+        )
+
+    value = F.col(column)
+    is_list = F.schema_of_variant(value).startswith("ARRAY")
+    members = F.try_variant_get(value, "$", "array<variant>")
+    return F.when(is_list, F.array_join(F.transform(members, scalar), ",")).otherwise(scalar(value))
+
+
 def epoch_rollup(df: DataFrame, steps_per_piece: int = _STEPS_PER_PIECE) -> DataFrame:
     """Mean train loss since the previous validation report, with the validation loss.
 

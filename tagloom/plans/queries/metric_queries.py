@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tagloom.functions.matching import confidence as confidence_of
+from tagloom.functions.matching import match_many_labels
+from tagloom.labels import LabelSpace
 from tagloom.operators import metrics
 from tagloom.plans.queries.registry import (
     AVERAGES,
@@ -14,12 +16,15 @@ from tagloom.plans.queries.registry import (
     PREDICTIONS,
     SUMMARY,
     SUMMARY_COLUMNS,
+    V2,
     registered,
     rounded,
     sql_scores,
     sql_summary,
     sql_values,
 )
+from tagloom.session import staging_path
+from tagloom.sources import results
 
 
 @registered(f"WITH {PREDICTIONS} SELECT sample_id, raw_output, prediction, strategy FROM predictions")
@@ -161,3 +166,46 @@ def latency_stats_special(t):
         F.when(finite, p95).alias("p95_latency_ms"),
     )
     return rounded(found)
+
+
+@registered(f"""WITH {V2} SELECT approach, count(*) AS n, true AS within_bound FROM v2
+WHERE latency_ms IS NOT NULL AND NOT isnan(latency_ms) GROUP BY approach""")
+def latency_sketches(t):
+    """The 95th percentile of four runs from their stored sketches: its rank is right within one percent."""
+    path = staging_path(t.spark, "run-sketches")
+    samples = t.raw_predictions()
+    for run in range(4):
+        results.write_latency_sketches(samples.where(F.col("sample_id") % 4 == run), path, f"run-{run}")
+    merged = results.merged_latencies(t.spark, path)
+    placed = samples.join(merged, "approach").groupBy("approach", "n").agg(
+        (F.count_if(F.col("latency_ms") < F.col("percentile")) / F.first("n")).alias("below"),
+        (F.count_if(F.col("latency_ms") <= F.col("percentile")) / F.first("n")).alias("upto"),
+    )
+    within = (F.col("below") - 0.01 <= 0.95) & (F.col("upto") + 0.01 >= 0.95)
+    return placed.select("approach", "n", within.alias("within_bound"))
+
+
+_NAMES = 20_000
+
+
+@registered(f"""WITH asked AS (
+  SELECT o_orderkey, md5((o_custkey % {_NAMES})::VARCHAR) AS name FROM orders)
+SELECT o_orderkey,
+  CASE WHEN o_orderkey % 5 = 4 THEN 'unknown' ELSE name END AS prediction,
+  CASE o_orderkey % 5 WHEN 0 THEN 'exact' WHEN 1 THEN 'substring' WHEN 4 THEN 'unknown' ELSE 'fuzzy' END AS strategy
+FROM asked""")
+def normalise_prediction_many(t):
+    """Raw output matched to one of 20,000 generated names: whole, inside a sentence, with letters wrong or missing."""
+    names = t.spark.range(_NAMES).select(F.md5(F.col("id").cast("string")).alias("name"))
+    space = LabelSpace.from_column(names, "name")
+    name = F.md5((F.col("o_custkey") % _NAMES).cast("string"))
+    kind = F.col("o_orderkey") % 5
+    raw = (
+        F.when(kind == 0, F.concat(F.lit("  "), F.upper(name)))
+        .when(kind == 1, F.concat(F.lit("The name is "), name, F.lit(".")))
+        .when(kind == 2, F.concat(F.substring(name, 1, 9), F.lit("zz"), F.substring(name, 12, 21)))
+        .when(kind == 3, F.concat(F.substring(name, 4, 12), F.substring(name, 18, 15)))
+        .otherwise(F.lit("no such thing"))
+    )
+    asked = t.read("orders").select("o_orderkey", raw.alias("raw_output"))
+    return match_many_labels(asked, space).select("o_orderkey", "prediction", "strategy")

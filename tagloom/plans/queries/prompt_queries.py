@@ -33,6 +33,7 @@ from tagloom.plans.queries.registry import (
     sql_strip,
 )
 from tagloom.session import staging_path
+from tagloom.sources import jsonl
 from tagloom.sources.jsonl import (
     read_chat_jsonl,
     read_example_bank,
@@ -259,3 +260,25 @@ def validate_chat_broken(t):
     return validate.validate_chat_rows(rows).select(
         "row_id", "is_valid", F.lit(first).cast("bigint").alias("first_without")
     )
+
+
+@registered("""WITH placed AS (
+  SELECT doc_id, doc_id // 100 AS part, row_number() OVER (PARTITION BY doc_id // 100 ORDER BY doc_id) AS line FROM documents)
+SELECT part, line, CASE WHEN doc_id % 7 = 0 THEN 'broken' ELSE 'no messages' END AS reason
+FROM placed WHERE doc_id % 7 = 0 OR (doc_id % 11 = 0 AND doc_id % 5 <> 0)""")
+def validate_chat_jsonl(t):
+    """File and line of the offenders among chat records written to many files, with blank lines between."""
+    path = staging_path(t.spark, "chat-lines")
+    messages = F.array(F.struct(F.lit("user").alias("role"), F.col("text").alias("content")))
+    whole = F.to_json(F.struct(messages.alias("messages")))
+    line = (
+        F.when(F.col("doc_id") % 7 == 0, F.concat(F.lit('{"messages": [{"role": '), F.col("doc_id")))
+        .when(F.col("doc_id") % 5 == 0, F.lit(" "))
+        .when(F.col("doc_id") % 11 == 0, F.to_json(F.struct("doc_id")))
+        .otherwise(whole)
+    )
+    lines = t.read("documents").select(F.call_function("div", "doc_id", F.lit(100)).alias("part"), "doc_id", line.alias("value"))
+    lines.repartition("part").sortWithinPartitions("part", "doc_id").select("part", "value").write.partitionBy("part").text(path)
+    found = jsonl.chat_offenders(t.spark, path)
+    part = F.regexp_extract("file", r"part=(\d+)/", 1).cast("bigint")
+    return found.select(part.alias("part"), "line", "reason")

@@ -302,3 +302,26 @@ FROM numbered GROUP BY run_id, epoch HAVING count(*) FILTER (kind = 'val') > 0""
 @registered(SQL_EPOCHS)
 def epoch_rollup(t):
     return rounded(runlog.epoch_rollup(t.run_log()))
+
+
+@registered("""WITH kinds AS (SELECT *, event_id % 4 AS kind FROM events),
+flat AS (
+  SELECT event_id, unnest(CASE kind
+    WHEN 0 THEN [{'key': 'run.user', 'value': user_id::VARCHAR}, {'key': 'run.source.kind', 'value': event_type},
+                 {'key': 'run.source.deep.tags', 'value': event_type || ',' || (event_id % 5)}]
+    WHEN 1 THEN [{'key': 'user', 'value': user_id::VARCHAR}, {'key': 'large', 'value': CASE WHEN event_id % 3 = 0 THEN 'True' ELSE 'False' END}]
+    WHEN 2 THEN [{'key': 'run.rate', 'value': CASE WHEN event_id % 8 = 2 THEN '0.5' ELSE '2e-05' END}, {'key': 'run.none', 'value': NULL}]
+    ELSE [{'key': 'run.source.flags', 'value': 'True,False,1.5'}] END) AS e FROM kinds)
+SELECT event_id, e.key AS key, e.value AS value FROM flat""")
+def flatten_json_params(t):
+    """Parameters in four shapes, nested up to three deep, with lists."""
+    kind = F.col("event_id") % 4
+    user, event = F.col("user_id"), F.col("event_type")
+    nested = F.struct(F.struct(user.alias("user"), F.struct(event.alias("kind"), F.struct(F.array(event, (F.col("event_id") % 5).cast("string")).alias("tags")).alias("deep")).alias("source")).alias("run"))
+    text = (
+        F.when(kind == 0, F.to_json(nested))
+        .when(kind == 1, F.to_json(F.struct(user.alias("user"), (F.col("event_id") % 3 == 0).alias("large"))))
+        .when(kind == 2, F.concat(F.lit('{"run": {"rate": '), F.when(F.col("event_id") % 8 == 2, "0.5").otherwise("2e-5"), F.lit(', "none": null, "empty": {}}}')))
+        .otherwise(F.lit('{"run": {"source": {"flags": [true, false, 1.5]}}}'))
+    )
+    return runlog.flatten_json_params(t.read("events").select("event_id", text.alias("params")), "params", ["event_id"])

@@ -10,7 +10,7 @@ from tagloom.plans.queries.predict_queries import sql_lexical
 from tagloom.plans.queries.registry import REQUESTS, RUN_LOG, STOPWORD_LABELS, registered, rounded
 from tagloom.plans.queries.report_queries import SQL_EPOCHS
 from tagloom.session import stage, staging_path
-from tagloom.streaming.classify import classify, start_classify_stream
+from tagloom.streaming.classify import classify, start_classify_stream, start_replay_stream, unique_requests
 from tagloom.streaming.rollup import LATENESS, late_rows, read_epochs, start_epoch_rollup
 from tagloom.streaming.state_rollup import read_rolled, start_state_rollup
 
@@ -168,3 +168,34 @@ def epoch_rollup_state(t):
     counted = behind.groupBy("run_id").agg(F.count("*").alias("n_steps")).withColumn("part", F.lit("late"))
     rolled = rounded(epochs).withColumn("part", F.lit("epoch")).unionByName(counted, allowMissingColumns=True)
     return rolled.select("part", "run_id", "epoch", "n_steps", "train_loss", "val_loss")
+
+
+class FlakyPredictor(LexicalPredictor):
+    """Gives no answer to prompts of certain lengths."""
+
+    def __call__(self, prompts: list[str]) -> list[str]:
+        if any(len(prompt) % 10 == 3 for prompt in prompts):
+            raise RuntimeError("no answer")
+        return super().__call__(prompts)
+
+
+@registered(_RESPONSES)
+def classify_stream_repeated(t):
+    """Every request sent twice over three micro-batches, some failing at first: one response each.
+
+    The stream ends after each batch and goes on from its checkpoint; a replay answers what failed.
+    """
+    names = ("sent", "answers", "answers-progress", "replayed", "replayed-progress")
+    folder, out, progress, again, again_progress = (staging_path(t.spark, n) for n in names)
+    stamped = t.requests().withColumn("at", F.timestamp_seconds(F.col("request_id") % 1000 + 1_700_000_000))
+    early = F.col("request_id") % 2 == 0
+    labels = tuple(STOPWORD_LABELS)
+    for sent in (stamped.where(early), stamped, stamped.where(~early)):
+        sent.write.mode("append").parquet(folder)
+        stream = unique_requests(t.spark.readStream.schema(stamped.schema).parquet(folder), "at", "1 day")
+        start_classify_stream(
+            stream, lambda: FlakyPredictor(labels, marker=USER_TURN_PREFIX), "flaky", STOPWORD_LABELS, out, progress
+        ).awaitTermination()
+    start_replay_stream(t.spark, out, t.requests(), _predictor(), "stopwords", STOPWORD_LABELS, again, again_progress).awaitTermination()
+    first = t.spark.read.parquet(out).where("outcome <> 'failed'").select(*_OUTPUT)
+    return first.unionByName(t.spark.read.parquet(again).select(*_OUTPUT))

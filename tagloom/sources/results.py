@@ -128,3 +128,27 @@ def write_run_params(params: DataFrame, path: str, run_id: str) -> None:
 def read_run_log(spark: SparkSession, path: str, part: str) -> DataFrame:
     """``metrics``, ``epochs`` or ``params`` of all runs, with their ``run_id``."""
     return read_table(spark, f"{path}/{part}", f"Run log {part}", _HINT)
+
+
+def write_latency_sketches(
+    df: DataFrame, path: str, run_id: str, k: int = 1024, latency_col: str = "latency_ms"
+) -> None:
+    """A quantile sketch of a run's latencies per approach, next to its metrics; NaN and nulls are left out.
+
+    A sketch of size ``k`` takes a few kilobytes whatever the number of samples.
+    """
+    values = F.col(latency_col).cast("double")
+    kept = df.where(values.isNotNull() & ~F.isnan(values))
+    sketches = kept.groupBy("approach").agg(F.kll_sketch_agg_double(values, k).alias("sketch"))
+    sketches.write.mode("overwrite").parquet(f"{path}/sketches/run_id={run_id}")
+
+
+def merged_latencies(spark: SparkSession, path: str, fraction: float = 0.95) -> DataFrame:
+    """``(approach, n, percentile)`` over all runs, from their sketches alone."""
+    stored = read_table(spark, f"{path}/sketches", "Latency sketches", _HINT)
+    merged = stored.groupBy("approach").agg(F.kll_merge_agg_double("sketch").alias("sketch"))
+    return merged.select(
+        "approach",
+        F.kll_sketch_get_n_double("sketch").alias("n"),
+        F.kll_sketch_get_quantile_double("sketch", F.lit(fraction)).alias("percentile"),
+    )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -56,6 +56,40 @@ def classify(
     )
 
 
+def unique_requests(requests: DataFrame, time_col: str, delay: str) -> DataFrame:
+    """Each request id once, for senders that repeat a request until it is answered.
+
+    An id is remembered until the watermark has passed it by ``delay``.  Rows behind the watermark, which starts at
+    the epoch, are dropped.
+    """
+    return requests.withWatermark(time_col, delay).dropDuplicatesWithinWatermark(["request_id"])
+
+
+def start_replay_stream(
+    spark: SparkSession,
+    failed_path: str,
+    requests: DataFrame,
+    factory: Callable[[], Predictor],
+    key: str,
+    labels: LabelSpace,
+    out_path: str,
+    checkpoint_path: str,
+    bank: Column | None = None,
+    batch_size: int = BATCH_SIZE,
+    **trigger,
+) -> StreamingQuery:
+    """Classify again what a classification stream recorded as failed.
+
+    ``failed_path`` is that stream's output, of which the replay reads each finished file once; ``requests`` is the
+    table of all requests.  Its own failures are recorded in its own output, from which a further replay can start.
+    """
+    records = spark.readStream.schema("request_id bigint, outcome string").parquet(failed_path)
+    again = records.where("outcome = 'failed'").select("request_id").join(requests, "request_id")
+    return start_classify_stream(
+        again, factory, key, labels, out_path, checkpoint_path, bank, batch_size, **trigger
+    )
+
+
 def start_classify_stream(
     requests: DataFrame,
     factory: Callable[[], Predictor],

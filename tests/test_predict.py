@@ -1,14 +1,17 @@
 from __future__ import annotations
 
+import difflib
+import random
 import time
 from functools import partial
 
-import random
-
 import numpy as np
 import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tagloom.functions.matching import LabelMatcher, match_labels, match_many_labels
 from tagloom.functions.prompts import few_shot_prompt
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
 from tagloom.operators import predict
@@ -227,3 +230,49 @@ def test_nearest_among_many_examples_by_prefix(spark, monkeypatch):
     assert index._one(np.array([0, 1])) == (1.0, 0)
     # The rare word decides; the common one is not traversed for new examples.
     assert reads[0] == 1
+
+
+def plain_match(text, names):
+    """One label at a time."""
+    if text in names:
+        return text, "exact"
+    inside = [name for name in names if name in text]
+    if inside:
+        return inside[0], "substring"
+    near = difflib.get_close_matches(text, names, n=1, cutoff=0.6)
+    return (near[0], "fuzzy") if near else ("unknown", "unknown")
+
+
+@given(
+    st.lists(st.text("abcd_", max_size=8), min_size=1, max_size=30, unique=True),
+    st.lists(st.text("abcdé_ ", max_size=14), min_size=1, max_size=10),
+)
+@settings(max_examples=150, deadline=None)
+def test_matcher_is_plain_matching(names, texts):
+    matcher = LabelMatcher(sorted(names))
+    for text in texts:
+        assert matcher.match(text) == plain_match(text, sorted(names))
+        near = difflib.get_close_matches(text, sorted(names), n=1, cutoff=0.6)
+        assert matcher.closest(text) == (near[0] if near else None)
+
+
+def test_matcher_among_twenty_thousand_labels():
+    draw = random.Random(7)
+    names = sorted({"".join(draw.choices("abcdefghij", k=draw.randrange(6, 20))) for _ in range(20_000)})
+    texts = ["".join(c if draw.random() > 0.25 else draw.choice("abcxyz") for c in draw.choice(names)) for _ in range(6)]
+    texts += ["", "zzz", "a" * 300, names[3] * 40, draw.choice(names)]
+    matcher = LabelMatcher(names)
+    began = time.perf_counter()
+    found = [matcher.closest(text) for text in texts]
+    quick = time.perf_counter() - began
+    began = time.perf_counter()
+    expected = [(difflib.get_close_matches(text, names, n=1, cutoff=0.6) or [None])[0] for text in texts]
+    assert found == expected and quick < (time.perf_counter() - began) / 5
+    assert [matcher.match(t) for t in texts[-3:]] == [plain_match(t, names) for t in texts[-3:]]
+
+
+def test_many_labels_match_like_few(spark):
+    texts = [" Get Refund ", "please get_refund now", "get refud", "zzz", "", None, "track_ordr"]
+    df = spark.createDataFrame([(t,) for t in texts], "raw_output string")
+    space = LabelSpace(["get_refund", "track_order", "refund"])
+    assert match_many_labels(df, space).collect() == match_labels(df, space).collect()

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tagloom.labels import DEFAULT_SPACE, LabelSpace
+from tagloom.operators import runlog
 from tagloom.operators.bank import few_shot_bank
 from tagloom.operators.report import align_parallel_arrays
 from tagloom.operators.split import stratified_split
@@ -200,3 +201,62 @@ def test_staging_uses_the_shared_folder():
         staging_root(session_like({}, "yarn"))
     local = session_like({}, "local[2]")
     assert staging_root(local) == staging_root(local)
+
+
+def test_lines_are_numbered_over_byte_ranges(spark, tmp_path):
+    """Two files in many ranges, with blank and broken lines."""
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    expected = []
+    for name in ("a", "b"):
+        lines = []
+        for n in range(1, 301):
+            line = json.dumps({"messages": [{"role": "user", "content": "x" * (n % 50)}]})
+            if n % 17 == 0:
+                line = '{"messages": ['
+            elif n % 13 == 0:
+                line = "  " if n % 2 else ""
+            elif n % 11 == 0:
+                line = '{"other": 1}'
+            lines.append(line)
+            if n % 17 == 0 or (n % 11 == 0 and n % 13):
+                expected.append((name, n, "broken" if n % 17 == 0 else "no messages"))
+        (folder / f"{name}.jsonl").write_text("\n".join(lines))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+    try:
+        numbered = jsonl.numbered_lines(spark, str(folder))
+        assert spark.read.text(str(folder)).rdd.getNumPartitions() > 4
+        assert numbered.groupBy("file").agg({"line": "max"}).collect()[0][1] == 300 and numbered.select("file", "line").distinct().count() == 600
+        found = jsonl.chat_offenders(spark, str(folder)).collect()
+        assert sorted((r.file[-7], r.line, r.reason) for r in found) == expected
+        with pytest.raises(ValueError, match=r"Row 10 in .*a.jsonl: no messages"):
+            jsonl.require_chat_jsonl(spark, str(folder))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert jsonl.read_jsonl_located(spark, str(folder), "messages array<string>").where("is_broken AND record IS NOT NULL").count() == 0
+
+
+def test_parameters_of_any_shape(spark):
+    rows = [
+        (1, '{"a": {"b": {"c": [1, "x", null, {"d": 2}], "e": {}}}, "f": null}'), (2, '{"a": 1.50, "g": -0.00002}'), (3, "[1, 2]"),
+        (4, "no json"), (5, None), (6, '{"big": 12345678901, "t": true, "s": "é, \\"q\\"", "k.l": {"m": "n"}}'), (7, "{}"),
+    ]
+    df = spark.createDataFrame(rows, "key bigint, params string")
+    found = {tuple(r) for r in runlog.flatten_json_params(df, "params", ["key"]).toDF("id", "name", "value").collect()}
+    assert found == {
+        (1, "a.b.c", '1,x,{"d":2}'), (1, "f", None), (2, "a", "1.5"), (2, "g", "-2e-05"), (6, "big", "12345678901"),
+        (6, "t", "True"), (6, "s", 'é, "q"'), (6, "k.l.m", "n"),
+    }
+    assert runlog.flatten_json_params(df.where("key = 4"), "params", ["key"]).count() == 0
+
+
+def test_sketches_merge_without_the_samples(spark, tmp_path):
+    path = str(tmp_path / "log")
+    rows = [("a", float(n)) for n in range(3000)] + [("b", 1.0), ("b", None), ("b", float("nan"))]
+    df = spark.createDataFrame(rows, "approach string, latency_ms double")
+    for run in range(3):
+        results.write_latency_sketches(df.where(F.pmod(F.hash("latency_ms"), F.lit(3)) == run), path, f"r{run}")
+    found = {r.approach: (r.n, r.percentile) for r in results.merged_latencies(spark, path).collect()}
+    assert found["b"] == (1, 1.0) and found["a"][0] == 3000
+    assert abs(found["a"][1] - 0.95 * 3000) <= 30
