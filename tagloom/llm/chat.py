@@ -2,8 +2,9 @@
 
 Records come in many layouts: a prompt with its completion, an instruction with an input and an output, lists of
 messages under several names, or one row a turn.  A record's fingerprint is a hash of its nested field paths; it
-selects a declarative mapping, which says where the turns, roles and texts lie.  Fields that no mapping names are
-left out of the fingerprint, so further columns do no harm.  The template marks turns; control strings inside
+selects a declarative mapping, which says where the turns, roles and texts lie: of those whose needed paths are all
+there, the one that names most.  Fields that no mapping names are left out of the fingerprint, and fields of
+another mapping do not stand in the way, so further columns do no harm.  The template marks turns; control strings inside
 texts and roles are escaped reversibly, so what is formatted can be read back to the letter.
 
 A conversation's turns are sorted, not collected: tasks walk over their rows and hand on segments of about
@@ -21,7 +22,6 @@ import json
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
-from itertools import combinations
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -59,23 +59,21 @@ class Mapping:
             return [f"{self.turns}[].{self.role}", f"{self.turns}[].{self.text}", *[path for _, path in self.fields]]
         return [*self.row, *[path for _, path in self.fields]]
 
-    def fingerprints(self) -> list[str]:
-        needed = [p for p in self.paths() if p not in self.optional]
-        return [
-            fingerprint([*needed, *some])
-            for n in range(len(self.optional) + 1)
-            for some in combinations(self.optional, n)
-        ]
+    def fits(self, paths: frozenset[str]) -> int:
+        """How many of its paths a record has; 0 if one that it needs is missing."""
+        if any(p not in paths for p in self.paths() if p not in self.optional):
+            return 0
+        return sum(p in paths for p in self.paths())
 
 
 MAPPINGS = (
     Mapping("turn rows", row=("conv_id", "turn", "role", "text")),
-    Mapping("prompt", fields=(("user", "prompt"), ("assistant", "completion"))),
+    Mapping("prompt", fields=(("system", "system"), ("user", "prompt"), ("assistant", "completion")), optional=("system",)),
     Mapping("prompt and response", fields=(("system", "system"), ("user", "prompt"), ("assistant", "response")), optional=("system",)),
     Mapping("instruction", fields=(("system", "system"), ("user", "instruction"), ("user", "input"), ("assistant", "output")), optional=("system", "input")),
-    Mapping("question", fields=(("user", "question"), ("assistant", "answer"))),
-    Mapping("messages", turns="messages", role="role", text="content"),
-    Mapping("turns", turns="turns", role="role", text="text"),
+    Mapping("question", fields=(("system", "system"), ("user", "question"), ("assistant", "answer")), optional=("system",)),
+    Mapping("messages", turns="messages", role="role", text="content", optional=("system",), fields=(("system", "system"),)),
+    Mapping("turns", turns="turns", role="role", text="text", optional=("system",), fields=(("system", "system"),)),
     Mapping("conversations", turns="conversations", role="from", text="value", optional=("system",), fields=(("system", "system"),)),
 )
 
@@ -86,7 +84,8 @@ def fingerprint(paths: list[str]) -> str:
 
 
 _KNOWN = frozenset(p for m in MAPPINGS for p in m.paths())
-_BY_FINGERPRINT = {f: m for m in MAPPINGS for f in m.fingerprints()}
+# Mapping by fingerprint and kind, found once for each.
+_chosen: dict[tuple[str, bool], Mapping | None] = {}
 
 
 def value_paths(value, prefix: str = "") -> Iterator[str]:
@@ -112,10 +111,26 @@ def type_paths(kind: T.DataType, prefix: str = "") -> Iterator[str]:
         yield prefix
 
 
-def select_mapping(paths: Iterator[str]) -> tuple[str, Mapping | None]:
-    """Fingerprint of the known ones among ``paths`` and the mapping it selects."""
-    mark = fingerprint([p for p in paths if p in _KNOWN])
-    return mark, _BY_FINGERPRINT.get(mark)
+def _with_lists(paths: Iterator[str]) -> set[str]:
+    """The paths and those of the lists around them, without their marks.
+
+    >>> sorted(_with_lists(["m[].content[].text", "a.b"]))
+    ['a.b', 'm', 'm[].content', 'm[].content[].text']
+    """
+    return {p for path in paths for p in (path, *(path[: m.start()] for m in re.finditer(r"\[\]", path)))}
+
+
+def select_mapping(paths: Iterator[str], rows: bool = False) -> tuple[str, Mapping | None]:
+    """Fingerprint of the known ones among ``paths`` and the mapping it selects, for rows of a table or for records.
+
+    Of mappings that fit equally well the first is taken.
+    """
+    known = frozenset(p for p in _with_lists(paths) if p in _KNOWN)
+    mark = fingerprint([*known])
+    if (mark, rows) not in _chosen:
+        best = max((m for m in MAPPINGS if bool(m.row) == rows), key=lambda m: m.fits(known))
+        _chosen[mark, rows] = best if best.fits(known) else None
+    return mark, _chosen[mark, rows]
 
 
 def _role(name) -> str:
@@ -131,6 +146,9 @@ def record_turns(record: dict, mapping: Mapping) -> list[tuple[str, str]]:
 
 
 def _text(value) -> str:
+    """A text, or the texts of a list of parts one after the other; other values as JSON."""
+    if isinstance(value, list) and all(isinstance(p, str) or (isinstance(p, dict) and isinstance(p.get("text"), str)) for p in value):
+        return "".join(p if isinstance(p, str) else p["text"] for p in value)
     return "" if value is None else value if isinstance(value, str) else json.dumps(value, ensure_ascii=False)
 
 
@@ -149,7 +167,7 @@ def _map_records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 value = None
             mark, mapping = select_mapping(value_paths(value)) if isinstance(value, dict) else (None, None)
             try:
-                turns = record_turns(value, mapping) if mapping and not mapping.row else []
+                turns = record_turns(value, mapping) if mapping else []
             except (AttributeError, TypeError):
                 turns = []
             if not turns:
@@ -168,8 +186,8 @@ def turns_of_records(records: DataFrame, id_col: str = "conv_id", record_col: st
 
 def turns_of_rows(rows: DataFrame) -> DataFrame:
     """Canonical turns of a table whose schema selects a one-row layout; roles stay as they are."""
-    mark, mapping = select_mapping(type_paths(rows.schema))
-    if mapping is None or not mapping.row:
+    mark, mapping = select_mapping(type_paths(rows.schema), rows=True)
+    if mapping is None:
         raise ValueError(f"No mapping for rows with the fingerprint {mark}.")
     conv_id, turn, role, text = (F.col(c) for c in mapping.row)
     return rows.select(

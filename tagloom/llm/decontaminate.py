@@ -5,9 +5,12 @@ so offsets in the normalised text are offsets in the original.  Words are what l
 The patterns are the windows of ``WINDOW`` words of the benchmark items (shorter items are one
 window), spaces on both sides.  A text is scanned once; all windows that occur are found with their places.
 
-The benchmark need not be small: its windows are dealt to blocks of about ``BLOCK_BYTES``, each with an
-automaton of its own, which alone is sent to the workers.  There is one block unless a benchmark is
-larger than that.  Documents are never shuffled.
+The benchmark need not be small, and documents are read once whatever its size.  Windows of up to
+``BLOCK_BYTES`` make one automaton, which is sent to the workers.  More are dealt to blocks of that size by hash.
+Then the one scan keeps the stretches of a text whose window hashes may be a block's, by a bitmap of at
+most ``MARKS`` bits; only these go on, to their blocks, each of which builds its automaton from the stored windows and
+scans them.  A block with many stretches is dealt to several tasks.  Neither windows nor documents pass through
+the driver, and documents are never shuffled.
 
 Null texts have no words, windows or hits.  An item without words or with a null text has no window;
 windows of an item with a null id hit but name no item.  Items with equal ids are one item.  Repeated rows
@@ -17,12 +20,13 @@ are all reported; an empty benchmark hits nothing.
 from __future__ import annotations
 
 import re
+import zlib
 from collections.abc import Iterator
 
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tagloom.llm.common import fresh_name
@@ -30,6 +34,10 @@ from tagloom.session import stage
 
 WINDOW = 10
 BLOCK_BYTES = 4 << 20
+# Most bits of the bitmap of window hashes, and bits of it a window should have.
+MARKS, MARKS_EACH = 1 << 28, 16
+# Bytes of stretches that one task of a block scans.
+STRETCH_BYTES = 64 << 20
 
 _KEPT = {*range(0x30, 0x3A), *range(0x61, 0x7B), *range(0x80, 0x100)}
 _TABLE = bytes(b + 32 if 0x41 <= b <= 0x5A else b if b in _KEPT else 0x20 for b in range(256))
@@ -88,15 +96,19 @@ def _automaton(patterns) -> ahocorasick.Automaton:
     """The automaton of a broadcast block; a worker holds one at a time."""
     if patterns.id not in _automata:
         _automata.clear()
-        built = ahocorasick.Automaton()
-        for number, (pattern, _) in enumerate(patterns.value):
-            # Bytes as Latin-1, one character each.
-            built.add_word(f" {pattern.decode('latin-1')} ", (number, len(pattern)))
-        built.make_automaton()
-        _automata[patterns.id] = built
+        _automata[patterns.id] = _built([pattern for pattern, _ in patterns.value])
     return _automata[patterns.id]
 
 
+def _built(patterns: list[bytes]) -> ahocorasick.Automaton:
+    built = ahocorasick.Automaton()
+    for number, pattern in enumerate(patterns):
+        # Bytes as Latin-1, one character each.
+        built.add_word(f" {pattern.decode('latin-1')} ", (number, len(pattern)))
+    built.make_automaton()
+    return built
+
+
 class _Patterns:
     """A broadcast block of windows with a number that names it."""
 
@@ -190,36 +202,191 @@ def contamination(
         F.col(text_col).cast("binary").alias("_text"),
     )
     kind = rows.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {kind}, text_key long, n_words long, "
-        "spans array<struct<from_word:long,to_word:long,start:long,end:long>>, items array<string>"
-    )
-    scanned = []
-    for block in range(blocks):
+    if blocks == 1:
         # About BLOCK_BYTES of windows.
-        part = windows.where(F.col("block") == block).select("pattern", "items").collect()
+        part = windows.select("pattern", "items").collect()
         patterns = _Patterns(spark.sparkContext.broadcast([(bytes(r[0]), list(r[1])) for r in part]))
-        scanned.append(
-            rows.mapInArrow(_scan(patterns, 2), schema).withColumn("block", F.lit(block))
+        schema = f"doc_id {kind}, text_key long, n_words long, spans {_SPANS}, items array<string>"
+        return _with_hits(rows.mapInArrow(_scan(patterns, 2), schema))
+    return _with_hits(_contamination_by_blocks(rows, windows, blocks, kind))
+
+
+_SPANS = "array<struct<from_word:long,to_word:long,start:long,end:long>>"
+
+
+def _window_hashes(words: np.ndarray, size: int) -> np.ndarray:
+    """Hash of every window of ``size`` hashed words, by its first word."""
+    if len(words) < size:
+        return np.zeros(0, dtype=np.uint64)
+    rolled = np.full(len(words) - size + 1, size, dtype=np.uint64)
+    for n in range(size):
+        rolled = (rolled + words[n : len(words) - size + 1 + n]) * np.uint64(0x9E3779B97F4A7C15)
+        rolled ^= rolled >> np.uint64(29)
+    return rolled
+
+
+def _hashed(words: list[bytes]) -> np.ndarray:
+    return np.fromiter((zlib.crc32(w) for w in words), dtype=np.uint64, count=len(words))
+
+
+def _probes(hashes: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two places of each hash in a bitmap whose size is a power of two."""
+    mask = np.uint64(bits - 1)
+    return hashes & mask, (hashes >> np.uint64(32)) & mask
+
+
+def _mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Windows with their hash and number of words."""
+    for batch in batches:
+        patterns = [p.as_py().split(b" ") for p in batch.column(0)]
+        marks = [int(_window_hashes(_hashed(p), len(p)).view(np.int64)[0]) for p in patterns]
+        yield pa.RecordBatch.from_arrays(
+            [batch.column(0), batch.column(1), pa.array(marks, pa.int64()), pa.array([len(p) for p in patterns], pa.int32())],
+            names=["pattern", "items", "mark", "size"],
         )
-    if blocks == 1:
-        return _with_hits(scanned[0].drop("block"))
-    together = scanned[0]
-    for other in scanned[1:]:
-        together = together.unionByName(other)
-    # Equal rows have equal hits, so the set holds one entry a block.
-    merged = together.groupBy("doc_id", "text_key").agg(
-        F.first("n_words").alias("n_words"),
-        F.collect_set(F.struct("block", "spans", "items")).alias("found"),
-        (F.count(F.lit(1)) / blocks).cast("int").alias("copies"),
+
+
+def _bits_of(bits: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = np.concatenate(_probes(batch.column(0).to_numpy().view(np.uint64), bits))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array((places >> np.uint64(6)).astype(np.int64)),
+                    pa.array((np.uint64(1) << (places & np.uint64(63))).view(np.int64)),
+                ],
+                names=["word", "bit"],
+            )
+
+    return run
+
+
+_STRETCH = [("block", pa.int64()), ("at", pa.int64()), ("line", pa.binary()), ("starts", pa.list_(pa.int64())), ("ends", pa.list_(pa.int64())), ("n_words", pa.int64())]
+
+
+def _stretches(bitmap, bits: int, sizes: list[int], blocks: int):
+    """Per text a row with its number of words and, by block, the stretches that may hold windows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        marks = bitmap.value
+        for batch in batches:
+            owner, rows = [], []
+            for number, text in enumerate(batch.column(3)):
+                text = text.as_py() or b""
+                flat = text.translate(_TABLE)
+                words = flat.split()
+                owner.append(number)
+                rows.append((-1, 0, None, None, None, len(words)))
+                for block, low, high, places in _likely_runs(words, flat, marks, bits, sizes, blocks):
+                    starts = [len(text[:b].decode()) for b, _ in places]
+                    ends = [s + len(text[b:e].decode()) for s, (b, e) in zip(starts, places)]
+                    owner.append(number)
+                    rows.append((block, low, b" ".join(words[low:high]), starts, ends, 0))
+            kept = pa.array(owner, pa.int64())
+            columns = zip(*rows) if rows else [[]] * len(_STRETCH)
+            yield pa.RecordBatch.from_arrays(
+                [*[batch.column(k).take(kept) for k in range(3)], *[pa.array(c, t) for c, (_, t) in zip(columns, _STRETCH)]],
+                names=["row", "doc_id", "text_key", *[n for n, _ in _STRETCH]],
+            )
+
+    return run
+
+
+def _likely_runs(words: list[bytes], flat: bytes, marks: np.ndarray, bits: int, sizes: list[int], blocks: int):
+    """Runs of words covered by windows that may be a block's, with the words' places in the text."""
+    hashed = _hashed(words)
+    found: dict[int, list[tuple[int, int]]] = {}
+    for size in sizes:
+        hashes = _window_hashes(hashed, size)
+        one, two = _probes(hashes, bits)
+        hit = (marks[one >> np.uint64(6)] >> (one & np.uint64(63))) & (marks[two >> np.uint64(6)] >> (two & np.uint64(63))) & np.uint64(1)
+        at = np.flatnonzero(hit)
+        for place, block in zip(at.tolist(), (hashes[at].view(np.int64) % blocks).tolist()):
+            found.setdefault(block, []).append((place, place + size))
+    if not found:
+        return
+    spans = [m.span() for m in _WORD.finditer(flat)]
+    for block, windows in found.items():
+        windows.sort()
+        low, high = windows[0]
+        for begin, end in [*windows[1:], (len(words) + 1, 0)]:
+            if begin >= high:
+                yield block, low, high, spans[low:high]
+                low, high = begin, end
+            high = max(high, end)
+
+
+def _scan_block(stretches: pa.Table, windows: pa.Table) -> pa.Table:
+    """Hits of a block's windows in its stretches, with their places in the whole texts."""
+    rows = []
+    if stretches.num_rows and windows.num_rows:
+        automaton = _built(windows.column("pattern").to_pylist())
+        items = windows.column("items").to_pylist()
+        for row in stretches.select(["row", "at", "line", "starts", "ends"]).to_pylist():
+            _, runs, found = scan_text(row["line"], automaton)
+            if found:
+                spans = [
+                    {"from_word": row["at"] + low, "to_word": row["at"] + high, "start": row["starts"][low], "end": row["ends"][high - 1]}
+                    for low, high, _, _ in runs
+                ]
+                rows.append((row["row"], spans, sorted({i for n in found for i in items[n]})))
+    columns = zip(*rows) if rows else [[]] * 3
+    types = [pa.int64(), *[t for _, t in _HITS[1:]]]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types)], names=["row", "spans", "items"])
+
+
+def _united(spans: str) -> Column:
+    """Sorted spans, those that overlap as one."""
+
+    def add(done: Column, s: Column) -> Column:
+        last = F.element_at(done, -1)
+        wider = F.struct(
+            last["from_word"].alias("from_word"), F.greatest(last["to_word"], s["to_word"]).alias("to_word"),
+            last["start"].alias("start"), F.greatest(last["end"], s["end"]).alias("end"),
+        )
+        overlap = (F.size(done) > 0) & (F.get(done, F.size(done) - 1)["to_word"] > s["from_word"])
+        return F.when(overlap, F.concat(F.slice(done, F.lit(1), F.size(done) - 1), F.array(wider))).otherwise(F.concat(done, F.array(s)))
+
+    return F.aggregate(spans, F.array().cast(_SPANS), add)
+
+
+def _contamination_by_blocks(rows: DataFrame, windows: DataFrame, blocks: int, kind: str) -> DataFrame:
+    """One scan of the rows; what may be hit goes on to the blocks' automata."""
+    spark = rows.sparkSession
+    marked = stage(
+        windows.select("pattern", "items").mapInArrow(_mark, "pattern binary, items array<string>, mark long, size int"), "marked"
+    ).withColumn("block", F.pmod("mark", F.lit(blocks)))
+    bits = 1 << 10
+    while bits < MARKS and bits < MARKS_EACH * marked.count():
+        bits *= 2
+    # At most MARKS / 64 rows, as columns of numbers.
+    found = marked.select("mark").mapInArrow(_bits_of(bits), "word long, bit long").groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    bitmap = np.zeros(bits >> 6, dtype=np.uint64)
+    bitmap[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    sizes = sorted(r[0] for r in marked.select("size").distinct().collect())
+    scan = _stretches(spark.sparkContext.broadcast(bitmap), bits, sizes, blocks)
+    numbered = rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text_key", "_text")
+    schema = f"row long, doc_id {kind}, text_key long, block long, at long, line binary, starts array<long>, ends array<long>, n_words long"
+    scanned = stage(numbered.mapInArrow(scan, schema), "stretches")
+    stretches = scanned.where("block >= 0")
+    loads = stretches.groupBy("block").agg(F.ceil(F.sum(F.octet_length("line")) / STRETCH_BYTES).alias("salts"))
+    dealt = stretches.join(loads, "block").withColumn("salt", F.pmod(F.xxhash64("row", "at"), F.col("salts")))
+    held = marked.join(loads, "block").withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.col("salts") - 1)))
+    cell = ["block", "salt"]
+    hits = (
+        dealt.groupBy(*cell)
+        .cogroup(held.select(*cell, "pattern", "items").groupBy(*cell))
+        .applyInArrow(_scan_block, f"row long, spans {_SPANS}, items array<string>")
+    )
+    merged = hits.groupBy("row").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("spans")))).alias("spans"),
+        F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"),
     )
-    return _with_hits(
-        merged.select(
-            "doc_id", "text_key", "n_words",
-            F.array_sort(F.flatten("found.spans")).alias("spans"),
-            F.array_distinct(F.flatten("found.items")).alias("items"),
-            F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"),
-        ).drop("_copy")
+    texts = scanned.where("block < 0").select("row", "doc_id", "text_key", "n_words")
+    return texts.join(merged, "row", "left").select(
+        "doc_id", "text_key", "n_words",
+        F.coalesce(_united("spans"), F.array().cast(_SPANS)).alias("spans"),
+        F.coalesce("items", F.array().cast("array<string>")).alias("items"),
     )
 
 

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
 import hashlib
+import io
 import json
 import math
 import random
@@ -64,6 +66,36 @@ def test_hits_as_by_brute_force(spark, monkeypatch, block_bytes):
     assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found} == expected_hits(rows, items, 4)
 
 
+def test_large_benchmark_in_one_scan(spark, monkeypatch, tmp_path):
+    """Many blocks, a passage that most documents share, long texts: one reading of the documents."""
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 20_000)
+    monkeypatch.setattr(decontaminate, "STRETCH_BYTES", 2_000)
+    draw = random.Random(11)
+    vocabulary = [f"v{n}" for n in range(3000)]
+    items = [(n, " ".join(draw.choices(vocabulary, k=40))) for n in range(400)]
+    common = items[5][1]
+    rows = [(n, " ".join(draw.choices(vocabulary, k=30)) + ". " + (common if n % 3 else items[n][1][:80])) for n in range(300)]
+    rows.append((999, " ".join(draw.choices(vocabulary, k=60_000)) + " " + items[7][1]))
+    docs_of(spark, rows).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs"))
+    windows = decontaminate.benchmark_windows(spark.createDataFrame(items, "item_id long, text string"))
+    assert windows.agg(F.max("block")).first()[0] > 10
+    reads = []
+    original = decontaminate._stretches
+    monkeypatch.setattr(decontaminate, "_stretches", lambda *a: reads.append(a) or original(*a))
+    found = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id long, text string"))
+    assert len(reads) == 1 and str(tmp_path) not in plan_text(found)
+    assert {r.doc_id: (r.n_words, r.n_hit, r["items"]) for r in found.collect()} == expected_hits(rows, items, 10)
+    (long,) = found.where("doc_id = 999").collect()
+    assert rows[-1][1][long.spans[-1].start : long.spans[-1].end] == items[7][1]
+
+
+def plan_text(df):
+    with contextlib.redirect_stdout(io.StringIO()) as printed:
+        df.explain()
+    return printed.getvalue()
+
+
 def test_spans_lie_on_the_original(spark):
     benchmark = spark.createDataFrame([("i", "über alles, was")], "item_id string, text string")
     text = "Ähm: ÜBER... über  ALLES (was) - ende"
@@ -301,6 +333,11 @@ def test_layouts_are_told_apart(spark):
         7: {"other": 1},
         8: [1, 2],
         9: {"messages": []},
+        12: {"messages": [{"role": "user", "content": "a"}], "system": "s", "prompt": "p"},
+        13: {"system": "s", "prompt": "a", "completion": "b", "input": 3},
+        14: {"messages": [{"role": "user", "content": [{"type": "text", "text": "a"}, {"type": "text", "text": "b"}]}]},
+        15: {"messages": [{"role": "user", "content": [{"type": "image", "url": "u"}]}]},
+        16: {"prompt": "a", "response": "b", "completion": "c"},
     }
     table = spark.createDataFrame([(k, json.dumps(v)) for k, v in records.items()] + [(10, "{"), (11, None)], "conv_id long, record string")
     found = {}
@@ -313,11 +350,18 @@ def test_layouts_are_told_apart(spark):
         4: [("user", "a"), ("assistant", "b")],
         5: [("system", "s"), ("user", "a"), ("assistant", "")],
         6: [None], 7: [None], 8: [None], 9: [None], 10: [None], 11: [None],
+        12: [("system", "s"), ("user", "a")], 13: [("system", "s"), ("user", "a"), ("assistant", "b")],
+        14: [("user", "ab")], 15: [("user", '[{"type": "image", "url": "u"}]')], 16: [("user", "a"), ("assistant", "c")],
     }
     with pytest.raises(ValueError):
         chat.turns_of_rows(spark.createDataFrame([(1,)], "a int"))
 
 
-def test_fingerprints_are_unambiguous():
-    marks = [f for m in chat.MAPPINGS for f in m.fingerprints()]
-    assert len(marks) == len(set(marks))
+def test_rows_with_columns_of_other_layouts(spark):
+    """Columns named like fields of other layouts do not stand in the way; the fingerprint tells them apart."""
+    plain = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b")], "conv_id long, turn int, role string, text string")
+    wide = plain.selectExpr("*", "'x' AS system", "'y' AS prompt", "'z' AS completion", "array('i') AS input", "1 AS unknown")
+    one, two = chat.turns_of_rows(plain), chat.turns_of_rows(wide)
+    assert one.drop("fingerprint").collect() == two.drop("fingerprint").collect()
+    assert one.select("fingerprint").first() != two.select("fingerprint").first()
+    assert one.select("fingerprint").first() == chat.turns_of_rows(plain.selectExpr("*", "1 AS unknown")).select("fingerprint").first()
