@@ -80,21 +80,26 @@ placed AS (
 taken AS (
   SELECT *, greatest(least(words - upto, size), 0) + greatest(least(words - source_size - upto, size), 0)
             + greatest(least(words - 2 * source_size - upto, size), 0) AS taken,
-         weight * upto / target AS reached,
          CASE weight WHEN 1 THEN 0.625 WHEN 2 THEN 1.0 ELSE 1.125 END AS half
   FROM placed),
-piece AS (
+""" + ",".join(f"""
+reached_{k} AS (SELECT *, weight * ({k} * source_size + upto) / target AS reached FROM taken),
+piece_{k} AS (
   SELECT *, CASE WHEN reached < half THEN reached ELSE reached - half END AS area,
          CASE WHEN reached < half THEN 0.0 ELSE 0.5 END AS start,
          CASE weight WHEN 1 THEN CASE WHEN reached < half THEN 1.5 ELSE 1.0 END WHEN 2 THEN 2.0
               ELSE CASE WHEN reached < half THEN 1.5 ELSE 3.0 END END AS rate,
          CASE weight WHEN 1 THEN -1.0 WHEN 2 THEN 0.0 ELSE 3.0 END AS slope
-  FROM taken)
-SELECT doc_id, size, source_size, target, taken::BIGINT AS taken,
-       CASE WHEN greatest(least(words - upto, size), 0) > 0 THEN round(
+  FROM reached_{k}),
+pass_{k} AS (
+  SELECT doc_id, size, source_size, target, taken, CASE WHEN greatest(least(words - {k} * source_size - upto, size), 0) > 0 THEN round(
          start + CASE WHEN area > 0 THEN 2 * area / (rate + sqrt(greatest(rate * rate + 2 * slope * area, 0)))
-                 ELSE 0 END, 6) END AS first_position
-FROM piece
+                 ELSE 0 END, 6) END AS position
+  FROM piece_{k})""" for k in range(3)) + """
+SELECT doc_id, size, source_size, target, taken::BIGINT AS taken, a.position AS first_position,
+       b.position AS second_position, c.position AS third_position
+FROM pass_0 a JOIN pass_1 b USING (doc_id, size, source_size, target, taken)
+JOIN pass_2 c USING (doc_id, size, source_size, target, taken)
 """
 
 
@@ -103,12 +108,14 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     """Mix all documents along the curriculum; sources weigh 1, 2, 3 in turn."""
     docs = read_table(spark, folder, "documents")
     plan = mixing.curriculum(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
-    first = F.get(F.filter("occurrences", lambda o: o["pass"] == 0), F.lit(0))["position"]
-    rows = plan.withColumn("first_position", first).orderBy(F.col("first_position").asc_nulls_last(), "doc_id")
-    return rows.select(
-        "doc_id", "size", "source_size", "target", "taken",
-        F.round("first_position", 6).alias("first_position"),
-    )
+    names = ("first_position", "second_position", "third_position")
+    each = [
+        F.get(F.filter("occurrences", lambda o, k=k: o["pass"] == k), F.lit(0))["position"].alias(name)
+        for k, name in enumerate(names)
+    ]
+    columns = ("doc_id", "size", "source_size", "target", "taken")
+    rows = plan.select(*columns, *each).orderBy(F.col(names[0]).asc_nulls_last(), "doc_id")
+    return rows.select(*columns, *[F.round(name, 6).alias(name) for name in names])
 
 
 @query()
