@@ -5,7 +5,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tagloom.llm import (
@@ -109,10 +109,11 @@ def op1_mix_sources(spark: SparkSession, folder: str) -> DataFrame:
     docs = read_table(spark, folder, "documents")
     plan = mixing.curriculum(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
     names = ("first_position", "second_position", "third_position")
-    each = [
-        F.get(F.filter("occurrences", lambda o, k=k: o["pass"] == k), F.lit(0))["position"].alias(name)
-        for k, name in enumerate(names)
-    ]
+
+    def position(k: int) -> Column:
+        return F.get(F.filter("occurrences", lambda o: o["pass"] == k), F.lit(0))["position"]
+
+    each = [position(k).alias(name) for k, name in enumerate(names)]
     columns = ("doc_id", "size", "source_size", "target", "taken")
     rows = plan.select(*columns, *each).orderBy(F.col(names[0]).asc_nulls_last(), "doc_id")
     return rows.select(*columns, *[F.round(name, 6).alias(name) for name in names])
