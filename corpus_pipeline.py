@@ -17,12 +17,12 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents that the quality classifier accepts."""
-    return quality.keep_accepted(docs, read_table(spark, sf_dir, "labels"))
+    return quality.keep_accepted(docs, read_table(spark, sf_dir, "labels"), stored=True)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates the document with the smallest id: five-word shingles, 0.8."""
-    return minhash.keep_first(docs, size=5, threshold=(4, 5))
+    return minhash.keep_first(docs, size=5, threshold=(4, 5), stored=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +32,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document as often as the curriculum takes it, in training order; one a source may be cut."""
-    mixed = mixing.mixed_documents(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM))
+    mixed = mixing.mixed_documents(docs, lambda sources: mixing.repeating_weights(sources, CURRICULUM), stored=True)
     return mixed.withColumn("n_chars", F.length("text").cast("long"))
 
 

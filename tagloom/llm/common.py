@@ -43,31 +43,48 @@ def fresh_name(df: DataFrame, name: str) -> str:
     return name
 
 
-def numbered_rows(df: DataFrame) -> tuple[DataFrame, str]:
-    """The rows stored with a number each, and the name of its column.
+def numbered_rows(df: DataFrame, stored: bool = False) -> tuple[DataFrame, str]:
+    """The rows with a number each, and the name of its column.
 
-    Null and repeated ids name no row; the number does, in every later use of what is returned.
+    Null and repeated ids name no row; the number does, in every later use of what is returned.  ``stored`` says
+    that the rows come straight from files; then their places in these give the number, whatever the splits of a
+    reading.  Other rows are written once.
     """
     row = fresh_name(df, "_row")
+    if stored and _has_places(df):
+        file, place = fresh_name(df, "_file"), fresh_name(df, "_place")
+        rows = df.select(*all_columns(df), F.col("_metadata.file_path").alias(file), F.col("_metadata.row_index").alias(place))
+        # One row a file.
+        before = Window.orderBy(file).rowsBetween(Window.unboundedPreceding, -1)
+        counts = rows.groupBy(file).agg(F.count(F.lit(1)).alias("n"))
+        offsets = stage(counts.select(file, F.coalesce(F.sum("n").over(before), F.lit(0)).alias(row)), "files")
+        numbered = rows.join(offsets, file).withColumn(row, F.col(row) + F.col(place))
+        return numbered.select(*all_columns(df), row), row
     return stage(df.withColumn(row, F.monotonically_increasing_id()), "rows"), row
 
 
+def _has_places(df: DataFrame) -> bool:
+    """Whether rows know the file they were read from."""
+    if not df.inputFiles():
+        return False
+    try:
+        df.select(F.col("_metadata.file_path"), F.col("_metadata.row_index")).schema
+    except AnalysisException:
+        return False
+    return True
+
+
 def stored_order(df: DataFrame) -> tuple[Column, Column] | None:
     """File and row inside it of a stored table's rows: a table that was written sorted can be read in that order.
 
     None where the rows do not come straight from files.
     """
-    if not df.inputFiles():
+    if not _has_places(df):
         return None
     name = F.col("_metadata.file_name")
     # Writers number their files; the numbers may have any length.
     number = F.lpad(F.regexp_extract(name, r"^part-(\d+)", 1), 12, "0")
-    order = F.concat(number, name), F.col("_metadata.row_index")
-    try:
-        df.select(*order).schema
-    except AnalysisException:
-        return None
-    return order
+    return F.concat(number, name), F.col("_metadata.row_index")
 
 
 def running_sum(

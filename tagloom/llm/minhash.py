@@ -455,12 +455,14 @@ def keep_first(
     threshold: tuple[int, int] = (4, 5),
     id_col: str = "doc_id",
     text_col: str = "text",
+    stored: bool = False,
 ) -> DataFrame:
     """One row of each group: that with the smallest id, null last; of several rows with it any one.
 
-    Every row is a document of its own, also those whose ids are null or repeated.
+    Every row is a document of its own, also those whose ids are null or repeated; ``stored`` as in
+    ``common.numbered_rows``.
     """
-    rows, row = numbered_rows(docs)
+    rows, row = numbered_rows(docs, stored)
     found = near_duplicates(rows, size, threshold, row, text_col)
     others = found.where(~F.col("kept")).select(F.col("doc_id").alias("member"), F.col("component_id").alias("root"))
     firsts = others.select("root").distinct().select(F.col("root").alias("member"), "root")

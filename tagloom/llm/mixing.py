@@ -219,12 +219,14 @@ def mixed_documents(
     text_col: str = "text",
     source_col: str = "source",
     position_col: str | None = None,
+    stored: bool = False,
 ) -> DataFrame:
     """The documents as often as the curriculum takes them, range-sorted by position; a cut one keeps its leading words.
 
-    Documents that the plan leaves out go.  ``position_col`` adds the position under that name.
+    Documents that the plan leaves out go.  ``position_col`` adds the position under that name;
+    ``stored`` as in ``common.numbered_rows``.
     """
-    rows, row = numbered_rows(docs)
+    rows, row = numbered_rows(docs, stored)
     plan = curriculum(rows, weigh, budget, max_passes, id_col=id_col, text_col=text_col, source_col=source_col, row_col=row)
     # Structs, so that no column's name matters.
     each = plan.select("row", "size", F.explode("occurrences").alias("o")).select("row", F.struct("size", "o").alias("taken"))
