@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tagloom.operators import audit, clean
+from tagloom.operators import audit, clean, sketches
 from tagloom.plans.queries.registry import (
     CLEANED,
     EVENT_LABELS,
@@ -23,6 +23,7 @@ from tagloom.schema import require_columns
 from tagloom.session import staging_path
 from tagloom.sources.corpus import materialize_once, read_corpus, write_sample_head
 from tagloom.sources.jsonl import read_jsonl_capped
+from tagloom.sources.profile import read_profile, write_profile
 
 
 @registered("SELECT doc_id, text, lang, source FROM documents")
@@ -158,6 +159,66 @@ def label_distribution(t):
     return audit.label_distribution(t.utterances())
 
 
+_KEYS = ("l_orderkey", "l_partkey", "l_suppkey")
+
+
+@registered(f"""WITH cells AS (
+  {" UNION ALL ".join(f"SELECT DISTINCT l_returnflag AS part, '{c}' AS column_name, {c} AS value FROM lineitem" for c in _KEYS)}),
+sizes AS (SELECT part, column_name, count(*) AS n FROM cells GROUP BY part, column_name),
+pairs AS (SELECT a.part AS part_a, b.part AS part_b, column_name, a.n AS n_a, b.n AS n_b
+  FROM sizes a JOIN sizes b USING (column_name) WHERE a.part < b.part),
+shared AS (SELECT a.part AS part_a, b.part AS part_b, column_name, count(*) AS n
+  FROM cells a JOIN cells b USING (column_name, value) WHERE a.part < b.part GROUP BY ALL)
+SELECT part_a, part_b, column_name, n_a + n_b - coalesce(n, 0) AS n_either, coalesce(n, 0) AS n_shared,
+       true AS either_held, true AS shared_held
+FROM pairs LEFT JOIN shared USING (part_a, part_b, column_name)""")
+def profile_sketches(t):
+    """Distinct keys of pairs of parts: exact, and whether those of four stored batches lie within 2 % of the union."""
+    lines = t.read("lineitem")
+    path = staging_path(t.spark, "profile")
+    for batch in range(4):
+        write_profile(lines.where(F.col("l_linenumber") % 4 == batch), path, f"b{batch}", "l_returnflag", _KEYS)
+    found = sketches.shared_counts(read_profile(t.spark, path))
+    # One bit a part, so the exact counts need no join of the keys.
+    bits = {"A": 1, "N": 2, "R": 4}
+    bit = F.coalesce(*[F.when(F.col("l_returnflag") == part, number) for part, number in bits.items()])
+    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in _KEYS])
+    held = lines.select(bit.alias("bit"), F.inline(cells)).groupBy("column_name", "value").agg(F.bit_or("bit").alias("bits"))
+    pair = F.explode(F.array(*[F.struct(F.lit(a).alias("part_a"), F.lit(b).alias("part_b"), F.lit(bits[a] | bits[b]).alias("pair"))
+                               for a in bits for b in bits if a < b]))
+    met = F.col("bits").bitwiseAND(F.col("pair"))
+    exact = held.select("column_name", "bits", pair.alias("p")).select("column_name", "bits", "p.*").groupBy(
+        "part_a", "part_b", "column_name"
+    ).agg(F.count_if(met != 0).alias("x_either"), F.count_if(met == F.col("pair")).alias("x_shared"))
+    both = found.join(exact, ["part_a", "part_b", "column_name"])
+    within = 0.02 * F.col("x_either")
+    return both.select(
+        "part_a",
+        "part_b",
+        "column_name",
+        F.col("x_either").alias("n_either"),
+        F.col("x_shared").alias("n_shared"),
+        (F.abs(F.col("n_either") - F.col("x_either")) <= within).alias("either_held"),
+        (F.abs(F.col("n_shared") - F.col("x_shared")) <= within).alias("shared_held"),
+    )
+
+
+_WORD = r"[^\x20\x09-\x0D]+"
+
+
+@registered(f"""WITH words AS (SELECT unnest(regexp_extract_all(text, '{_WORD}')) AS value FROM documents),
+counts AS (SELECT value, count(*) AS n FROM words GROUP BY value)
+SELECT 'word' AS column_name, row_number() OVER (ORDER BY n DESC, value)::INT AS rank, value, n, true AS proven
+FROM counts QUALIFY rank <= 20""")
+def top_values(t):
+    """The twenty most frequent words of all documents, from summaries by language, each proven by their error bound."""
+    words = t.read("documents").select("lang", F.explode(F.regexp_extract_all("text", F.lit(_WORD), F.lit(0))).alias("word"))
+    path = staging_path(t.spark, "words")
+    write_profile(words, path, "all", "lang", ["word"], tracked=100_000)
+    return sketches.exact_top_values(words, read_profile(t.spark, path), ["word"], tracked=100_000)
+
+
+
 @registered(f"""WITH {V1}
 SELECT intent, count(*) AS n FROM v1
 WHERE intent IS NOT NULL AND intent <> lower({sql_strip('intent')}) GROUP BY intent""")
