@@ -4,9 +4,12 @@ from __future__ import annotations
 
 import math
 import random
-from collections import Counter
+import re
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
+import xxhash
 
 from tagloom.llm import langid, quality
 
@@ -120,6 +123,50 @@ def test_repeats_as_by_definition(reach):
     assert quality.repeats_of(places, [len(t) for t in texts], len(grams), 2, reach).tolist() == expected
 
 
+def test_verdicts_as_by_definition(spark):
+    """Held-out documents, quantiles by language, the pooled ones, thresholds and verdicts in plain Python."""
+    draw = random.Random(11)
+    rows = [(n, prose(draw, draw.randrange(1, 50)), "en" if n % 3 else "de") for n in range(900)]
+    rows += [(1000 + n, prose(draw, 20), None if n % 2 else "fr") for n in range(60)]
+    rows += [(2000 + n, "".join(draw.choice("bantoeli #$%") for _ in range(90)), draw.choice(["en", "de", "fr"])) for n in range(30)]
+    rows += [(3000 + n, prose(draw, 2 + n) + (" " + prose(draw, 1)) * n, "en") for n in range(30)] + [(4000, "", "en")]
+    ids = [n for n, _, _ in rows if n < 1060]
+    found = {r.doc_id: r for r in quality.classify(docs_of(spark, rows), spark.createDataFrame([(n,) for n in ids], "doc_id bigint")).collect()}
+
+    def held_out(n):
+        hashed = xxhash.xxh64_intdigest(n.to_bytes(8, "little"), 42)
+        return (hashed - (1 << 64) * (hashed >> 63)) % quality.HOLD_OUT == 0
+
+    texts = {n: text for n, text, _ in rows}
+    model = quality.train(spark.createDataFrame([(texts[n],) for n in ids if not held_out(n)], "text string"), quality.ORDER)
+    scored = quality.perplexity(docs_of(spark, rows), model).collect()
+    kept = [r for r in scored if r.chars and r.doc_id < 1060 and held_out(r.doc_id)]
+    held = Counter(r.lang for r in kept)
+    assert held["en"] > held["de"] >= quality.LEAST_CALIBRATION > max(held["fr"], held[None])
+
+    def score(amount, chars, mean):
+        return (amount + mean * quality.PRIOR_CHARS) / (chars + quality.PRIOR_CHARS)
+
+    def level(rows, of):
+        mean = sum(getattr(r, of) for r in rows) / sum(r.chars for r in rows)
+        steps = sorted(math.ceil(score(getattr(r, of), r.chars, mean) / quality.STEP) for r in rows)
+        return mean, steps[math.ceil(len(steps) * quality.QUANTILE) - 1] * quality.STEP
+
+    bad = 0
+    for r in scored:
+        of_lang = [k for k in kept if k.lang == r.lang]
+        calibration = of_lang if len(of_lang) >= quality.LEAST_CALIBRATION else kept
+        (mean, bits), (mean_repeats, repeats) = level(calibration, "bits"), level(calibration, "repeats")
+        most = repeats + (1 - repeats) * quality.LEEWAY
+        row = found[r.doc_id]
+        assert row.threshold == pytest.approx(2**bits * quality.MARGIN) and row.repeated_threshold == pytest.approx(most)
+        likely = bool(r.chars) and score(r.bits, r.chars, mean) <= bits + math.log2(quality.MARGIN)
+        varied = bool(r.chars) and score(r.repeats, r.chars, mean_repeats) <= most
+        assert (row.accepted_by_perplexity, row.accepted_by_repeats, row.accepted) == (likely, varied, likely and varied)
+        bad += not row.accepted
+    assert 30 < bad < 100
+
+
 def test_without_trusted_or_documents(spark):
     docs = docs_of(spark, [(1, "abc", "en"), (2, None, None)])
     none = spark.createDataFrame([], "doc_id bigint")
@@ -154,8 +201,45 @@ def test_many_languages_in_groups(spark, monkeypatch):
 
 def test_bundle_is_the_sum_of_bound_vectors():
     (bundle,) = langid.bundles(["Ab!"])
-    import numpy as np
-
     a, b, s = (langid.letter_vector(ord(c)).astype(int) for c in "ab ")
     expected = np.roll(s, 2) * np.roll(a, 1) * b + np.roll(a, 2) * np.roll(b, 1) * s
     assert bundle.astype(int).tolist() == expected.tolist()
+
+
+def test_language_as_by_brute_force(spark):
+    """Bound letters, bundles, prototypes, cosines and the choice, n-gram by n-gram."""
+    draw = random.Random(4)
+    alphabets = {"aa": "aeioulrst", "bb": "aeioukmnp", "cc": "éèaiouxyz"}
+
+    def sentence(lang, words):
+        return " ".join("".join(draw.choice(alphabets[lang]) for _ in range(draw.randrange(1, 7))) for _ in range(words))
+
+    learn = [(lang, sentence(lang, 30) + draw.choice([".", " 12!", ""])) for lang in alphabets for _ in range(10)] + [("cc", None)]
+    probe = [sentence(lang, n) for lang in alphabets for n in (1, 2, 5, 40)] + ["Lalo-LULA, 7 x", "ÉÈ", "a", "?", ""]
+
+    def bundle(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        line = f" {' '.join(words)} " if words else ""
+        total = np.zeros(langid.DIMENSIONS, dtype=np.int64)
+        for at in range(len(line) - langid.ORDER + 1):
+            gram = np.ones(langid.DIMENSIONS, dtype=np.int64)
+            for place in range(langid.ORDER):
+                gram *= np.roll(langid.letter_vector(ord(line[at + place])).astype(np.int64), langid.ORDER - 1 - place)
+            total += gram
+        return total
+
+    profiles = defaultdict(lambda: np.zeros(langid.DIMENSIONS, dtype=np.int64))
+    for lang, text in learn:
+        profiles[lang] += bundle(text)
+    stored = langid.prototypes(spark.createDataFrame(learn, "lang string, text string"))
+    assert {r.lang: r.vector for r in stored.collect()} == {lang: v.tolist() for lang, v in profiles.items()}
+    found = {r.doc_id: r for r in langid.identify(docs_of(spark, [(n, t, "aa") for n, t in enumerate(probe)]), stored).collect()}
+    for n, text in enumerate(probe):
+        own = bundle(text)
+        if not own.any():
+            assert (found[n].lang_pred, found[n].score) == ("und", 0.0)
+            continue
+        cosines = {lang: float(own @ v / (np.linalg.norm(own) * np.linalg.norm(v))) for lang, v in profiles.items()}
+        best = max(cosines, key=cosines.get)
+        assert found[n].score == pytest.approx(max(0.0, cosines[best]), abs=1e-5)
+        assert cosines[found[n].lang_pred] == pytest.approx(cosines[best], abs=1e-5)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import math
 import zlib
+from collections import defaultdict
 
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tagloom.llm import mixing, sharding
@@ -111,3 +114,54 @@ def test_a_group_larger_than_a_shard_is_cut(spark):
     loads = {r.shard: r["sum(size)"] for r in sharding.shard(docs_of(spark, rows), 8).groupBy("shard").sum("size").collect()}
     assert len(loads) == 8
     assert max(loads.values()) < 1.1 * sum(loads.values()) / 8
+
+
+def test_packing_as_by_brute_force(spark):
+    """Groups, units, their loads and the greedy choice, recomputed in plain Python."""
+    generator = np.random.default_rng(6)
+    rows = [(n, f"t{n} " * int(generator.integers(1, 40)), "s") for n in range(700)]
+    rows += [(2000 + n, "copy of one text " * 9, "s") for n in range(400)] + [(3000 + n, "few copies " * 4, "s") for n in range(5)]
+    rows += [(4000, None, "s"), (4001, "", "s"), (4002, "long " * 900, "s"), (None, "x", "s")]
+    shards, kinds = 5, ("size", "words", "rows")
+
+    def hashed(data, seed=42):
+        value = xxhash.xxh64_intdigest(data, seed % (1 << 64))
+        return value - (1 << 64) * (value >> 63)
+
+    texts, groups, total = {}, defaultdict(lambda: [0, 0, 0]), [0, 0, 0]
+    for n, text, _ in rows:
+        text = text or ""
+        loads = (len(text.encode()) + sharding.ROW_BYTES, len(text.split()), 1)
+        texts[n] = text, loads
+        for k, load in enumerate(loads):
+            groups[text][k] += load
+            total[k] += load
+    capacity = [t / shards for t in total]
+    units, of_row = defaultdict(lambda: [0, 0, 0]), {}
+    for n, (text, loads) in texts.items():
+        key = hashed(text.encode())
+        part = max(g / c for g, c in zip(groups[text], capacity))
+        if part > 1 / sharding.UNITS_PER_SHARD:
+            pieces = math.ceil(part / sharding.WHOLE_GROUP * 2) if part > sharding.WHOLE_GROUP else 1
+            row_key = hashed(b"row", hashed(("" if n is None else str(n)).encode()))
+            of_row[n] = (True, key, row_key % pieces)
+        else:
+            of_row[n] = (False, hashed(key.to_bytes(8, "little", signed=True)) % (sharding.UNITS_PER_SHARD * shards), 0)
+        for k, load in enumerate(loads):
+            units[of_row[n]][k] += load
+    found = sharding.shard(docs_of(spark, rows), shards).collect()
+    assert len(found) == len(rows) and {r.piece for r in found} > {0}
+    place = defaultdict(set)
+    for r in found:
+        assert (r.unit, r.piece) == of_row[r.doc_id][1:]
+        place[of_row[r.doc_id]].add(r.shard)
+    assert all(len(p) == 1 for p in place.values())
+    # From the largest unit down, each lies where the dot product with the residual capacity is highest.
+    weight = sharding.IMPORTANCE
+    parts = {u: [load / t for load, t in zip(units[u], total)] for u in sorted(units)}
+    residual = [[1 / shards] * len(kinds) for _ in range(shards)]
+    for unit in sorted(parts, key=lambda u: -round(sum(w * p for w, p in zip(weight, parts[u])), 12)):
+        gains = [sum(w * p * r for w, p, r in zip(weight, parts[unit], own)) for own in residual]
+        (chosen,) = place[unit]
+        assert gains[chosen] >= max(gains) - 1e-9
+        residual[chosen] = [r - p for r, p in zip(residual[chosen], parts[unit])]
