@@ -15,8 +15,9 @@ needs are joined with the model by n-gram, and the answers meet the shard's docu
 is shuffled are distinct n-grams a shard and compressed texts, never an n-gram for each place.
 
 Short texts say little: a document's bits and repeats are taken together with ``PRIOR_CHARS`` characters at
-the mean of its language.  Training reads at most about ``MAX_TRUSTED`` documents, drawn by digest; thresholds, needs
-and scores cover all.
+the mean of its language.  Training reads every trusted document that is not held out; thresholds cover every
+one that is, needs and scores all documents.  Ids say who is trusted, so the texts have to meet them: a bitmap of hashed
+ids of bounded size, which is broadcast, keeps most other texts from being shuffled, and a join by id decides.
 
 A document with a null or empty text has no perplexity and is rejected.  A null language is a language of
 its own; languages with fewer than ``LEAST_CALIBRATION`` held-out documents take the threshold of
@@ -39,7 +40,6 @@ from tagloom.llm.common import all_columns, fresh_name, numbered_rows
 from tagloom.session import stage
 
 ORDER = 4
-MAX_TRUSTED = 1_000_000
 HOLD_OUT = 5
 QUANTILE = 0.99
 # Perplexity over the quantile's that is still accepted, so that clean text is not cut at a fixed rate.
@@ -54,6 +54,9 @@ SHARD_BYTES = 32 << 20
 PIECE_CHARS = 1 << 18
 # Distinct n-grams a training task holds before it hands them on.
 HELD_GRAMS = 2_000_000
+# Words of 64 bits in the bitmap of trusted ids; more ids than fit let more texts through to the join by id.
+BITMAP_WORDS = 1_000_000
+IDS_A_WORD = 4
 # Scores are compared in steps of this many bits or repeats a character.
 STEP = 0.001
 
@@ -356,6 +359,25 @@ def perplexity(docs: DataFrame, model: DataFrame, order: int = ORDER, id_col: st
     )
 
 
+def texts_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The texts of all rows whose id is in the one-column table ``ids``, however many these are."""
+    slots = 64 * min(BITMAP_WORDS, ids.count() // IDS_A_WORD + 1)
+
+    def slot(key: str):
+        return F.pmod(F.xxhash64(key), F.lit(slots))
+
+    named = ids.select(F.col(ids.columns[0]).alias("_id"))
+    words = (
+        named.select(slot("_id").alias("_slot"))
+        .groupBy(F.floor(F.col("_slot") / 64).alias("_word"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(_slot % 64 AS INT))")).alias("_bits"))
+    )
+    rows = docs.select(F.col(id_col).cast("long").alias("_key"), F.col(text_col).alias("_text")).where("_key IS NOT NULL")
+    marked = (F.floor(slot("_key") / 64) == F.col("_word")) & (F.getbit("_bits", slot("_key") % 64) == 1)
+    likely = rows.join(F.broadcast(words), marked, "left_semi")
+    return likely.join(named, F.col("_key") == F.col("_id"), "left_semi").select(F.col("_text").alias(text_col))
+
+
 def classify(
     docs: DataFrame,
     trusted: DataFrame,
@@ -375,12 +397,7 @@ def classify(
     named = trusted.select(F.col(trusted.columns[0]).cast("long").alias("trusted_id"), F.col(trusted.columns[-1]).cast("long").alias("draw"))
     ids = stage(named.where("trusted_id IS NOT NULL").distinct(), "trusted")
     held_out = F.pmod(F.xxhash64("draw"), F.lit(HOLD_OUT)) == 0
-    training = ids.where(~held_out)
-    # Ids to broadcast: about MAX_TRUSTED at most, whatever the size of the labels.
-    rate = min(1.0, MAX_TRUSTED / max(1, training.count()))
-    drawn = training.where(F.pmod(F.xxhash64("draw", F.lit("draw")), F.lit(1_000_000)) < rate * 1_000_000).select("trusted_id")
-    texts = docs.join(F.broadcast(drawn), F.col(id_col).cast("long") == F.col("trusted_id"), "left_semi").select(text_col)
-    model = train(texts, order)
+    model = train(texts_of(docs, ids.where(~held_out).select("trusted_id"), id_col, text_col), order)
     scored = stage(perplexity(docs, model, order, id_col, text_col, lang_col), "scores")
 
     calibration = stage(

@@ -107,6 +107,43 @@ def test_repetition_is_rejected(spark):
     assert all(found[n].accepted for n in (*range(300), 600))
 
 
+def test_training_reads_every_trusted_text(spark, monkeypatch):
+    """All that are not held out, above a million too; repeated rows count, null ids do not."""
+    n = 1_400_000
+    docs = spark.range(n).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text", "'en' AS lang")
+    docs = docs.unionByName(docs.where("doc_id < 9").selectExpr("doc_id", "'again' AS text", "lang"))
+    docs = docs.unionByName(docs.where("doc_id < 9").selectExpr("CAST(NULL AS LONG) AS doc_id", "'null' AS text", "lang"))
+    trusted = spark.range(0, n + 1000).where("id % 50 != 7").selectExpr("id AS doc_id")
+
+    class Trained(Exception):
+        pass
+
+    def trained(texts, order):
+        raise Trained(texts.selectExpr("count(*)", "sum(xxhash64(text) % 1000003)").first())
+
+    monkeypatch.setattr(quality, "train", trained)
+    with pytest.raises(Trained) as met:
+        quality.classify(docs, trusted)
+    expected = docs.where(f"doc_id % 50 != 7 AND pmod(xxhash64(doc_id), {quality.HOLD_OUT}) != 0")
+    assert met.value.args[0] == expected.selectExpr("count(*)", "sum(xxhash64(text) % 1000003)").first()
+    assert met.value.args[0][0] > 1_000_000
+
+
+@pytest.mark.parametrize("words", [1, 1_000_000])
+def test_texts_of_trusted_ids_by_shuffle(spark, monkeypatch, words):
+    """A full bitmap only lets more rows through to the join by id."""
+    monkeypatch.setattr(quality, "BITMAP_WORDS", words)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        rows = [(n * 7919 - 300_000, f"text {n}", "en") for n in range(2000)] + [(None, "null", "en"), (7919 - 300_000, "twice", "xx"), (5, None, "en")]
+        ids = {n for n, _, _ in rows if n is not None and n % 3} | {1 << 62, -(1 << 63)}
+        found = quality.texts_of(docs_of(spark, rows), spark.createDataFrame([(n,) for n in ids], "id long"))
+        assert sorted(map(str, (r.text for r in found.collect()))) == sorted(str(t) for n, t, _ in rows if n in ids)
+        assert quality.texts_of(docs_of(spark, rows), spark.createDataFrame([], "id long")).count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
 @pytest.mark.parametrize("reach", [5, 256])
 def test_repeats_as_by_definition(reach):
     draw = random.Random(1)
