@@ -105,6 +105,26 @@ def test_pipeline_stages(spark):
         assert all(doc_id in following for doc_id, _ in rows)
 
 
+def test_pipeline_trains_on_every_trusted_text(spark, tmp_path, monkeypatch):
+    """Above a million documents too; the stage takes rows by their place in the files, draws go by doc_id."""
+    docs = spark.range(1_400_000).selectExpr("id AS doc_id", "CAST(id AS STRING) AS text", "'en' AS lang", "'s' AS source", "6L AS n_chars")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.range(1_500_000).selectExpr("id AS doc_id", "IF(id % 50 = 7, 0, 1) AS quality", "0 AS toxic").write.parquet(f"{tmp_path}/labels.parquet")
+
+    class Trained(Exception):
+        pass
+
+    def trained(texts, order):
+        raise Trained(texts.selectExpr("count(*)", "sum(CAST(text AS LONG))").first())
+
+    monkeypatch.setattr(corpus_pipeline.quality, "train", trained)
+    with pytest.raises(Trained) as met:
+        corpus_pipeline.keep_quality(spark, spark.read.parquet(f"{tmp_path}/documents.parquet"), str(tmp_path))
+    expected = docs.where(f"doc_id % 50 != 7 AND pmod(xxhash64(doc_id), {corpus_pipeline.quality.HOLD_OUT}) != 0")
+    assert met.value.args[0] == expected.selectExpr("count(*)", "sum(doc_id)").first()
+    assert met.value.args[0][0] > 1_000_000
+
+
 CLASHING = ("_bad", "_bad_", "_other", "_bad_id", "_bad_key", "_id", "_words", "_o", "_row", "_good", "size", "row", "taken", "doc", "shard", "slot", "part", "place", "fails")
 
 
